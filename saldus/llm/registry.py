@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldus.llm import quality
+from saldus.llm import mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.allotted(table(spark, sf_dir, "documents")).drop("source")
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules,)
+    own = (op1_quality_rules, op2_mixing)
     return {f.__name__: f for f in own}
 
 

@@ -153,7 +153,7 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np
     for j in range(k):
         out *= U(BASE)
         out += hashes[at + j]
-    return mixed(out), at
+    return mixed(out + U(k)), at
 
 
 def by_text(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:

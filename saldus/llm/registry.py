@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldus.llm import mixing, quality
+from saldus.llm import mixing, ngram_join, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotted(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"), ngram_join.Join(words=3, num=90, den=100))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing)
+    own = (op1_quality_rules, op2_mixing, op8_ngram_join, op9_token_counts)
     return {f.__name__: f for f in own}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldus.llm import mixing, ngram_join, quality, token_counts
+from saldus.llm import mixing, ngram_join, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotted(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), ngram_join.Join(words=3, num=90, den=100))
 
@@ -34,7 +39,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing, op8_ngram_join, op9_token_counts)
+    own = (op1_quality_rules, op2_mixing, op6_toxicity, op8_ngram_join, op9_token_counts)
     return {f.__name__: f for f in own}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldus.llm import anisotropic, mixing, ngram_join, quality, token_counts, toxicity
+from saldus.llm import anisotropic, mixing, ngram_join, packing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotted(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anisotropic.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -44,7 +48,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing, op5_nearest, op6_toxicity, op8_ngram_join, op9_token_counts)
+    own = (op1_quality_rules, op2_mixing, op4_packing, op5_nearest, op6_toxicity, op8_ngram_join, op9_token_counts)
     return {f.__name__: f for f in own}
 
 

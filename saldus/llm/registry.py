@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldus.llm import anisotropic, mixing, ngram_join, packing, quality, token_counts, toxicity
+from saldus.llm import anisotropic, compaction, languages, licenses, mixing, ngram_join, packing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotted(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), ngram_join.Join(words=3, num=90, den=100))
 
@@ -47,10 +55,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.compacted(table(spark, sf_dir, "documents"), compaction.Setup(target_bytes=32 << 20))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing, op4_packing, op5_nearest, op6_toxicity, op8_ngram_join, op9_token_counts)
+    own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_license_scan": licenses.oracle()}

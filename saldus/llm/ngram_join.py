@@ -105,7 +105,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
-    """doc_id, size, signature and prefix (hashes, rare first) of each row."""
+    """doc_id, hash of the text, size, signature and prefix (hashes, rare first) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,9 +119,9 @@ def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
                 s2.append(b)
                 order = np.argsort(counts[s >> kernel.U(64 - SKETCH_BITS)], kind="stable")  # s is in order of hash
                 prefix.append(s[order[: join.prefix(len(s)) if len(s) else 0]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.binary())], names=["doc_id", "n", "s1", "s2", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.binary())], names=["doc_id", "text_hash", "n", "s1", "s2", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, prefix binary")
 
 
 def _postings(groups: DataFrame) -> DataFrame:
@@ -316,3 +316,16 @@ def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
     named = named.drop("doc_id").join(least, "c").drop("c")
     out = rows.select("doc_id", "n", "s1", "s2").join(named, ["n", "s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id. Rows without words are linked with nothing and stay."""
+    rows, sets, known = classes(docs, join)
+    named = sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("c"))
+    own = rows.where("n > 0").join(named, ["n", "s1", "s2"])
+    stays = own.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("stays_id"), F.col("k.text_hash").alias("stays_hash"))
+    filled = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(filled).withColumn("__join_hash", F.xxhash64("text"))
+    one = Window.partitionBy("doc_id", "__join_hash").orderBy("doc_id")
+    kept = keyed.join(stays, keyed["doc_id"].eqNullSafe(stays["stays_id"]) & (keyed["__join_hash"] == stays["stays_hash"]), "left_semi").withColumn("__join_row", F.row_number().over(one)).where("__join_row = 1")
+    return kept.select(docs.columns).union(docs.where(~filled))

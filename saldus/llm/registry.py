@@ -59,9 +59,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.compacted(table(spark, sf_dir, "documents"), compaction.Setup(target_bytes=32 << 20))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding)
-    return {f.__name__: f for f in own}
+    return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,13 +27,18 @@ def components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = now.union(now.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.stored(large, "cc")
+        large = scratch.stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = scratch.stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).union(least.select("u", "m")).distinct(), "cc")
-        before, mark, now = mark, _mark(small), small
+        before, mark = mark, _mark(small)
+        scratch.drop(large)
+        scratch.drop(now)
+        now = small
         if before == mark:
             break
     root = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return nodes.join(root, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    out = scratch.stored(nodes.join(root, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
+    scratch.drop(nodes)
+    scratch.drop(now)
+    return out

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Text bytes handled at once; a longer text is handled alone, whole.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mixed(z: np.ndarray) -> np.ndarray:

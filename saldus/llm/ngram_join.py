@@ -6,11 +6,12 @@ among the first of either (the prefix). Sets with identical prefixes and size fo
 a prefix shingle are paired and filtered by size, by place and by what the two prefixes prove about their
 overlap; the pairs that are left are expand to members and verified on the whole sets.
 
-No list of all pairs of a shingle's groups is made. In a first round each shingle pairs only its most central
-group with the others. Then rounds go on over the shingles whose groups are not yet one component: a bounded
-number of groups of each (those of the smallest components first) is paired with the groups of other components and taken off the list,
-until no list has two components. Links inside a component that is already known are not needed for membership, so no link between
-components is lost, and each round's pairs grow as the lists do.
+No list of all pairs of a shingle's groups is made. In a first round each shingle pairs only its most central group with the others (a
+frequent shingle is dealt into parts, whose central groups are paired in turn). Then rounds go on over the shingles whose groups are not yet one
+component. Of such a list only groups are kept whose place in it leaves them a partner of fitting size; of any two that link, the smaller stands
+early in the list (in the first 2/(1+t) share that its size leaves), so a bounded number of early groups is paired with all groups of other
+components and taken off the list, until none is left. Links inside a component that is already known are not needed for membership: no link
+between components is lost.
 
 Defined cases: a null or empty text, or one of spaces, has no shingles and is its own component; a text with fewer
 words than a shingle is one shingle, its whole sequence; repeated rows are equal sets and link; an empty table gives no rows;
@@ -34,7 +35,9 @@ SKETCH_BITS = 18
 CHUNK_BITS = 12
 #: Members of a group and groups of a shingle that one round pairs with the rest.
 GROUP_MEMBERS = 64
-PIVOTS = 64
+PIVOTS = 1024
+#: A shingle of more than this share of the documents is dealt into so many parts.
+FREQUENT, PARTS = 1 / 64, 16
 
 
 @dataclass(frozen=True)
@@ -124,23 +127,61 @@ def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, prefix binary")
 
 
-def _postings(groups: DataFrame) -> DataFrame:
-    """(token, gid, n, pos) for every prefix shingle of every group."""
+def _postings(groups: DataFrame, counts: np.ndarray, rows: int) -> DataFrame:
+    """(token, part, gid, n, pos) for every prefix shingle of every group; part: where a frequent shingle's list is dealt, else -1."""
+    shared = groups.sparkSession.sparkContext.broadcast(counts >= max(PARTS, rows * FREQUENT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                tokens = [np.frombuffer(x, np.int64) for x in part.column(2).to_pylist()]
+                tokens = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
                 lengths = np.array([len(x) for x in tokens])
-                if lengths.sum():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.repeat(part.column(0).to_numpy(), lengths)), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]))], names=["token", "gid", "n", "pos"])
+                token, gid = np.concatenate(tokens), np.repeat(part.column(0).to_numpy(), lengths)
+                dealt = np.where(frequent[token >> kernel.U(64 - SKETCH_BITS)], (kernel.mixed(gid) % kernel.U(PARTS)).astype(np.int32), np.int32(-1))
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(np.concatenate([np.arange(k, dtype=np.int64) for k in lengths]))], names=["token", "part", "gid", "n", "pos"])
 
-    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, gid long, n long, pos int")
+    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, part int, gid long, n long, pos long")
 
 
-def _sizes_fit(join: Join, a: str, b: str) -> Column:
-    return F.least(a, b) * join.den >= F.greatest(a, b) * join.num
+def _lists(postings: DataFrame) -> DataFrame:
+    """The postings of shingles that more than one group has, and of all frequent ones, each with its list's most central group: g1, n1, pos1.
+
+    One shuffle; a list is read as a stream, of which only the first row is remembered.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = None, 0  # the first row of the latest list, and how many rows that list has had
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = [batch.column(k).to_numpy() for k in range(5)]
+            if held is not None:
+                x = [np.concatenate([h, c]) for h, c in zip(held, x, strict=True)]
+            first = np.ones(len(x[0]), bool)
+            first[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])
+            start = np.flatnonzero(first)
+            length = np.diff(np.append(start, len(first)))
+            total = length.copy()
+            if held is not None:
+                total[0] += seen - 1
+            given = np.repeat((total > 1) | (x[1][start] >= 0), length)
+            if held is not None and (seen > 1 or x[1][0] >= 0):
+                given[0] = False  # it went out with an earlier batch
+            rows, of = np.flatnonzero(given), np.repeat(start, length)
+            held, seen = [c[start[-1] : start[-1] + 1] for c in x], int(total[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(x[k][of[rows]]) for k in (2, 3, 4)], names=["token", "part", "gid", "n", "pos", "g1", "n1", "pos1"])
+
+    dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "pos", "n", "gid")
+    return dealt.mapInArrow(run, "token long, part int, gid long, n long, pos long, g1 long, n1 long, pos1 long")
+
+
+def _fits(join: Join) -> Column:
+    """Whether two postings of a shingle, (n1, pos1) and (n2, pos2), can be the first shared one of two sets that link."""
+    room = 1 + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
+    need = F.ceil(join.num * (F.col("n1") + F.col("n2")) / F.lit(join.num + join.den) - F.lit(1e-9))
+    return (F.least("n1", "n2") * join.den >= F.greatest("n1", "n2") * join.num) & (room >= need)
 
 
 def _filtered(pairs: DataFrame, groups: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
@@ -169,49 +210,47 @@ def _filtered(pairs: DataFrame, groups: DataFrame, join: Join, counts: np.ndarra
     return pairs.join(two, "g2").join(one, "g1").select("g1", "g2", "n1", "p1", "n2", "p2").mapInArrow(run, "g1 long, g2 long")
 
 
-def _bits(ids: DataFrame, n: int) -> tuple[int, dict[int, bytes]]:
-    """A bitmap of hashed ids for skipping rows that are in no pair; 64 MB at most, and only a filter."""
-    size = min(1 << 29, max(1 << 16, 1 << (16 * n).bit_length()))
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of hashed doc_ids for skipping rows that are in no pair: 64 MB at most, and only a filter."""
+    size = min(1 << 29, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(size))
     rows = ids.select(slot.alias("s")).distinct().groupBy((F.col("s") / (1 << 15)).cast("long").alias("k")).agg(F.bitmap_construct_agg(F.pmod("s", F.lit(1 << 15))).alias("b"))
-    return size, {r["k"]: bytes(r["b"]) for r in rows.collect()}
+    table = np.zeros(size // 8, np.uint8)
+    for r in rows.toLocalIterator():
+        table[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["b"], np.uint8)
+    return table
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """(id, set) of the sets wanted (id, doc_id, s1, s2), built again from the texts."""
-    spark = docs.sparkSession
-    size, bits = _bits(wanted, wanted.count())
-    table = np.zeros(size // 8, np.uint8)
-    for k, b in bits.items():
-        table[k * 4096 : (k + 1) * 4096] = np.frombuffer(b, np.uint8)
-    shared = spark.sparkContext.broadcast(table)
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+    """(s1, s2, whole) of the sets wanted (doc_id), and of a few others, built again from the texts."""
+    table = _bits(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(8 * len(table)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            slots = batch.column(2).to_numpy(zero_copy_only=False)
-            batch = batch.take(pa.array(np.flatnonzero((table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)))
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            slots = batch.column(1).to_numpy(zero_copy_only=False)
+            texts = batch.column(0).take(pa.array(np.flatnonzero((table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)))
+            for lo in range(0, len(texts), 200):
                 s1, s2, whole = [], [], []
-                for _, s in shingle_sets(part.column(1), join.words):
+                for _, s in shingle_sets(texts.slice(lo, 200), join.words):
                     a, b = _signature(s)
                     s1.append(a)
                     s2.append(b)
                     whole.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(whole, pa.binary())], names=["doc_id", "s1", "s2", "whole"])
+                yield pa.RecordBatch.from_arrays([pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(whole, pa.binary())], names=["s1", "s2", "whole"])
 
-    found = docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(run, "doc_id long, s1 long, s2 long, whole binary")
-    same = found["doc_id"].eqNullSafe(wanted["doc_id"]) & (found["s1"] == wanted["s1"]) & (found["s2"] == wanted["s2"])
-    return found.join(wanted, same).select("id", "whole").dropDuplicates(["id"])
+    return docs.select("text", slot.alias("slot")).mapInArrow(run, "s1 long, s2 long, whole binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) of set ids whose whole sets are similar enough, as edges (u, v)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = scratch.stored(sets.join(ids, "id", "left_semi").select("id", "doc_id", "s1", "s2"), "join-wanted")
-    whole = scratch.stored(_whole_sets(docs, wanted, join), "join-whole")
+    one, two = pairs.select("a").distinct(), pairs.select("b").distinct()
+    marked = sets.join(one.union(two).distinct().withColumnRenamed("a", "id"), "id", "left_semi").select("id", "doc_id", "s1", "s2")
+    marked = scratch.stored(marked.join(one.withColumn("as_a", F.lit(True)), marked["id"] == one["a"], "left").join(two.withColumn("as_b", F.lit(True)), marked["id"] == two["b"], "left").drop("a", "b"), "join-wanted")
+    whole = scratch.stored(_whole_sets(docs, marked, join), "join-whole")
+    found = marked.drop("doc_id").join(whole, ["s1", "s2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,8 +263,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) ->
             rows = pa.array(ok, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["u", "v"])
 
-    one, two = whole.toDF("a", "wa"), whole.toDF("b", "wb")
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long")
+    one = found.where("as_a").select(F.col("id").alias("a"), F.col("whole").alias("wa"))
+    two = found.where("as_b").select(F.col("id").alias("b"), F.col("whole").alias("wb"))
+    links = scratch.stored(pairs.join(two, "b").join(one, "a").select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long").distinct(), "join-links")
+    scratch.drop(whole)
+    scratch.drop(marked)
+    return links
 
 
 def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -246,66 +289,94 @@ def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
     groups = scratch.stored(grouped.select("gid", "n", "prefix", "ids"), "join-groups")
     members = groups.select("gid", F.explode("ids").alias("id"))
 
-    postings = scratch.stored(_postings(groups), "join-lists")
-    place = F.shiftleft(F.col("pos").cast("long"), 32) + F.col("n")
-    central = postings.groupBy("token").agg(F.min(place).alias("p"), F.min_by("gid", place).alias("g1"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    least = central.select("token", "g1", F.shiftright("p", 32).alias("pos1"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("n1"))
-    room = 1 + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
-    need = F.ceil(join.num * (F.col("n1") + F.col("n2")) / F.lit(join.num + join.den) - F.lit(1e-9))
-    fits = _sizes_fit(join, "n1", "n2") & (room >= need)
-    other = postings.select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    stars = other.join(least, "token").where((F.col("g1") != F.col("g2")) & fits).select("g1", "g2").distinct()
+    lists = scratch.stored(_lists(_postings(groups, counts, rows.count())), "join-lists")
+    stars = lists.where("gid <> g1").select("g1", "n1", "pos1", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    # The central groups of a frequent shingle's parts meet in the most central of them.
+    tops = lists.where("part >= 0 and gid = g1").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    place = F.shiftleft("pos2", 32) + F.col("n2")
+    least = tops.groupBy("token").agg(F.min(place).alias("p"), F.min_by("g2", place).alias("g1")).select("token", "g1", F.shiftright("p", 32).alias("pos1"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("n1"))
+    stars = stars.unionByName(tops.join(least, "token").where("g1 <> g2").drop("token"))
+    stars = stars.where(_fits(join)).select("g1", "g2").distinct()
     pairs = scratch.stored(_filtered(stars, groups, join, counts), "join-pairs")
     # The first of each group stands for it; inside a group it is paired with the rest.
-    members = members.withColumnRenamed("id", "b")
-    expanded = pairs.join(members.withColumnRenamed("gid", "g2"), "g2").select(F.col("g1").alias("a"), "b").union(members.where("gid <> b").select(F.col("gid").alias("a"), "b"))
-    members = members.withColumnRenamed("b", "id")
-    links = scratch.stored(_verified(scratch.stored(expanded, "join-expanded"), sets, docs, join), "join-links")
-    return rows, sets, _rounds(links, postings, groups, members, sets, docs, join, counts, fits)
+    ends = members.select(F.col("gid").alias("g2"), F.col("id").alias("b"))
+    expanded = pairs.join(ends, "g2").select(F.col("g1").alias("a"), "b").union(members.where("gid <> id").select(F.col("gid").alias("a"), F.col("id").alias("b")))
+    expanded = scratch.stored(expanded, "join-expanded")
+    links = _verified(expanded, sets, docs, join)
+    scratch.drop(pairs)
+    return rows, sets, _rounds(links, lists.select("token", "gid", "n", "pos"), groups, members, sets, docs, join, counts)
+
+
+def _open(lists: DataFrame, own: DataFrame) -> DataFrame:
+    """lists with the component c of each group, without the lists that are one component."""
+    labelled = lists.join(own, "gid")
+    some = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
+    return labelled.join(some, "token")
+
+
+def _early(join: Join) -> Column:
+    """Whether a posting stands early enough for the smaller set of two that link, of which it is the first shared shingle."""
+    return F.col("n") - F.col("pos") >= F.ceil(2 * join.num * F.col("n") / F.lit(join.num + join.den) - F.lit(1e-9))
+
+
+def _live(lists: DataFrame, join: Join) -> DataFrame:
+    """lists without groups that have no partner of fitting size in their list.
+
+    Sizes are dealt into bands so wide that a partner is at most one band off. An early group may meet any; another needs an early one
+    so small that the overlap it has room for is enough, (n - pos) (1 + t) / t - n at most.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(join.den / join.num)))
+    banded = lists.withColumn("band", band)
+    early = banded.where(_early(join)).groupBy("token", "band").agg(F.min("n").alias("m"))
+    reach = early.select("token", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), "m").groupBy("token", "band").agg(F.min("m").alias("m"))
+    most = (F.col("n") - F.col("pos")) * (join.num + join.den) / F.lit(join.num) - F.col("n") + F.lit(1e-6)
+    return banded.join(reach, ["token", "band"], "left").where(_early(join) | (F.col("m") <= most)).select(*lists.columns)
 
 
-def _rounds(links: DataFrame, postings: DataFrame, groups: DataFrame, members: DataFrame, sets: DataFrame, docs: DataFrame, join: Join, counts: np.ndarray, fits: Column) -> DataFrame:
-    first = True
+def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: DataFrame, sets: DataFrame, docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
+    """The components, when no list has two of them left that may link."""
+    first, known = True, None
     while True:
-        known = scratch.stored(components(links), "join-components")
-        label = members.join(known, members["id"] == known["node"], "left").select("gid", "id", F.coalesce("component", "id").alias("c"))
-        spread = scratch.stored(label.groupBy("gid").agg(F.min("c").alias("c"), F.max("c").alias("d")), "join-spread")
-        # A group of several components is of none: it differs from every other.
-        own = spread.select("gid", F.when(F.col("c") == F.col("d"), F.col("c")).otherwise(-1 - F.col("gid")).alias("c"))
-        labelled = postings.join(own, "gid")
-        open_ = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-        now = scratch.stored(labelled.join(open_, "token"), "join-lists")
-        pivots = _pivots(now)
-        pivots = scratch.stored(pivots, "join-pivots")
+        if known is None:
+            known = components(links)
+            label = members.join(known, members["id"] == known["node"], "left").select("gid", "id", F.coalesce("component", "id").alias("c"))
+            spread = scratch.stored(label.groupBy("gid").agg(F.min("c").alias("c"), F.max("c").alias("d")), "join-spread")
+            # A group of several components is of none: it differs from every other.
+            own = spread.select("gid", F.when(F.col("c") == F.col("d"), F.col("c")).otherwise(-1 - F.col("gid")).alias("c"))
+            now = _open(lists, own)
+            if first:
+                now = _open(_live(scratch.stored(now, "join-lists"), join).drop("c"), own)
+            now = scratch.stored(now, "join-lists")
+        pivots = scratch.stored(_pivots(now, join), "join-pivots")
         one = pivots.select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("c").alias("c1"), F.col("rank").alias("r1"))
         rank = pivots.select("token", "gid", "rank")
         two = now.join(rank, ["token", "gid"], "left").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"), F.col("rank").alias("r2"))
-        found = two.join(one, "token").where((F.col("c1") != F.col("c2")) & (F.col("r2").isNull() | (F.col("r1") < F.col("r2"))) & fits)
+        found = two.join(one, "token").where((F.col("c1") != F.col("c2")) & (F.col("r2").isNull() | (F.col("r1") < F.col("r2"))) & _fits(join))
         found = found.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
         pairs = _filtered(found, groups, join, counts)
         if first:  # groups whose own members are of several components
-            inner = spread.where("c <> d").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-            pairs = pairs.union(inner)
+            pairs = pairs.union(spread.where("c <> d").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
         a = label.select(F.col("gid").alias("g1"), F.col("id").alias("a"), F.col("c").alias("ca"))
         b = label.select(F.col("gid").alias("g2"), F.col("id").alias("b"), F.col("c").alias("cb"))
-        expanded = pairs.join(b, "g2").join(a, "g1").where("ca <> cb and (g1 <> g2 or a < b)").select("a", "b").distinct()
-        expanded = scratch.stored(expanded, "join-expanded")
-        if expanded.isEmpty():
-            more = None
-        else:
-            more = scratch.stored(_verified(expanded, sets, docs, join), "join-links")
-            links = links.union(more)
-        postings = scratch.stored(now.join(rank, ["token", "gid"], "left_anti").select("token", "gid", "n", "pos"), "join-lists")
+        expanded = scratch.stored(pairs.join(b, "g2").join(a, "g1").where("ca <> cb and (g1 <> g2 or a < b)").select("a", "b").distinct(), "join-expanded")
+        more = None if expanded.isEmpty() else _verified(expanded, sets, docs, join)
+        scratch.drop(expanded)
+        left = now.join(rank, ["token", "gid"], "left_anti")
+        early = left.where(_early(join)).select("token").distinct()
+        now = scratch.stored(left.join(early, "token"), "join-lists")
         first = False
-        if postings.isEmpty():
-            return components(links) if more is not None else known
+        done = now.isEmpty()
+        if more is not None and not more.isEmpty():
+            links, lists, known = links.union(more), now.drop("c"), None
+        if done:
+            return components(links) if known is None else known
 
 
-def _pivots(now: DataFrame) -> DataFrame:
-    """Up to PIVOTS groups of each list, those of the list's smallest components first."""
+def _pivots(now: DataFrame, join: Join) -> DataFrame:
+    """Up to PIVOTS early groups of each list, those of the list's smallest components first."""
     sizes = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
     order = Window.partitionBy("token").orderBy("m", "c", "gid")
-    return now.join(sizes, ["token", "c"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
+    return now.where(_early(join)).join(sizes, ["token", "c"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
 
 
 def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +28,46 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: While a table is written: its shuffle files go as soon as it stands, and batches for Python are small even where rows are long.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+@contextmanager
+def settings(spark: SparkSession, own: dict[str, str]) -> Iterator[None]:
+    """Session settings for as long as the block runs."""
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends at files that every executor can read."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = folder(spark, name)
+    with settings(spark, WHILE_WRITING):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = path
+    weakref.finalize(out, _paths.pop, id(out), None)
+    return out
+
+
+_paths: dict[int, str] = {}
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes what `stored` wrote for df; nothing may read it any more."""
+    path = _paths.get(id(df))
+    if path:
+        remove(df.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from saldus.llm import kernel, scratch
 from saldus.llm.components import components
 
-SKETCH_BITS = 18
-CHUNK_BITS = 12
+SKETCH_BITS = 21
+CHUNK_BITS = 13
 #: Members of a group and groups of a shingle that one round pairs with the rest.
 GROUP_MEMBERS = 64
 PIVOTS = 1024
@@ -78,21 +78,21 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
-    """Counts of documents by the top SKETCH_BITS bits of their shingles: 1 MB, whatever the input."""
+    """Counts of documents by the top SKETCH_BITS bits of their shingles: 8 MB, whatever the input."""
     size, chunk = 1 << SKETCH_BITS, 1 << CHUNK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.uint32)
         for batch in batches:
             for _, s in shingle_sets(batch.column(0), words):
                 np.add.at(total, s >> kernel.U(64 - SKETCH_BITS), 1)
         yield from out(total.reshape(-1, chunk))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size // chunk, chunk), np.int64)
+        total = np.zeros((size // chunk, chunk), np.uint32)
         for batch in batches:
             for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[k] += np.frombuffer(c, np.int64)
+                total[k] += np.frombuffer(c, np.uint32)
         yield from out(total)
 
     def out(parts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -101,10 +101,10 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], names=["k", "c"])
 
     parts = docs.select("text").mapInArrow(count, "k int, c binary").repartition(16, "k").mapInArrow(add, "k int, c binary")
-    total = np.zeros((size // chunk, chunk), np.int64)
+    total = np.zeros((size // chunk, chunk), np.uint32)
     for row in parts.collect():
-        total[row["k"]] = np.frombuffer(row["c"], np.int64)
-    return total.reshape(-1)
+        total[row["k"]] = np.frombuffer(row["c"], np.uint32)
+    return total.reshape(-1)  # counts beyond 2**32 wrap around; any order is right
 
 
 def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
@@ -128,21 +128,28 @@ def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
 
 
 def _postings(groups: DataFrame, counts: np.ndarray, rows: int) -> DataFrame:
-    """(token, part, gid, n, pos) for every prefix shingle of every group; part: where a frequent shingle's list is dealt, else -1."""
-    shared = groups.sparkSession.sparkContext.broadcast(counts >= max(PARTS, rows * FREQUENT))
+    """(token, part, gid, n, pos, rank) for every prefix shingle of every group.
+
+    part: where a frequent shingle's list is dealt, else -1. rank: less for groups whose rarest shingles are more frequent, which are the ones that
+    the rest of a family of near copies is closest to; it is the same in all lists, so that few groups become central.
+    """
+    shared = groups.sparkSession.sparkContext.broadcast(counts)
+    most = max(PARTS, rows * FREQUENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+        counts = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
                 tokens = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
                 lengths = np.array([len(x) for x in tokens])
                 token, gid = np.concatenate(tokens), np.repeat(part.column(0).to_numpy(), lengths)
-                dealt = np.where(frequent[token >> kernel.U(64 - SKETCH_BITS)], (kernel.mixed(gid) % kernel.U(PARTS)).astype(np.int32), np.int32(-1))
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(np.concatenate([np.arange(k, dtype=np.int64) for k in lengths]))], names=["token", "part", "gid", "n", "pos"])
+                dealt = np.where(counts[token >> kernel.U(64 - SKETCH_BITS)] >= most, (kernel.mixed(gid) % kernel.U(PARTS)).astype(np.int32), np.int32(-1))
+                often = np.log2(1.0 + counts[token >> kernel.U(64 - SKETCH_BITS)])
+                rank = np.repeat((-1000 * np.add.reduceat(often, np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths).astype(np.int64), lengths)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(np.concatenate([np.arange(k, dtype=np.int64) for k in lengths])), pa.array(rank)], names=["token", "part", "gid", "n", "pos", "rank"])
 
-    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, part int, gid long, n long, pos long")
+    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, part int, gid long, n long, pos long, rank long")
 
 
 def _lists(postings: DataFrame) -> DataFrame:
@@ -156,7 +163,7 @@ def _lists(postings: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = [batch.column(k).to_numpy() for k in range(5)]
+            x = [batch.column(k).to_numpy() for k in range(6)]
             if held is not None:
                 x = [np.concatenate([h, c]) for h, c in zip(held, x, strict=True)]
             first = np.ones(len(x[0]), bool)
@@ -171,10 +178,10 @@ def _lists(postings: DataFrame) -> DataFrame:
                 given[0] = False  # it went out with an earlier batch
             rows, of = np.flatnonzero(given), np.repeat(start, length)
             held, seen = [c[start[-1] : start[-1] + 1] for c in x], int(total[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(x[k][of[rows]]) for k in (2, 3, 4)], names=["token", "part", "gid", "n", "pos", "g1", "n1", "pos1"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(x[k][of[rows]]) for k in (2, 3, 4)], names=["token", "part", "gid", "n", "pos", "rank", "g1", "n1", "pos1"])
 
-    dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "pos", "n", "gid")
-    return dealt.mapInArrow(run, "token long, part int, gid long, n long, pos long, g1 long, n1 long, pos1 long")
+    dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "rank", "gid")
+    return dealt.mapInArrow(run, "token long, part int, gid long, n long, pos long, rank long, g1 long, n1 long, pos1 long")
 
 
 def _fits(join: Join) -> Column:
@@ -275,27 +282,30 @@ def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
     """(rows: doc_id, n, s1, s2 of each row; sets: id, doc_id, n, s1, s2; component of set ids that have one)."""
     spark: SparkSession = docs.sparkSession
     counts = sketch(docs, join.words)
-    rows = scratch.stored(_prefixes(docs, join, counts), "join-rows")
+    wide_rows = scratch.stored(_prefixes(docs, join, counts), "join-rows")
+    rows = scratch.stored(wide_rows.drop("prefix"), "join-rows")
     key = ["n", "s1", "s2"]
-    sets = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
-    sets = scratch.stored(sets.withColumn("id", F.monotonically_increasing_id()), "join-sets")
+    wide = wide_rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
+    wide = scratch.stored(wide.withColumn("id", F.monotonically_increasing_id()), "join-sets")
+    scratch.drop(wide_rows)
+    sets = scratch.stored(wide.drop("prefix"), "join-sets")
     # Groups: equal prefixes and size; a large one is dealt into parts of bounded size by signature.
-    keyed = sets.select("id", "n", "prefix", F.md5("prefix").alias("key"), F.pmod("s1", F.lit(1024)).alias("part"))
+    keyed = wide.select("id", "n", "prefix", F.md5("prefix").alias("key"), F.pmod("s1", F.lit(1024)).alias("part"))
     sized = keyed.groupBy("n", "key").agg(F.count(F.lit(1)).alias("m"))
     parted = keyed.join(sized, ["n", "key"]).withColumn("part", F.when(F.col("m") <= GROUP_MEMBERS, 0).otherwise(F.col("part")))
     same = Window.partitionBy("n", "key", "part").orderBy("id")
     parted = parted.withColumn("block", F.floor((F.row_number().over(same) - 1) / GROUP_MEMBERS))
     grouped = parted.groupBy("n", "key", "part", "block").agg(F.min("id").alias("gid"), F.first("prefix").alias("prefix"), F.collect_list("id").alias("ids"))
     groups = scratch.stored(grouped.select("gid", "n", "prefix", "ids"), "join-groups")
+    scratch.drop(wide)
     members = groups.select("gid", F.explode("ids").alias("id"))
 
     lists = scratch.stored(_lists(_postings(groups, counts, rows.count())), "join-lists")
     stars = lists.where("gid <> g1").select("g1", "n1", "pos1", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
     # The central groups of a frequent shingle's parts meet in the most central of them.
-    tops = lists.where("part >= 0 and gid = g1").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    place = F.shiftleft("pos2", 32) + F.col("n2")
-    least = tops.groupBy("token").agg(F.min(place).alias("p"), F.min_by("g2", place).alias("g1")).select("token", "g1", F.shiftright("p", 32).alias("pos1"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("n1"))
-    stars = stars.unionByName(tops.join(least, "token").where("g1 <> g2").drop("token"))
+    tops = lists.where("part >= 0 and gid = g1").select("token", "rank", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    least = tops.groupBy("token").agg(F.min(F.struct("rank", "g2", "n2", "pos2")).alias("p")).select("token", F.col("p.g2").alias("g1"), F.col("p.n2").alias("n1"), F.col("p.pos2").alias("pos1"))
+    stars = stars.unionByName(tops.join(least, "token").where("g1 <> g2").drop("token", "rank"))
     stars = stars.where(_fits(join)).select("g1", "g2").distinct()
     pairs = scratch.stored(_filtered(stars, groups, join, counts), "join-pairs")
     # The first of each group stands for it; inside a group it is paired with the rest.
@@ -304,7 +314,10 @@ def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
     expanded = scratch.stored(expanded, "join-expanded")
     links = _verified(expanded, sets, docs, join)
     scratch.drop(pairs)
-    return rows, sets, _rounds(links, lists.select("token", "gid", "n", "pos"), groups, members, sets, docs, join, counts)
+    scratch.drop(expanded)
+    slim = scratch.stored(lists.select("token", "gid", "n", "pos"), "join-lists")
+    scratch.drop(lists)
+    return rows, sets, _rounds(links, slim, groups, members, sets, docs, join, counts)
 
 
 def _open(lists: DataFrame, own: DataFrame) -> DataFrame:
@@ -343,10 +356,11 @@ def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: Data
             spread = scratch.stored(label.groupBy("gid").agg(F.min("c").alias("c"), F.max("c").alias("d")), "join-spread")
             # A group of several components is of none: it differs from every other.
             own = spread.select("gid", F.when(F.col("c") == F.col("d"), F.col("c")).otherwise(-1 - F.col("gid")).alias("c"))
-            now = _open(lists, own)
+            now = scratch.stored(_open(lists, own), "join-lists")
+            scratch.drop(lists)
             if first:
-                now = _open(_live(scratch.stored(now, "join-lists"), join).drop("c"), own)
-            now = scratch.stored(now, "join-lists")
+                every, now = now, scratch.stored(_open(_live(now, join).drop("c"), own), "join-lists")
+                scratch.drop(every)
         pivots = scratch.stored(_pivots(now, join), "join-pivots")
         one = pivots.select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("c").alias("c1"), F.col("rank").alias("r1"))
         rank = pivots.select("token", "gid", "rank")
@@ -363,11 +377,14 @@ def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: Data
         scratch.drop(expanded)
         left = now.join(rank, ["token", "gid"], "left_anti")
         early = left.where(_early(join)).select("token").distinct()
-        now = scratch.stored(left.join(early, "token"), "join-lists")
+        after = scratch.stored(left.join(early, "token"), "join-lists")
+        scratch.drop(now)
+        scratch.drop(pivots)
+        now = after
         first = False
         done = now.isEmpty()
         if more is not None and not more.isEmpty():
-            links, lists, known = links.union(more), now.drop("c"), None
+            links, lists, known = links.union(more), now.drop("c"), None  # lists: read before it goes
         if done:
             return components(links) if known is None else known
 

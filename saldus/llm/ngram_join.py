@@ -35,7 +35,9 @@ SKETCH_BITS = 21
 CHUNK_BITS = 13
 #: Members of a group and groups of a shingle that one round pairs with the rest.
 GROUP_MEMBERS = 64
-PIVOTS = 1024
+#: The first round after the stars takes FEW of a list, each later one eight times as many: a family of near copies becomes one component
+#: after a few, and its other pairs are never made.
+PIVOTS, FEW = 1024, 4
 #: A shingle of more than this share of the documents is dealt into so many parts.
 FREQUENT, PARTS = 1 / 64, 16
 
@@ -348,7 +350,7 @@ def _live(lists: DataFrame, join: Join) -> DataFrame:
 
 def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: DataFrame, sets: DataFrame, docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
     """The components, when no list has two of them left that may link."""
-    first, known = True, None
+    first, known, turn = True, None, 0
     while True:
         if known is None:
             known = components(links)
@@ -361,7 +363,8 @@ def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: Data
             if first:
                 every, now = now, scratch.stored(_open(_live(now, join).drop("c"), own), "join-lists")
                 scratch.drop(every)
-        pivots = scratch.stored(_pivots(now, join), "join-pivots")
+        pivots = scratch.stored(_pivots(now, join, min(PIVOTS, FEW * 8**turn)), "join-pivots")
+        turn += 1
         one = pivots.select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("c").alias("c1"), F.col("rank").alias("r1"))
         rank = pivots.select("token", "gid", "rank")
         two = now.join(rank, ["token", "gid"], "left").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"), F.col("rank").alias("r2"))
@@ -389,11 +392,11 @@ def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: Data
             return components(links) if known is None else known
 
 
-def _pivots(now: DataFrame, join: Join) -> DataFrame:
-    """Up to PIVOTS early groups of each list, those of the list's smallest components first."""
+def _pivots(now: DataFrame, join: Join, most: int) -> DataFrame:
+    """Up to `most` early groups of each list, those of the list's smallest components first."""
     sizes = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
     order = Window.partitionBy("token").orderBy("m", "c", "gid")
-    return now.where(_early(join)).join(sizes, ["token", "c"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
+    return now.where(_early(join)).join(sizes, ["token", "c"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
 
 
 def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Vectors of unit length are coded as 4 bits for each pair of dimensions. Codebooks and codes minimise a loss that weighs the part of
 the residual parallel to the vector more than the rest, because that part changes the largest inner products. Queries scan the
-codes with tables of partial products (two codes to a table of 256), and the best of each scanned block are reranked exactly,
-in double precision, on the original vectors; a block sends only its exact best on.
+codes with tables of partial products (two codes to a table of 256). Rows are reranked exactly, in double precision, on the original
+vectors: first the best of a block by approximate score, then every row whose codes leave room for the k-th exact score met so far. A row's
+angle to what its codes stand for is kept beside them, so by the triangle inequality of angles no row that is left out can be among the k
+nearest: the cut follows the data, and near copies with equal codes are all reranked. A block sends only its exact best on.
 
 The codebooks are fitted on a sample of a documented bound (`Setup.sample`); every row is coded and scanned. Queries go in blocks
 of a fixed number, each against all rows; no table of queries and rows is made and no cell of an index can overflow.
@@ -35,7 +37,7 @@ class Setup:
     rounds: int = 8
     threshold: float = 0.2  # the inner product from which scores matter
     block: int = 4096  # rows scanned at once
-    rerank: int = 64  # of each block, reranked exactly
+    rerank: int = 64  # of each block, reranked first to raise the k-th score; the bound decides on the rest
     queries: int = 4096  # scanned in one job
 
 
@@ -98,9 +100,14 @@ class Codec:
         """Each pair's part of the inner product of residual and vector."""
         return np.stack([((parts[:, m] - self.books[m][codes[:, m]]) * parts[:, m]).sum(axis=1) for m in range(len(self.books))], axis=1)
 
-    def packed(self, x: np.ndarray) -> np.ndarray:
+    def spread(self, x: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of what each row's codes stand for, the length along the unit vector and the length across it."""
+        stands = self.books[np.arange(len(self.books)), codes].reshape(len(x), -1)[:, : self.dims].astype(np.float64)
+        along = np.einsum("ij,ij->i", stands, x)
+        return along, np.linalg.norm(stands - along[:, None] * x, axis=1)
+
+    def packed(self, codes: np.ndarray) -> np.ndarray:
         """Two codes to a byte."""
-        codes = self.encode(x)
         if codes.shape[1] % 2:
             codes = np.concatenate([codes, np.zeros((len(codes), 1), codes.dtype)], axis=1)
         return np.ascontiguousarray((codes[:, ::2] * 16 + codes[:, 1::2]).astype(np.uint8).T)
@@ -150,8 +157,21 @@ def _select(scores: np.ndarray, n: int) -> np.ndarray:
     return np.sort(np.concatenate([above, np.flatnonzero(scores == edge)[: n - len(above)]]))
 
 
-def scan(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, tables: np.ndarray, k: int, setup: Setup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score) of the k best rows of a block, in order of id, for each query."""
+def least(t: float, along: np.ndarray, across: np.ndarray, terms: int) -> np.ndarray:
+    """The least approximate score that each row can have if its exact score is t or more.
+
+    A query at an angle a to a row is at most a + b from what the row's codes stand for, where b is the row's own angle to that.
+    """
+    t = min(max(t, -1.0), 1.0)
+    length = np.hypot(along, across)
+    low = t * along - np.sqrt(1 - t * t) * across
+    low[t * length < -along] = -np.inf  # a + b beyond a half turn
+    return low - (terms + 8) * 2.0**-22 * (length + 1)  # sums of single precision
+
+
+def scan(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, spread: tuple[np.ndarray, np.ndarray], query_ids: np.ndarray, queries: np.ndarray, tables: np.ndarray, top: np.ndarray, setup: Setup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, score) of the k best rows of a block, for each query. top: each query's k best exact scores so far, brought up to date."""
+    k = top.shape[1]
     out = ([], [], [])
     for i, q in enumerate(query_ids):
         scores = tables[i, 0][codes[0]]
@@ -159,11 +179,15 @@ def scan(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, query_ids: np.ndarra
             scores += tables[i, j][codes[j]]
         at = _select(scores, setup.rerank + 1)
         at = at[ids[at] != q]
+        t = np.sort(np.concatenate([top[i], cosine(queries[i], x[at])]))[-k]
+        at = np.flatnonzero(scores >= least(t, *spread, len(codes))) if t > -np.inf else np.arange(len(ids))
+        at = at[ids[at] != q]
         exact = cosine(queries[i], x[at])
         best = np.lexsort((ids[at], -exact))[:k]
         out[0].append(np.full(len(best), q))
         out[1].append(ids[at][best])
         out[2].append(exact[best])
+        top[i] = np.sort(np.concatenate([top[i], exact[best]]))[-k:]
     return tuple(np.concatenate(c) if c else np.zeros(0) for c in out)
 
 
@@ -199,16 +223,19 @@ def _scanned(rows: DataFrame, codec: Codec, query_ids: np.ndarray, queries: np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, query_ids, queries = shared.value
+        top = np.full((len(query_ids), k), -np.inf)
         for batch in batches:
             at, x = usable(batch.column(1), codec.dims)
             order = np.argsort(batch.column(0).to_numpy()[at], kind="stable")
             ids, x = batch.column(0).to_numpy()[at][order], unit(x[order])
             for lo in range(0, len(ids), setup.block):
-                codes = codec.packed(x[lo : lo + setup.block].astype(np.float32))
+                rows_x = x[lo : lo + setup.block]
+                codes = codec.encode(rows_x.astype(np.float32))
+                spread, codes = codec.spread(rows_x, codes), codec.packed(codes)
                 for some in range(0, len(query_ids), 256):  # tables of 4 MB at a time
                     own = slice(some, some + 256)
                     tables = codec.tables(queries[own].astype(np.float32))
-                    q, v, s = scan(ids[lo : lo + setup.block], x[lo : lo + setup.block], codes, query_ids[own], queries[own], tables, k, setup)
+                    q, v, s = scan(ids[lo : lo + setup.block], rows_x, codes, spread, query_ids[own], queries[own], tables, top[own], setup)
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
 
     return rows.select("vec_id", "v").mapInArrow(run, SCHEMA)

@@ -77,6 +77,24 @@ def test_nearest_like_brute_force(spark):
     assert anisotropic.nearest(few.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_in_a_family_of_near_copies(spark):
+    rng = np.random.default_rng(7)
+    x = anisotropic.unit(rng.normal(size=(4000, 64)))
+    family = np.arange(0, 4000, 3)
+    noise = anisotropic.unit(rng.normal(size=(len(family), 64)))
+    x[family] = x[0] + np.where(np.arange(len(family)) % 2, 0.02, 0.0005)[:, None] * noise
+    rows = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>").coalesce(1)
+    got = {}
+    for r in anisotropic.nearest(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    own = anisotropic.unit(rows.astype(np.float64))
+    for q in range(0, 4000, 50):
+        s = anisotropic.cosine(own[q], own)
+        s[q] = -2
+        assert got[q] == np.lexsort((np.arange(4000), -s))[:5].tolist()
+
+
 def test_parallel_residual_is_smaller_with_weight():
     rng = np.random.default_rng(3)
     x = anisotropic.unit(rng.normal(size=(3000, 16))).astype(np.float32)

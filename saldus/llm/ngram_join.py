@@ -409,6 +409,14 @@ def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def clusters(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """text_hash (xxhash64 of text) and cluster of every distinct text of docs (doc_id, text) that has words: the least hash of its component."""
+    rows, sets, known = classes(docs, join)
+    named = sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("c"))
+    texts = rows.where("n > 0").select("text_hash", "n", "s1", "s2").distinct().join(named, ["n", "s1", "s2"]).select("text_hash", "c")
+    return texts.join(texts.groupBy("c").agg(F.min("text_hash").alias("cluster")), "c").select("text_hash", "cluster")
+
+
 def deduplicated(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id. Rows without words are linked with nothing and stay."""
     rows, sets, known = classes(docs, join)

@@ -10,7 +10,7 @@ lots of about `Setup.lot` rows and each lot is packed alone, so work is even wha
 task is packed again to the same bins, and only ids and sizes are shuffled.
 
 Defined cases: a null or empty text, or one of spaces, has size 0, takes no room and stands in a bin like any other; equal rows are a cluster and are kept
-apart; a null source is a source of its own; a row without doc_id is packed like any other; an empty table gives no rows; other columns are not read, unless one is named as the cluster.
+apart, and near copies where `near` names their clusters; a null source is a source of its own; a row without doc_id is packed like any other; an empty table gives no rows; other columns are not read, unless one is named as the cluster.
 """
 
 from __future__ import annotations
@@ -83,10 +83,17 @@ def packed(items: list[tuple[int, int, int]], setup: Setup) -> list[int]:
     return [bins.put(size, many.get(cluster, 0), sources[source], setup.per_source) for size, cluster, source in items]
 
 
-def pack(docs: DataFrame, cluster: Column | None = None, setup: Setup = Setup()) -> DataFrame:
-    """A row for each piece of each row of docs (doc_id, text, source): its words from `start` on are `n_words` in the bin (lot, bin)."""
+def pack(docs: DataFrame, cluster: Column | None = None, setup: Setup = Setup(), near: DataFrame | None = None) -> DataFrame:
+    """A row for each piece of each row of docs (doc_id, text, source): its words from `start` on are `n_words` in the bin (lot, bin).
+
+    near: text_hash and cluster of texts, as from ngram_join.clusters; only the other texts go by `cluster`.
+    """
     cluster = text_cluster(F.col("text")) if cluster is None else cluster
-    items = docs.select("doc_id", F.col("source").alias("source"), word_count(F.col("text")).alias("size"), cluster.alias("cluster"))
+    items = docs.select("doc_id", F.col("source").alias("source"), word_count(F.col("text")).alias("size"), cluster.alias("cluster"), F.xxhash64("text").alias("text_hash"))
+    if near is not None:
+        near = near.withColumnRenamed("cluster", "near")
+        items = items.join(near, "text_hash", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
+    items = items.drop("text_hash")
     lots = max(1, -(-docs.count() // setup.lot))
     items = items.withColumn("lot", F.pmod(F.xxhash64(F.lit("lot"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("cluster"))), F.lit(lots)))
 

@@ -29,7 +29,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, near=ngram_join.clusters(docs, ngram_join.Join(words=5, num=80, den=100)))
 
 
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
-from saldus.llm import mixing, packing
+from saldus.llm import mixing, packing, registry
 
 
 def docs(spark, n=400, seed=5):
@@ -84,3 +84,13 @@ def test_packing_is_whole_and_without_conflicts(spark):
         assert max(Counter(by_id[r["doc_id"]][2] for r in own).values()) <= 2
     assert sorted(map(tuple, packing.pack(df.repartition(5), setup=setup).collect()), key=str) == sorted(map(tuple, got), key=str)
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_near_copies_are_kept_apart(spark, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    family = [" ".join(words[:i] + ["other"] + words[i + 1 :]) for i in (0, 1, 58, 59)] + [" ".join(words), " ".join(words).upper()]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(family)] + [(10 + i, " ".join(f"x{i}y{j}" for j in range(20)), "t") for i in range(6)] + [(20, "", "u"), (21, None, "u")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.op4_packing(spark, str(tmp_path)).collect()
+    bins = {r["doc_id"]: (r["lot"], r["bin"]) for r in got}
+    assert len(got) == len(rows) and len({bins[i] for i in range(6)}) == 6 and bins[20] != bins[21]

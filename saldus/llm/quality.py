@@ -58,7 +58,8 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b"|<>/\\*~=")] = True
 _FINAL = np.zeros(256, bool)
 _FINAL[list(b".!?:;\"')]}")] = True
-_FINAL[0x80:] = True  # closing quotes, ellipses and full stops beyond ASCII; letters there end few lines
+#: Full stops, ellipses, question and exclamation marks, colons, closing quotes and brackets beyond ASCII.
+_FINAL_WIDE = np.array(sorted(map(ord, "»«’”“‘›‹…‥‼‽⁇⁈⁉。．｡！？：；）］｝」』】〉》〕〗〙〛｣՜՝՞։׃؟؛۔܀܁܂।॥၊။።፧፨។៕᠃᠉꓿⸮")), np.uint32)
 _CONTINUES = (np.arange(256) & 0xC0) == 0x80
 
 
@@ -68,6 +69,23 @@ def _before(flags: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ends_final(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the code point whose last byte stands at each place is a final mark."""
+    out = _FINAL[raw[at]]
+    wide = np.flatnonzero(raw[at] >= 0x80)
+    place = at[wide]
+    code = np.zeros(len(wide), np.uint32)
+    open_ = np.ones(len(wide), bool)
+    for i in range(4):  # from the last byte to the first
+        byte = raw[np.maximum(place - i, 0)].astype(np.uint32)
+        lead = open_ & ((byte & 0xC0) != 0x80)
+        own = np.where(lead, byte & (0xFF >> (i + 2)), byte & 0x3F)
+        code |= np.where(open_, own << np.uint32(6 * i), 0).astype(np.uint32)
+        open_ &= ~lead
+    out[wide] = np.isin(code, _FINAL_WIDE)
+    return out
+
+
 def judged(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.ndarray]:
     """The measures of each text of a block, and the place and verdict of each line."""
     t = kernel.Text(raw, offsets)
@@ -96,11 +114,12 @@ def judged(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.n
     marked = _MARK[raw]
     pair = np.zeros(len(raw) + 1, bool)
     pair[1:-1] = marked[1:] & marked[:-1]  # a mark after a mark
-    decorated = _before(pair[tail] & (t.end - t.start >= 2)) if len(tail) else np.zeros(1, np.int64)
+    runs = _before(pair[: len(raw)])
+    decorated = _before(runs[t.end] > runs[t.start + 1]) if len(tail) else np.zeros(1, np.int64)
     single = _before((t.end - t.start == 1) & _SEPARATOR[raw[t.start]]) if len(tail) else np.zeros(1, np.int64)
     n_decorated, n_single = decorated[last] - decorated[first], single[last] - single[first]
     final = np.zeros(len(start), bool)
-    final[filled] = _FINAL[raw[tail[last[filled] - 1]]]
+    final[filled] = _ends_final(raw, tail[last[filled] - 1])
 
     punctuation = n_decorated > rules.decorated_share * words
     navigation = ((n_single > rules.separator_share * words) & (n_single >= 2)) | ((words < rules.least_unpunctuated) & ~final)

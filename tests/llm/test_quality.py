@@ -56,3 +56,12 @@ def test_hashes_don_t_depend_on_place():
     t = kernel.Text(raw, np.array([0, 11, 15]))
     h = t.word_hashes()
     assert len(set(h.tolist())) == 2 and h[0] == h[2] == h[3]
+
+
+def test_final_marks_and_runs_of_marks():
+    long = "one two three four five six seven eight nine ten."
+    bad = ["Menü", "Société", "Главная страница", "Αρχική", "首页", "go 😀", "***sale now and here.", "one a!!!b three."]
+    good = ["Ende…", "他来了。", "sagte „ja“", "«Oui»", "क्या।", "Fin.", "a!b one two three four.", "one* *two three four five."]
+    data = ("\n".join([long, *bad, *good])).encode()
+    x = quality.judged(np.frombuffer(data, np.uint8), np.array([0, len(data)], np.int64), quality.Rules())
+    assert x["line_failed"].tolist() == [False] + [True] * len(bad) + [False] * len(good)

@@ -15,6 +15,7 @@ empty table gives no rows; only page_id, url and html are read. Equal posteriors
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -28,7 +29,10 @@ from saldus.llm import kernel, scratch
 from saldus.llm.toxicity import words
 
 BITS = 16
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|$)|<(script|style|noscript|template|head|nav)\b.*?(?:</\1\s*>|$)")
+_OPENS = re.compile(r"(?i)<!--|<(script|style|noscript|template|head|nav)\b")
+_CLOSES = re.compile(r"(?i)</(script|style|noscript|template|head|nav)\s*>|<(body)\b")
+#: The rest of a head's tag and what can stand in a head, as far as it goes.
+_HEAD = re.compile(r"(?is)[^>]*>(?:\s+|<!--.*?-->|<(script|style|noscript|template|title)\b.*?</\1\s*>|</?(?:meta|link|base|basefont|bgsound)\b[^>]*>)*+")
 _TAG = re.compile(r"(?s)<[^>]*>?")
 _DECLARED = re.compile(r"""(?is)<html\b[^>]*?\b(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})""")
 _META = re.compile(r"""(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*["']?\s*([a-z]{2,3})""")
@@ -76,8 +80,43 @@ def fit(texts: list[str], languages: list[str]) -> Likelihoods:
     return Likelihoods(names, table.astype(np.float32))
 
 
+def _shown(html: str) -> str:
+    """html without comments and hidden elements. A head that isn't closed ends where its content does; of an unclosed nav or template only the tag is hidden."""
+    closes: dict[str, list[tuple[int, int]]] = {}
+    for m in _CLOSES.finditer(html):
+        closes.setdefault((m[1] or m[2]).lower(), []).append(m.span())
+
+    def after(name: str, place: int) -> tuple[int, int] | None:
+        own = closes.get(name, [])
+        i = bisect_left(own, (place, 0))
+        return own[i] if i < len(own) else None
+
+    out, kept, m = [], 0, _OPENS.search(html)
+    while m:
+        name, end = (m[1] or "").lower(), None
+        if not name:
+            at = html.find("-->", m.end())
+            end = at + 3 if at >= 0 else len(html)
+        elif name == "head":
+            close, body = after(name, m.end()), after("body", m.end())
+            if close and (body is None or close < body):
+                end = close[1]
+            else:
+                own = _HEAD.match(html, m.end())
+                end = own.end() if own else len(html)
+        elif close := after(name, m.end()):
+            end = close[1]
+        elif name not in ("nav", "template"):
+            end = len(html)
+        if end is not None:
+            out.append(html[kept : m.start()])
+            kept = end
+        m = _OPENS.search(html, m.end() if end is None else end)
+    return " ".join([*out, html[kept:]])
+
+
 def visible(html: str) -> str:
-    return unescape(_TAG.sub(" ", _HIDDEN.sub(" ", html)))
+    return unescape(_TAG.sub(" ", _shown(html)))
 
 
 def declared(html: str) -> str | None:

@@ -103,3 +103,12 @@ def test_parallel_residual_is_smaller_with_weight():
         codec = anisotropic.fit(x, anisotropic.Setup(threshold=t))
         gap.append(float((codec.parallel(codec.split(x), codec.encode(x)).sum(axis=1) ** 2).mean()))
     assert gap[1] < gap[0]
+
+
+def test_unclosed_head_and_nav_hide_no_text():
+    shown = lambda html: languages.visible(html).split()
+    assert shown("<html><head><meta charset=x><title>a b</title><body><p>one two</p></html>") == ["one", "two"]
+    assert shown("<head><script>'</head><p>'</script>\n<link href=x><p>one <script>'</head>'</script>two") == ["'", "one", "two"]
+    assert shown("<HEAD><title>t</title>one <body>two <script>'</head>'</script>three") == ["one", "two", "three"]
+    assert shown("<body><nav><a>menu</a><p>one<template>two") == ["menu", "one", "two"]
+    assert shown("<head><title>t</title></head><body><nav>menu</nav>one<!-- x --><style>s</style><header>two</header><script>rest") == ["one", "two"]

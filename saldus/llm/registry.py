@@ -57,7 +57,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compaction.compacted(table(spark, sf_dir, "documents"), compaction.Setup(target_bytes=32 << 20))
+    return compaction.compacted(table(spark, sf_dir, "documents"), compaction.Setup())
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from saldus.llm import compaction, licenses
+from saldus.llm import compaction, licenses, registry
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions.\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'
 
@@ -38,3 +38,11 @@ def test_store(spark, tmp_path):
         store._commit([], after)
     out = compaction.compacted(rows.drop("shard"), setup)
     assert out.count() == 1000 and out.select("doc_id").distinct().count() == 1000
+
+
+def test_query_runs_with_the_default_setup(spark, tmp_path, monkeypatch):
+    spark.range(10).select(F.col("id").alias("doc_id")).write.parquet(f"{tmp_path}/documents.parquet")
+    used = []
+    monkeypatch.setattr(compaction, "compacted", lambda docs, setup=compaction.Setup(): used.append(setup))
+    registry.op10_sharding(spark, str(tmp_path))
+    assert used == [compaction.Setup()]

@@ -106,7 +106,7 @@ def details(records: DataFrame) -> DataFrame:
 PREVIEW_CARDS = (("Total de registros", "total_registros"), ("Registros validos", "validos"), ("Registros com aviso", "validos_com_aviso"), ("Registros invalidos", "invalidos"), ("Clientes com debito", "clientes_com_debito"), ("Clientes sem debito", "clientes_sem_debito"), ("Total do debito", "total_debito"), ("Total do credito", "total_credito"), ("Com celular", "com_celular"), ("Sem celular", "sem_celular"), ("Com CPF", "com_cpf"), ("Sem CPF", "sem_cpf"), ("Observacoes estruturadas", "observacoes_estruturadas"), ("Observacoes vazias", "observacoes_vazias"), ("Revisao manual", "revisao_manual"))
 FORECAST_CARDS = (("Novos clientes", "novos"), ("Atualizacoes", "atualizacoes"), ("Ignorados", "ignorados"), ("Revisao manual", "revisao_manual"))
 TOP_CARDS = (("Total de registros", "total_registros"), ("Total do débito", "total_debito"), ("Total do crédito", "total_credito"), ("Clientes com débito", "clientes_com_debito"), ("Revisão manual", "revisao_manual"), ("Válidos", "validos"), ("Avisos", "validos_com_aviso"), ("Inválidos", "invalidos"))
-RESULT_CARDS = (("Total processado", "total_processado"), ("Novos clientes", "criados"), ("Atualizados", "atualizados"), ("Quitados", "quitados"), ("Sem alteração", "sem_alteracao"), ("Removidos/ausentes", "nao_aplicados"))
+RESULT_CARDS = (("Total processado", "total_processado"), ("Novos clientes", "criados"), ("Atualizados", "atualizados"), ("Quitados", "quitados"), ("Sem alteração", "sem_alteracao"), ("Removidos/ausentes", "nao_aplicados"), ("Revisão manual (da análise)", "revisao_manual"), ("Avisos na sincronização", "total_avisos"))
 
 
 def cards(report: DataFrame, which: tuple[tuple[str, str], ...] = PREVIEW_CARDS) -> DataFrame:

@@ -142,3 +142,11 @@ def test_profile(spark):
     assert profile.unrecognized_shapes(rows).collect() == [("??? ##", 1)]
     assert profile.contactability(rows).first()["percentual"] == "0.0"
     assert profile.reconcile(rows, 10.0).first()["valores_iguais"] == "Sim"
+
+
+def test_result_cards(spark):
+    from saldus.operators import explore
+
+    row = spark.createDataFrame([(9, 1, 2, 3, 4, 5, 6, 7)], "total_processado long, criados long, atualizados long, quitados long, sem_alteracao long, nao_aplicados long, revisao_manual long, total_avisos long")
+    got = [(r["rotulo"], r["valor"]) for r in explore.cards(row, explore.RESULT_CARDS).orderBy("posicao").collect()]
+    assert len(got) == 8 and got[6:] == [("Revisão manual (da análise)", "6"), ("Avisos na sincronização", "7")]

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
 #: Text bytes handled at once; a longer text is handled alone, whole.
@@ -20,36 +21,32 @@ BLOCK_BYTES = 1 << 20
 
 def mixed(z: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the output."""
-    z = z.astype(U, copy=True)
-    z ^= z >> U(30)
+    return _mix(z.astype(U, copy=True))
+
+
+def _mix(z: np.ndarray) -> np.ndarray:
+    """mixed, in place."""
+    part = z >> U(30)
+    z ^= part
     z *= U(0xBF58476D1CE4E5B9)
-    z ^= z >> U(27)
+    np.right_shift(z, U(27), out=part)
+    z ^= part
     z *= U(0x94D049BB133111EB)
-    z ^= z >> U(31)
+    np.right_shift(z, U(31), out=part)
+    z ^= part
     return z
 
 
 BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-BYTE = mixed(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, U)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 4 * BLOCK_BYTES:
-            _powers[base] = have
-    return have[:n]
+#: Byte ranges longer than this are hashed one by one; shorter ones side by side, eight bytes at a time.
+LONG = 256
+#: The low bytes of a word of eight.
+_LOW = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
+_SEEDS = mixed(np.arange(LONG + 2, dtype=U) * U(BASE))
 
 
 def blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -82,42 +79,58 @@ class Text:
         self.data = LOWER[raw] if lower else raw
         size = len(raw)
         self.word_byte = ~SPACE[raw]
-        first = self.word_byte.copy()
         if size:
             before = np.empty(size, bool)
             before[0] = False
             before[1:] = self.word_byte[:-1]
             before[offsets[:-1][offsets[:-1] < size]] = False
-            first &= ~before
-            last = self.word_byte.copy()
             after = np.zeros(size, bool)
             after[:-1] = self.word_byte[1:]
             ends = offsets[1:]
             after[ends[ends > 0] - 1] = False
-            last &= ~after
-            self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+            self.start, self.end = np.flatnonzero(self.word_byte & ~before), np.flatnonzero(self.word_byte & ~after) + 1
         else:
             self.start = self.end = np.zeros(0, np.int64)
-        self.doc = np.searchsorted(offsets, self.start, "right") - 1
-        self.n_words = np.bincount(self.doc, minlength=self.n).astype(np.int64)
-        self._prefix: np.ndarray | None = None
-
-    def prefix(self) -> np.ndarray:
-        """Sums of weighted bytes before each place."""
-        if self._prefix is None:
-            size = len(self.data)
-            self._prefix = np.zeros(size + 1, U)
-            weighted = BYTE[self.data]
-            weighted *= powers(BASE, size)
-            np.cumsum(weighted, out=self._prefix[1:])
-        return self._prefix
+        self.n_words = np.diff(np.searchsorted(self.start, offsets))
+        self.doc = np.repeat(np.arange(self.n), self.n_words)
+        self._eights: np.ndarray | None = None
+
+    def eights(self) -> np.ndarray:
+        """The eight bytes from each place on, as one number."""
+        if self._eights is None:
+            padded = np.zeros(len(self.data) + 8, np.uint8)
+            padded[: len(self.data)] = self.data
+            self._eights = np.ndarray((len(self.data) + 1,), "<u8", padded, 0, (1,))
+        return self._eights
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the bytes from start to end, wherever they stand."""
-        h = self.prefix()
-        out = h[end] - h[start]
-        out *= powers(INVERSE, len(self.data) + 1)[start]
-        return mixed(out + (end - start).astype(U))
+        """64-bit hashes of the bytes from start to end, wherever they stand.
+
+        Each step spreads all bits before the next eight bytes come in, so unlike a polynomial over bytes it has no
+        families of texts that collide by construction; ranges of up to eight bytes collide with none of their length.
+        """
+        length = end - start
+        eights, shown = self.eights(), np.minimum(length, LONG + 1)
+        out = eights[start]
+        out &= _LOW[np.minimum(shown, 8)]
+        out ^= _SEEDS[shown]
+        _mix(out)
+        live = np.flatnonzero((length > 8) & (length <= LONG))
+        at, left, h = start[live] + 8, length[live] - 8, out[live]
+        while len(live):
+            h ^= eights[at] & _LOW[np.minimum(left, 8)]
+            h *= U(BASE)
+            _mix(h)
+            done = left <= 8
+            if done.any():
+                out[live[done]] = h[done]
+                more = ~done
+                live, at, left, h = live[more], at[more], left[more], h[more]
+            at, left = at + 8, left - 8
+        data = memoryview(np.ascontiguousarray(self.data))
+        for i in np.flatnonzero(length > LONG):
+            out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]])
+        return out
 
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.start, self.end)
@@ -152,8 +165,9 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np
     out = np.zeros(len(at), U)
     for j in range(k):
         out *= U(BASE)
-        out += hashes[at + j]
-    return mixed(out + U(k)), at
+        out += hashes[j : j + n] if len(at) == n else hashes[at + j]
+    out += U(k)
+    return _mix(out), at
 
 
 def by_text(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:

@@ -6,16 +6,20 @@ among the first of either (the prefix). Sets with identical prefixes and size fo
 a prefix shingle are paired and filtered by size, by place and by what the two prefixes prove about their
 overlap; the pairs that are left are expand to members and verified on the whole sets.
 
-No list of all pairs of a shingle's groups is made. In a first round each shingle pairs only its most central group with the others (a
-frequent shingle is dealt into parts, whose central groups are paired in turn). Then rounds go on over the shingles whose groups are not yet one
-component. Of such a list only groups are kept whose place in it leaves them a partner of fitting size; of any two that link, the smaller stands
-early in the list (in the first 2/(1+t) share that its size leaves), so a bounded number of early groups is paired with all groups of other
-components and taken off the list, until none is left. Links inside a component that is already known are not needed for membership: no link
-between components is lost.
+A group carries the parities of its shingles by 512 hash slots (for a group of several, the slots on which its members agree). Two sets' parities differ
+in no more slots than the sets differ in shingles, so the list of a shingle is filtered by size, place and parities while it is read, before a pair is made.
+
+No list of all pairs of a shingle's groups is made. The first round makes of each list only the edges of a forest: a group that an edge has joined to others is
+not paired with them again (lists longer than BLOCK are dealt into blocks, whose most central groups are paired in turn). The edges are verified on the whole sets, which
+gives components. The rounds after it pair groups of different components only, all those that pass the filters: a list gives a bounded number of
+pairs in a round, those of the next range of a hash of the pair, until the hash's whole range is done. In a list longer than a block, groups outside its largest component
+are taken as pivots, paired with all groups of other components and taken off the list, a share of the list in each round, until one component is left. Links inside a
+component that is already known are not needed for membership: no link between components is lost.
 
 Defined cases: a null or empty text, or one of spaces, has no shingles and is its own component; a text with fewer
 words than a shingle is one shingle, its whole sequence; repeated rows are equal sets and link; an empty table gives no rows;
-a row without doc_id gets the component of its equals or neighbours, if any of them has a doc_id.
+a row without doc_id gets the component of its equals or neighbours, if any of them has a doc_id; a text of any length is taken whole, with memory in
+proportion to the longest text; only doc_id and text are read, so other columns clash with nothing.
 """
 
 from __future__ import annotations
@@ -25,21 +29,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldus.llm import kernel, scratch
-from saldus.llm.components import components
+from saldus.llm.components import stars
 
 SKETCH_BITS = 21
 CHUNK_BITS = 13
-#: Members of a group and groups of a shingle that one round pairs with the rest.
+#: Slots of the parities.
+PARITIES = 512
+#: Members of a group at most; equal prefixes beyond that are several groups.
 GROUP_MEMBERS = 64
-#: The first round after the stars takes FEW of a list, each later one eight times as many: a family of near copies becomes one component
-#: after a few, and its other pairs are never made.
-PIVOTS, FEW = 1024, 4
-#: A shingle of more than this share of the documents is dealt into so many parts.
-FREQUENT, PARTS = 1 / 64, 16
+#: Groups of a list that are held at once.
+BLOCK = 4096
+#: A list of up to FEW groups gives all its pairs that pass the filters. In the later rounds a longer one gives about so many pairs a round for each of its groups.
+FEW, PAIRS = 16, 16
+#: Of a list longer than a block, this share are pivots in a round, and no fewer than LEAST_PIVOTS.
+PIVOTS, LEAST_PIVOTS = 1 / 16, 1024
 
 
 @dataclass(frozen=True)
@@ -71,7 +78,12 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
             if len(own) == 0 and first[i + 1] > first[i]:
                 few = h[first[i] : first[i + 1]]
                 own = kernel.windows(few, np.zeros(len(few), np.int64), len(few))[0]
-            yield lo + i, np.unique(own)
+            if len(own) > 1:
+                own = np.sort(own)
+                other = own[1:] != own[:-1]
+                if not other.all():
+                    own = own[np.concatenate([[True], other])]
+            yield lo + i, own
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -79,6 +91,10 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(mixed.sum(dtype=np.uint64).astype(np.int64)), int(kernel.mixed(mixed + kernel.U(1)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def _parity(s: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((s & kernel.U(PARITIES - 1)).astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1).tobytes()
+
+
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
     """Counts of documents by the top SKETCH_BITS bits of their shingles: 8 MB, whatever the input."""
     size, chunk = 1 << SKETCH_BITS, 1 << CHUNK_BITS
@@ -87,7 +103,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         total = np.zeros(size, np.uint32)
         for batch in batches:
             for _, s in shingle_sets(batch.column(0), words):
-                np.add.at(total, s >> kernel.U(64 - SKETCH_BITS), 1)
+                np.add.at(total, (s >> kernel.U(64 - SKETCH_BITS)).astype(np.intp), np.uint32(1))
         yield from out(total.reshape(-1, chunk))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,34 +125,70 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     return total.reshape(-1)  # counts beyond 2**32 wrap around; any order is right
 
 
-def _prefixes(docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
-    """doc_id, hash of the text, size, signature and prefix (hashes, rare first) of each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+ROWS = "doc_id long, text_hash long, n long, s1 long, s2 long, parts int, parity binary, prefix binary"
+
+
+def _prefixes(docs: DataFrame, join: Join, shared, noise: int) -> DataFrame:
+    """doc_id, hash of the text, size, signature, parities and prefix (hashes, rare first) of each row; parts: into how many its group is dealt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            n, s1, s2, prefix = [], [], [], []
+            out: list[list] = [[] for _ in range(6)]
             for _, s in shingle_sets(batch.column(1), join.words):
-                a, b = _signature(s)
-                n.append(len(s))
-                s1.append(a)
-                s2.append(b)
-                order = np.argsort(counts[s >> kernel.U(64 - SKETCH_BITS)], kind="stable")  # s is in order of hash
-                prefix.append(s[order[: join.prefix(len(s)) if len(s) else 0]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.binary())], names=["doc_id", "text_hash", "n", "s1", "s2", "prefix"])
+                often = counts[s >> kernel.U(64 - SKETCH_BITS)]
+                order = np.argsort(often, kind="stable")[: join.prefix(len(s)) if len(s) else 0]  # s is in order of hash
+                # No more sets can have this prefix than have its rarest shingle.
+                row = (len(s), *_signature(s), 1 + max(0, int(often[order[0]]) - noise) // (1 << 16) if len(s) else 1, _parity(s), s[order].tobytes())
+                for column, x in zip(out, row, strict=True):
+                    column.append(x)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], names=["doc_id", "text_hash", "n", "s1", "s2", "parts", "parity", "prefix"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ROWS)
+
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, prefix binary")
+GROUPS = "gid long, n long, prefix binary, ids array<long>, value binary, mask binary"
 
 
-def _postings(groups: DataFrame, counts: np.ndarray, rows: int) -> DataFrame:
+def _groups(wide: DataFrame) -> DataFrame:
+    """Sets of equal prefix and size, up to GROUP_MEMBERS in a group. value: parities of the first; mask: slots on which all agree, null for all slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, out = None, [], []
+        for batch in batches:
+            for n, part, prefix, i, parity in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if (n, part, prefix) != key or len(held) == GROUP_MEMBERS:
+                    if held:
+                        out.append(grouped(key, held))
+                    key, held = (n, part, prefix), []
+                held.append((i, parity))
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_pylist(out, schema)
+                out = []
+        if held:
+            out.append(grouped(key, held))
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    def grouped(key: tuple, held: list[tuple[int, bytes]]) -> dict:
+        value, mask = held[0][1], None
+        if len(held) > 1:
+            each = np.array([np.frombuffer(p, np.uint8) for _, p in held])
+            mask = (~np.bitwise_or.reduce(each ^ each[0], axis=0)).tobytes()
+        return {"gid": held[0][0], "n": key[0], "prefix": key[2], "ids": [i for i, _ in held], "value": value, "mask": mask}
+
+    schema = pa.schema([("gid", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary()), ("ids", pa.list_(pa.int64())), ("value", pa.binary()), ("mask", pa.binary())])
+    dealt = wide.select("n", F.pmod("s1", "parts").alias("part"), "prefix", "id", "parity")
+    return dealt.repartition("n", "part", "prefix").sortWithinPartitions("n", "part", "prefix", "id").mapInArrow(run, GROUPS)
+
+
+def _postings(groups: DataFrame, shared, noise: int) -> DataFrame:
     """(token, part, gid, n, pos, rank) for every prefix shingle of every group.
 
     part: where a frequent shingle's list is dealt, else -1. rank: less for groups whose rarest shingles are more frequent, which are the ones that
     the rest of a family of near copies is closest to; it is the same in all lists, so that few groups become central.
     """
-    shared = groups.sparkSession.sparkContext.broadcast(counts)
-    most = max(PARTS, rows * FREQUENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -146,95 +198,209 @@ def _postings(groups: DataFrame, counts: np.ndarray, rows: int) -> DataFrame:
                 tokens = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
                 lengths = np.array([len(x) for x in tokens])
                 token, gid = np.concatenate(tokens), np.repeat(part.column(0).to_numpy(), lengths)
-                dealt = np.where(counts[token >> kernel.U(64 - SKETCH_BITS)] >= most, (kernel.mixed(gid) % kernel.U(PARTS)).astype(np.int32), np.int32(-1))
-                often = np.log2(1.0 + counts[token >> kernel.U(64 - SKETCH_BITS)])
-                rank = np.repeat((-1000 * np.add.reduceat(often, np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths).astype(np.int64), lengths)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(np.concatenate([np.arange(k, dtype=np.int64) for k in lengths])), pa.array(rank)], names=["token", "part", "gid", "n", "pos", "rank"])
+                often = counts[token >> kernel.U(64 - SKETCH_BITS)].astype(np.int64)
+                parts = 1 + np.maximum(0, often - noise) // (4 * BLOCK)
+                dealt = np.where(parts > 1, (kernel.mixed(gid) % parts.astype(np.uint64)).astype(np.int32), np.int32(-1))
+                rank = np.repeat((-1000 * np.add.reduceat(np.log2(1.0 + often), np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths).astype(np.int64), lengths)
+                pos = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(pos), pa.array(rank)], names=["token", "part", "gid", "n", "pos", "rank"])
 
     return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, part int, gid long, n long, pos long, rank long")
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """The postings of shingles that more than one group has, and of all frequent ones, each with its list's most central group: g1, n1, pos1.
+    """The postings of shingles that more than one group has, with their block of the list; top: first of a block of a list that has or may have several.
 
-    One shuffle; a list is read as a stream, of which only the first row is remembered.
+    One shuffle; a list is read as a stream, of which only the latest row is remembered.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = None, 0  # the first row of the latest list, and how many rows that list has had
+        held, seen = None, 0  # the latest row, and how many rows its list has had
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = [batch.column(k).to_numpy() for k in range(6)]
             if held is not None:
                 x = [np.concatenate([h, c]) for h, c in zip(held, x, strict=True)]
+                seen -= 1
             first = np.ones(len(x[0]), bool)
             first[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])
             start = np.flatnonzero(first)
             length = np.diff(np.append(start, len(first)))
-            total = length.copy()
-            if held is not None:
-                total[0] += seen - 1
-            given = np.repeat((total > 1) | (x[1][start] >= 0), length)
-            if held is not None and (seen > 1 or x[1][0] >= 0):
-                given[0] = False  # it went out with an earlier batch
-            rows, of = np.flatnonzero(given), np.repeat(start, length)
-            held, seen = [c[start[-1] : start[-1] + 1] for c in x], int(total[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(x[k][of[rows]]) for k in (2, 3, 4)], names=["token", "part", "gid", "n", "pos", "rank", "g1", "n1", "pos1"])
+            at = np.arange(len(first)) - np.repeat(start, length)
+            at[: length[0]] += seen  # rows of this list before this batch
+            last = int(at[-1])
+            # A list's first row waits for its second; the last row waits for the next batch.
+            ready = (at > 0) | ~np.append(first[1:], True) | (x[1] >= 0)
+            ready[-1] = False
+            yield out([c[ready] for c in x], at[ready])
+            held, seen = [c[-1:] for c in x], last + 1
+        if held is not None and (seen > 1 or held[1][0] >= 0):
+            yield out(held, np.array([seen - 1]))
+
+    def out(x: list[np.ndarray], at: np.ndarray) -> pa.RecordBatch:
+        several = (x[1] >= 0) | (at >= BLOCK)
+        block = (x[1].astype(np.int64) + 1) << 32 | at // BLOCK
+        return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(block), *(pa.array(c) for c in x[2:]), pa.array(several & (at % BLOCK == 0))], names=["token", "block", "gid", "n", "pos", "rank", "top"])
 
     dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "rank", "gid")
-    return dealt.mapInArrow(run, "token long, part int, gid long, n long, pos long, rank long, g1 long, n1 long, pos1 long")
-
-
-def _fits(join: Join) -> Column:
-    """Whether two postings of a shingle, (n1, pos1) and (n2, pos2), can be the first shared one of two sets that link."""
-    room = 1 + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2"))
-    need = F.ceil(join.num * (F.col("n1") + F.col("n2")) / F.lit(join.num + join.den) - F.lit(1e-9))
-    return (F.least("n1", "n2") * join.den >= F.greatest("n1", "n2") * join.num) & (room >= need)
-
-
-def _filtered(pairs: DataFrame, groups: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
-    """The pairs (g1, g2) whose prefixes leave room for enough overlap."""
-    shared = pairs.sparkSession.sparkContext.broadcast(counts)
-    one = groups.select(F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("prefix").alias("p1"))
-    two = groups.select(F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("prefix").alias("p2"))
+    return dealt.mapInArrow(run, "token long, block long, gid long, n long, pos long, rank long, top boolean")
+
+
+PAIRS_SCHEMA = "g1 long, g2 long, token long, block long, upto long"
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Parities as rows of eight numbers; all ones for null."""
+    out = np.full((len(column), PARITIES // 64), ~kernel.U(0), np.uint64)
+    there = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False)) if column.null_count else np.arange(len(column))
+    if len(there):
+        out[there] = np.frombuffer(b"".join(column.drop_null().to_pylist()), np.uint64).reshape(len(there), -1)
+    return out
+
+
+class _Block:
+    """One batch of whole blocks of lists, as columns, and the filters over two of its rows."""
+
+    def __init__(self, columns: list[np.ndarray], join: Join):
+        self.gid, self.n, self.pos, self.c, self.value, self.mask = columns
+        self.join = join
+
+    def fits(self, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+        """Whether a shared shingle of rows i and j can be the first of two sets that link."""
+        n1, n2, both = self.n[i], self.n[j], self.n[i] + self.n[j]
+        need = self.join.overlap(both)
+        ok = (self.c[i] != self.c[j]) & (np.minimum(n1, n2) * self.join.den >= np.maximum(n1, n2) * self.join.num)
+        at = np.flatnonzero(ok & (1 + np.minimum(n1 - 1 - self.pos[i], n2 - 1 - self.pos[j]) >= need))
+        if not len(at):
+            return at
+        a, b = (i, j[at]) if np.ndim(i) == 0 else (i[at], j[at])
+        differ = (self.value[a] ^ self.value[b]) & self.mask[a] & self.mask[b]
+        return at[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= both[at] - 2 * need[at]]
+
+    def few(self, start: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of lists of one short length that pass."""
+        x, y = np.triu_indices(length, 1)
+        for lo in range(0, len(start), 1 << 12):
+            i, j = ((start[lo : lo + (1 << 12), None] + k).reshape(-1) for k in (x, y))
+            at = self.fits(i, j)
+            yield i[at], j[at]
+
+    def forest(self, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows lo to hi that pass, until those that can be joined are."""
+        cluster = np.arange(lo, hi)
+        for i in range(lo, hi - 1):
+            j = lo + np.flatnonzero(cluster[i - lo :] != cluster[i - lo]) + i - lo
+            if len(j):
+                j = j[self.fits(i, j)]
+                if len(j):
+                    joined, one = np.unique(cluster[j - lo], return_index=True)
+                    cluster[np.isin(cluster, joined)] = cluster[i - lo]
+                    yield np.full(len(one), i), j[one]
+
+    def across(self, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of rows lo to hi of different components that pass; the largest component comes last."""
+        names, of, size = np.unique(self.c[lo:hi], return_inverse=True, return_counts=True)
+        order = lo + np.lexsort((of, size[of]))
+        for k in range(hi - lo - int(size.max())):
+            j = order[k + 1 :]
+            j = j[self.fits(int(order[k]), j)]
+            if len(j):
+                yield np.full(len(j), order[k]), j
+
+
+def _share(g1: np.ndarray, g2: np.ndarray) -> np.ndarray:
+    return (kernel.mixed(g1.astype(np.uint64) * kernel.U(kernel.BASE) + g2.astype(np.uint64)) >> kernel.U(32)).astype(np.int64)
+
+
+def _paired(lists: DataFrame, join: Join, turn: int) -> DataFrame:
+    """Pairs (g1, g2) of the lists (token, block, gid, n, pos, rank, c, value, mask).
+
+    turn 0: forests. Later: all pairs of different components, by ranges of a hash where they are many; a row (token, block, upto)
+    says how far a list has come if it isn't done, and is given back as a row with pos = -1 and c = upto. From turn 2 on, only lists with such a row are read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        held: pa.Table | None = None
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            columns = [batch.column(k).to_pylist() for k in range(2, 6)]
-            for i, (n1, p1, n2, p2) in enumerate(zip(*columns, strict=True)):
-                a, b = np.frombuffer(p1, np.uint64), np.frombuffer(p2, np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                # Of the set whose prefix ends first in the order, all shingles up to there are known of both.
-                ra, rb = counts[a >> kernel.U(64 - SKETCH_BITS)], counts[b >> kernel.U(64 - SKETCH_BITS)]
-                end = min((ra[-1], a[-1]), (rb[-1], b[-1]))
-                known_a = int(((ra < end[0]) | ((ra == end[0]) & (a <= end[1]))).sum())
-                known_b = int(((rb < end[0]) | ((rb == end[0]) & (b <= end[1]))).sum())
-                keep[i] = common + min(n1 - known_a, n2 - known_b) >= join.overlap(n1 + n2)
-            rows = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["g1", "g2"])
-
-    return pairs.join(two, "g2").join(one, "g1").select("g1", "g2", "n1", "p1", "n2", "p2").mapInArrow(run, "g1 long, g2 long")
-
-
-def _bits(ids: DataFrame) -> np.ndarray:
-    """A bitmap of hashed doc_ids for skipping rows that are in no pair: 64 MB at most, and only a filter."""
-    size = min(1 << 29, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(size))
-    rows = ids.select(slot.alias("s")).distinct().groupBy((F.col("s") / (1 << 15)).cast("long").alias("k")).agg(F.bitmap_construct_agg(F.pmod("s", F.lit(1 << 15))).alias("b"))
+            now = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            token, block = now.column(0).to_numpy(), now.column(1).to_numpy()
+            if not len(token):
+                continue
+            cut = np.flatnonzero((token != token[-1]) | (block != block[-1]))
+            whole = int(cut[-1]) + 1 if len(cut) else 0
+            held = now.slice(whole)
+            if whole:
+                yield from done(now.slice(0, whole))
+        if held is not None and held.num_rows:
+            yield from done(held)
+
+    def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, block, gid, n, pos, c = (table.column(k).to_numpy() for k in range(6))
+        first = np.ones(len(token), bool)
+        first[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1])
+        start = np.flatnonzero(first)
+        length = np.diff(np.append(start, len(token)))
+        state = pos[start] < 0  # the state stands first
+        low = np.where(state, c[start], 0)
+        if turn > 1:
+            start, length, low, state = start[state], length[state], low[state], state[state]
+        start, length = start + state, length - state
+        rows = _Block([gid, n, pos, c, *(_bytes(table.column(k).combine_chunks()) for k in (6, 7))], join)
+        found = []
+        for k in np.unique(length[(length > 1) & (length <= FEW)]):
+            found += rows.few(start[length == k], int(k))
+        left = []
+        for lo, k, begin in zip(*(x[length > FEW].tolist() for x in (start, length, low)), strict=True):
+            if turn == 0:
+                found += rows.forest(lo, lo + k)
+                continue
+            pairs = list(rows.across(lo, lo + k))
+            if not pairs:
+                continue
+            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            share = _share(np.minimum(gid[i], gid[j]), np.maximum(gid[i], gid[j]))
+            i, j, share = i[share >= begin], j[share >= begin], share[share >= begin]
+            if len(i) > 2 * PAIRS * k:
+                upto = int(np.sort(share)[PAIRS * k])
+                i, j = i[share < upto], j[share < upto]
+                left.append((int(token[lo]), int(block[lo]), upto))
+            found.append((i, j))
+        found = [x for x in found if len(x[0])]
+        if found:
+            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            none = pa.nulls(len(i), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(gid[i], gid[j])), pa.array(np.maximum(gid[i], gid[j])), none, none, none], names=["g1", "g2", "token", "block", "upto"])
+        if left:
+            none = pa.nulls(len(left), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, *(pa.array(x) for x in zip(*left, strict=True))], names=["g1", "g2", "token", "block", "upto"])
+
+    columns = ["token", "block", "gid", "n", "pos", "c", "value", "mask"]
+    return lists.select(*columns, "rank").repartition("token", "block").sortWithinPartitions("token", "block", F.col("pos") >= 0, "rank", "gid").select(*columns).mapInArrow(run, PAIRS_SCHEMA)
+
+
+def _bits(keys: DataFrame) -> np.ndarray:
+    """A bitmap of hashed keys for skipping rows that are in no pair: 4 MB at most, and only a filter."""
+    size = min(1 << 25, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("fetch"), F.lit(size))
+    rows = keys.groupBy((slot / (1 << 15)).cast("long").alias("k")).agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(1 << 15))).alias("b"))
     table = np.zeros(size // 8, np.uint8)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         table[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["b"], np.uint8)
     return table
 
 
+def _fetch(doc_id: Column, text_hash: Column) -> Column:
+    """What the row that stands for a set is found again by: its doc_id, or its text's hash where all rows of the set have none."""
+    return F.coalesce(doc_id, text_hash)
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """(s1, s2, whole) of the sets wanted (doc_id), and of a few others, built again from the texts."""
-    table = _bits(wanted)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(8 * len(table)))
+    """(id, whole) of the sets wanted (id, doc_id, text_hash, n, s1, s2), built again from the texts, once for all rounds."""
+    spark = docs.sparkSession
+    keys = scratch.stored(wanted.withColumn("fetch", _fetch(F.col("doc_id"), F.col("text_hash"))), "join-wanted")
+    shared = spark.sparkContext.broadcast(_bits(keys.select("fetch")))
+    size = 8 * len(shared.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -242,167 +408,192 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
             slots = batch.column(1).to_numpy(zero_copy_only=False)
             texts = batch.column(0).take(pa.array(np.flatnonzero((table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)))
             for lo in range(0, len(texts), 200):
-                s1, s2, whole = [], [], []
+                n, s1, s2, whole = [], [], [], []
                 for _, s in shingle_sets(texts.slice(lo, 200), join.words):
                     a, b = _signature(s)
+                    n.append(len(s))
                     s1.append(a)
                     s2.append(b)
                     whole.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(whole, pa.binary())], names=["s1", "s2", "whole"])
+                yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(whole, pa.binary())], names=["n", "s1", "s2", "whole"])
 
-    return docs.select("text", slot.alias("slot")).mapInArrow(run, "s1 long, s2 long, whole binary")
+    slot = F.pmod(F.xxhash64(_fetch(F.col("doc_id").cast("long"), F.xxhash64("text"))), F.lit(size))
+    built = docs.select("text", slot.alias("slot")).mapInArrow(run, "n long, s1 long, s2 long, whole binary")
+    # Repeated rows build a set again.
+    built = built.groupBy("n", "s1", "s2").agg(F.first("whole").alias("whole"))
+    out = scratch.stored(built.join(keys.select("id", "n", "s1", "s2"), ["n", "s1", "s2"]).select("id", "whole"), "join-whole")
+    scratch.drop(keys)
+    shared.destroy()
+    return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+def _verified(pairs: DataFrame, whole: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) of set ids whose whole sets are similar enough, as edges (u, v)."""
-    one, two = pairs.select("a").distinct(), pairs.select("b").distinct()
-    marked = sets.join(one.union(two).distinct().withColumnRenamed("a", "id"), "id", "left_semi").select("id", "doc_id", "s1", "s2")
-    marked = scratch.stored(marked.join(one.withColumn("as_a", F.lit(True)), marked["id"] == one["a"], "left").join(two.withColumn("as_b", F.lit(True)), marked["id"] == two["b"], "left").drop("a", "b"), "join-wanted")
-    whole = scratch.stored(_whole_sets(docs, marked, join), "join-whole")
-    found = marked.drop("doc_id").join(whole, ["s1", "s2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                inter = len(a) + len(b) - len(np.union1d(a, b))
+                both = np.sort(np.concatenate([a, b]), kind="stable")
+                inter = int((both[1:] == both[:-1]).sum())
                 if join.den * inter >= join.num * (len(a) + len(b) - inter):
                     ok.append(i)
             rows = pa.array(ok, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["u", "v"])
 
-    one = found.where("as_a").select(F.col("id").alias("a"), F.col("whole").alias("wa"))
-    two = found.where("as_b").select(F.col("id").alias("b"), F.col("whole").alias("wb"))
-    links = scratch.stored(pairs.join(two, "b").join(one, "a").select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long").distinct(), "join-links")
-    scratch.drop(whole)
-    scratch.drop(marked)
-    return links
+    one = whole.select(F.col("id").alias("a"), F.col("whole").alias("wa"))
+    two = whole.select(F.col("id").alias("b"), F.col("whole").alias("wb"))
+    return scratch.stored(pairs.join(two, "b").join(one, "a").select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long"), "join-links")
 
 
 def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: doc_id, n, s1, s2 of each row; sets: id, doc_id, n, s1, s2; component of set ids that have one)."""
-    spark: SparkSession = docs.sparkSession
+    """(rows: doc_id, text_hash, n, s1, s2 of each row; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
     counts = sketch(docs, join.words)
-    wide_rows = scratch.stored(_prefixes(docs, join, counts), "join-rows")
-    rows = scratch.stored(wide_rows.drop("prefix"), "join-rows")
-    key = ["n", "s1", "s2"]
-    wide = wide_rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
+    # What shingles that fall together by chance add to a count: only more than that says that a shingle is frequent.
+    usual = int(np.median(counts))
+    noise = usual + 8 * int(usual**0.5)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    wide_rows = scratch.stored(_prefixes(docs, join, shared, noise), "join-rows")
+    rows = scratch.stored(wide_rows.select("doc_id", "text_hash", "n", "s1", "s2"), "join-rows")
+    # Parities and prefix follow from the set; as keys they let rows be summed up before they are sent.
+    wide = wide_rows.where("n > 0").groupBy("n", "s1", "s2", "parts", "parity", "prefix").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))
     wide = scratch.stored(wide.withColumn("id", F.monotonically_increasing_id()), "join-sets")
     scratch.drop(wide_rows)
-    sets = scratch.stored(wide.drop("prefix"), "join-sets")
-    # Groups: equal prefixes and size; a large one is dealt into parts of bounded size by signature.
-    keyed = wide.select("id", "n", "prefix", F.md5("prefix").alias("key"), F.pmod("s1", F.lit(1024)).alias("part"))
-    sized = keyed.groupBy("n", "key").agg(F.count(F.lit(1)).alias("m"))
-    parted = keyed.join(sized, ["n", "key"]).withColumn("part", F.when(F.col("m") <= GROUP_MEMBERS, 0).otherwise(F.col("part")))
-    same = Window.partitionBy("n", "key", "part").orderBy("id")
-    parted = parted.withColumn("block", F.floor((F.row_number().over(same) - 1) / GROUP_MEMBERS))
-    grouped = parted.groupBy("n", "key", "part", "block").agg(F.min("id").alias("gid"), F.first("prefix").alias("prefix"), F.collect_list("id").alias("ids"))
-    groups = scratch.stored(grouped.select("gid", "n", "prefix", "ids"), "join-groups")
+    sets = scratch.stored(wide.select("id", "doc_id", "text_hash", "n", "s1", "s2"), "join-sets")
+    groups = scratch.stored(_groups(wide), "join-groups")
     scratch.drop(wide)
-    members = groups.select("gid", F.explode("ids").alias("id"))
-
-    lists = scratch.stored(_lists(_postings(groups, counts, rows.count())), "join-lists")
-    stars = lists.where("gid <> g1").select("g1", "n1", "pos1", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    # The central groups of a frequent shingle's parts meet in the most central of them.
-    tops = lists.where("part >= 0 and gid = g1").select("token", "rank", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    least = tops.groupBy("token").agg(F.min(F.struct("rank", "g2", "n2", "pos2")).alias("p")).select("token", F.col("p.g2").alias("g1"), F.col("p.n2").alias("n1"), F.col("p.pos2").alias("pos1"))
-    stars = stars.unionByName(tops.join(least, "token").where("g1 <> g2").drop("token", "rank"))
-    stars = stars.where(_fits(join)).select("g1", "g2").distinct()
-    pairs = scratch.stored(_filtered(stars, groups, join, counts), "join-pairs")
-    # The first of each group stands for it; inside a group it is paired with the rest.
-    ends = members.select(F.col("gid").alias("g2"), F.col("id").alias("b"))
-    expanded = pairs.join(ends, "g2").select(F.col("g1").alias("a"), "b").union(members.where("gid <> id").select(F.col("gid").alias("a"), F.col("id").alias("b")))
+    # The first of a group stands for it: gid is its id.
+    more = scratch.stored(groups.where(F.size("ids") > 1).select("gid", F.explode("ids").alias("id")), "join-members")
+
+    bare = scratch.stored(_lists(_postings(groups, shared, noise)), "join-lists")
+    lists = scratch.stored(bare.drop("top").join(groups.select("gid", "value", "mask"), "gid"), "join-lists")
+    tops = bare.where("top").select("token", "rank", "gid").withColumn("least", F.min(F.struct("rank", "gid")).over(Window.partitionBy("token")))
+    ties = tops.where("gid <> least.gid").select(F.least("gid", "least.gid").alias("g1"), F.greatest("gid", "least.gid").alias("g2"))
+    first = _paired(lists.withColumn("c", F.col("gid")), join, 0).select("g1", "g2").union(ties).distinct()
+    first = scratch.stored(first, "join-pairs")
+    scratch.drop(bare)
+    scratch.drop(groups)
+    shared.destroy()
+    # Of two groups the first of one meets all of the other; inside a group the first meets the rest.
+    inside = more.where("gid <> id").select(F.col("gid").alias("a"), F.col("id").alias("b"))
+    expanded = first.join(more.select(F.col("gid").alias("g2"), F.col("id").alias("b")), "g2", "left").select(F.col("g1").alias("a"), F.coalesce("b", "g2").alias("b")).union(inside)
     expanded = scratch.stored(expanded, "join-expanded")
-    links = _verified(expanded, sets, docs, join)
-    scratch.drop(pairs)
+    scratch.drop(first)
+
+    long = scratch.stored(lists.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("token", "m"), "join-long")
+    several = not long.isEmpty()
+    ids = expanded.select(F.explode(F.array("a", "b")).alias("id"))
+    ids = ids.union(more.select("id"))
+    if several:  # groups of lists that are dealt may meet for the first time later
+        ids = ids.union(lists.join(long, "token", "left_semi").select("gid"))
+    whole = _whole_sets(docs, ids.distinct().join(sets, "id"), join)
+    links = _verified(expanded, whole, join)
     scratch.drop(expanded)
-    slim = scratch.stored(lists.select("token", "gid", "n", "pos"), "join-lists")
-    scratch.drop(lists)
-    return rows, sets, _rounds(links, slim, groups, members, sets, docs, join, counts)
-
+    known = _rounds(links, lists, long if several else None, more, whole, join)
+    for table in (links, lists, long, more, whole):
+        scratch.drop(table)
+    return rows, sets, known
 
-def _open(lists: DataFrame, own: DataFrame) -> DataFrame:
-    """lists with the component c of each group, without the lists that are one component."""
-    labelled = lists.join(own, "gid")
-    some = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    return labelled.join(some, "token")
 
+def _labelled(lists: DataFrame, more: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lists with the component c of each group, members gid, id, c of groups of several); a group of several components is of none and differs from all."""
+    members = more.join(known, more["id"] == known["node"], "left").select("gid", "id", F.coalesce("component", "id").alias("c"))
+    spread = members.groupBy("gid").agg(F.when(F.min("c") == F.max("c"), F.min("c")).otherwise(-1 - F.col("gid")).alias("of"))
+    alone = lists.join(known, lists["gid"] == known["node"], "left").drop("node")
+    return alone.join(spread, "gid", "left").withColumn("c", F.coalesce("of", "component", "gid")).drop("of", "component"), members
 
-def _early(join: Join) -> Column:
-    """Whether a posting stands early enough for the smaller set of two that link, of which it is the first shared shingle."""
-    return F.col("n") - F.col("pos") >= F.ceil(2 * join.num * F.col("n") / F.lit(join.num + join.den) - F.lit(1e-9))
 
+def _rounds(links: DataFrame, lists: DataFrame, long: DataFrame | None, more: DataFrame, whole: DataFrame, join: Join) -> DataFrame:
+    """The components, when no list has two of them left that may link."""
+    known, turn, state, now = stars(links), 1, None, None
+    if long is not None:
+        short, now = lists.join(long, "token", "left_anti"), scratch.stored(lists.join(long, "token"), "join-lists")
+    else:
+        short = lists
+    while state is not None or turn == 1 or now is not None:
+        pairs = known.select(F.lit(0).cast("long").alias("g1"), F.lit(0).cast("long").alias("g2")).where("false")
+        members = None
+        if turn == 1 or state is not None:
+            own, members = _labelled(short, more, known)
+            if state is not None:
+                nothing = F.lit(None).cast("binary")
+                own = own.unionByName(state.select("token", "block", F.lit(-1).cast("long").alias("gid"), F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("pos"), F.lit(0).cast("long").alias("rank"), F.col("upto").alias("c"), nothing.alias("value"), nothing.alias("mask")))
+            found = scratch.stored(_paired(own, join, turn), "join-pairs")
+            pairs = found.where("g1 is not null").select("g1", "g2")
+            if turn == 1:  # groups whose own members are of several components
+                pairs = pairs.union(members.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
+            state = found.where("token is not null").select("token", "block", "upto")
+            state = None if state.isEmpty() else state
+        if now is not None:
+            own, members = _labelled(now, more, known)
+            wide, now, old = *_pivoted(own, join), now
+            pairs = pairs.union(wide)
+        some = scratch.stored(pairs.distinct(), "join-pairs")
+        if now is not None:
+            scratch.drop(old)
+            now = None if now.isEmpty() else now
+        turn += 1
+        if some.isEmpty():
+            continue
+        # A group of one is its own only member.
+        one = members.select(F.col("gid").alias("g1"), F.col("id").alias("a"))
+        two = members.select(F.col("gid").alias("g2"), F.col("id").alias("b"))
+        expanded = some.join(one, "g1", "left").join(two, "g2", "left").select(F.coalesce("a", "g1").alias("a"), F.coalesce("b", "g2").alias("b")).where("a <> b")
+        label = known.withColumnsRenamed({"node": "x", "component": "y"})
+        for end in ("a", "b"):
+            expanded = expanded.join(label.select(F.col("x").alias(end), F.col("y").alias(f"c{end}")), end, "left")
+        expanded = expanded.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = _verified(expanded, whole, join)
+        scratch.drop(some)
+        if not found.isEmpty():
+            before = known
+            known = stars(known.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found))
+            scratch.drop(before)
+    return known
+
+
+def _pivoted(own: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """(pairs of pivots with groups of other components, what is left of the long lists) of lists with c and m, their length."""
+    own = scratch.stored(own, "join-lists")
+    sizes = own.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
+    # All but the largest component of a list are pivots, in turn.
+    largest = sizes.groupBy("token").agg(F.max(F.struct("k", "c")).alias("l"), F.count(F.lit(1)).alias("of")).select("token", F.col("l.c").alias("big"), "of")
+    rest = own.join(largest.where("of > 1"), "token").where("c <> big")
+    order = Window.partitionBy("token").orderBy("rank", "gid")
+    pivots = scratch.stored(rest.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.greatest(F.lit(LEAST_PIVOTS), F.col("m") * PIVOTS)), "join-pivots")
+    one = pivots.select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("c").alias("c1"), F.col("value").alias("v1"), F.col("mask").alias("m1"), F.col("at").alias("at1"))
+    two = own.join(pivots.select("token", "gid", "at"), ["token", "gid"], "left").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"), F.col("value").alias("v2"), F.col("mask").alias("m2"), F.col("at").alias("at2"))
+    need = F.ceil(join.num * (F.col("n1") + F.col("n2")) / F.lit(join.num + join.den) - F.lit(1e-9))
+    near = (F.least("n1", "n2") * join.den >= F.greatest("n1", "n2") * join.num) & (1 + F.least(F.col("n1") - 1 - F.col("pos1"), F.col("n2") - 1 - F.col("pos2")) >= need)
+    met = two.join(one, "token").where((F.col("c1") != F.col("c2")) & (F.col("at2").isNull() | (F.col("at1") < F.col("at2"))) & near)
 
-def _live(lists: DataFrame, join: Join) -> DataFrame:
-    """lists without groups that have no partner of fitting size in their list.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v1, m1, v2, m2 = (_bytes(batch.column(k)) for k in range(2, 6))
+            differ = np.bitwise_count((v1 ^ v2) & m1 & m2).sum(axis=1, dtype=np.int64)
+            rows = pa.array(np.flatnonzero(differ <= batch.column(6).to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["g1", "g2"])
 
-    Sizes are dealt into bands so wide that a partner is at most one band off. An early group may meet any; another needs an early one
-    so small that the overlap it has room for is enough, (n - pos) (1 + t) / t - n at most.
-    """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(join.den / join.num)))
-    banded = lists.withColumn("band", band)
-    early = banded.where(_early(join)).groupBy("token", "band").agg(F.min("n").alias("m"))
-    reach = early.select("token", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), "m").groupBy("token", "band").agg(F.min("m").alias("m"))
-    most = (F.col("n") - F.col("pos")) * (join.num + join.den) / F.lit(join.num) - F.col("n") + F.lit(1e-6)
-    return banded.join(reach, ["token", "band"], "left").where(_early(join) | (F.col("m") <= most)).select(*lists.columns)
+    most = (F.col("n1") + F.col("n2") - 2 * need).cast("long").alias("most")
+    pairs = met.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2"), "v1", "m1", "v2", "m2", most).mapInArrow(run, "g1 long, g2 long")
+    pairs = scratch.stored(pairs.distinct(), "join-pairs")
+    left = own.join(largest.where("of > 1"), "token", "left_semi").join(pivots.select("token", "gid"), ["token", "gid"], "left_anti").drop("c")
+    left = scratch.stored(left.select("token", "block", "gid", "n", "pos", "rank", "value", "mask", "m"), "join-lists")
+    scratch.drop(pivots)
+    scratch.drop(own)
+    return pairs, left
 
 
-def _rounds(links: DataFrame, lists: DataFrame, groups: DataFrame, members: DataFrame, sets: DataFrame, docs: DataFrame, join: Join, counts: np.ndarray) -> DataFrame:
-    """The components, when no list has two of them left that may link."""
-    first, known, turn = True, None, 0
-    while True:
-        if known is None:
-            known = components(links)
-            label = members.join(known, members["id"] == known["node"], "left").select("gid", "id", F.coalesce("component", "id").alias("c"))
-            spread = scratch.stored(label.groupBy("gid").agg(F.min("c").alias("c"), F.max("c").alias("d")), "join-spread")
-            # A group of several components is of none: it differs from every other.
-            own = spread.select("gid", F.when(F.col("c") == F.col("d"), F.col("c")).otherwise(-1 - F.col("gid")).alias("c"))
-            now = scratch.stored(_open(lists, own), "join-lists")
-            scratch.drop(lists)
-            if first:
-                every, now = now, scratch.stored(_open(_live(now, join).drop("c"), own), "join-lists")
-                scratch.drop(every)
-        pivots = scratch.stored(_pivots(now, join, min(PIVOTS, FEW * 8**turn)), "join-pivots")
-        turn += 1
-        one = pivots.select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("c").alias("c1"), F.col("rank").alias("r1"))
-        rank = pivots.select("token", "gid", "rank")
-        two = now.join(rank, ["token", "gid"], "left").select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"), F.col("rank").alias("r2"))
-        found = two.join(one, "token").where((F.col("c1") != F.col("c2")) & (F.col("r2").isNull() | (F.col("r1") < F.col("r2"))) & _fits(join))
-        found = found.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
-        pairs = _filtered(found, groups, join, counts)
-        if first:  # groups whose own members are of several components
-            pairs = pairs.union(spread.where("c <> d").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
-        a = label.select(F.col("gid").alias("g1"), F.col("id").alias("a"), F.col("c").alias("ca"))
-        b = label.select(F.col("gid").alias("g2"), F.col("id").alias("b"), F.col("c").alias("cb"))
-        expanded = scratch.stored(pairs.join(b, "g2").join(a, "g1").where("ca <> cb and (g1 <> g2 or a < b)").select("a", "b").distinct(), "join-expanded")
-        more = None if expanded.isEmpty() else _verified(expanded, sets, docs, join)
-        scratch.drop(expanded)
-        left = now.join(rank, ["token", "gid"], "left_anti")
-        early = left.where(_early(join)).select("token").distinct()
-        after = scratch.stored(left.join(early, "token"), "join-lists")
-        scratch.drop(now)
-        scratch.drop(pivots)
-        now = after
-        first = False
-        done = now.isEmpty()
-        if more is not None and not more.isEmpty():
-            links, lists, known = links.union(more), now.drop("c"), None  # lists: read before it goes
-        if done:
-            return components(links) if known is None else known
-
-
-def _pivots(now: DataFrame, join: Join, most: int) -> DataFrame:
-    """Up to `most` early groups of each list, those of the list's smallest components first."""
-    sizes = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
-    order = Window.partitionBy("token").orderBy("m", "c", "gid")
-    return now.where(_early(join)).join(sizes, ["token", "c"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+def _named(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """sets with their component c."""
+    return sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", "doc_id", F.coalesce("component", "id").alias("c"))
 
 
 def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
     rows, sets, known = classes(docs, join)
-    named = sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", "doc_id", F.coalesce("component", "id").alias("c"))
+    named = _named(sets, known)
     least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     named = named.drop("doc_id").join(least, "c").drop("c")
     out = rows.select("doc_id", "n", "s1", "s2").join(named, ["n", "s1", "s2"], "left")
@@ -412,16 +603,14 @@ def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
 def clusters(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """text_hash (xxhash64 of text) and cluster of every distinct text of docs (doc_id, text) that has words: the least hash of its component."""
     rows, sets, known = classes(docs, join)
-    named = sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("c"))
-    texts = rows.where("n > 0").select("text_hash", "n", "s1", "s2").distinct().join(named, ["n", "s1", "s2"]).select("text_hash", "c")
+    texts = rows.where("n > 0").select("text_hash", "n", "s1", "s2").distinct().join(_named(sets, known).drop("doc_id"), ["n", "s1", "s2"]).select("text_hash", "c")
     return texts.join(texts.groupBy("c").agg(F.min("text_hash").alias("cluster")), "c").select("text_hash", "cluster")
 
 
 def deduplicated(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id. Rows without words are linked with nothing and stay."""
     rows, sets, known = classes(docs, join)
-    named = sets.join(known, sets["id"] == known["node"], "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("c"))
-    own = rows.where("n > 0").join(named, ["n", "s1", "s2"])
+    own = rows.where("n > 0").join(_named(sets, known).drop("doc_id"), ["n", "s1", "s2"])
     stays = own.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("stays_id"), F.col("k.text_hash").alias("stays_hash"))
     filled = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     keyed = docs.where(filled).withColumn("__join_hash", F.xxhash64("text"))

@@ -59,18 +59,53 @@ def corpus(seed, n=160):
     return docs
 
 
-@pytest.mark.parametrize(("seed", "join", "pivots", "parts"), [(1, ngram_join.Join(3, 90, 100), 1024, 1 / 64), (3, ngram_join.Join(3, 70, 100), 3, 0.02)])
-def test_components_equal_brute_force(spark, monkeypatch, seed, join, pivots, parts):
-    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
-    monkeypatch.setattr(ngram_join, "FREQUENT", parts)
-    monkeypatch.setattr(ngram_join, "PARTS", 4)
-    monkeypatch.setattr(ngram_join, "GROUP_MEMBERS", 3)
+@pytest.mark.parametrize(("seed", "join", "small"), [(1, ngram_join.Join(3, 90, 100), False), (3, ngram_join.Join(3, 70, 100), True), (5, ngram_join.Join(2, 60, 100), True)])
+def test_components_equal_brute_force(spark, monkeypatch, seed, join, small):
+    if small:  # groups, blocks, rounds and pivots of a few rows
+        for name, value in {"GROUP_MEMBERS": 3, "BLOCK": 5, "FEW": 2, "PAIRS": 1, "LEAST_PIVOTS": 3}.items():
+            monkeypatch.setattr(ngram_join, name, value)
     docs = corpus(seed)
     df = spark.createDataFrame([(i, t, "clash") for i, t in docs], "doc_id long, text string, component_id string").repartition(3)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.linked(df, join).collect()}
     assert got == brute(docs, join)
 
 
+def test_family_of_near_copies(spark, monkeypatch):
+    """A hot family whose members are at most a few words apart, some of them only by way of others, and a long text."""
+    monkeypatch.setattr(ngram_join, "PAIRS", 2)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(300):
+        text = list(base)
+        for _ in range(rng.randint(0, 6)):
+            text[rng.randrange(len(text))] = f"x{rng.randint(0, 40)}"
+        docs.append((i, " ".join(text)))
+    long = " ".join(f"v{i}" for i in range(60_000))
+    docs += [(400, long), (401, long + " end"), (402, long[: len(long) // 2])]
+    join = ngram_join.Join(3, 90, 100)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.linked(df, join).collect()}
+    assert got == brute(docs, join)
+
+
+def test_no_collisions_by_construction(spark):
+    """A Thue-Morse word and its complement collide under any polynomial hash modulo 2**64."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked(spark.createDataFrame(docs, "doc_id long, text string"), ngram_join.Join(3, 90, 100)).collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_rows_without_id(spark):
+    docs = [(None, "one two three four five"), (None, "one two three four five"), (None, "six seven eight nine"), (3, "one two three four five"), (None, None)]
+    got = ngram_join.linked(spark.createDataFrame(docs, "doc_id long, text string"), ngram_join.Join(3, 90, 100)).collect()
+    assert sorted((r["doc_id"] is None, r["n_shingles"], r["component_id"]) for r in got if r["n_shingles"] == 3) == [(False, 3, 3), (True, 3, 3), (True, 3, 3)]
+    assert sorted((r["n_shingles"], r["component_id"]) for r in got if r["n_shingles"] != 3) == [(0, None), (2, None)]
+
+
 def test_one_of_each_component_stays(spark):
     join = ngram_join.Join(5, 80, 100)
     docs = corpus(4, 80)

@@ -5,13 +5,14 @@ virtual finish time is the words its source has sent up to and with it, divided
 mix is the copies in order of finish time, cut where the total budget (all words of all sources) is reached:
 a source that has sent all its repeats falls silent, and the others share what it leaves by weight.
 
-No running sum goes through one task: sums run over (source, shuffle cell) and then inside a cell, and the cut
-is found in two levels of cells of finish time. Rows that reach a single task are one per source, or one per
-cell, whose number is fixed.
+No running sum goes through one task: sums run over (source, shuffle cell) and then inside a cell; there are more cells where the table is
+larger. The cut, the place in the sorted mix where the budget ends, is found in two levels of cells of finish time before anything is sorted; `mix` then
+range-sorts the copies before the cut, `allotted` counts them. Rows that reach a single task are one per source, or one per
+cell of finish time, whose number is fixed.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; a source of size 0
-has target 0; an empty table gives no rows; equal rows may stand for each other. Columns of the input are kept
-as they are; internal names start with `__mix_`.
+has target 0; an empty table gives no rows; equal rows may stand for each other; a text of any length is counted whole. Columns of the input are kept
+as they are; internal names start with `__mix_`, and an input column of such a name is refused.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from saldus.llm import scratch
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
-#: Cells of the shuffled order of a source, and of finish times at each of two levels.
-SHUFFLE_BITS = 10
+#: Rows of a cell of a source's shuffled order, about, where the table has more than so many in 1,024 cells; cells of finish times at each of two levels.
+CELL_ROWS = 1 << 16
 CELLS = 4096
 
 
@@ -35,17 +36,22 @@ def word_count(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, size: Column) -> DataFrame:
-    """docs with the size, the place in the shuffled order and the shuffle cell of each row."""
-    order = F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("source"))
-    return docs.withColumns({"__mix_size": size, "__mix_order": order}).withColumn("__mix_cell", F.shiftrightunsigned("__mix_order", 64 - SHUFFLE_BITS))
+    """docs with the size and the place in the shuffled order of each row; the text takes part, so rows without an id or with equal ones are spread."""
+    return docs.withColumns({"__mix_size": size, "__mix_order": F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("source"), F.col("text"))})
+
+
+def _celled(rows: DataFrame, bits: int) -> DataFrame:
+    """rows with their shuffle cell: a range of the order."""
+    return rows.withColumn("__mix_cell", F.shiftrightunsigned("__mix_order", 64 - bits))
 
 
 @dataclass(frozen=True)
 class Schedule:
-    """prefix: a row for each (source, shuffle cell), with what was sent before it; cut: the last copy taken."""
+    """prefix: a row for each (source, shuffle cell), with what was sent before it; cut: the last copy taken; bits: of a shuffle cell."""
 
     prefix: DataFrame
     cut: tuple | None
+    bits: int
 
 
 def _finish(epoch: Column) -> Column:
@@ -65,7 +71,9 @@ def _key(finish: Column) -> Column:
 
 
 def schedule(slim: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> Schedule:
-    """The schedule of the rows of keyed(); slim needs doc_id, source and the three internal columns."""
+    """The schedule of the rows of keyed(); slim needs doc_id, source and the two internal columns."""
+    bits = max(10, (slim.count() // CELL_ROWS).bit_length())
+    slim = _celled(slim, bits)
     sums = slim.groupBy("source", "__mix_cell").agg(F.sum("__mix_size").alias("__mix_sum"))
     sources = sums.groupBy("source").agg(F.sum("__mix_sum").alias("__mix_source_size"))
     cycle = F.array(*(F.lit(float(w)) for w in weights))
@@ -83,7 +91,7 @@ def schedule(slim: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
     earlier = Window.partitionBy("source").orderBy("__mix_cell").rowsBetween(Window.unboundedPreceding, -1)
     prefix = sums.withColumn("__mix_before", F.coalesce(F.sum("__mix_sum").over(earlier), F.lit(0))).join(sources, F.col("source").eqNullSafe(F.col("__mix_of"))).drop("__mix_of", "__mix_sum")
     prefix = scratch.stored(prefix, "mix-prefix")
-    return Schedule(prefix, _cut(_served(slim, prefix), prefix, repeats))
+    return Schedule(prefix, _cut(_served(slim, prefix), prefix, repeats), bits)
 
 
 def _cut(served: DataFrame, prefix: DataFrame, repeats: int) -> tuple | None:
@@ -118,7 +126,7 @@ def _cut(served: DataFrame, prefix: DataFrame, repeats: int) -> tuple | None:
 
 def taken(rows: DataFrame, plan: Schedule, repeats: int = REPEATS) -> DataFrame:
     """rows of keyed() with __mix_taken, how many copies of each the mix takes, and the source's figures."""
-    served = _served(rows, plan.prefix)
+    served = _served(_celled(rows, plan.bits), plan.prefix)
     if plan.cut is None:
         return served.withColumn("__mix_taken", F.lit(0))
     f, o, d, s, e = plan.cut
@@ -141,6 +149,8 @@ def allotted(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """The mix itself: the rows of docs, each as often as the mix takes it, range-sorted by finish time."""
+    if clash := [c for c in docs.columns if c in ("__mix_size", "__mix_order", "__mix_cell", "__mix_taken", "__mix_epoch", "__mix_finish")]:
+        raise ValueError(f"columns in use by the mix: {clash}")
     plan = schedule(slim(docs), weights, repeats)
     rows = taken(keyed(docs, word_count(F.col("text"))), plan, repeats).where("__mix_taken > 0")
     copies = rows.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(0), F.col("__mix_taken") - 1)))

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saldus.llm import kernel, scratch
 from saldus.llm.components import stars
@@ -125,11 +126,10 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     return total.reshape(-1)  # counts beyond 2**32 wrap around; any order is right
 
 
-ROWS = "doc_id long, text_hash long, n long, s1 long, s2 long, parts int, parity binary, prefix binary"
-
-
-def _prefixes(docs: DataFrame, join: Join, shared, noise: int) -> DataFrame:
-    """doc_id, hash of the text, size, signature, parities and prefix (hashes, rare first) of each row; parts: into how many its group is dealt."""
+def _prefixes(docs: DataFrame, join: Join, shared, noise: int, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, hash of the text, size, signature, parities and prefix (hashes, rare first) of each row, and columns to keep; parts: into how many its group is dealt."""
+    kept = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), *(F.col(k).alias(f"keep_{k}") for k in keep))
+    schema = T.StructType([T.StructField(k, T.LongType()) for k in ("doc_id", "text_hash", "n", "s1", "s2")] + [T.StructField("parts", T.IntegerType()), T.StructField("parity", T.BinaryType()), T.StructField("prefix", T.BinaryType()), *kept.schema.fields[3:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -143,9 +143,9 @@ def _prefixes(docs: DataFrame, join: Join, shared, noise: int) -> DataFrame:
                 for column, x in zip(out, row, strict=True):
                     column.append(x)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], names=["doc_id", "text_hash", "n", "s1", "s2", "parts", "parity", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *(batch.column(k) for k in range(3, batch.num_columns))], names=schema.names)
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, ROWS)
+    return kept.mapInArrow(run, schema)
 
 
 GROUPS = "gid long, n long, prefix binary, ids array<long>, value binary, mask binary"
@@ -396,7 +396,7 @@ def _fetch(doc_id: Column, text_hash: Column) -> Column:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """(id, whole) of the sets wanted (id, doc_id, text_hash, n, s1, s2), built again from the texts, once for all rounds."""
+    """(id, as_a, as_b, whole) of the sets wanted (id, as_a, as_b, doc_id, text_hash, n, s1, s2), built again from the texts, once for all rounds."""
     spark = docs.sparkSession
     keys = scratch.stored(wanted.withColumn("fetch", _fetch(F.col("doc_id"), F.col("text_hash"))), "join-wanted")
     shared = spark.sparkContext.broadcast(_bits(keys.select("fetch")))
@@ -421,14 +421,14 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
     built = docs.select("text", slot.alias("slot")).mapInArrow(run, "n long, s1 long, s2 long, whole binary")
     # Repeated rows build a set again.
     built = built.groupBy("n", "s1", "s2").agg(F.first("whole").alias("whole"))
-    out = scratch.stored(built.join(keys.select("id", "n", "s1", "s2"), ["n", "s1", "s2"]).select("id", "whole"), "join-whole")
+    out = scratch.stored(built.join(keys.select("id", "as_a", "as_b", "n", "s1", "s2"), ["n", "s1", "s2"]).select("id", "as_a", "as_b", "whole"), "join-whole")
     scratch.drop(keys)
     shared.destroy()
     return out
 
 
-def _verified(pairs: DataFrame, whole: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) of set ids whose whole sets are similar enough, as edges (u, v)."""
+def _verified(pairs: DataFrame, one: DataFrame, two: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) of set ids whose whole sets, in one and two, are similar enough, as edges (u, v)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,20 +442,20 @@ def _verified(pairs: DataFrame, whole: DataFrame, join: Join) -> DataFrame:
             rows = pa.array(ok, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["u", "v"])
 
-    one = whole.select(F.col("id").alias("a"), F.col("whole").alias("wa"))
-    two = whole.select(F.col("id").alias("b"), F.col("whole").alias("wb"))
+    one = one.select(F.col("id").alias("a"), F.col("whole").alias("wa"))
+    two = two.select(F.col("id").alias("b"), F.col("whole").alias("wb"))
     return scratch.stored(pairs.join(two, "b").join(one, "a").select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long"), "join-links")
 
 
-def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: doc_id, text_hash, n, s1, s2 of each row; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
+def classes(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: doc_id, text_hash, n, s1, s2 of each row, and its columns to keep as keep_<name>; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
     counts = sketch(docs, join.words)
     # What shingles that fall together by chance add to a count: only more than that says that a shingle is frequent.
     usual = int(np.median(counts))
     noise = usual + 8 * int(usual**0.5)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    wide_rows = scratch.stored(_prefixes(docs, join, shared, noise), "join-rows")
-    rows = scratch.stored(wide_rows.select("doc_id", "text_hash", "n", "s1", "s2"), "join-rows")
+    wide_rows = scratch.stored(_prefixes(docs, join, shared, noise, keep), "join-rows")
+    rows = scratch.stored(wide_rows.drop("parts", "parity", "prefix"), "join-rows")
     # Parities and prefix follow from the set; as keys they let rows be summed up before they are sent.
     wide = wide_rows.where("n > 0").groupBy("n", "s1", "s2", "parts", "parity", "prefix").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))
     wide = scratch.stored(wide.withColumn("id", F.monotonically_increasing_id()), "join-sets")
@@ -483,12 +483,13 @@ def classes(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
 
     long = scratch.stored(lists.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("token", "m"), "join-long")
     several = not long.isEmpty()
-    ids = expanded.select(F.explode(F.array("a", "b")).alias("id"))
-    ids = ids.union(more.select("id"))
+    no = F.lit(False)
+    ids = expanded.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(True).alias("as_a"), no.alias("as_b")), F.struct(F.col("b").alias("id"), no.alias("as_a"), F.lit(True).alias("as_b")))).alias("x")).select("x.*")
+    ids = ids.union(more.select("id", no, no))
     if several:  # groups of lists that are dealt may meet for the first time later
-        ids = ids.union(lists.join(long, "token", "left_semi").select("gid"))
-    whole = _whole_sets(docs, ids.distinct().join(sets, "id"), join)
-    links = _verified(expanded, whole, join)
+        ids = ids.union(lists.join(long, "token", "left_semi").select("gid", no, no))
+    whole = _whole_sets(docs, ids.groupBy("id").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b")).join(sets, "id"), join)
+    links = _verified(expanded, whole.where("as_a"), whole.where("as_b"), join)
     scratch.drop(expanded)
     known = _rounds(links, lists, long if several else None, more, whole, join)
     for table in (links, lists, long, more, whole):
@@ -544,7 +545,9 @@ def _rounds(links: DataFrame, lists: DataFrame, long: DataFrame | None, more: Da
         for end in ("a", "b"):
             expanded = expanded.join(label.select(F.col("x").alias(end), F.col("y").alias(f"c{end}")), end, "left")
         expanded = expanded.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _verified(expanded, whole, join)
+        expanded = scratch.stored(expanded, "join-expanded")  # its size is known then: where it is small, it goes to the sets
+        found = _verified(expanded, whole, whole, join)
+        scratch.drop(expanded)
         scratch.drop(some)
         if not found.isEmpty():
             before = known
@@ -600,11 +603,11 @@ def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def clusters(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """text_hash (xxhash64 of text) and cluster of every distinct text of docs (doc_id, text) that has words: the least hash of its component."""
-    rows, sets, known = classes(docs, join)
-    texts = rows.where("n > 0").select("text_hash", "n", "s1", "s2").distinct().join(_named(sets, known).drop("doc_id"), ["n", "s1", "s2"]).select("text_hash", "c")
-    return texts.join(texts.groupBy("c").agg(F.min("text_hash").alias("cluster")), "c").select("text_hash", "cluster")
+def members(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text_hash, cluster and the columns to keep (as keep_<name>) of every row of docs (doc_id, text); cluster: null for a text without words."""
+    rows, sets, known = classes(docs, join, keep)
+    named = _named(sets, known).drop("doc_id").withColumnRenamed("c", "cluster")
+    return rows.join(named, ["n", "s1", "s2"], "left").drop("n", "s1", "s2")
 
 
 def deduplicated(docs: DataFrame, join: Join = Join()) -> DataFrame:

@@ -5,12 +5,14 @@ Documents go into bins of a fixed capacity in words. A bin takes no two document
 they hold; a document goes to the tightest bin that is compatible: the search starts at the least residual that fits and goes on to
 the next larger until one has no conflict, and opens a new bin if none has. Larger documents go first.
 
-A document longer than a bin is cut into pieces; all but its last piece fill bins of their own. Documents are dealt by hash into
-lots of about `Setup.lot` rows and each lot is packed alone, so work is even whatever cluster or source is frequent, memory is bounded, a lost
-task is packed again to the same bins, and only ids and sizes are shuffled.
-
-Defined cases: a null or empty text, or one of spaces, has size 0, takes no room and stands in a bin like any other; equal rows are a cluster and are kept
-apart, and near copies where `near` names their clusters; a null source is a source of its own; a row without doc_id is packed like any other; an empty table gives no rows; other columns are not read, unless one is named as the cluster.
+A document longer than a bin is cut into pieces; all but its last piece fill bins of their own. Documents are dealt into lots of half to all of
+`Setup.lot` rows and each lot is packed alone, so work is even whatever cluster or source is frequent, memory is bounded, a lost
+task is packed again to the same bins, and only ids and sizes are shuffled. A lot is a range of a hash of the row; ranges are halved when the table has doubled, so a table that grows by
+less keeps its lots. Repeated rows are summed up before they are dealt, and dealt by the lot where they are many.
+
+Defined cases: a null or empty text, or one of spaces, has size 0, takes no room and stands in a bin like any other; equal rows are a cluster and are
+kept apart (so are rows without a cluster, as if they were one), as are near copies where the items name their clusters; a null source is a source of its own; a row without doc_id is packed like any other; a text of any length is counted whole
+and cut into pieces; an empty table gives no rows; other columns are not read, unless one is named as the cluster.
 """
 
 from __future__ import annotations
@@ -83,28 +85,40 @@ def packed(items: list[tuple[int, int, int]], setup: Setup) -> list[int]:
     return [bins.put(size, many.get(cluster, 0), sources[source], setup.per_source) for size, cluster, source in items]
 
 
-def pack(docs: DataFrame, cluster: Column | None = None, setup: Setup = Setup(), near: DataFrame | None = None) -> DataFrame:
-    """A row for each piece of each row of docs (doc_id, text, source): its words from `start` on are `n_words` in the bin (lot, bin).
-
-    near: text_hash and cluster of texts, as from ngram_join.clusters; only the other texts go by `cluster`.
-    """
+def items(docs: DataFrame, cluster: Column | None = None) -> DataFrame:
+    """doc_id, source, size, cluster and text_hash of every row of docs (doc_id, text, source)."""
     cluster = text_cluster(F.col("text")) if cluster is None else cluster
-    items = docs.select("doc_id", F.col("source").alias("source"), word_count(F.col("text")).alias("size"), cluster.alias("cluster"), F.xxhash64("text").alias("text_hash"))
-    if near is not None:
-        near = near.withColumnRenamed("cluster", "near")
-        items = items.join(near, "text_hash", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
-    items = items.drop("text_hash")
-    lots = max(1, -(-docs.count() // setup.lot))
-    items = items.withColumn("lot", F.pmod(F.xxhash64(F.lit("lot"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("cluster"))), F.lit(lots)))
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), cluster.alias("cluster"), F.xxhash64("text").alias("text_hash"))
+
+
+def lots(items: DataFrame, setup: Setup) -> DataFrame:
+    """Items of distinct rows, with `copies` of each, and the lot they go to."""
+    same = items.groupBy("doc_id", "source", "size", "cluster", "text_hash").agg(F.count(F.lit(1)).alias("all"))
+    bits = max(0, (-(-items.count() // setup.lot) - 1).bit_length())
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / setup.lot))).alias("part")
+    dealt = same.select("*", part).withColumn("copies", F.least(F.lit(setup.lot).cast("long"), F.col("all") - F.col("part") * setup.lot))
+    place = F.xxhash64(F.lit("lot"), "doc_id", "text_hash", "source", "part")
+    return dealt.withColumn("lot", F.shiftrightunsigned(place, 64 - bits) if bits else F.lit(0).cast("long")).drop("all", "part")
+
+
+def pack(docs: DataFrame, cluster: Column | None = None, setup: Setup = Setup()) -> DataFrame:
+    """A row for each piece of each row of docs (doc_id, text, source): its words from `start` on are `n_words` in the bin (lot, bin)."""
+    return pack_items(items(docs, cluster), setup)
+
+
+def pack_items(items: DataFrame, setup: Setup = Setup()) -> DataFrame:
+    """As pack, of rows (doc_id, source, size, cluster, text_hash)."""
 
     def run(lot: pd.DataFrame) -> pd.DataFrame:
-        order = lot.assign(source=lot["source"].map(lambda x: ("",) if x is None else (x,))).fillna({"doc_id": -(1 << 62)})
-        order = order.assign(whole=order["size"] // setup.capacity, last=order["size"] % setup.capacity)
+        lot = lot.loc[lot.index.repeat(lot["copies"])].reset_index(drop=True)
+        names = {x: i for i, x in enumerate(sorted({x for x in lot["source"] if x is not None}))}
+        order = lot.assign(source=[names.get(x, -1) for x in lot["source"]], cluster=[int(c) for c in lot["cluster"]])
+        order = order.assign(whole=order["size"] // setup.capacity, last=order["size"] % setup.capacity, id=order["doc_id"].fillna(-(1 << 62)))
         order.loc[(order["whole"] > 0) & (order["last"] == 0), ["whole", "last"]] += [-1, setup.capacity]
-        order = order.sort_values(["last", "doc_id", "cluster", "source"], ascending=[False, True, True, True], kind="stable")
+        order = order.sort_values(["last", "id", "text_hash", "source"], ascending=[False, True, True, True], kind="stable")
         at = packed(list(zip(order["last"].tolist(), order["cluster"].tolist(), order["source"].tolist(), strict=True)), setup)
         rows, free = [], max(at, default=-1) + 1
-        for doc, whole, last, b in zip(lot.loc[order.index, "doc_id"].tolist(), order["whole"].tolist(), order["last"].tolist(), at, strict=True):
+        for doc, whole, last, b in zip(order["doc_id"].tolist(), order["whole"].tolist(), order["last"].tolist(), at, strict=True):
             for i in range(whole):
                 rows.append((doc, i, setup.capacity, i * setup.capacity, free))
                 free += 1
@@ -116,4 +130,10 @@ def pack(docs: DataFrame, cluster: Column | None = None, setup: Setup = Setup(),
         out["doc_id"] = out["doc_id"].astype("Int64")
         return out[["doc_id", "piece", "n_words", "start", "lot", "bin", "bin_words", "bin_documents"]]
 
-    return items.groupBy("lot").applyInPandas(run, SCHEMA)
+    # Python gets ids as text: pandas would make floats of a column with nulls.
+    dealt = lots(items, setup).withColumns({"doc_id": F.col("doc_id").cast("string"), "cluster": F.coalesce("cluster", F.lit(-1)).cast("string")})
+
+    def exact(lot: pd.DataFrame) -> pd.DataFrame:
+        return run(lot.assign(doc_id=pd.array([None if x is None else int(x) for x in lot["doc_id"]], "Int64")))
+
+    return dealt.groupBy("lot").applyInPandas(exact, SCHEMA)

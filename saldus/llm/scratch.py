@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own only where it is unset and there are no other machines."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="saldus-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

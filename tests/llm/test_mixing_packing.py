@@ -67,6 +67,31 @@ def test_tightest_compatible_bin():
     assert packing.packed(items, setup) == at
 
 
+def test_rows_without_or_with_equal_ids_spread(spark):
+    rows = [(None, "one two three", "a")] * 900 + [(7, f"w{i}", "b") for i in range(900)]
+    lots = packing.lots(packing.items(spark.createDataFrame(rows, "doc_id long, text string, source string")), packing.Setup(lot=100)).groupBy("lot").sum("copies").collect()
+    assert sum(r[1] for r in lots) == len(rows) and max(r[1] for r in lots) <= 600
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), setup=packing.Setup(lot=100)).groupBy("doc_id").sum("n_words").collect()
+    assert {r[0]: r[1] for r in got} == {None: 2700, 7: 900}
+
+
+def test_packing_equals_looking_at_every_bin(spark):
+    rng = random.Random(2)
+    setup = packing.Setup(capacity=100, per_source=3)
+    items = sorted(((rng.randint(0, 100), rng.randrange(150), rng.randrange(12)) for _ in range(400)), reverse=True)
+    bins, at = [], []
+    for size, cluster, source in items:
+        fit = [(b["room"] - size, i) for i, b in enumerate(bins) if b["room"] >= size and cluster not in b["clusters"] and b["sources"][source] < 3]
+        i = min(fit)[1] if fit else len(bins)
+        if not fit:
+            bins.append({"room": 100, "clusters": set(), "sources": Counter()})
+        bins[i]["room"] -= size
+        bins[i]["clusters"].add(cluster)
+        bins[i]["sources"][source] += 1
+        at.append(i)
+    assert packing.packed(items, setup) == at
+
+
 def test_packing_is_whole_and_without_conflicts(spark):
     rows, df = docs(spark)
     setup = packing.Setup(capacity=32, per_source=2, lot=64)

@@ -3,6 +3,11 @@
 Each stage is a function of (spark, docs, sf_dir). All but the last return the columns of documents: the quality rules with the text that is left
 of a document after its bad lines are gone, the mix with a row for each time that a document is taken. A stage's result is written
 before the next reads it, to the shared folder in `run`.
+
+Defined cases: a null or empty text has no words and goes with the quality rules; rows without doc_id are judged, compared and packed like any other; a text of
+any length is taken whole; repeated rows are judged one by one, of equal or near texts the row of the smallest doc_id stays, and ties between rows of
+one doc_id go to the smaller text hash; an empty table gives no rows at any stage; columns beside those of documents pass through all stages but the
+last, whose columns are its own, and only the names beginning with `__mix_` are refused.
 """
 
 from __future__ import annotations
@@ -52,5 +57,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, scratch.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.drop(before)  # nothing for the first: the documents themselves aren't ours
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -67,7 +67,7 @@ class Join:
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted distinct shingle hashes) of each text."""
+    """(number of words, sorted distinct shingle hashes) of each text."""
     for lo, hi, raw, offsets in kernel.blocks(column):
         t = kernel.Text(raw, offsets, lower=True)
         h = t.word_hashes()
@@ -84,7 +84,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
                 other = own[1:] != own[:-1]
                 if not other.all():
                     own = own[np.concatenate([[True], other])]
-            yield lo + i, own
+            yield int(t.n_words[i]), own
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -127,22 +127,22 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, join: Join, shared, noise: int, keep: tuple[str, ...]) -> DataFrame:
-    """doc_id, hash of the text, size, signature, parities and prefix (hashes, rare first) of each row, and columns to keep; parts: into how many its group is dealt."""
+    """doc_id, hash of the text, size, signature, parities, prefix (hashes, rare first) and words of each row, and columns to keep; parts: into how many its group is dealt."""
     kept = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), *(F.col(k).alias(f"keep_{k}") for k in keep))
-    schema = T.StructType([T.StructField(k, T.LongType()) for k in ("doc_id", "text_hash", "n", "s1", "s2")] + [T.StructField("parts", T.IntegerType()), T.StructField("parity", T.BinaryType()), T.StructField("prefix", T.BinaryType()), *kept.schema.fields[3:]])
+    schema = T.StructType([T.StructField(k, T.LongType()) for k in ("doc_id", "text_hash", "n", "s1", "s2")] + [T.StructField("parts", T.IntegerType()), T.StructField("parity", T.BinaryType()), T.StructField("prefix", T.BinaryType()), T.StructField("n_words", T.LongType()), *kept.schema.fields[3:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for _, s in shingle_sets(batch.column(1), join.words):
+            out: list[list] = [[] for _ in range(7)]
+            for n_words, s in shingle_sets(batch.column(1), join.words):
                 often = counts[s >> kernel.U(64 - SKETCH_BITS)]
                 order = np.argsort(often, kind="stable")[: join.prefix(len(s)) if len(s) else 0]  # s is in order of hash
                 # No more sets can have this prefix than have its rarest shingle.
-                row = (len(s), *_signature(s), 1 + max(0, int(often[order[0]]) - noise) // (1 << 16) if len(s) else 1, _parity(s), s[order].tobytes())
+                row = (len(s), *_signature(s), 1 + max(0, int(often[order[0]]) - noise) // (1 << 16) if len(s) else 1, _parity(s), s[order].tobytes(), n_words)
                 for column, x in zip(out, row, strict=True):
                     column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *(batch.column(k) for k in range(3, batch.num_columns))], names=schema.names)
 
     return kept.mapInArrow(run, schema)
@@ -448,7 +448,7 @@ def _verified(pairs: DataFrame, one: DataFrame, two: DataFrame, join: Join) -> D
 
 
 def classes(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: doc_id, text_hash, n, s1, s2 of each row, and its columns to keep as keep_<name>; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
+    """(rows: doc_id, text_hash, n, s1, s2, n_words of each row, and its columns to keep as keep_<name>; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
     counts = sketch(docs, join.words)
     # What shingles that fall together by chance add to a count: only more than that says that a shingle is frequent.
     usual = int(np.median(counts))
@@ -604,7 +604,7 @@ def linked(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def members(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text_hash, cluster and the columns to keep (as keep_<name>) of every row of docs (doc_id, text); cluster: null for a text without words."""
+    """doc_id, text_hash, cluster, n_words and the columns to keep (as keep_<name>) of every row of docs (doc_id, text); cluster: null for a text without words."""
     rows, sets, known = classes(docs, join, keep)
     named = _named(sets, known).drop("doc_id").withColumnRenamed("c", "cluster")
     return rows.join(named, ["n", "s1", "s2"], "left").drop("n", "s1", "s2")

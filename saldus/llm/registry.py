@@ -29,10 +29,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
-    near = ngram_join.members(sized, ngram_join.Join(words=5, num=80, den=100), ("source", "size"))
-    return packing.pack_items(near.withColumnsRenamed({"keep_source": "source", "keep_size": "size"}))
+    near = ngram_join.members(table(spark, sf_dir, "documents"), ngram_join.Join(words=5, num=80, den=100), ("source",))
+    return packing.pack_items(near.withColumnsRenamed({"keep_source": "source", "n_words": "size"}))
 
 
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from saldus.functions.barrier import settled
 from saldus.functions.text import SPACE, trimmed
 
 _LABELLED = rf"[{SPACE}]*[:\-]?[{SPACE}]*r?\$?[{SPACE}]*([0-9.,]+)"
@@ -54,16 +55,25 @@ def _note(c: Column) -> Column:
     return trimmed(F.coalesce(c.cast("string"), F.lit("")))
 
 
+def _all(note: Column, pattern: str) -> Column:
+    """All matches in a trimmed note; every signal has a digit, so a note without one isn't searched."""
+    return F.when(note.rlike("[0-9]"), F.regexp_extract_all(note, F.lit(pattern), 1)).otherwise(F.array().cast("array<string>"))
+
+
+def _numbers(found: Column) -> Column:
+    return F.transform(found, lambda x: x.cast("int"))
+
+
 def note_days(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(_note(c), F.lit(DAY), 1), lambda x: x.cast("int")))
+    return F.array_distinct(_numbers(_all(_note(c), DAY)))
 
 
 def note_instalments(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(_note(c), F.lit(INSTALMENTS), 1), lambda x: x.cast("int"))
+    return _numbers(_all(_note(c), INSTALMENTS))
 
 
 def note_values(c: Column) -> Column:
-    return F.regexp_extract_all(_note(c), F.lit(VALUE), 1)
+    return _all(_note(c), VALUE)
 
 
 def category_of(note: Column, days: Column, counts: Column, values: Column) -> Column:
@@ -104,6 +114,13 @@ def instalment_plan(c: Column) -> Column:
     return plan_of(note_instalments(c), note_values(c))
 
 
+def note_signals(df, note_cell: Column):
+    """df with _note, _days, _counts, _values, each worked out once."""
+    out = settled(df.withColumn("_note", _note(note_cell)))
+    note = F.col("_note")
+    return settled(out.withColumns({"_days": F.array_distinct(_numbers(_all(note, DAY))), "_counts": _numbers(_all(note, INSTALMENTS)), "_values": _all(note, VALUE)}))
+
+
 def signals(df, balance_cell: Column, note_cell: Column):
     """df with the parts that the rules share, each worked out once: _bal, _deb, _cre, _bare, _note, _days, _counts, _values."""
     out = df.withColumns({"_bal": balance_text(balance_cell), "_note": _note(note_cell), "_days": note_days(note_cell), "_counts": note_instalments(note_cell), "_values": note_values(note_cell)})

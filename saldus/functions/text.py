@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,14 +12,24 @@ from pyspark.sql import functions as F
 SPACE = r"\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
 EPSILON = 2.220446049250313e-16
 
-#: A letter with a mark, and the letter.
-MARKED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyyAAAAAAEEEEIIIIOOOOOUUUUCNY"
+#: The same white space, and what `\s` covers, as single characters.
+BLANKS = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
+@lru_cache(maxsize=1)
+def _bare_letters() -> tuple[str, str]:
+    """Letters that canonical decomposition takes apart into one character and marks of U+0300-U+036F, and those characters."""
+    pairs = []
+    for code in range(0xC0, 0x2000):
+        bare = [x for x in unicodedata.normalize("NFD", chr(code)) if not 0x300 <= ord(x) <= 0x36F]
+        if len(bare) == 1 and ord(bare[0]) != code:
+            pairs.append((chr(code), bare[0]))
+    return "".join(x for x, _ in pairs), "".join(x for _, x in pairs)
 
 
 def trimmed(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def blank(c: Column) -> Column:
@@ -34,16 +47,34 @@ def compare_key(c: Column) -> Column:
 
 
 def round2(c: Column) -> Column:
-    """Two decimals, halves toward plus infinity."""
-    return F.floor((c + F.lit(EPSILON)) * 100 + 0.5) / 100
+    """Two decimals, halves toward plus infinity; beyond 2**52 cents a double has no halves left."""
+    moved = (c + F.lit(EPSILON)) * 100
+    return F.when(F.abs(moved) < F.lit(2.0**52), F.floor(moved + 0.5).cast("double")).otherwise(moved) / 100
 
 
 def cents(c: Column) -> Column:
-    return c.cast("decimal(18,2)")
+    """For sums and results: null for what isn't a number or has more than 36 digits before the point."""
+    return c.try_cast("decimal(38,2)")
 
 
 def fixed2(c: Column) -> Column:
-    return cents(c).cast("string")
+    """Two decimals as text, rounded from the exact binary value, halves away from zero; from 1e21 on with an exponent."""
+    size = F.abs(c)
+    # The whole part in two halves and the fraction times 2**62 are exact; so is the rest, in decimals.
+    top = F.floor(size / F.lit(2.0**32))
+    whole = top.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + (size - top.cast("double") * F.lit(2.0**32) - size % 1).cast("bigint").cast("decimal(10,0)")
+    unit = F.lit(1 << 62).cast("decimal(20,0)")
+    part = ((size % 1) * F.lit(2.0**62)).cast("bigint").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)") + F.lit(1 << 61).cast("decimal(20,0)")
+    rounded = ((part - part % unit) / unit).cast("decimal(3,0)")  # a whole number, so the division rounds nothing
+    total = (whole.cast("decimal(34,0)") * F.lit(100).cast("decimal(3,0)")).cast("decimal(36,0)") + rounded
+    plain = (total.cast("decimal(36,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(38,2)").cast("string")
+    return F.when(F.isnan(c) | (size >= 1e21), _short(c)).otherwise(F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), plain))
+
+
+def _short(c: Column) -> Column:
+    """A large number with an exponent and as few digits as tell it from others, as 7e+22."""
+    tried = [F.format_string(f"%.{n}e", c) for n in (14, 15)]
+    return F.coalesce(*(F.when(x.try_cast("double") == c, F.regexp_replace(x, r"\.?0+e", "e")) for x in tried), F.regexp_replace(c.cast("string"), r"(\.0)?E", "e+"))
 
 
 def money(c: Column) -> Column:
@@ -99,7 +130,7 @@ def shape(c: Column) -> Column:
 
 def header_key(c: Column) -> Column:
     """A header without marks, case and white space at its ends."""
-    bare = F.regexp_replace(F.translate(F.coalesce(c.cast("string"), F.lit("")), MARKED, PLAIN), r"[\u0300-\u036F]", "")
+    bare = F.regexp_replace(F.translate(F.coalesce(c.cast("string"), F.lit("")), *_bare_letters()), r"[\u0300-\u036F]", "")
     return trimmed(F.lower(bare))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from saldus.functions.text import fixed2, money, yes_no
 
+
 def filters() -> dict[str, Column]:
     owes = F.coalesce(F.col("saldo_debito_nex") > 0, F.lit(False))
     return {
@@ -21,6 +22,10 @@ def filters() -> dict[str, Column]:
     }
 
 
+#: Filters that read what validation says of a record.
+NEED_VALIDATION = ("com_aviso", "invalidos", "revisao_manual")
+
+
 def filter_records(records: DataFrame, name: str = "todos", term: str | None = None) -> DataFrame:
     """Records of a canned filter (an unknown name filters nothing) whose code, name or numbers hold the term, case aside."""
     out = records.where(filters().get(name, F.lit(True)))

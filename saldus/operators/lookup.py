@@ -34,9 +34,3 @@ def first_of_code(records: DataFrame, fields: list[str]) -> DataFrame:
 def all_codes(base: DataFrame, new: DataFrame) -> DataFrame:
     codes = base.select("nex_codigo").union(new.select("nex_codigo"))
     return codes.where(F.col("nex_codigo").isNotNull()).distinct()
-
-
-def in_order(df: DataFrame, order: str = "_ord") -> DataFrame:
-    return df.orderBy(order)
-
-

@@ -122,7 +122,7 @@ def parsed(rows: DataFrame) -> DataFrame:
 
 
 def _total(of: str, when: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col(when), cents(F.col(of)))), F.lit(0).cast("decimal(18,2)")).cast("decimal(18,2)")
+    return F.coalesce(F.sum(F.when(F.col(when), cents(F.col(of)))), F.lit(0).cast("decimal(38,2)")).cast("decimal(38,2)")
 
 
 def financial(rows: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def financial(rows: DataFrame) -> DataFrame:
         _total("fin.debito", "tem_debito").alias("total_debito"),
         _total("fin.credito", "tem_credito").alias("total_credito"),
     )
-    return sums.withColumn("saldo_liquido", (F.col("total_debito") - F.col("total_credito")).cast("decimal(18,2)"))
+    return sums.withColumn("saldo_liquido", (F.col("total_debito") - F.col("total_credito")).cast("decimal(38,2)"))
 
 
 def unrecognized_shapes(rows: DataFrame, n: int = 5) -> DataFrame:
@@ -187,8 +187,8 @@ def contactability(rows: DataFrame) -> DataFrame:
 def reconcile(rows: DataFrame, reference: float) -> DataFrame:
     """The total of debts against a total known from elsewhere."""
     total = parsed(rows).agg(_total("fin.debito", "tem_debito").alias("total_calculado"))
-    out = total.withColumn("total_referencia", F.lit(reference).cast("decimal(18,2)"))
-    gap = F.abs(F.col("total_calculado") - F.col("total_referencia")).cast("decimal(18,2)")
+    out = total.withColumn("total_referencia", F.lit(reference).cast("decimal(38,2)"))
+    gap = F.abs(F.col("total_calculado") - F.col("total_referencia")).cast("decimal(38,2)")
     return out.withColumns({"diferenca": gap, "valores_iguais": F.when(gap < 0.01, F.lit("Sim")).otherwise(F.lit("Nao"))})
 
 

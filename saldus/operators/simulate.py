@@ -19,7 +19,7 @@ def simulate(validated: DataFrame, context: Context = Context()) -> DataFrame:
     owes = F.coalesce(F.col("saldo_debito_nex") > 0, F.lit(False))
     has = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
     n, is_ = F.count_if, lambda c, v: F.col(c) == v
-    money = lambda c: F.coalesce(F.sum(cents(F.nanvl(F.col(c), F.lit(0.0)))), F.lit(0).cast("decimal(18,2)")).cast("decimal(18,2)")
+    money = lambda c: F.coalesce(F.sum(cents(F.nanvl(F.col(c), F.lit(0.0)))), F.lit(0).cast("decimal(38,2)")).cast("decimal(38,2)")
     counts = validated.agg(
         F.count(F.lit(1)).alias("total_registros"),
         n(is_("validacao_status", "valido")).alias("validos"),

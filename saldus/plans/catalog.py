@@ -112,7 +112,8 @@ def obs_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The note parser over a corpus of real text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.select("doc_id", F.size(parsers.note_values(F.col("text"))).cast("bigint").alias("n_valores"), F.size(parsers.note_days(F.col("text"))).cast("bigint").alias("n_dias"), parsers.note_category(F.col("text")).alias("categoria"))
+    read = parsers.note_signals(docs.select("doc_id", "text"), F.col("text"))
+    return read.select("doc_id", F.size("_values").cast("bigint").alias("n_valores"), F.size("_days").cast("bigint").alias("n_dias"), parsers.parsed_category().alias("categoria"))
 
 
 @_query
@@ -181,6 +182,16 @@ def _tampered(spark: SparkSession, sf_dir: str) -> DataFrame:
         "confianca_extracao": F.when((k == 11) & c("vencimento_sugerido").isNotNull(), F.lit("baixa")).otherwise(c("confianca_extracao")),
         "data_snapshot_nex": F.when(k != 12, c("data_snapshot_nex")),
     }
+    more = F.col("_ord") % 17
+    spoilt |= {
+        "origem_sistema": F.when(more != 1, c("origem_sistema")),
+        "fonte_arquivo_origem": F.when(more == 2, F.lit("  ")).otherwise(c("fonte_arquivo_origem")),
+        "consentimento_contato": F.when(more != 3, spoilt["consentimento_contato"]),
+        "status_cobranca": F.when(more != 4, spoilt["status_cobranca"]),
+        "saldo_debito_nex": F.when(more != 5, spoilt["saldo_debito_nex"]),
+        "saldo_credito_nex": F.when(more == 6, F.lit(None).cast("double")).when(more == 8, F.lit(-1.0)).otherwise(c("saldo_credito_nex")),
+        "valor_liquido_nex": F.when(more != 7, spoilt["valor_liquido_nex"]),
+    }
     return r.withColumns(spoilt)
 
 
@@ -252,12 +263,32 @@ def summary_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.cards(report, pairs)
 
 
+@_query
+def result_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cards of an import's result: what was applied, with the analysis' review count and the number of notices."""
+    done = _applied(spark, sf_dir).resumo
+    review = simulate(_validated(spark, sf_dir), CONTEXT).select("revisao_manual")
+    return explore.cards(done.withColumn("total_avisos", F.col("nao_aplicados")).crossJoin(F.broadcast(review)), explore.RESULT_CARDS)
+
+
+@_query
+def hostile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts as text where cents are halves, huge or below a cent: cells made from the customer's key."""
+    k = F.col("c_custkey")
+    halves = F.concat(F.lit("Débito "), (k % 1000).cast("string"), F.lit("."), F.lpad((k % 997).cast("string"), 3, "0"))
+    huge = F.concat(F.lit("Débito- R$ "), F.repeat(F.lit("9"), (k % 12 + 2).cast("int")), F.lit("0000000,00"))
+    beyond = F.concat(F.lit("Débito "), (k % 9 + 1).cast("string"), F.repeat(F.lit("0"), (k % 5 + 22).cast("int")))
+    cell = F.when(k % 4 == 0, huge).when(k % 4 == 1, beyond).otherwise(halves)
+    read = _customer(spark, sf_dir).select(k.alias("ord"), parsers.balance(cell)["debito"].alias("x"))
+    return read.select("ord", text.money(F.col("x")).alias("texto"), (F.col("x") < 1e15).alias("exato"))
+
+
 # Exploring
 
 
 def _filter(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return explore.filter_records(_display(spark, sf_dir), name).select(F.col("_ord").alias("ord"), "nex_codigo")
+        return flows.filtered(_records(spark, sf_dir), name).select(F.col("_ord").alias("ord"), "nex_codigo")
 
     run.__name__ = f"filter_{name}"
     return run
@@ -269,7 +300,7 @@ for _name in ("com_debito", "sem_debito", "com_aviso", "invalidos", "revisao_man
 
 @_query
 def search_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.filter_records(_display(spark, sf_dir), "com_debito", " 00012 ").select(F.col("_ord").alias("ord"), "nex_codigo", "nome")
+    return flows.filtered(_records(spark, sf_dir), "com_debito", " 00012 ").select(F.col("_ord").alias("ord"), "nex_codigo", "nome")
 
 
 @_query

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldus.context import Context
+from saldus.operators import explore
 from saldus.operators.apply import Applied, apply_plan
 from saldus.operators.lookup import first_of_code, with_details_of_code
 from saldus.operators.normalize import HEADERS, normalize
@@ -37,8 +39,19 @@ def analyze(raw: DataFrame, context: Context = Context()) -> Analysis:
 def display(validated: DataFrame) -> DataFrame:
     """All records with tem_celular, tem_cpf, qtd_avisos and revisao_manual; rows that share a code share the last one's validation."""
     rows = with_details_of_code(validated)
+    return contacts(rows).withColumns({"qtd_avisos": F.size("avisos"), "revisao_manual": needs_review(F.col("avisos"))})
+
+
+def contacts(records: DataFrame) -> DataFrame:
+    """records with tem_celular and tem_cpf, which no validation is needed for."""
     has = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
-    return rows.withColumns({"tem_celular": has("celular"), "tem_cpf": has("cpf_cnpj"), "qtd_avisos": F.size("avisos"), "revisao_manual": needs_review(F.col("avisos"))})
+    return records.withColumns({"tem_celular": has("celular"), "tem_cpf": has("cpf_cnpj")})
+
+
+def filtered(records: DataFrame, name: str = "todos", term: str | None = None) -> DataFrame:
+    """Records of a canned filter and term; rows are validated, and joined with the last of their code, only where the filter reads that."""
+    rows = display(validate(records)) if name in explore.NEED_VALIDATION else contacts(records)
+    return explore.filter_records(rows, name, term)
 
 
 def with_warnings(validated: DataFrame) -> DataFrame:
@@ -65,15 +78,19 @@ class SyncResult:
 
 
 def sync(repository: Repository, records: DataFrame, context: Context) -> SyncResult:
-    """Diffs eligible records with the repository, applies the plan and saves. Syncs of a repository go one after another; a failed save raises and changes nothing."""
+    """Diffs eligible records with the repository, applies the plan and saves. Syncs of a repository go one after another; a failed save, or one by another writer since the base was read, raises and changes nothing."""
     check_contract(repository)
     with repository.lock:
+        read = repository.version()
         new, base = eligible(records), repository.find_all()
-        plan = build_plan(base, new)
-        applied = apply_plan(plan, context)
-        planned = plan_summary(base, new, plan).first().asDict()
-        done = applied.resumo.first().asDict()
-        repository.save_batch(applied.nova_base)
+        plan = build_plan(base, new).persist(StorageLevel.DISK_ONLY)  # read by both summaries and the save
+        try:
+            applied = apply_plan(plan, context)
+            planned = plan_summary(base, new, plan).first().asDict()
+            done = applied.resumo.first().asDict()
+            repository.save_batch(applied.nova_base, read)
+        finally:
+            plan.unpersist()
     return SyncResult(planned, done, applied)
 
 

@@ -52,7 +52,7 @@ def _parsed(raw: str, name: str, snapshot: str = "2024-01-31", file: str = "clie
   case when o = '' then 'vazia' when len(dias) > 1 then 'ambigua' when (len(dias) > 0)::int + (len(parcelas) > 0)::int + (len(valores) > 0)::int >= 2 then 'estruturada'
     when len(dias) + len(parcelas) + len(valores) > 0 then 'parcialmente_estruturada' else 'texto_operacional' end as categoria from {name}_c),
 {name} as (select ord, nullif(codigo, '') as nex_codigo, trim(nome) as nome, nullif(trim(cpf_cnpj), '') as cpf_cnpj, nullif(trim(telefone), '') as telefone, nullif(trim(celular), '') as celular,
-  nullif(trim(email), '') as email, nullif(trim(cidade), '') as endereco_cidade, coalesce(fd, 0) as deb, coalesce(fc, 0) as cre, coalesce(fd, 0) - coalesce(fc, 0) as net, '{snapshot}' as snap, '{file}' as arquivo,
+  nullif(trim(email), '') as email, nullif(trim(cidade), '') as endereco_cidade, coalesce(fd, 0) as deb, coalesce(fc, 0) as cre, coalesce(fd, 0) - coalesce(fc, 0) as net, '{snapshot}' as snap, '{file}' as arquivo, 'NEX' as origem,
   case when o = '' then '' else observacoes end as obs, categoria, case when len(dias) = 1 then dias[1] end as venc, parcelas[1] as qtd, case when len(parcelas) > 0 then {_amount("valores[1]")} end as vparc,
   case categoria when 'vazia' then null when 'estruturada' then 'alta' when 'parcialmente_estruturada' then 'media' else 'baixa' end as conf,
   case when coalesce(fd, 0) > 0 then 'em_aberto' else 'sem_debito' end as status, 'nao_solicitado' as consent, 0 as tent, true as tem_hist, tipo, t, fd, fc, dias, parcelas, valores, o from {name}_d)"""
@@ -61,13 +61,21 @@ def _parsed(raw: str, name: str, snapshot: str = "2024-01-31", file: str = "clie
 ERRORS = (
     ("nome is null or trim(nome) = ''", "'campo obrigatorio \"nome\" ausente ou vazio'"),
     ("nex_codigo is null or trim(nex_codigo) = ''", "'campo obrigatorio \"nex_codigo\" ausente'"),
+    ("origem is null", "'campo obrigatorio \"origem_sistema\" ausente'"),
     ("snap is null", "'campo obrigatorio \"data_snapshot_nex\" ausente'"),
+    ("trim(arquivo) = ''", "'campo obrigatorio \"fonte_arquivo_origem\" ausente'"),
+    ("consent is null", "'campo obrigatorio \"consentimento_contato\" ausente'"),
+    ("status is null", "'campo obrigatorio \"status_cobranca\" ausente'"),
     ("not tem_hist", "'campo obrigatorio \"historico\" nao e um array'"),
     ("tent is null", "'campo obrigatorio \"tentativas_cobranca\" nao e numero'"),
+    ("deb is null", "'\"saldo_debito_nex\" nao e numero'"),
+    ("cre is null", "'\"saldo_credito_nex\" nao e numero'"),
+    ("net is null", "'\"valor_liquido_nex\" nao e numero'"),
     ("deb < 0", "'\"saldo_debito_nex\" negativo'"),
+    ("cre < 0", "'\"saldo_credito_nex\" negativo'"),
     (
         "abs(deb - cre - net) > 0.01",
-        "'\"valor_liquido_nex\" (' || case when net = floor(net) then net::bigint::varchar else net::varchar end || ') nao bate com debito-credito (' || (deb - cre)::decimal(18,2)::varchar || ')'",
+        "'\"valor_liquido_nex\" (' || case when net = floor(net) then net::bigint::varchar else net::varchar end || ') nao bate com debito-credito (' || (deb - cre)::decimal(38,2)::varchar || ')'",
     ),
     (
         "status not in ('sem_debito', 'em_aberto', 'em_negociacao', 'cobranca_enviada', 'promessa_pagamento', 'pago', 'inadimplente_recorrente')",
@@ -102,10 +110,13 @@ SPOILT = (
     + """,
 spoilt as (select * replace (
   case when ord % 13 = 1 then '' else nome end as nome,
-  case when ord % 13 = 2 then -50 else deb end as deb,
-  case when ord % 13 = 3 then net + 1 when ord % 13 = 4 then net + 0.005 else net end as net,
-  case when ord % 13 = 5 then 'quitado_para_sempre' when ord % 13 = 7 and deb > 0 then 'sem_debito' when ord % 13 = 8 and deb = 0 then 'em_aberto' else status end as status,
-  case when ord % 13 = 6 then 'talvez' else consent end as consent,
+  case when ord % 17 = 5 then null when ord % 13 = 2 then -50 else deb end as deb,
+  case when ord % 17 = 6 then null when ord % 17 = 8 then -1 else cre end as cre,
+  case when ord % 17 = 7 then null when ord % 13 = 3 then net + 1 when ord % 13 = 4 then net + 0.005 else net end as net,
+  case when ord % 17 = 4 then null when ord % 13 = 5 then 'quitado_para_sempre' when ord % 13 = 7 and deb > 0 then 'sem_debito' when ord % 13 = 8 and deb = 0 then 'em_aberto' else status end as status,
+  case when ord % 17 = 3 then null when ord % 13 = 6 then 'talvez' else consent end as consent,
+  case when ord % 17 = 1 then null else origem end as origem,
+  case when ord % 17 = 2 then '  ' else arquivo end as arquivo,
   ord % 13 <> 9 as tem_hist,
   case when ord % 13 <> 10 then tent end as tent,
   case when ord % 13 = 11 and venc is not null then 'baixa' else conf end as conf,
@@ -184,11 +195,11 @@ SHEET = (
 
 
 def _d2(x: str, name: str) -> str:
-    return f"cast({x} as decimal(18,2)) as {name}"
+    return f"cast({x} as decimal(38,2)) as {name}"
 
 
 def _sum2(x: str, name: str) -> str:
-    return f"cast(coalesce(sum(cast({x} as decimal(18,2))), 0) as decimal(18,2)) as {name}"
+    return f"cast(coalesce(sum(cast({x} as decimal(38,2))), 0) as decimal(38,2)) as {name}"
 
 
 TOTALS = (
@@ -201,7 +212,7 @@ REPORT = VAL + f", rel as (select {TOTALS}, count(*) filter (revisao) as revisao
 
 
 def _money(x: str) -> str:
-    return f"'R$ ' || cast({x} as decimal(18,2))::varchar"
+    return f"'R$ ' || cast({x} as decimal(38,2))::varchar"
 
 
 def _report_lines() -> str:
@@ -231,6 +242,13 @@ def _report_lines() -> str:
     return REPORT + f", l as (select [{', '.join(lines)}] as x from rel) select (i - 1)::int as linha, x[i] as texto from l, range(1, {len(lines) + 1}) r(i)"
 
 
+#: printf rounds the exact binary value of a cell, but takes exact halves (eighths that end in 5) to even: these are pushed up.
+HOSTILE = (
+    "with c as (select c_custkey as ord, case c_custkey % 4 when 0 then repeat('9', (c_custkey % 12 + 2)::int) || '0000000.00' when 1 then (c_custkey % 9 + 1)::varchar || repeat('0', (c_custkey % 5 + 22)::int) else (c_custkey % 1000)::varchar || '.' || lpad((c_custkey % 997)::varchar, 3, '0') end as cell from customer)"
+    " select ord, 'R$ ' || case when cell::double >= 1e21 then replace(cell::double::varchar, '.0e', 'e') else printf('%.2f', cell::double + case when cell::double < 1e6 and cell::double * 8 = floor(cell::double * 8) and suffix(cell, '5') then 0.0005 else 0 end) end as texto, cell::double < 1e15 as exato from c"
+)
+
+
 def _cards() -> str:
     sets = {
         "previa": "Total de registros=total_registros;Registros validos=validos;Registros com aviso=validos_com_aviso;Registros invalidos=invalidos;Clientes com debito=clientes_com_debito;Clientes sem debito=clientes_sem_debito;Total do debito=total_debito;Total do credito=total_credito;Com celular=com_celular;Sem celular=sem_celular;Com CPF=com_cpf;Sem CPF=sem_cpf;Observacoes estruturadas=observacoes_estruturadas;Observacoes vazias=observacoes_vazias;Revisao manual=revisao_manual",
@@ -243,11 +261,11 @@ def _cards() -> str:
 
 
 EXPLAIN = (
-    "concat_ws(' ', case when deb > 0 then 'Cliente possui débito de R$ ' || deb::decimal(18,2)::varchar || ' extraído da coluna \"Débito / Crédito\" do NEX.'"
-    " when cre > 0 then 'Cliente sem débito, mas com crédito de R$ ' || cre::decimal(18,2)::varchar || ' a favor.' else 'Cliente sem débito na exportação do NEX.' end,"
+    "concat_ws(' ', case when deb > 0 then 'Cliente possui débito de R$ ' || deb::decimal(38,2)::varchar || ' extraído da coluna \"Débito / Crédito\" do NEX.'"
+    " when cre > 0 then 'Cliente sem débito, mas com crédito de R$ ' || cre::decimal(38,2)::varchar || ' a favor.' else 'Cliente sem débito na exportação do NEX.' end,"
     " case when categoria = 'vazia' then 'Nenhuma observação registrada no NEX.' else 'Observação classificada como \"' || categoria || '\".' end,"
     " case when categoria <> 'vazia' and venc is not null then 'Sugestão de vencimento: dia ' || venc::varchar || ' (confiança ' || conf || ').' end,"
-    " case when categoria <> 'vazia' and qtd is not null then 'Sugestão de parcelamento: ' || qtd::varchar || 'x' || coalesce(' de R$ ' || vparc::decimal(18,2)::varchar, '') || '.' end,"
+    " case when categoria <> 'vazia' and qtd is not null then 'Sugestão de parcelamento: ' || qtd::varchar || 'x' || coalesce(' de R$ ' || vparc::decimal(38,2)::varchar, '') || '.' end,"
     " case when len(avisos) > 0 then len(avisos)::varchar || ' aviso(s) de validação encontrado(s).' else 'Nenhum aviso de validação.' end)"
 )
 LABEL = "case status when 'sem_debito' then 'Sem débito' when 'em_aberto' then 'Em aberto (devendo)' when 'em_negociacao' then 'Em negociação' when 'cobranca_enviada' then 'Cobrança já enviada' when 'promessa_pagamento' then 'Promessa de pagamento registrada' when 'pago' then 'Dívida quitada' when 'inadimplente_recorrente' then 'Inadimplente recorrente' else coalesce(status, '') end"
@@ -352,6 +370,10 @@ def oracle_sql() -> dict[str, str]:
         "simulation_forecast": REPORT + " select validos + validos_com_aviso as novos, 0::bigint as atualizacoes, invalidos as ignorados, revisao_manual from rel",
         "report_text_lines": _report_lines(),
         "summary_cards": _cards(),
+        "result_cards": PLAN + ", s as (select count(*) filter (caso = 'criado') as criados, count(*) filter (caso = 'atualizado') as atualizados, count(*) filter (caso = 'quitado') as quitados, count(*) filter (caso = 'sem_alteracao') as sem_alteracao,"
+        " count(*) filter (caso = 'nao_aplicado') as nao_aplicados, count(*) as total_processado from acts), r as (select revisao_manual from (" + REPORT + " select revisao_manual from rel))"
+        + " union all ".join(f" select {i} as posicao, '{label}' as rotulo, {f}::varchar as valor from s, r" for i, (label, f) in enumerate((("Total processado", "total_processado"), ("Novos clientes", "criados"), ("Atualizados", "atualizados"), ("Quitados", "quitados"), ("Sem alteração", "sem_alteracao"), ("Removidos/ausentes", "nao_aplicados"), ("Revisão manual (da análise)", "revisao_manual"), ("Avisos na sincronização", "nao_aplicados")))),
+        "hostile_cells": HOSTILE,
         "search_records": SHOWN + " select ord, nex_codigo, nome from shown where deb > 0 and (contains(lower(coalesce(nex_codigo, '')), '00012') or contains(lower(nome), '00012') or contains(coalesce(telefone, ''), '00012') or contains(coalesce(celular, ''), '00012'))",
         "review_rows": SHOWN + " select ord, nex_codigo, nome, " + _money("deb") + " as debito, " + _money("cre") + " as credito, status as status_cobranca, " + YES.format("celular", "Não") + " as celular, " + YES.format("cpf_cnpj", "Não") + " as cpf, categoria as observacao_categoria, vstatus as validacao_status, len(avisos)::int as qtd_avisos from shown",
         "status_label": SPOILT + f" select {LABEL} as rotulo, count(*) as n from val group by 1",
@@ -385,12 +407,12 @@ def oracle_sql() -> dict[str, str]:
         "profile_duplicates": SHEET + ", g as (select cpf_cnpj, count(*) as n from fin where cpf_cnpj is not null group by 1) select 'cpf_cnpj' as criterio, count(*) filter (n > 1) as duplicidades from g",
         "profile_duplicates_by_name": SHEET + ", g as (select lower(nome) as x, count(*) as n from fin where nome <> '' group by 1) select 'nome' as criterio, count(*) filter (n > 1) as duplicidades from g",
         "profile_financial": SHEET + " select count(*) as registros, count(*) filter (owes) as com_debito, count(*) filter (has) as com_credito, count(*) filter (owes and has) as com_ambos, count(*) filter (not owes and not has) as sem_movimentacao, count(*) filter (tipo = 'formato_nao_reconhecido') as nao_reconhecidos, "
-        + _sum2("case when owes then fd end", "total_debito") + ", " + _sum2("case when has then fc end", "total_credito") + ", cast(coalesce(sum(cast(case when owes then fd end as decimal(18,2))), 0) - coalesce(sum(cast(case when has then fc end as decimal(18,2))), 0) as decimal(18,2)) as saldo_liquido from fin",
+        + _sum2("case when owes then fd end", "total_debito") + ", " + _sum2("case when has then fc end", "total_credito") + ", cast(coalesce(sum(cast(case when owes then fd end as decimal(38,2))), 0) - coalesce(sum(cast(case when has then fc end as decimal(38,2))), 0) as decimal(38,2)) as saldo_liquido from fin",
         "profile_unrecognized_shapes": SHEET + ", g as (select regexp_replace(t, '[0-9]', '#', 'g') as formato, count(*) as quantidade, min(ord) as f from fin where tipo = 'formato_nao_reconhecido' group by 1) select formato, quantidade from g order by f, formato limit 5",
         "profile_notes": SHEET + " select " + ", ".join(f"count(*) filter (categoria = '{k}') as {k}" for k in ("vazia", "estruturada", "parcialmente_estruturada", "texto_operacional", "ambigua")) + ", count(*) filter (len(dias) > 0) as com_dia, count(*) filter (len(parcelas) > 0) as com_parcela, count(*) filter (len(valores) > 0) as com_valor from fin",
         "profile_examples": _examples(),
         "profile_contactability": SHEET + ", g as (select count(*) filter (owes and o <> '') as debito_e_observacao, count(*) filter (owes and o = '') as debito_sem_observacao, count(*) filter (owes and celular is not null) as debito_e_celular, count(*) filter (owes and celular is null) as debito_sem_celular from fin),"
         " x as (select *, debito_e_celular + debito_sem_celular as n from g) select debito_e_observacao, debito_sem_observacao, debito_e_celular, debito_sem_celular, case when n = 0 then '0.0' else (((2000 * debito_e_celular + n) // (2 * n)) // 10)::varchar || '.' || (((2000 * debito_e_celular + n) // (2 * n)) % 10)::varchar end as percentual from x",
-        "profile_reconcile": SHEET + ", g as (select " + _sum2("case when owes then fd end", "total_calculado") + " from fin) select total_calculado, cast(25414.58 as decimal(18,2)) as total_referencia, cast(abs(total_calculado - 25414.58) as decimal(18,2)) as diferenca, case when abs(total_calculado - 25414.58) < 0.01 then 'Sim' else 'Nao' end as valores_iguais from g",
+        "profile_reconcile": SHEET + ", g as (select " + _sum2("case when owes then fd end", "total_calculado") + " from fin) select total_calculado, cast(25414.58 as decimal(38,2)) as total_referencia, cast(abs(total_calculado - 25414.58) as decimal(38,2)) as diferenca, case when abs(total_calculado - 25414.58) < 0.01 then 'Sim' else 'Nao' end as valores_iguais from g",
     }
     return out | _filters()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +12,24 @@ from saldus.sources.failures import ImportFailure
 
 
 def read_table(spark: SparkSession, path: str, order: str | None = None) -> DataFrame:
-    """A parquet or CSV export. order: the column that holds the row's place; a file without one is numbered as it is read.
+    """A parquet or CSV export. order: the column that holds the row's place. Without it, rows of Parquet files are in the order of file names and of
+    their place in a file; a CSV export must be a single file, which is read in one piece.
 
     Codes are text in the end, whole numbers without a point.
     """
     if path.lower().rstrip("/").endswith(".csv"):
         raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
-    else:
-        raw = spark.read.parquet(path)
-    return numbered(as_text(raw), order)
+        if not order and "_ord" not in raw.columns and len(raw.inputFiles()) > 1:
+            raise ValueError("several CSV files have no order of rows: name the column that holds it")
+        return numbered(as_text(raw), order)
+    raw = spark.read.parquet(path)
+    if order or "_ord" in raw.columns:
+        return numbered(as_text(raw), order)
+    placed = raw.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # A row for each file, so its rank is cheap.
+    ranks = spark.createDataFrame(list(enumerate(sorted({unquote(x.rpartition("/")[2]) for x in raw.inputFiles()}))), "_rank bigint, _name string")
+    ranked = placed.join(F.broadcast(ranks), F.col("_file") == F.col("_name"))
+    return as_text(ranked.withColumn("_ord", F.shiftleft("_rank", 40) + F.col("_row")).drop("_file", "_row", "_rank", "_name"))
 
 
 def as_text(raw: DataFrame) -> DataFrame:
@@ -29,7 +39,7 @@ def as_text(raw: DataFrame) -> DataFrame:
 
 
 def numbered(raw: DataFrame, order: str | None = None) -> DataFrame:
-    """raw with _ord: a column of its own, or rows in the order of files and their parts."""
+    """raw with _ord: a column of its own, or the order in which partitions hold the rows."""
     if "_ord" in raw.columns:
         return raw
     if order:

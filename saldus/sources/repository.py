@@ -15,6 +15,13 @@ from saldus.schema import SCHEMA
 METHODS = ("find_all", "find_by_code", "save_batch")
 
 
+class StaleBase(RuntimeError):
+    """Another writer has saved since the base was read."""
+
+    def __init__(self, read: int, now: int):
+        super().__init__(f"the base was read at version {read} and is at {now}: sync again")
+
+
 @runtime_checkable
 class Repository(Protocol):
     lock: threading.Lock
@@ -23,7 +30,9 @@ class Repository(Protocol):
 
     def find_by_code(self, code: object) -> Row | None: ...
 
-    def save_batch(self, records: DataFrame) -> None: ...
+    def save_batch(self, records: DataFrame, read: int | None = None) -> None: ...
+
+    def version(self) -> int: ...
 
 
 def check_contract(repository: object) -> None:
@@ -62,7 +71,7 @@ class MemoryRepository(_Faults):
     """Records in a DataFrame held by the object; each save makes a new one."""
 
     def __init__(self, spark: SparkSession, records: DataFrame | None = None):
-        self.lock = threading.Lock()
+        self.lock, self._version = threading.Lock(), 0
         empty = spark.createDataFrame([], SCHEMA).withColumn("_ord", F.lit(0).cast("bigint"))
         self._now = empty if records is None else _ordered(dedup_last(records).withColumn("_at", F.struct(F.lit(0).alias("side"), F.col("_pos").alias("pos"))).drop("_ord", "_pos"))
 
@@ -72,11 +81,17 @@ class MemoryRepository(_Faults):
     def find_by_code(self, code: object) -> Row | None:
         return self._now.where(F.col("nex_codigo") == str(code)).first()
 
-    def save_batch(self, records: DataFrame) -> None:
+    def version(self) -> int:
+        return self._version
+
+    def save_batch(self, records: DataFrame, read: int | None = None) -> None:
         self._raise_fault()
+        if read is not None and read != self._version:
+            raise StaleBase(read, self._version)
         # Rows are small in number here; materialised, so that a chain of saves doesn't grow a plan.
         after = _ordered(upserted(self._now, _numbered(records)))
         self._now = after.sparkSession.createDataFrame(after.collect(), after.schema)
+        self._version += 1
 
 
 class ParquetRepository(_Faults):
@@ -101,10 +116,15 @@ class ParquetRepository(_Faults):
     def find_by_code(self, code: object) -> Row | None:
         return self.find_all().where(F.col("nex_codigo") == str(code)).first()
 
-    def save_batch(self, records: DataFrame) -> None:
-        """Writes the next version aside and renames it into place: readers see the old table or the new one."""
+    def save_batch(self, records: DataFrame, read: int | None = None) -> None:
+        """Writes the next version aside and renames it into place: readers see the old table or the new one.
+
+        read: the version that the records were made from; a later one by then is another writer's, whose changes this save would undo.
+        """
         self._raise_fault()
         n = self.version()
+        if read is not None and read != n:
+            raise StaleBase(read, n)
         aside = f"{self.path}/aside/{uuid.uuid4().hex}"
         _ordered(upserted(self.find_all(), _numbered(records))).write.parquet(aside)
         self._fs.mkdirs(self._at(f"{self.path}/current"))

@@ -150,3 +150,27 @@ def test_result_cards(spark):
     row = spark.createDataFrame([(9, 1, 2, 3, 4, 5, 6, 7)], "total_processado long, criados long, atualizados long, quitados long, sem_alteracao long, nao_aplicados long, revisao_manual long, total_avisos long")
     got = [(r["rotulo"], r["valor"]) for r in explore.cards(row, explore.RESULT_CARDS).orderBy("posicao").collect()]
     assert len(got) == 8 and got[6:] == [("Revisão manual (da análise)", "6"), ("Avisos na sincronização", "7")]
+
+
+def test_stale_base_is_refused(spark, tmp_path):
+    from saldus.sources.repository import ParquetRepository, StaleBase
+
+    one, two = (ParquetRepository(spark, f"{tmp_path}/store") for _ in range(2))
+    empty = one.find_all()
+    read = one.version()
+    two.save_batch(empty, two.version())
+    with pytest.raises(StaleBase):
+        one.save_batch(empty, read)
+
+
+def test_rows_of_several_files_keep_their_order(spark, tmp_path):
+    from saldus.sources.exports import read_table
+
+    spark.createDataFrame([("first",)], "Nome string").coalesce(1).write.parquet(f"{tmp_path}/a")
+    spark.range(2000).selectExpr("cast(id as string) as Nome").coalesce(1).write.parquet(f"{tmp_path}/b")
+    folder = tmp_path / "export"
+    folder.mkdir()
+    for name in "ab":
+        next((tmp_path / name).glob("part-*.parquet")).rename(folder / f"{name}.parquet")
+    rows = [r["Nome"] for r in read_table(spark, str(folder)).orderBy("_ord").collect()]
+    assert rows == ["first", *map(str, range(2000))]

@@ -90,3 +90,23 @@ def test_round2(spark):
     values = [(2.5, 2.5), (-2.005, -2.0), (1.005, 1.01), (0.125, 0.13), (-0.125, -0.12)]
     df = spark.createDataFrame([(a,) for a, _ in values], "x double")
     assert [r["y"] for r in df.select(text.round2(F.col("x")).alias("y")).collect()] == [b for _, b in values]
+
+
+def test_money_of_half_cents_and_huge_amounts(spark):
+    exact = {1.005: "1.00", 0.005: "0.01", 0.015: "0.01", 2.675: "2.67", -1.005: "-1.00", 0.125: "0.13", -0.125: "-0.13", 0.001: "0.00", 999.995: "1000.00", 1e15: "1000000000000000.00", 123456789012345680000.0: "123456789012345683968.00", 1e20: "100000000000000000000.00", 1e21: "1e+21", 7e22: "7e+22"}
+    exact |= {v: format(v, ".2f") for v in (0.01, 1.0, 0.994999, 123.455, 8.345, 70.075)}
+    rows = spark.createDataFrame([(v,) for v in (*exact, None)], "v double").select("v", text.money(F.col("v")).alias("m")).collect()
+    assert {r["v"]: r["m"] for r in rows} == {v: f"R$ {x}" for v, x in (exact | {None: "0.00"}).items()}
+
+
+def test_huge_cells_go_through_the_flow(spark):
+    from saldus.plans import flows
+
+    rows = [(i, str(i), f"n{i}", c) for i, c in enumerate(["Débito- R$ 99999999999999999999,00", "Débito 1.005", "Débito " + "9" * 400])]
+    raw = spark.createDataFrame(rows, "_ord bigint, `Código` string, `Nome` string, `Débito / Crédito` string")
+    found = flows.analyze(raw)
+    assert found.registros.count() == 3 and found.relatorio.count() == 1 and found.registros_com_aviso.count() >= 0
+
+
+def test_headers_lose_all_marks(spark):
+    assert spark.range(1).select(text.header_key(F.lit(" Šaldo dő Żebito Ệ "))).first()[0] == "saldo do zebito e"

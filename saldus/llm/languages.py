@@ -1,14 +1,14 @@
 """Language ID of web pages by Bayesian evidence fusion.
 
 The visible text of a page has a likelihood under each language (hashed words and their beginnings, naive Bayes, tempered because words aren't
-independent). It is fused with what the page declares in its markup, with its address suffix, and with a prior of its host. The host prior is smoothed
-by that of its domain, the domain's by that of its suffix, and the suffix's by all pages'. Priors and the reliability of declarations are
+independent; how much, the agreement with all pages' declarations tells). It is fused with what the page declares in its markup, with its address suffix, and with a prior of its host. The host prior is smoothed
+by that of its registered domain, the domain's by that of its suffix, and the suffix's by all pages'; a page's own posterior is left out of the counts that make its prior. Priors and the reliability of declarations are
 counted over all pages by grouped aggregation of the text posteriors, with partial sums, so a frequent host is no burden.
 
 Word likelihoods are fitted on labelled documents of a documented bound (`Setup.sample`, `train_bytes`); all counts are over all pages.
 
 Defined cases: a null or empty page has no text evidence and is decided by the rest; a page without a host, suffix or declaration lacks that evidence; a declaration of
-a language that isn't among those fitted is one value, `other`; without labelled documents there are no rows; repeated rows are counted and judged each; an
+a language that isn't among those fitted is one value, `other`; a page of any length is read whole, in time that grows with its length; without labelled documents there are no rows; repeated rows are counted and judged each; an
 empty table gives no rows; only page_id, url and html are read. Equal posteriors go to the first language by name.
 """
 
@@ -34,8 +34,14 @@ _CLOSES = re.compile(r"(?i)</(script|style|noscript|template|head|nav)\s*>|<(bod
 #: The rest of a head's tag and what can stand in a head, as far as it goes.
 _HEAD = re.compile(r"(?is)[^>]*>(?:\s+|<!--.*?-->|<(script|style|noscript|template|title)\b.*?</\1\s*>|</?(?:meta|link|base|basefont|bgsound)\b[^>]*>)*+")
 _TAG = re.compile(r"(?s)<[^>]*>?")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\b(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})""")
-_META = re.compile(r"""(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*["']?\s*([a-z]{2,3})""")
+#: Each is linear: a tag is found first, up to the next bracket of either kind, and then looked into.
+_BODY = re.compile(r"(?i)<body\b")
+_ROOT = re.compile(r"(?i)<html\b([^<>]*)>")
+_META = re.compile(r"(?i)<meta\b([^<>]*)>")
+_LANG = re.compile(r"""(?i)(?<![\w-])(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})""")
+_CONTENT = re.compile(r"""(?i)(?<![\w-])content\s*=\s*["']?\s*([a-z]{2,3})""")
+#: Second labels that stand before a country's label in the suffix under which names are registered.
+SECOND_LABELS = ("ac", "co", "com", "edu", "gob", "gov", "net", "or", "org")
 
 
 @dataclass(frozen=True)
@@ -43,7 +49,6 @@ class Setup:
     sample: int = 4000  # labelled documents that likelihoods are fitted on
     train_bytes: int = 8192  # of the longest of them
     temper: float = 0.25  # of a word's log-likelihood
-    most: float = 20.0  # words' worth of text evidence, tempered, at most
     strength: float = 10.0  # pages that a level of the host hierarchy counts as
 
 
@@ -53,7 +58,7 @@ class Likelihoods:
     table: np.ndarray  # (hashed features, languages)
 
     def of(self, texts: list[str], setup: Setup) -> np.ndarray:
-        """(text, language): bounded, tempered log-likelihoods; their largest is 0."""
+        """(text, language): tempered log-likelihoods; their largest is 0."""
         out = np.zeros((len(texts), len(self.names)))
         for lo, _, raw, offsets in kernel.blocks(pa.array(texts, pa.large_string()), 1 << 20):
             t = kernel.Text(raw, offsets, lower=True)
@@ -62,7 +67,7 @@ class Likelihoods:
                 each = self.table[words(t, BITS)].sum(axis=1)
                 out[lo + filled] = np.add.reduceat(each, np.searchsorted(t.doc, filled), axis=0)
         out *= setup.temper
-        return np.maximum(out - out.max(axis=1, keepdims=True), -setup.most)
+        return out - out.max(axis=1, keepdims=True)
 
 
 def fit(texts: list[str], languages: list[str]) -> Likelihoods:
@@ -91,7 +96,7 @@ def _shown(html: str) -> str:
         i = bisect_left(own, (place, 0))
         return own[i] if i < len(own) else None
 
-    out, kept, m = [], 0, _OPENS.search(html)
+    out, kept, headed, m = [], 0, False, _OPENS.search(html)
     while m:
         name, end = (m[1] or "").lower(), None
         if not name:
@@ -101,8 +106,8 @@ def _shown(html: str) -> str:
             close, body = after(name, m.end()), after("body", m.end())
             if close and (body is None or close < body):
                 end = close[1]
-            else:
-                own = _HEAD.match(html, m.end())
+            elif not headed:  # a page has one head; of another that isn't closed only the tag is hidden
+                headed, own = True, _HEAD.match(html, m.end())
                 end = own.end() if own else len(html)
         elif close := after(name, m.end()):
             end = close[1]
@@ -120,7 +125,13 @@ def visible(html: str) -> str:
 
 
 def declared(html: str) -> str | None:
-    m = _DECLARED.search(html) or _META.search(html)
+    body = _BODY.search(html)
+    head = html[: body.start()] if body else html
+    root = _ROOT.search(head)
+    m = _LANG.search(root[1]) if root else None
+    if not m:
+        own = next((x[1] for x in _META.finditer(head) if "content-language" in x[1].lower()), None)
+        m = _CONTENT.search(own) if own else None
     return m[1].lower() if m else None
 
 
@@ -141,7 +152,14 @@ def _evidence(pages: DataFrame, model: Likelihoods, setup: Setup) -> DataFrame:
     host = F.lower(F.nullif(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
     found = pages.select("page_id", host.alias("host"), "html").mapInArrow(run, "page_id long, host string, declared string, like array<double>")
     labels = F.split("host", r"\.")
-    return found.withColumns({"suffix": F.when(F.size(labels) > 1, F.element_at(labels, -1)), "domain": F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -F.least(F.size(labels), F.lit(3)), F.lit(3)), "."))})
+    return found.withColumns({"suffix": F.when(F.size(labels) > 1, F.element_at(labels, -1)), "domain": domain(labels)})
+
+
+def domain(labels: Column) -> Column:
+    """The registered domain of a host's labels: the last two, or three where a country's label stands behind a general one; null for a host of one label."""
+    country = (F.length(F.element_at(labels, -1)) == 2) & F.try_element_at(labels, F.lit(-2)).isin(*SECOND_LABELS)
+    n = F.least(F.size(labels), F.when(country, 3).otherwise(2))
+    return F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -n, n), "."))
 
 
 def _posterior(logs: Column) -> Column:
@@ -150,14 +168,30 @@ def _posterior(logs: Column) -> Column:
     return F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, y: a + y))
 
 
+#: Scales of the text evidence that are tried.
+SCALES = (1.0, 0.5, 0.25, 0.125, 0.0625, 0.03125)
+
+
+def _scale(found: DataFrame, names: list[str]) -> float:
+    """The scale of log-likelihoods that agrees best with what pages declare: the one under which the declared languages are likeliest, over all pages.
+
+    Words aren't independent and a page may hold passages of other languages, so their sum says too much; how much too much, the declarations tell.
+    """
+    place = F.array_position(F.array(*(F.lit(x) for x in names)), F.col("declared"))
+    known = found.where(F.col("declared").isin(*names)).select("like", place.cast("int").alias("at"))
+    tried = known.agg(*(F.sum(F.element_at("like", F.col("at")) * g - F.ln(F.aggregate("like", F.lit(0.0), lambda a, x: a + F.exp(x * g)))).alias(f"g{i}") for i, g in enumerate(SCALES))).first()
+    return max(zip((x if x is not None else 0.0 for x in tried), SCALES, strict=True))[1]
+
+
 def _counts(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
     """Sums of posteriors by key."""
     sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.sum(F.col("soft")[i]).alias(f"s{i}") for i in range(n)))
     return sums.select(F.col(key), F.array(*(F.col(f"s{i}") for i in range(n))).alias(name))
 
 
-def _smoothed(own: Column, parent: Column, strength: float) -> Column:
-    """Shares of own counts, with the parent's shares counted as `strength` pages; the parent's where there are none."""
+def _smoothed(counts: Column, parent: Column, strength: float) -> Column:
+    """Shares of the counts of all other pages, with the parent's shares counted as `strength` pages; the parent's where there are none."""
+    own = F.zip_with(counts, F.col("soft"), lambda x, y: F.greatest(x - y, F.lit(0.0)))
     total = F.aggregate(own, F.lit(0.0), lambda a, y: a + y)
     return F.when(own.isNull(), parent).otherwise(F.zip_with(own, parent, lambda x, p: (x + strength * p) / (total + strength)))
 
@@ -172,7 +206,9 @@ def identify(pages: DataFrame, documents: DataFrame, setup: Setup = Setup()) ->
         return pages.sparkSession.createDataFrame([], schema)
     model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
     n = len(model.names)
-    found = scratch.stored(_evidence(pages, model, setup).withColumn("soft", _posterior(F.col("like"))), "pages")
+    found = scratch.stored(_evidence(pages, model, setup), "pages")
+    scale = _scale(found, model.names)
+    found = found.withColumn("like", F.transform("like", lambda x: x * scale)).withColumn("soft", _posterior(F.col("like")))
     total = [x or 0.0 for x in found.agg(*(F.sum(F.col("soft")[i]) for i in range(n))).first()]
     shares = F.array(*(F.lit((x + 1) / (sum(total) + n)) for x in total))
 

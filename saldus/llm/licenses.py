@@ -1,7 +1,7 @@
 """License scans: sentence-rule recognition.
 
-A text is cut into sentences, each is normalised (lower case, words of letters, digits and points alone), and a sentence that a catalogue
-knows becomes its identifier. The text's identifiers, in order, are matched against ordered rules: a rule is a run of identifiers, the
+A text is cut into sentences, each is normalised (lower case, words of letters, digits and points alone; a holder's name gives way to a slot), and a sentence that a catalogue
+knows, as a whole or by a notice inside it, becomes its identifier. Lines that go on in the next are joined first, whatever their case. The text's identifiers, in order, are matched against ordered rules: a rule is a run of identifiers, the
 first rules are the most specific, and what a rule has matched is taken out for those after it. All steps are column expressions in the
 scan itself: no shuffle, and no row for a sentence.
 
@@ -46,8 +46,43 @@ SENTENCES = {
     "spdx license identifier apache 2.0": "spdx-apache",
     "spdx license identifier gpl 3.0 only": "spdx-gpl3",
     "all rights reserved under copyright": "reserved",
+    "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
+    "mit license": "mit-title",
+    "the mit license": "mit-title",
+    "the mit license mit": "mit-title",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-notice",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "lgpl21-later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-later",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-warranty",
+    "this is free and unencumbered software released into the public domain": "unlicense-notice",
+    "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "cc0-notice",
+    "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license": "apache-notice",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution and": "bsd-binary",
 }
 
+#: What a sentence says when it isn't in the catalogue as a whole: a notice inside it, the first that fits.
+UNDER = "(licen[sc]ed|released|distributed|available|provided|published|covered) (under|by) (the )?(terms of )?(the |a )?"
+NOTICES = (
+    (UNDER + "apache licen[sc]e (version |v )?2(.0)?( |$)", "apache-notice"),
+    (UNDER + "(expat |x11 )?mit( style)? licen[sc]e( |$)", "mit-notice"),
+    (UNDER + "isc licen[sc]e( |$)", "isc-notice"),
+    (UNDER + "(bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd) licen[sc]e( |$)", "bsd3-notice"),
+    (UNDER + "(bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd) licen[sc]e( |$)", "bsd2-notice"),
+    (UNDER + "gnu affero general public licen[sc]e (version |v )?3(.0)?( |$)", "agpl3-notice"),
+    (UNDER + "gnu (lesser|library) general public licen[sc]e (version |v )?2.1( |$)", "lgpl21-notice"),
+    (UNDER + "gnu (lesser|library) general public licen[sc]e (version |v )?3(.0)?( |$)", "lgpl3-notice"),
+    (UNDER + "gnu general public licen[sc]e (version |v )?3(.0)?( |$)", "gpl3-notice"),
+    (UNDER + "gnu general public licen[sc]e (version |v )?2(.0)?( |$)", "gpl2-notice"),
+    (UNDER + "mozilla public licen[sc]e (version |v )?2.0( |$)", "mpl2-notice"),
+    (UNDER + "(creative commons )?cc by nc 4.0( |$)", "cc-by-nc-4"),
+    (UNDER + "(creative commons )?cc by sa 4.0( |$)", "cc-by-sa-4"),
+    (UNDER + "(creative commons )?cc by 4.0( |$)", "cc-by-4"),
+)
+#: A name that a license leaves open, and what stands for it in the catalogue.
+SLOT = "^neither the names? of .{1,200} (nor|and) the names of (its|their|any) contributors may"
+NAMED = "neither the name of the copyright holder nor the names of its contributors may"
+
 #: Runs of identifiers and the license each stands for, the most specific first.
 RULES = (
     ("apache-notice apache-use apache-copy apache-warranty apache-see", "Apache-2.0"),
@@ -57,6 +92,10 @@ RULES = (
     ("bsd-grant bsd-source bsd-binary", "BSD-2-Clause"),
     ("gpl3-later gpl-warranty", "GPL-3.0-or-later"),
     ("gpl2-later gpl-warranty", "GPL-2.0-or-later"),
+    ("lgpl21-later gpl-warranty", "LGPL-2.1-or-later"),
+    ("lgpl3-later gpl-warranty", "LGPL-3.0-or-later"),
+    ("agpl3-later gpl-warranty", "AGPL-3.0-or-later"),
+    ("mit-title mit-grant mit-condition", "MIT"),
     ("apache-notice", "Apache-2.0"),
     ("mit-notice", "MIT"),
     ("mit-grant mit-condition", "MIT"),
@@ -71,22 +110,47 @@ RULES = (
     ("spdx-mit", "MIT"),
     ("spdx-apache", "Apache-2.0"),
     ("spdx-gpl3", "GPL-3.0-only"),
+    ("lgpl21-later", "LGPL-2.1-or-later"),
+    ("lgpl3-later", "LGPL-3.0-or-later"),
+    ("agpl3-later", "AGPL-3.0-or-later"),
+    ("lgpl21-notice", "LGPL-2.1"),
+    ("lgpl3-notice", "LGPL-3.0"),
+    ("agpl3-notice", "AGPL-3.0"),
+    ("mpl2-notice", "MPL-2.0"),
+    ("isc-notice", "ISC"),
+    ("bsd3-notice", "BSD-3-Clause"),
+    ("bsd2-notice", "BSD-2-Clause"),
+    ("unlicense-notice", "Unlicense"),
+    ("cc0-notice", "CC0-1.0"),
+    ("mit-title", "MIT"),
 )
 
 #: Every sentence of the catalogue holds one of these, so a sentence without them needs no look-up.
-TRIGGER = "licen[sc]e|copyright|permission|permitted|redistribut|warrant|without restriction|distributed"
-#: A line that ends in a small letter or comma goes on in a next line that begins with a small letter, behind a comment mark or none.
-WRAPPED = r"([a-z,])[ \t]*\r?\n[ \t]*[#*/;]*[ \t]*([a-z(])"
+TRIGGER = "licen[sc]e|copyright|permission|permitted|redistribut|warrant|without restriction|distributed|unencumbered|names of"
+#: A line goes on in the next, behind a comment mark or none: where small letters or capitals stand on both sides, and behind a line of 50 characters and more.
+WRAPS = (
+    r"([a-z,])[ \t]*\r?\n[ \t]*[#*/;]*[ \t]*([a-z(])",
+    r"([A-Z][A-Z,])[ \t]*\r?\n[ \t]*[#*/;]*[ \t]*([A-Z][A-Z,])",
+    r"([^\n]{50}[a-z,])[ \t]*\r?\n[ \t]*[#*/;]*[ \t]*([A-Z])",
+)
 ENDS = r"[.!?][ \t]+|[.!?]?[\r\n]+|[.!?]$"
 
 
+def _said(sentence: Column) -> Column:
+    """A normalised sentence: words of small letters, digits and points, names that a license leaves open replaced."""
+    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.]+", " ")), SLOT, NAMED)
+
+
 def identifiers(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order."""
     catalogue = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    # Twice, as the letter that ends one wrapped line may begin the next.
-    whole = F.regexp_replace(F.regexp_replace(text, WRAPPED, "$1 $2"), WRAPPED, "$1 $2")
+    whole = text
+    for wrap in WRAPS:
+        # Twice, as what ends one wrapped line may begin the next.
+        whole = F.regexp_replace(F.regexp_replace(whole, wrap, "$1 $2"), wrap, "$1 $2")
     sentences = F.filter(F.split(whole, ENDS), lambda s: F.lower(s).rlike(TRIGGER))
-    named = F.transform(sentences, lambda s: F.try_element_at(catalogue, F.trim(F.regexp_replace(F.lower(s), r"[^a-z0-9.]+", " "))))
+    notice = lambda s: F.coalesce(*(F.when(s.rlike(p), F.lit(i)) for p, i in NOTICES))
+    named = F.transform(F.transform(sentences, _said), lambda s: F.coalesce(F.try_element_at(catalogue, s), notice(s)))
     hit = F.coalesce(text, F.lit("")).rlike("(?i)" + TRIGGER)
     return F.when(hit, F.array_compact(named)).otherwise(F.array().cast("array<string>"))
 
@@ -109,12 +173,15 @@ def scan(docs: DataFrame) -> DataFrame:
 def oracle() -> str:
     """The same rules in DuckDB's SQL."""
     text = "coalesce(text, '')"
-    wrapped = f"regexp_replace({text}, '{WRAPPED}', '\\1 \\2', 'g')"
-    wrapped = f"regexp_replace({wrapped}, '{WRAPPED}', '\\1 \\2', 'g')"
+    wrapped = text
+    for wrap in (w for w in WRAPS for _ in range(2)):
+        wrapped = f"regexp_replace({wrapped}, '{wrap}', '\\1 \\2', 'g')"
     # Cut at marks: the pieces between them, as RE2 splits.
     sentences = f"list_filter(regexp_split_to_array({wrapped}, '{ENDS}'), lambda s: regexp_matches(lower(s), '{TRIGGER}'))"
-    cases = " ".join(f"when '{k}' then '{v}'" for k, v in SENTENCES.items())
-    named = f"list_filter(list_transform({sentences}, lambda s: case trim(regexp_replace(lower(s), '[^a-z0-9.]+', ' ', 'g')) {cases} end), lambda x: x is not null)"
+    said = f"list_transform({sentences}, lambda s: regexp_replace(trim(regexp_replace(lower(s), '[^a-z0-9.]+', ' ', 'g')), '{SLOT}', '{NAMED}'))"
+    cases = " ".join(f"when s = '{k}' then '{v}'" for k, v in SENTENCES.items())
+    notices = " ".join(f"when regexp_matches(s, '{p}') then '{i}'" for p, i in NOTICES)
+    named = f"list_filter(list_transform({said}, lambda s: case {cases} {notices} end), lambda x: x is not null)"
     sql = f"with r as (select doc_id, {named} as ids from documents), r0 as (select doc_id, ids, case when len(ids) = 0 then '' else '<' || array_to_string(ids, '><') || '>' end as rest, [] :: varchar[] as hits from r)"
     for i, (run, name) in enumerate(RULES):
         pattern = "<" + "><".join(run.split()) + ">"

@@ -18,7 +18,7 @@ def test_triggers_cover_the_catalogue():
     import re
 
     assert all(re.search(licenses.TRIGGER, s) for s in licenses.SENTENCES)
-    known = set(licenses.SENTENCES.values())
+    known = set(licenses.SENTENCES.values()) | {i for _, i in licenses.NOTICES}
     assert all(set(run.split()) <= known for run, _ in licenses.RULES)
 
 
@@ -46,3 +46,50 @@ def test_query_runs_with_the_default_setup(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(compaction, "compacted", lambda docs, setup=compaction.Setup(): used.append(setup))
     registry.op10_sharding(spark, str(tmp_path))
     assert used == [compaction.Setup()]
+
+
+#: Texts as files carry them: wrapped, behind comment marks, with holders' names.
+REAL = {
+    "Apache-2.0": '''# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.''',
+    "MIT": "MIT License\n\nCopyright (c) 2020 Someone\n\n" + MIT.replace(" conditions.", " conditions:") + '\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    "BSD-3-Clause": '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of Example Industries, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.''',
+    "GPL-3.0-or-later": '''This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.''',
+    "LGPL-2.1-or-later": '''This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.''',
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+}
+
+
+def test_texts_as_files_carry_them(spark):
+    rows = [(i, t) for i, t in enumerate(REAL.values())] + [(100, "This file is licensed under the MIT License, see below."), (101, "Portions are distributed under the terms of the 3-Clause BSD License")]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(REAL))] == list(REAL)
+    assert got[100] == "MIT" and got[101] == "BSD-3-Clause"

@@ -112,3 +112,30 @@ def test_unclosed_head_and_nav_hide_no_text():
     assert shown("<HEAD><title>t</title>one <body>two <script>'</head>'</script>three") == ["one", "two", "three"]
     assert shown("<body><nav><a>menu</a><p>one<template>two") == ["menu", "one", "two"]
     assert shown("<head><title>t</title></head><body><nav>menu</nav>one<!-- x --><style>s</style><header>two</header><script>rest") == ["one", "two"]
+
+
+def test_registered_domains(spark):
+    hosts = {"www.site1.de": "site1.de", "blog.site1.de": "site1.de", "a.b.shop.co.uk": "shop.co.uk", "shop.co.uk": "shop.co.uk", "x.example.net": "example.net", "localhost": None}
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", languages.domain(F.split("host", r"\.")).alias("d")).collect()
+    assert {r["host"]: r["d"] for r in rows} == hosts
+
+
+def test_long_and_hostile_pages_are_read_in_time():
+    import time
+
+    for part in ("<meta ", "<html ", "<head><title>", "<head ", "<meta content-language ", "<!--", "<script>", "<nav>", "<body "):
+        page = part * (1_000_000 // len(part))
+        began = time.perf_counter()
+        languages.declared(page)
+        languages.visible(page)
+        assert time.perf_counter() - began < 5, part
+    assert languages.declared('<html data-lang="xx" xml:lang="de">') == "de" and languages.declared('<meta http-equiv="content-language" content="fr"><body lang="es">') == "fr"
+
+
+def test_a_page_is_no_part_of_its_own_prior(spark):
+    """Of two pages of one host, a page without text goes with the other; alone on its host it has the suffix's prior."""
+    words = {"de": "der die das und nicht mit auch sich auf für", "en": "the and of with not also that for from this"}
+    docs = spark.createDataFrame([(i, " ".join([words[x]] * 4), x) for i, x in enumerate(["de", "en"] * 20)], "doc_id long, text string, lang string")
+    pages = [(0, "http://one.example.de/a", f"<html><body>{words['de'] * 30}</body></html>"), (1, "http://one.example.de/b", None), (2, "http://two.other.com/", f"<html><body>{words['en'] * 30}</body></html>"), (3, "http://three.third.com/", "")]
+    got = {r["page_id"]: r["lang"] for r in languages.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
+    assert got == {0: "de", 1: "de", 2: "en", 3: "en"}

@@ -65,3 +65,15 @@ def test_final_marks_and_runs_of_marks():
     data = ("\n".join([long, *bad, *good])).encode()
     x = quality.judged(np.frombuffer(data, np.uint8), np.array([0, len(data)], np.int64), quality.Rules())
     assert x["line_failed"].tolist() == [False] + [True] * len(bad) + [False] * len(good)
+
+
+def test_no_collisions_by_construction_and_long_texts(spark):
+    """A Thue-Morse word and its complement collide under any polynomial hash modulo 2**64; repeated rows are judged one by one."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    long = " ".join(f"w{i}" for i in range(400_000)) + "."
+    rows = [(1, f"{word}\n{other}"), (2, f"{word}\n{word}"), (3, long), (4, f"{long}\n{long}"), (2, f"{word}\n{word}")]
+    got = sorted((r["doc_id"], r["n_words"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in quality.measure(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 2, 0, 0, True), (2, 2, 1, 0, True), (2, 2, 1, 0, True), (3, 400_000, 0, 0, False), (4, 800_000, 1, 800_000, True)]

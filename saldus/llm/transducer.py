@@ -3,7 +3,7 @@
 Two transducers in a row. The first runs over character classes and marks where pretokens begin; it has a dozen
 states, so a chunk of text is a map from entry state to exit state, and chunk maps compose in a parallel prefix
 scan. The second runs over the bytes of a pretoken and starts anew at each; its transitions are annotated with the
-change in the number of tokens. Its states are compiled when a text first needs them, from the merge list.
+change in the number of tokens. A long pretoken is cut into chunks, whose maps from entry state to exit state and count compose in the same way. Its states are compiled when a text first needs them, from the merge list.
 
 A state of the second transducer stands for all prefixes of a pretoken that behave alike from here on. It keeps
 the longest suffix that a token can begin with, and for each such suffix the last token before it and how many
@@ -25,6 +25,8 @@ CLASSES = 15
 (START, WORD, DIGITS, MARKS, QUOTED, AFTER_R, AFTER_V, AFTER_L, SPACE_1, BLANK_1, SPACE_N, BLANK_N) = range(12)
 STATES = 12
 CHUNK = 64
+#: Bytes of a pretoken that is cut into chunks of half as many, and bytes before a chunk that its likely entry state is found from.
+LONG, LEAD = 4096, 256
 #: Marks: a pretoken begins at this character, or at the one before it.
 HERE, BEFORE = 1, 2
 
@@ -209,8 +211,16 @@ class Merges:
 
     def counts(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Tokens of each pretoken, given as places in data."""
+        long = np.flatnonzero(length > LONG)
+        if len(long):
+            out = np.zeros(len(start), np.int64)
+            rest = np.flatnonzero(length <= LONG)
+            out[rest] = self.counts(data, start[rest], length[rest])
+            for i in long.tolist():
+                out[i] = self._chunked(data[start[i] : start[i] + length[i]])
+            return out
         try:
-            return self._side_by_side(data, start, length)
+            return self._side_by_side(data, start, length)[0]
         except Full:
             self.forget()
         if len(start) == 1:
@@ -218,11 +228,34 @@ class Merges:
         half = len(start) // 2
         return np.concatenate([self.counts(data, start[:half], length[:half]), self.counts(data, start[half:], length[half:])])
 
-    def _side_by_side(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """All take a byte at a time, the longest first in line."""
+    def _chunked(self, data: np.ndarray) -> int:
+        """Tokens of one long pretoken: a chunk is a map from entry state to (exit state, change in tokens), and the maps compose from left to right.
+
+        There are too many states for whole maps, so a chunk's map is worked out where it is likely to be asked: at the state that the bytes before the chunk
+        lead to from the start. All chunks run side by side. Where the state that the composition arrives with is another, the map is worked out there too,
+        for all such chunks side by side, until every chunk has been entered with the exit state of the one before.
+        """
+        start = np.arange(0, len(data), LONG // 2)
+        length = np.minimum(LONG // 2, len(data) - start)
+        try:
+            before = np.minimum(start, LEAD)
+            entry = self._side_by_side(data, start - before, before)[1]
+            total, end = self._side_by_side(data, start, length, entry)
+            while True:
+                wrong = np.flatnonzero(entry[1:] != end[:-1]) + 1
+                if not len(wrong):
+                    return int(total.sum())
+                entry[wrong] = end[wrong - 1]
+                total[wrong], end[wrong] = self._side_by_side(data, start[wrong], length[wrong], entry[wrong])
+        except Full:
+            self.forget()
+            return self._alone(data.tolist())
+
+    def _side_by_side(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, entry: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(change in tokens, last state) of runs of bytes from an entry state each, or from the start: all take a byte at a time, the longest first in line."""
         order = np.argsort(-length, kind="stable")
         start, length = start[order], length[order]
-        state = np.full(len(start), self.first, np.int64)
+        state = np.full(len(start), self.first, np.int64) if entry is None else entry[order].astype(np.int64)
         total = np.zeros(len(start), np.int64)
         live = np.searchsorted(-length, -np.arange(1, (int(length[0]) if len(length) else 0) + 1), "right")
         goes, adds = self.goes.reshape(-1), self.adds.reshape(-1)
@@ -235,9 +268,9 @@ class Merges:
                 to = goes[at]
             total[:k] += adds[at]
             state[:k] = to
-        out = np.empty(len(start), np.int64)
-        out[order] = total
-        return out
+        out, last = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+        out[order], last[order] = total, state
+        return out, last
 
     def _alone(self, data: list[int]) -> int:
         """One pretoken that needs more states than are kept: where they run out, only the present one is taken over."""

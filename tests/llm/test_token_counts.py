@@ -66,3 +66,20 @@ def test_rows(spark):
     got = {tuple(r) for r in token_counts.counts(docs, PATH).collect()}
     assert got == {(1, 11, 2, False), (2, 0, 0, False), (None, 3000, expected(["word " * 600])[0], True)}
     assert token_counts.counts(docs.where(F.lit(False)), PATH).count() == 0
+
+
+def test_long_pretokens_in_chunks(monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(parts) for _ in range(n)) for parts, n in ((["the", "ing", "tion", "re", "xq"], 9000), ("abcdefghijklmnopqrstuvwxyz", 20_000), ("0123456789", 9000), ("éàüß", 9000), ("=", 30_000))]
+    assert counted([*texts, "short", " ".join(texts)]) == expected([*texts, "short", " ".join(texts)])
+    # Entry states that are guessed wrong are put right by the composition.
+    monkeypatch.setattr(transducer, "LONG", 16)
+    monkeypatch.setattr(transducer, "LEAD", 0)
+    assert counted(texts) == expected(texts)
+
+
+def test_texts_beyond_a_block():
+    texts = ["several words of a text that is longer than a block " * 40_000, "and another"]
+    assert counted(texts) == expected(texts)

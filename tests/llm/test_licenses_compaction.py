@@ -32,14 +32,49 @@ def test_store(spark, tmp_path):
     assert before >= 20 and store.manifest().count() < before and after > 1
     assert store.read(1).exceptAll(store.read(after)).count() == 0 and store.read(after).count() == 1000
     assert store.append(rows.limit(0)) == after + 1 and store.compact() == after + 1
-    store.vacuum()
-    assert store.read().exceptAll(rows).count() == 0
-    with pytest.raises(compaction.Conflict):
-        store._commit([], after)
+    store.vacuum(versions=1, hours=0)
+    assert store.read().exceptAll(rows).count() == 0 and store.read().count() == 1000
+    named = {r["shard"] for r in store.manifest().collect()}
+    assert {f"{f.parent.name}/{f.name}" for f in (tmp_path / "store/data").glob("*/*.parquet")} == named
     out = compaction.compacted(rows.drop("shard"), setup)
     assert out.count() == 1000 and out.select("doc_id").distinct().count() == 1000
 
 
+def test_writers_at_once_and_readers_of_old_versions(spark, tmp_path, monkeypatch):
+    setup = compaction.Setup(arrival_rows=10, target_bytes=64 << 10, fanout=3, whole=2)
+    one, two = (compaction.Store(spark, f"file://{tmp_path}/store", setup) for _ in range(2))
+    rows = lambda lo: spark.range(lo, lo + 60).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    one.append(rows(0))
+    seen = iter([0])  # the second writer has looked before the first committed
+    monkeypatch.setattr(two, "version", lambda: next(seen, one.version()))
+    assert two.append(rows(100)) == 2 and one.read().count() == 120
+    old = one.read(2)
+    shards = [(r["shard"], r["bytes"]) for r in one.manifest().collect()]
+    aside = two._write(rows(200))  # written, not committed yet
+    merged = one._merge(shards)
+    with pytest.raises(compaction.Conflict):
+        two._merge(shards[:3])
+    one.vacuum(versions=5)
+    assert old.count() == 120 and one.read(2).count() == 120
+    one.vacuum(versions=1)
+    assert old.count() == 120  # younger than the age
+    two._commit(two._aside(two._added(aside)), merged)
+    assert sorted(r["doc_id"] for r in one.read().collect()) == [*range(60), *range(100, 160), *range(200, 260)]
+    one.vacuum(versions=1, hours=0)
+    assert one.read().count() == 180 and one._versions() == [merged + 1]
+    assert one.append(rows(300).limit(0)) == merged + 2 and one.read().count() == 180
+
+
+def test_a_merge_goes_over_an_arrival(spark, tmp_path, monkeypatch):
+    store, other = (compaction.Store(spark, f"file://{tmp_path}/store", compaction.Setup(arrival_rows=10, fanout=3)) for _ in range(2))
+    rows = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    store.append(rows)
+    write = store._write
+    monkeypatch.setattr(store, "_write", lambda df, rows_=0: (write(df, rows_), other.append(rows))[0])
+    store._merge([(r["shard"], r["bytes"]) for r in store.manifest().collect()])
+    assert store.version() == 3 and store.read().count() == 100
+
+
 def test_query_runs_with_the_default_setup(spark, tmp_path, monkeypatch):
     spark.range(10).select(F.col("id").alias("doc_id")).write.parquet(f"{tmp_path}/documents.parquet")
     used = []

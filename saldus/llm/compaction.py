@@ -173,7 +173,7 @@ class Store:
         if shards is None:
             shards = [r["shard"] for r in self.manifest(version).select("shard").toLocalIterator()]
         if not shards:
-            return self.spark.createDataFrame([], self._schema())
+            return self.spark.read.parquet(f"{self.path}/schema")  # a table without rows
         return self.spark.read.schema(self._schema()).parquet(*(f"{self.path}/data/{x}" for x in shards))
 
     def vacuum(self, versions: int = 10, hours: float = 24.0) -> None:

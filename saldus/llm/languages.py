@@ -8,7 +8,7 @@ counted over all pages by grouped aggregation of the text posteriors, with parti
 Word likelihoods are fitted on labelled documents of a documented bound (`Setup.sample`, `train_bytes`); all counts are over all pages.
 
 Defined cases: a null or empty page has no text evidence and is decided by the rest; a page without a host, suffix or declaration lacks that evidence; a declaration of
-a language that isn't among those fitted is one value, `other`; a page of any length is read whole, in time that grows with its length; without labelled documents there are no rows; repeated rows are counted and judged each; an
+a language that isn't among those fitted is one value, `other`; a page of any length is read whole, in time that grows with its length; without labelled documents every page is there with nulls; repeated rows are counted and judged each; an
 empty table gives no rows; only page_id, url and html are read. Equal posteriors go to the first language by name.
 """
 
@@ -203,7 +203,7 @@ def identify(pages: DataFrame, documents: DataFrame, setup: Setup = Setup()) ->
     rows = chosen.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     schema = "page_id long, lang string, confidence double, text_lang string, declared string, host string, suffix string"
     if not rows:
-        return pages.sparkSession.createDataFrame([], schema)
+        return pages.select("page_id", *(F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in schema.split(", ")[1:])))
     model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
     n = len(model.names)
     found = scratch.stored(_evidence(pages, model, setup), "pages")

@@ -12,7 +12,7 @@ cell of finish time, whose number is fixed.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; a source of size 0
 has target 0; an empty table gives no rows; equal rows may stand for each other; a text of any length is counted whole. Columns of the input are kept
-as they are; internal names start with `__mix_`, and an input column of such a name is refused.
+as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -149,10 +149,12 @@ def allotted(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """The mix itself: the rows of docs, each as often as the mix takes it, range-sorted by finish time."""
-    if clash := [c for c in docs.columns if c in ("__mix_size", "__mix_order", "__mix_cell", "__mix_taken", "__mix_epoch", "__mix_finish")]:
-        raise ValueError(f"columns in use by the mix: {clash}")
+    columns = docs.columns
+    # No column of the input keeps a name that begins as the internal ones do.
+    longest = max(map(len, columns))
+    docs = docs.withColumnsRenamed({c: "_" * longest + c for c in columns if c.lower().startswith("__mix_")})
     plan = schedule(slim(docs), weights, repeats)
     rows = taken(keyed(docs, word_count(F.col("text"))), plan, repeats).where("__mix_taken > 0")
     copies = rows.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(0), F.col("__mix_taken") - 1)))
     ordered = copies.withColumn("__mix_finish", _finish(F.col("__mix_epoch")))
-    return ordered.repartitionByRange("__mix_finish", "__mix_order").sortWithinPartitions("__mix_finish", "__mix_order", "__mix_epoch").select(docs.columns)
+    return ordered.repartitionByRange("__mix_finish", "__mix_order").sortWithinPartitions("__mix_finish", "__mix_order", "__mix_epoch").select(docs.columns).toDF(*columns)

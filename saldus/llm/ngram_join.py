@@ -616,7 +616,9 @@ def deduplicated(docs: DataFrame, join: Join = Join()) -> DataFrame:
     own = rows.where("n > 0").join(_named(sets, known).drop("doc_id"), ["n", "s1", "s2"])
     stays = own.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("stays_id"), F.col("k.text_hash").alias("stays_hash"))
     filled = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    keyed = docs.where(filled).withColumn("__join_hash", F.xxhash64("text"))
-    one = Window.partitionBy("doc_id", "__join_hash").orderBy("doc_id")
-    kept = keyed.join(stays, keyed["doc_id"].eqNullSafe(stays["stays_id"]) & (keyed["__join_hash"] == stays["stays_hash"]), "left_semi").withColumn("__join_row", F.row_number().over(one)).where("__join_row = 1")
+    free = max(map(len, docs.columns)) * "_"  # longer than any name of the input with what follows
+    hash_, row = free + "hash", free + "row"
+    keyed = docs.where(filled).withColumn(hash_, F.xxhash64("text"))
+    one = Window.partitionBy("doc_id", hash_).orderBy("doc_id")
+    kept = keyed.join(stays, keyed["doc_id"].eqNullSafe(stays["stays_id"]) & (keyed[hash_] == stays["stays_hash"]), "left_semi").withColumn(row, F.row_number().over(one)).where(F.col(row) == 1)
     return kept.select(docs.columns).union(docs.where(~filled))

@@ -7,7 +7,7 @@ before the next reads it, to the shared folder in `run`.
 Defined cases: a null or empty text has no words and goes with the quality rules; rows without doc_id are judged, compared and packed like any other; a text of
 any length is taken whole; repeated rows are judged one by one, of equal or near texts the row of the smallest doc_id stays, and ties between rows of
 one doc_id go to the smaller text hash; an empty table gives no rows at any stage; columns beside those of documents pass through all stages but the
-last, whose columns are its own, and only the names beginning with `__mix_` are refused.
+last, whose columns are its own, whatever their names.
 """
 
 from __future__ import annotations

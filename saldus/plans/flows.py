@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldus.context import Context
@@ -29,7 +31,9 @@ class Analysis:
 
 
 def analyze(raw: DataFrame, context: Context = Context()) -> Analysis:
-    """The report, the records with warnings and all records with their display fields, as lazy DataFrames over one plan."""
+    """The report, the records with warnings and all records with their display fields, as lazy DataFrames over one plan; only whether there is a row is looked up."""
+    if raw.isEmpty():
+        raise ImportFailure("planilha_vazia", "A planilha nao contem nenhum registro.")
     if not {"Código", "Nome", *HEADERS} & set(raw.columns):
         raise ImportFailure("estrutura_incompativel", "A planilha nao tem as colunas esperadas.")
     validated = validate(normalize(raw, context))
@@ -94,6 +98,42 @@ def sync(repository: Repository, records: DataFrame, context: Context) -> SyncRe
     return SyncResult(planned, done, applied)
 
 
+@dataclass
+class Imported:
+    total_processado: int
+    resumo_execucao: dict
+    avisos: DataFrame
+    registros_nao_aplicados: DataFrame
+    quantidade_eventos_historico: int
+
+
+def import_payload(repository: Repository, body: bytes, context: Context) -> Imported:
+    """Syncs the records of a request's body, {"registros": [...]}. What is wrong with the body, and that a sync has failed, is raised as ImportFailure; why it has is logged only."""
+    try:
+        payload = json.loads(body.decode("utf-8", "replace"), parse_constant=_no_json)
+    except ValueError as e:
+        raise ImportFailure("payload_invalido", "Corpo da requisicao nao e um JSON valido.") from e
+    if not isinstance(payload, dict) or not isinstance(payload.get("registros"), list):
+        raise ImportFailure("payload_invalido", "Envie { registros: [...] } com o resultado de uma analise previa.")
+    records = _records(repository.find_all().sparkSession, payload["registros"])
+    try:
+        done = sync(repository, records, context)
+    except Exception as e:
+        logging.getLogger(__name__).error("sync failed: %s", type(e).__name__)
+        raise ImportFailure("erro_sincronizacao", "Nao foi possivel concluir a importacao. Nenhum dado foi salvo.") from e
+    return Imported(eligible(records).count(), done.resumo_execucao, done.aplicado.avisos, done.aplicado.nao_aplicados, done.aplicado.eventos.count())
+
+
+def _no_json(name: str) -> None:
+    raise ValueError(name)
+
+
+def _records(spark: SparkSession, rows: list) -> DataFrame:
+    """Records of a body, whose size the upload's limit bounds; a field of another type than the record's is null, entries that are no objects are left out."""
+    texts = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows) if isinstance(r, dict)], "_ord long, _text string")
+    return texts.select("_ord", F.from_json("_text", SCHEMA).alias("_record")).select("_ord", "_record.*")
+
+
 def can_confirm(report: dict) -> bool:
     """Whether there is anything to import."""
     return bool(report) and (report.get("validos") or 0) + (report.get("validos_com_aviso") or 0) > 0

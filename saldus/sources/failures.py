@@ -1,9 +1,10 @@
-"""Why an export can't be read."""
+"""Why an export can't be read, or its records can't be synced."""
 
 from __future__ import annotations
 
 #: Codes, in the order in which causes are looked for.
 CODES = ("formato_invalido", "arquivo_vazio", "erro_leitura", "planilha_vazia", "estrutura_incompativel")
+SYNC_CODES = ("payload_invalido", "erro_sincronizacao")
 
 
 class ImportFailure(Exception):

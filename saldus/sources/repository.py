@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections import deque
 from typing import Protocol, runtime_checkable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -22,9 +23,32 @@ class StaleBase(RuntimeError):
         super().__init__(f"the base was read at version {read} and is at {now}: sync again")
 
 
+class Queue:
+    """A lock that is given in the order in which it was asked for; a failure under it passes it on."""
+
+    def __init__(self):
+        self._turns: deque[threading.Event] = deque()
+        self._guard = threading.Lock()
+
+    def __enter__(self) -> Queue:
+        turn = threading.Event()
+        with self._guard:
+            self._turns.append(turn)
+            if len(self._turns) == 1:
+                turn.set()
+        turn.wait()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        with self._guard:
+            self._turns.popleft()
+            if self._turns:
+                self._turns[0].set()
+
+
 @runtime_checkable
 class Repository(Protocol):
-    lock: threading.Lock
+    lock: Queue
 
     def find_all(self) -> DataFrame: ...
 
@@ -71,7 +95,7 @@ class MemoryRepository(_Faults):
     """Records in a DataFrame held by the object; each save makes a new one."""
 
     def __init__(self, spark: SparkSession, records: DataFrame | None = None):
-        self.lock, self._version = threading.Lock(), 0
+        self.lock, self._version = Queue(), 0
         empty = spark.createDataFrame([], SCHEMA).withColumn("_ord", F.lit(0).cast("bigint"))
         self._now = empty if records is None else _ordered(dedup_last(records).withColumn("_at", F.struct(F.lit(0).alias("side"), F.col("_pos").alias("pos"))).drop("_ord", "_pos"))
 
@@ -98,7 +122,7 @@ class ParquetRepository(_Faults):
     """Versions of the whole table as folders; a pointer file names the current one and is swapped by a rename."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.lock = spark, path.rstrip("/"), threading.Lock()
+        self.spark, self.path, self.lock = spark, path.rstrip("/"), Queue()
         self._at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 

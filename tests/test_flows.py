@@ -14,7 +14,7 @@ from saldus.plans import flows
 from saldus.schema import SCHEMA, schema_catalog
 from saldus.sources.exports import as_text, check_file, numbered, read_matrix
 from saldus.sources.failures import ImportFailure
-from saldus.sources.repository import MemoryRepository, ParquetRepository, check_contract
+from saldus.sources.repository import MemoryRepository, ParquetRepository, Queue, check_contract
 
 FIRST = Context(file="a.xls", snapshot="2024-01-31", executed="T1", new_id=plain_id)
 NEXT = Context(file="b.xls", snapshot="2024-02-29", executed="T2", new_id=plain_id)
@@ -107,6 +107,62 @@ def test_sync_keeps_what_people_set(spark, tmp_path):
         assert [r["nex_codigo"] for r in repo.find_all().orderBy("_ord").collect()] == ["201", "202", "203", "204", "205"]
 
 
+def test_import_of_a_payload(spark):
+    import json
+
+    def failure(body, repo):
+        with pytest.raises(ImportFailure) as e:
+            flows.import_payload(repo, body, FIRST)
+        return e.value.codigo, e.value.mensagem
+
+    repo = MemoryRepository(spark)
+    for body in (b"", b"{", b'{"registros": NaN}'):
+        assert failure(body, repo) == ("payload_invalido", "Corpo da requisicao nao e um JSON valido.")
+    for body in (b"null", b"[]", b'"registros"', b"{}", b'{"registros": {}}'):
+        assert failure(body, repo)[0] == "payload_invalido"
+    rows = [json.loads(x) for x in debts(spark, FIRST, c201=100, c202=0).select(*SCHEMA.names).toJSON().collect()]
+    none = flows.import_payload(repo, b'{"registros": []}', FIRST)
+    assert (none.total_processado, set(none.resumo_execucao.values()), none.quantidade_eventos_historico) == (0, {0}, 0)
+    spoilt = {**rows[0], "nex_codigo": "203", "saldo_debito_nex": "muito", "validacao_status": "valido"}
+    body = json.dumps({"registros": [*rows, spoilt, None, 7]}).encode()
+    repo.fail_next_save()
+    assert failure(body, repo) == ("erro_sincronizacao", "Nao foi possivel concluir a importacao. Nenhum dado foi salvo.") and repo.find_all().isEmpty()
+    done = flows.import_payload(repo, body, FIRST)
+    assert (done.total_processado, done.resumo_execucao["criados"], done.quantidade_eventos_historico, done.registros_nao_aplicados.count()) == (2, 2, 2, 0)
+    assert sorted(r["nex_codigo"] for r in repo.find_all().collect()) == ["201", "202"] and repo.find_by_code("201")["saldo_debito_nex"] == 100
+
+
+def test_empty_export(spark):
+    with pytest.raises(ImportFailure) as e:
+        flows.analyze(export(spark, [("1", "A", "")]).where("false"))
+    assert e.value.codigo == "planilha_vazia"
+
+
+def test_syncs_go_in_the_order_of_their_calls():
+    import threading
+    import time
+
+    queue, order, threads = Queue(), [], []
+
+    def one(i):
+        try:
+            with queue:
+                order.append(i)
+                raise RuntimeError
+        except RuntimeError:
+            pass
+
+    with queue:
+        for i in range(20):
+            threads.append(threading.Thread(target=one, args=(i,)))
+            threads[-1].start()
+            while len(queue._turns) < i + 2:
+                time.sleep(0.001)
+    for t in threads:
+        t.join(5)
+    assert order == list(range(20))
+
+
 def test_contract():
     with pytest.raises(TypeError, match="save_batch"):
         check_contract(type("Half", (), {"find_all": lambda s: None, "find_by_code": lambda s, c: None})())

@@ -135,7 +135,7 @@ def test_spoilt_pages(spark):
     assert languages.identify(pages.limit(0), docs).count() == 0
 
 
-def test_scores_equal_a_plain_forward_pass():
+def test_scores_do_not_depend_on_the_block():
     rng = random.Random(2)
     texts = [" ".join(rng.choice(["good", "bad", "vilezz", "day", "tree"]) + rng.choice(["", "s"]) for _ in range(rng.randint(1, 30))) for _ in range(200)]
     model = toxicity.train(texts, np.array([int("vilezz" in t) for t in texts]), ["en"] * len(texts))

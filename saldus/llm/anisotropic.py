@@ -8,7 +8,8 @@ angle to what its codes stand for is kept beside them, so by the triangle inequa
 nearest: the cut follows the data, and near copies with equal codes are all reranked. A block sends only its exact best on.
 
 The codebooks are fitted on a sample of a documented bound (`Setup.sample`); every row is coded and scanned. Queries go in blocks
-of a fixed number, each against all rows; no table of queries and rows is made and no cell of an index can overflow.
+of a fixed number, each against all rows, whose codes are written once where there are several blocks; no table of queries and rows is made and no cell
+of an index can overflow.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite components take no part, as
 queries or candidates; equal scores are ordered by id; a query meets every row with another id; with fewer rows than asked for, all are
@@ -23,12 +24,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldus.llm import scratch
 
 SCHEMA = "query_id long, vec_id long, score double"
+RANKED = "query_id long, rank int, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -198,44 +201,76 @@ def nearest(vectors: DataFrame, query: F.Column, k: int = 5, column: str = "embe
     drawn = rows.where("v is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(setup.sample).select("v").toArrow().column(0)
     _, x = usable(drawn)
     if not len(x):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], RANKED)
     codec = fit(unit(x).astype(np.float32), setup)
-    dims = x.shape[1]
-    asked = rows.where("q").select("vec_id", "v")
-    n = asked.count()
-    parts = max(1, -(-n // setup.queries))
-    found = None
+    asked, rows = rows.where("q").select("vec_id", "v"), rows.select("vec_id", "v")
+    parts = max(1, -(-asked.count() // setup.queries))
+    if parts == 1:
+        return _ranked(_found(rows, spark.sparkContext.broadcast((codec, *_queries(asked, codec))), k, setup), k)
+    # Rows are coded once, whatever the number of queries; each part's results are ranked before they are written, since no query is in two parts.
+    kind = rows.schema["v"].dataType.simpleString()
+    coded = scratch.stored(rows.mapInArrow(lambda batches: _coded(batches, codec, setup), f"vec_id long, v {kind}, codes binary, along double, across double"), "ann-codes")
+    asked = scratch.stored(asked, "ann-queries")
+    path = scratch.folder(spark, "ann")
     for part in range(parts):
-        own = asked if parts == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part)
-        got = own.toArrow()
-        at, qx = usable(got.column(1), dims)
-        query_ids, first = np.unique(got.column(0).to_numpy()[at], return_index=True)
-        best = _scanned(rows, codec, query_ids, unit(qx[first]), k, setup)
-        if parts > 1:
-            best = scratch.stored(best, "ann")
-        found = best if found is None else found.union(best)
+        shared = spark.sparkContext.broadcast((codec, *_queries(asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part), codec)))
+        _ranked(_found(coded, shared, k, setup), k).write.parquet(f"{path}/part-{part}")
+        shared.destroy()
+    scratch.drop(coded)
+    scratch.drop(asked)
+    return spark.read.schema(RANKED).parquet(f"{path}/part-*")
+
+
+def _queries(asked: DataFrame, codec: Codec) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, unit vectors) of the queries that take part."""
+    got = asked.toArrow()
+    at, x = usable(got.column(1), codec.dims)
+    ids, first = np.unique(got.column(0).to_numpy()[at], return_index=True)
+    return ids, unit(x[first])
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _scanned(rows: DataFrame, codec: Codec, query_ids: np.ndarray, queries: np.ndarray, k: int, setup: Setup) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast((codec, query_ids, queries))
+def _found(rows: DataFrame, shared: Broadcast, k: int, setup: Setup) -> DataFrame:
+    """The best of each block of rows, coded or not yet, for the queries of (codec, ids, unit vectors)."""
+    fresh = "codes" not in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, query_ids, queries = shared.value
-        top = np.full((len(query_ids), k), -np.inf)
-        for batch in batches:
-            at, x = usable(batch.column(1), codec.dims)
-            order = np.argsort(batch.column(0).to_numpy()[at], kind="stable")
-            ids, x = batch.column(0).to_numpy()[at][order], unit(x[order])
-            for lo in range(0, len(ids), setup.block):
-                rows_x = x[lo : lo + setup.block]
-                codes = codec.encode(rows_x.astype(np.float32))
-                spread, codes = codec.spread(rows_x, codes), codec.packed(codes)
-                for some in range(0, len(query_ids), 256):  # tables of 4 MB at a time
-                    own = slice(some, some + 256)
-                    tables = codec.tables(queries[own].astype(np.float32))
-                    q, v, s = scan(ids[lo : lo + setup.block], rows_x, codes, spread, query_ids[own], queries[own], tables, top[own], setup)
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
-
-    return rows.select("vec_id", "v").mapInArrow(run, SCHEMA)
+        return _scanned(_coded(batches, codec, setup) if fresh else batches, codec, query_ids, queries, k, setup)
+
+    return rows.mapInArrow(run, SCHEMA)
+
+
+def _coded(batches: Iterator[pa.RecordBatch], codec: Codec, setup: Setup) -> Iterator[pa.RecordBatch]:
+    """The rows that take part, by id in each block, with their codes and spread."""
+    for batch in batches:
+        at, x = usable(batch.column(1), codec.dims)
+        order = np.argsort(batch.column(0).to_numpy()[at], kind="stable")
+        at, x = at[order], unit(x[order])
+        for lo in range(0, len(at), setup.block):
+            own = x[lo : lo + setup.block]
+            codes = codec.encode(own.astype(np.float32))
+            along, across = codec.spread(own, codes)
+            part = batch.take(pa.array(at[lo : lo + setup.block]))
+            code = pa.array([c.tobytes() for c in codec.packed(codes).T], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), code, pa.array(along), pa.array(across)], names=["vec_id", "v", "codes", "along", "across"])
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], codec: Codec, query_ids: np.ndarray, queries: np.ndarray, k: int, setup: Setup) -> Iterator[pa.RecordBatch]:
+    """(query, id, score) of the best coded rows of each block, for each query."""
+    top = np.full((len(query_ids), k), -np.inf)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, setup.block):
+            part = batch.slice(lo, setup.block)
+            ids, x = part.column(0).to_numpy(), unit(usable(part.column(1), codec.dims)[1])
+            codes = np.ascontiguousarray(np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(len(ids), -1).T)
+            spread = part.column(3).to_numpy(), part.column(4).to_numpy()
+            for some in range(0, len(query_ids), 256):  # tables of 4 MB at a time
+                own = slice(some, some + 256)
+                tables = codec.tables(queries[own].astype(np.float32))
+                q, v, s = scan(ids, x, codes, spread, query_ids[own], queries[own], tables, top[own], setup)
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])

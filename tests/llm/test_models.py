@@ -95,6 +95,18 @@ def test_nearest_in_a_family_of_near_copies(spark):
         assert got[q] == np.lexsort((np.arange(4000), -s))[:5].tolist()
 
 
+def test_rows_are_coded_once_for_all_blocks_of_queries(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 9)).astype(np.float32))] + [(900, None), (910, [0.0] * 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    ranked = lambda setup: sorted(map(tuple, anisotropic.nearest(df, F.col("vec_id") % 10 == 0, setup=setup).collect()))
+    written, stored = [], anisotropic.scratch.stored
+    monkeypatch.setattr(anisotropic.scratch, "stored", lambda df, name: (written.append(name), stored(df, name))[1])
+    whole = ranked(anisotropic.Setup(block=128))
+    assert not written and len(whole) == 5 * 90
+    assert ranked(anisotropic.Setup(block=128, queries=13)) == whole and written.count("ann-codes") == 1
+
+
 def test_parallel_residual_is_smaller_with_weight():
     rng = np.random.default_rng(3)
     x = anisotropic.unit(rng.normal(size=(3000, 16))).astype(np.float32)

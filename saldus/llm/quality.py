@@ -4,7 +4,7 @@ Every line of a text is held against punctuation, navigation and boilerplate rul
 removed, and a text that loses too much of its words goes. One pass over whole texts, without a shuffle.
 
 Defined cases: a null text counts as empty, has no words and fails; an empty table gives no rows; repeated
-rows are judged one by one; other columns pass through untouched, and clash with nothing because results of
+rows are judged one by one; a text of any length is judged whole, with memory in proportion to the longest; other columns pass through untouched, and clash with nothing because results of
 `clean` keep the input's columns and those of `measure` are doc_id and the measures alone.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from saldus.llm import kernel
 
-#: Phrases of site furniture, in lower case.
+#: Phrases of site furniture in the languages of the corpus, in lower case.
 BOILERPLATE = (
     "accept all cookies",
     "all rights reserved",
@@ -34,6 +34,28 @@ BOILERPLATE = (
     "terms of service",
     "terms of use",
     "this site uses cookies",
+    "alle cookies akzeptieren",
+    "alle rechte vorbehalten",
+    "allgemeine geschäftsbedingungen",
+    "datenschutzerklärung",
+    "diese website verwendet cookies",
+    "klicken sie hier",
+    "newsletter abonnieren",
+    "accepter tous les cookies",
+    "ce site utilise des cookies",
+    "cliquez ici pour",
+    "conditions générales d'utilisation",
+    "inscrivez-vous à notre newsletter",
+    "politique de confidentialité",
+    "tous droits réservés",
+    "aceptar todas las cookies",
+    "este sitio utiliza cookies",
+    "haga clic aquí",
+    "política de cookies",
+    "política de privacidad",
+    "suscríbase a nuestro boletín",
+    "todos los derechos reservados",
+    "términos y condiciones",
 )
 
 

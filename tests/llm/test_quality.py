@@ -51,6 +51,20 @@ def test_lines_are_judged_first(spark):
     assert quality.clean(df.limit(0)).count() == 0 and quality.measure(df.limit(0)).count() == 0
 
 
+def test_furniture_in_each_language():
+    lines = ["Copyright Muster GmbH, alle Rechte vorbehalten.", "Pour en savoir plus, lisez notre politique de confidentialité.", "Al seguir acepta nuestra política de privacidad, por favor.", "This is one of the lines that stay, after all."]
+    raw = "\n".join(lines).encode()
+    x = quality.judged(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), quality.Rules())
+    assert x["line_failed"].tolist() == [True, True, True, False]
+
+
+def test_a_long_text_is_judged_whole():
+    words = [f"word{i}" for i in range(300_000)]
+    raw = (" ".join(words) + ".\nMenu\n" + " ".join(words[-6:-1])).encode()
+    x = quality.judged(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), quality.Rules())
+    assert (x["n_words"][0], x["n_repeat_words"][0], x["n_lines_removed"][0], x["n_words_kept"][0], x["kept"][0]) == (300_006, 10, 1, 300_005, True)
+
+
 def test_hashes_don_t_depend_on_place():
     raw = np.frombuffer(b"abc xyz abc\nabc", np.uint8)
     t = kernel.Text(raw, np.array([0, 11, 15]))

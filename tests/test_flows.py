@@ -230,3 +230,21 @@ def test_rows_of_several_files_keep_their_order(spark, tmp_path):
         next((tmp_path / name).glob("part-*.parquet")).rename(folder / f"{name}.parquet")
     rows = [r["Nome"] for r in read_table(spark, str(folder)).orderBy("_ord").collect()]
     assert rows == ["first", *map(str, range(2000))]
+
+
+def test_files_are_synced_as_they_arrive(spark, tmp_path):
+    from saldus.streaming.feed import sync_stream
+
+    repo, folder = ParquetRepository(spark, f"{tmp_path}/base"), f"{tmp_path}/arrivals"
+
+    def arrive(rows):
+        export(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        raw = spark.readStream.schema(export(spark, []).schema).parquet(folder)
+        query = sync_stream(raw, repo, lambda n: (FIRST, NEXT)[min(n, 1)], f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        return {r["nex_codigo"]: (r["saldo_debito_nex"], [e["tipo"] for e in r["historico"]]) for r in repo.find_all().collect()}
+
+    assert arrive([("1", "A", "Débito- R$ 10,00"), ("2", "B", "Débito- R$ 20,00")]) == {"1": (10, ["cliente_importado"]), "2": (20, ["cliente_importado"])}
+    assert arrive([("1", "A", "Débito- R$ 30,00"), ("2", "B", ""), ("3", "C", "Débito- R$ 5,00")]) == {"1": (30, ["cliente_importado", "cliente_atualizado"]), "2": (0, ["cliente_importado", "divida_quitada"]), "3": (5, ["cliente_importado"])}
+    seen = repo.version()
+    assert arrive([]) and repo.version() == seen  # a file without rows is no snapshot

@@ -7,7 +7,8 @@ over code points. Null texts count as empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ LOWER[65:91] += 32
 LONG = 256
 #: The low bytes of a word of eight.
 _LOW = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
+#: Fixed, so that results are repeatable.
+_KEY = b"saldus words"
 _SEEDS = mixed(np.arange(LONG + 2, dtype=U) * U(BASE))
 
 
@@ -104,10 +107,9 @@ class Text:
         return self._eights
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the bytes from start to end, wherever they stand.
+        """64-bit hashes of the bytes from start to end, wherever they stand: for finding candidates fast.
 
-        Each step spreads all bits before the next eight bytes come in, so unlike a polynomial over bytes it has no
-        families of texts that collide by construction; ranges of up to eight bytes collide with none of their length.
+        Texts that collide can be made on purpose, so what must be exact compares bytes (`classes`) or uses `word_keys`.
         """
         length = end - start
         eights, shown = self.eights(), np.minimum(length, LONG + 1)
@@ -135,6 +137,47 @@ class Text:
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.start, self.end)
 
+    def differ(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the size bytes from a on differ from those from b on, place by place."""
+        eights, data = self.eights(), self.data
+        out = np.zeros(len(a), bool)
+        for i in np.flatnonzero(size > LONG):
+            out[i] = not np.array_equal(data[a[i] : a[i] + size[i]], data[b[i] : b[i] + size[i]])
+        live = np.flatnonzero(size <= LONG)
+        at = 0
+        while len(live):
+            left = size[live] - at
+            other = ((eights[a[live] + at] ^ eights[b[live] + at]) & _LOW[np.minimum(left, 8)]) != 0
+            out[live[other]] = True
+            live, at = live[~other & (left > 8)], at + 8
+        return out
+
+    def classes(self, start: np.ndarray, end: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+        """A number for each byte range, equal where the bytes are equal (and the text too, if doc is given): found by hashes, decided by the bytes."""
+        found = self.hashes(start, end)
+        size = end - start
+
+        def unlike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            bad = size[i] != size[j]
+            if doc is not None:
+                bad |= doc[i] != doc[j]
+            alike = np.flatnonzero(~bad)
+            bad[alike] = self.differ(start[i[alike]], start[j[alike]], size[i[alike]])
+            return bad
+
+        data = self.data
+        return classes(found if doc is None else by_text(found, doc), unlike, lambda i: (0 if doc is None else int(doc[i]), data[start[i] : end[i]].tobytes()))
+
+    def word_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of a keyed cryptographic hash of each word, as two columns; each distinct word of the block is hashed once."""
+        kind = self.classes(self.start, self.end)
+        one = np.zeros(int(kind.max(initial=-1)) + 1, np.int64)
+        one[kind] = np.arange(len(kind))
+        data = memoryview(np.ascontiguousarray(self.data))
+        digests = b"".join(blake2b(data[a:b], digest_size=16, key=_KEY).digest() for a, b in zip(self.start[one].tolist(), self.end[one].tolist(), strict=True))
+        keys = np.frombuffer(digests, U).reshape(-1, 2)[kind]
+        return np.ascontiguousarray(keys[:, 0]), np.ascontiguousarray(keys[:, 1])
+
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text) of each line; a text without line feeds is one line, an empty text too."""
         feeds = np.flatnonzero(self.raw == 10)
@@ -156,18 +199,69 @@ class Text:
         return np.rint(np.bincount(doc, weights=weight, minlength=self.n)).astype(np.int64)
 
 
-def windows(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of every run of k words inside one text."""
-    n = len(hashes) - k + 1
+def windows(keys: tuple[np.ndarray, np.ndarray], doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of every run of k words inside one text, from the words' 128-bit keys.
+
+    Each word's key goes into a state of 128 bits, which is mixed before the next one comes; 64 bits of the last state are the run's hash. What a word adds can't be
+    chosen freely, since it is a cryptographic hash, so nobody makes runs that collide short of trying some 2**32 of them.
+    """
+    n = len(keys[0]) - k + 1
     if n <= 0:
         return np.zeros(0, U), np.zeros(0, np.int64)
     at = np.flatnonzero(doc[:n] == doc[k - 1 :])
-    out = np.zeros(len(at), U)
+    one, two = np.full(len(at), k, U), np.full(len(at), BASE, U)
     for j in range(k):
-        out *= U(BASE)
-        out += hashes[j : j + n] if len(at) == n else hashes[at + j]
-    out += U(k)
-    return _mix(out), at
+        one ^= keys[0][j : j + n] if len(at) == n else keys[0][at + j]
+        two ^= keys[1][j : j + n] if len(at) == n else keys[1][at + j]
+        _mix(one)
+        two += one
+        _mix(two)
+        one += two
+    return one, at
+
+
+def run_classes(kind: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number, first word) of every run of k words inside one text: equal numbers mean equal runs of kinds of words in one text."""
+    n = len(kind) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(doc[:n] == doc[k - 1 :])
+    found = np.zeros(len(at), U)
+    for j in range(k):
+        found ^= kind[at + j].astype(U)
+        found *= U(BASE)
+        _mix(found)
+
+    def unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        bad = doc[at[a]] != doc[at[b]]
+        for j in range(k):
+            bad |= kind[at[a] + j] != kind[at[b] + j]
+        return bad
+
+    return classes(by_text(found, doc[at]), unlike, lambda i: (int(doc[at[i]]), kind[at[i] : at[i] + k].tobytes())), at
+
+
+def classes(found: np.ndarray, unlike: Callable[[np.ndarray, np.ndarray], np.ndarray], exact: Callable[[int], object]) -> np.ndarray:
+    """A number for each item, equal for items that are the same, whose hashes are `found`: neighbours in the order of hashes are compared, and hashes of several different items are told apart by their exact values."""
+    n = len(found)
+    order = np.argsort(found, kind="stable")
+    first = np.ones(n, bool)
+    first[1:] = found[order[1:]] != found[order[:-1]]
+    out = np.empty(n, np.int64)
+    out[order] = np.cumsum(first) - 1
+    again = np.flatnonzero(~first)
+    bad = again[unlike(order[again - 1], order[again])] if len(again) else again
+    if len(bad):
+        runs = np.cumsum(first) - 1
+        free = n
+        for run in np.unique(runs[bad]).tolist():
+            lo, hi = np.searchsorted(runs, [run, run + 1])
+            seen: dict[object, int] = {}
+            for i in order[lo:hi].tolist():
+                out[i] = seen.setdefault(exact(i), free + len(seen))
+            free += len(seen)
+        out = np.unique(out, return_inverse=True)[1]
+    return out
 
 
 def by_text(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:

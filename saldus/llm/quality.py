@@ -117,8 +117,8 @@ def judged(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.n
     out["word_chars"] = chars[offsets[1:]] - chars[offsets[:-1]]
     out["n_symbols"] = symbols[offsets[1:]] - symbols[offsets[:-1]]
 
-    grams, at = kernel.windows(t.word_hashes(), t.doc, 5)
-    many, _ = kernel.repeats(kernel.by_text(grams, t.doc[at]))
+    grams, at = kernel.run_classes(t.classes(t.start, t.end), t.doc, 5)
+    many, _ = kernel.repeats(grams)
     n = len(t.start) + 6
     cover = np.bincount(at[many], minlength=n) - np.bincount(at[many] + 5, minlength=n)
     covered = np.cumsum(cover)[: len(t.start)] > 0
@@ -128,7 +128,7 @@ def judged(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.n
     first, last = np.searchsorted(t.start, start), np.searchsorted(t.start, end)
     words = last - first
     filled = words > 0
-    _, again = kernel.repeats(kernel.by_text(t.hashes(start, end), doc))
+    _, again = kernel.repeats(t.classes(start, end, doc))
     again &= filled
     out["n_dup_lines"] = t.per_text(doc[again])
 

@@ -81,7 +81,7 @@ def test_final_marks_and_runs_of_marks():
     assert x["line_failed"].tolist() == [False] + [True] * len(bad) + [False] * len(good)
 
 
-def test_no_collisions_by_construction_and_long_texts(spark):
+def test_texts_that_hash_alike_and_long_texts(spark):
     """A Thue-Morse word and its complement collide under any polynomial hash modulo 2**64; repeated rows are judged one by one."""
     word = "a"
     for _ in range(10):
@@ -91,3 +91,30 @@ def test_no_collisions_by_construction_and_long_texts(spark):
     rows = [(1, f"{word}\n{other}"), (2, f"{word}\n{word}"), (3, long), (4, f"{long}\n{long}"), (2, f"{word}\n{word}")]
     got = sorted((r["doc_id"], r["n_words"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in quality.measure(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(1, 2, 0, 0, True), (2, 2, 1, 0, True), (2, 2, 1, 0, True), (3, 400_000, 0, 0, False), (4, 800_000, 1, 800_000, True)]
+
+
+#: Pairs that the 64-bit hash of byte ranges takes for one.
+ALIKE = ("SW(|dn>|xD$Nz>yM", "FwA]vehL\\u7%Sa,z"), ("78gv\\5$>.@s_j%~#", "3?f(\"k3>0|$?(j#6")
+
+
+def test_lines_and_runs_are_compared_by_their_bytes():
+    for a, b in ALIKE:
+        for text, dup, again in ((f"{a}\n{b}", 0, 0), (f"{a}\n{b}\n{a}\n{b}\n{b}", 3, 0), (f"x y {a} z w . x y {b} z w", 0, 0), (f"x y {a} z w . x y {a} z w", 0, 10)):
+            raw = text.encode()
+            x = quality.judged(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), quality.Rules())
+            assert (x["n_dup_lines"][0], x["n_repeat_words"][0]) == (dup, again) == (plain(text)[3], plain(text)[4])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=6))
+def test_classes_hold_where_all_hashes_collide(texts):
+    data = [(x or "").encode() for x in texts]
+    t = kernel.Text(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64))
+    exact = [(d, t.data[a:b].tobytes()) for d, a, b in zip(t.doc, t.start, t.end, strict=True)]
+    same = lambda kinds: [[x == y for y in kinds] for x in kinds]
+    assert same(t.classes(t.start, t.end, t.doc).tolist()) == same(exact)
+    for found in (np.zeros(len(exact), np.uint64), np.arange(len(exact), dtype=np.uint64) % 2):
+        # Equal items have equal hashes: a hash of their length at most.
+        found = np.array([len(x[1]) % 2 for x in exact], np.uint64) * found.max(initial=0)
+        kinds = kernel.classes(found, lambda i, j: np.array([exact[a] != exact[b] for a, b in zip(i, j, strict=True)], bool), exact.__getitem__)
+        assert same(kinds.tolist()) == same(exact)

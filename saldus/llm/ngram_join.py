@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -70,15 +71,15 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
     """(number of words, sorted distinct shingle hashes) of each text."""
     for lo, hi, raw, offsets in kernel.blocks(column):
         t = kernel.Text(raw, offsets, lower=True)
-        h = t.word_hashes()
-        grams, at = kernel.windows(h, t.doc, words)
+        keys = t.word_keys()
+        grams, at = kernel.windows(keys, t.doc, words)
         place = np.searchsorted(t.doc[at], np.arange(hi - lo + 1))
         first = np.searchsorted(t.doc, np.arange(hi - lo + 1))
         for i in range(hi - lo):
             own = grams[place[i] : place[i + 1]]
             if len(own) == 0 and first[i + 1] > first[i]:
-                few = h[first[i] : first[i + 1]]
-                own = kernel.windows(few, np.zeros(len(few), np.int64), len(few))[0]
+                few = tuple(key[first[i] : first[i + 1]] for key in keys)
+                own = kernel.windows(few, np.zeros(len(few[0]), np.int64), len(few[0]))[0]
             if len(own) > 1:
                 own = np.sort(own)
                 other = own[1:] != own[:-1]
@@ -88,8 +89,9 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
-    mixed = kernel.mixed(s)
-    return int(mixed.sum(dtype=np.uint64).astype(np.int64)), int(kernel.mixed(mixed + kernel.U(1)).sum(dtype=np.uint64).astype(np.int64))
+    """128 bits of a cryptographic hash of a set in order."""
+    one, two = np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
+    return int(one), int(two)
 
 
 def _parity(s: np.ndarray) -> bytes:

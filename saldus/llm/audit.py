@@ -150,11 +150,11 @@ orders AS (
   SELECT [a.k, b.k, c.k, d.k, e.k] AS o, concat(chr(64 + a.k), chr(64 + b.k), chr(64 + c.k), chr(64 + d.k), chr(64 + e.k)) AS filter_order
   FROM one a, one b, one c, one d, one e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
 same AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM told GROUP BY ALL),
-gone AS (SELECT s.*, filter_order, o, list_position(list_transform(o, x -> f[x]), true) AS at FROM same s, orders),
+gone AS (SELECT s.*, filter_order, o, list_position(list_transform(o, lambda x: f[x]), true) AS hit FROM same s, orders),
 steps AS (
   SELECT part, filter_order, k AS step, o[k] AS own,
-    sum(n) FILTER (at IS NULL OR at > k) AS kept, sum(n) FILTER (at = k) AS removed, sum(n) FILTER (f[o[k]] AND at < k) AS redundant,
-    sum(n) FILTER (f[o[k]] AND len(list_filter(f, x -> x)) = 1) AS unique_fails, sum(good) FILTER (at = k) AS good_lost, sum(bad) FILTER (at = k) AS toxic_lost
+    sum(n) FILTER (hit IS NULL OR hit > k) AS kept, sum(n) FILTER (hit = k) AS removed, sum(n) FILTER (f[o[k]] AND hit < k) AS redundant,
+    sum(n) FILTER (f[o[k]] AND len(list_filter(f, lambda x: x)) = 1) AS unique_fails, sum(good) FILTER (hit = k) AS good_lost, sum(bad) FILTER (hit = k) AS toxic_lost
   FROM gone, one GROUP BY ALL)
 SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
   coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,

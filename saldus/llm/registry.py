@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldus.llm import anisotropic, audit, compaction, languages, licenses, mixing, ngram_join, packing, quality, token_counts, toxicity
+from saldus.llm import anisotropic, audit, compaction, languages, licenses, mixing, ngram_join, packing, quality, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,9 +75,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding, op11_filter_audit)
+    own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding, op11_filter_audit, op12_warc)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.oracle(), "op11_filter_audit": audit.oracle()}
+    return {"op3_license_scan": licenses.oracle(), "op11_filter_audit": audit.oracle(), "op12_warc": warc.oracle()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldus.llm import anisotropic, audit, compaction, languages, licenses, mixing, ngram_join, packing, quality, token_counts, toxicity, warc
+from saldus.llm import alignment, anisotropic, audit, compaction, languages, licenses, mixing, ngram_join, packing, quality, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,13 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    one, two = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), lambda: alignment.byte_level(one), lambda: alignment.pieces(two))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding, op11_filter_audit, op12_warc)
+    own = (op1_quality_rules, op2_mixing, op3_license_scan, op4_packing, op5_nearest, op6_toxicity, op7_language_id, op8_ngram_join, op9_token_counts, op10_sharding, op11_filter_audit, op12_warc, op13_alignment)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 

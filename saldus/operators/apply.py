@@ -20,9 +20,10 @@ COPIED = {"telefone": "telefoneMudou", "celular": "celularMudou", "email": "emai
 
 @dataclass
 class Applied:
-    """Lazy results; nothing is written."""
+    """Lazy results; nothing is written. alterados: the records of nova_base that the plan creates or changes, with no more history than the event of it."""
 
     nova_base: DataFrame
+    alterados: DataFrame
     eventos: DataFrame
     nao_aplicados: DataFrame
     avisos: DataFrame
@@ -59,16 +60,25 @@ def _notice() -> Column:
     )
 
 
+def run_counters() -> list[Column]:
+    """The summary of a run, as aggregates over cases()."""
+    case = lambda x: F.count_if(F.col("_case") == x)
+    return [case("criado").alias("criados"), case("atualizado").alias("atualizados"), case("quitado").alias("quitados"), case("sem_alteracao").alias("sem_alteracao"), case("nao_aplicado").alias("nao_aplicados"), F.count("_evento").alias("total_eventos"), F.count(F.lit(1)).alias("total_processado")]
+
+
 def apply_plan(plan: DataFrame, context: Context) -> Applied:
     """Applies build_plan()'s rows. Records of people's making are kept: a sync never touches names, documents or states set by hand."""
+    return applied(cases(plan, context), context)
+
+
+def cases(plan: DataFrame, context: Context) -> DataFrame:
+    """plan with what becomes of each row (_case) and the event of it (_evento)."""
     if context.executed is None or not callable(context.new_id):
         raise ValueError("the context must say when the run is executed and how identifiers are made")
     when = F.lit(context.executed)
     rows = plan.withColumn("_case", _case())
     created, updated, settled = (F.col("_case") == x for x in ("criado", "atualizado", "quitado"))
-    touched = updated | settled
     flag = {f: F.coalesce(F.col(f"alteracoes.{f}"), F.lit(False)) for f in FLAGS}
-    moved = (updated & flag["saldoMudou"]) | settled
     event = (
         F.when(created, _event(tipo=F.lit("cliente_importado"), origem=F.lit("NEX"), data=when, saldo_inicial=net_balance("n")))
         .when(
@@ -85,7 +95,16 @@ def apply_plan(plan: DataFrame, context: Context) -> Applied:
         )
         .when(settled, _event(tipo=F.lit("divida_quitada"), saldo_anterior=F.col("saldo_anterior"), saldo_atual=F.lit(0.0), data=when))
     )
-    rows = rows.withColumn("_evento", event)
+    return rows.withColumn("_evento", event)
+
+
+def applied(rows: DataFrame, context: Context) -> Applied:
+    """The results of cases()."""
+    when = F.lit(context.executed)
+    created, updated, settled = (F.col("_case") == x for x in ("criado", "atualizado", "quitado"))
+    touched = updated | settled
+    flag = {f: F.coalesce(F.col(f"alteracoes.{f}"), F.lit(False)) for f in FLAGS}
+    moved = (updated & flag["saldoMudou"]) | settled
     b, n = (lambda f: F.col(f"b.{f}")), (lambda f: F.col(f"n.{f}"))
     new_status = F.when(b("status_cobranca").isin(*AUTOMATIC_STATUS), status_of(n("saldo_debito_nex"))).otherwise(b("status_cobranca"))
     history = lambda side: F.concat(F.coalesce(F.col(f"{side}.historico"), F.array().cast(SCHEMA["historico"].dataType)), F.array("_evento"))
@@ -112,12 +131,12 @@ def apply_plan(plan: DataFrame, context: Context) -> Applied:
 
     stays = rows.where(F.col("_case").isNotNull() & ((F.col("_case") != "nao_aplicado") | F.col("b").isNotNull()))
     nova_base = stays.select("_ord", *(field(f) for f in SCHEMA.names))
+    now = F.array("_evento").cast(SCHEMA["historico"].dataType).alias("historico")
+    alterados = rows.where(created | touched).select("_ord", *(now if f == "historico" else field(f) for f in SCHEMA.names))
     eventos = rows.where(F.col("_evento").isNotNull()).select("_ord", "nex_codigo", "_evento.*")
     nao_aplicados = rows.where("_case = 'nao_aplicado'").select("_ord", "nex_codigo", F.lit(REMOVED).alias("motivo"))
     avisos = rows.withColumn("aviso", _notice()).where("aviso is not null").select("_ord", "nex_codigo", "aviso")
-    case = lambda x: F.count_if(F.col("_case") == x)
-    resumo = rows.agg(case("criado").alias("criados"), case("atualizado").alias("atualizados"), case("quitado").alias("quitados"), case("sem_alteracao").alias("sem_alteracao"), case("nao_aplicado").alias("nao_aplicados"), F.count("_evento").alias("total_eventos"), F.count(F.lit(1)).alias("total_processado"))
-    return Applied(nova_base, eventos, nao_aplicados, avisos, resumo)
+    return Applied(nova_base, alterados, eventos, nao_aplicados, avisos, rows.agg(*run_counters()))
 
 
 def with_records(plan: DataFrame, base: DataFrame, new: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ HEADERS = {
 CODE, NAME, BALANCE, NOTE = "Código", "Nome", "Débito / Crédito", "Observações"
 
 
+def code_of(raw: DataFrame) -> Column:
+    """A raw row's code: null where the cell is blank or there is no such column."""
+    code = F.col(f"`{CODE}`").cast("string") if CODE in raw.columns else F.lit(None).cast("string")
+    return F.when(~text.blank(code), code)
+
+
 def normalize(raw: DataFrame, context: Context) -> DataFrame:
     """The 48 fields of every row, and _ord. A header that is missing reads as empty. raw must carry _ord, the row's place in its file."""
 
@@ -36,7 +42,7 @@ def normalize(raw: DataFrame, context: Context) -> DataFrame:
     # Cells that several rules read are parsed once, in a projection of their own.
     cells = raw.select(
         "_ord",
-        cell(CODE).alias("code"),
+        code_of(raw).alias("code"),
         cell(NAME).alias("name"),
         cell(NOTE).alias("note"),
         cell(BALANCE).alias("cell"),
@@ -47,7 +53,7 @@ def normalize(raw: DataFrame, context: Context) -> DataFrame:
     debit, credit = F.coalesce(F.col("balance.debito"), F.lit(0.0)), F.coalesce(F.col("balance.credito"), F.lit(0.0))
     category = F.col("category")
     values = {f: F.col(f) for f in HEADERS.values()} | {
-        "nex_codigo": F.when(~text.blank(F.col("code")), F.col("code")),
+        "nex_codigo": F.col("code"),
         "origem_sistema": F.lit("NEX"),
         "nome": text.trimmed(F.coalesce("name", F.lit(""))),
         "whatsapp_validado": F.lit(False),

@@ -22,16 +22,17 @@ def net_balance(side: str) -> Column:
     return round2(value("saldo_debito_nex") - value("saldo_credito_nex"))
 
 
-def matched(base: DataFrame, new: DataFrame) -> DataFrame:
-    """nex_codigo, the records b and n of either side (null where it has none) and _ord, the place in the plan.
+def compared(base: DataFrame, new: DataFrame) -> DataFrame:
+    """nex_codigo, the records b and n of either side (null where it has none), _ord, the place in the plan, and _base_rows and _new_rows, how many rows each side has of the code.
 
     Both sides go through one shuffle: rows are tagged, united and grouped by code, where the last of each side wins. Codes of the base come
-    first, in the order of their first rows, then those of the import alone.
+    first, in the order of their first rows, then those of the import alone. Rows without a code are one group, which is only counted: it has no records.
     """
     fields = [c for c in base.columns if c in new.columns and c != "_ord"]
+    known = F.col("nex_codigo").isNotNull()
 
     def side(df: DataFrame, of: int) -> DataFrame:
-        return df.where(F.col("nex_codigo").isNotNull()).select("nex_codigo", F.lit(of).alias("of"), F.col("_ord").cast("long").alias("_ord"), F.struct(*fields).alias("row"))
+        return df.select("nex_codigo", F.lit(of).alias("of"), F.col("_ord").cast("long").alias("_ord"), F.when(known, F.struct(*fields)).alias("row"))
 
     both = side(base, 0).unionByName(side(new, 1))
     pick = lambda of, f, *c: f(*(F.when(F.col("of") == of, x) for x in c))
@@ -40,9 +41,16 @@ def matched(base: DataFrame, new: DataFrame) -> DataFrame:
         pick(1, F.max_by, F.col("row"), F.col("_ord")).alias("n"),
         pick(0, F.min, F.col("_ord")).alias("_base_pos"),
         pick(1, F.min, F.col("_ord")).alias("_new_pos"),
+        F.count_if(F.col("of") == 0).alias("_base_rows"),
+        F.count_if(F.col("of") == 1).alias("_new_rows"),
     )
     place = F.struct(F.col("_base_pos").isNull().cast("int").alias("side"), F.coalesce("_base_pos", "_new_pos").alias("pos"))
-    return grouped.select("nex_codigo", "b", "n", place.alias("_ord"))
+    return grouped.select("nex_codigo", "b", "n", place.alias("_ord"), "_base_rows", "_new_rows")
+
+
+def matched(base: DataFrame, new: DataFrame) -> DataFrame:
+    """The codes of compared(), without its counts."""
+    return compared(base, new).where(F.col("nex_codigo").isNotNull()).drop("_base_rows", "_new_rows")
 
 
 def with_plan(pairs: DataFrame) -> DataFrame:
@@ -86,12 +94,16 @@ def build_plan(base: DataFrame, new: DataFrame) -> DataFrame:
     return with_plan(matched(base, new))
 
 
-def plan_summary(base: DataFrame, new: DataFrame, plan: DataFrame) -> DataFrame:
-    """Eleven counters, as one row."""
-    tipo = lambda t: F.count_if(F.col("tipo") == t)
-    kind = lambda k: F.count_if(F.col("classificacao_saldo") == k)
-    counts = plan.agg(
-        F.count(F.lit(1)).alias("total_comparados"),
+def plan_counters() -> list[Column]:
+    """Eleven counters, as aggregates over with_plan(compared())."""
+    known = F.col("nex_codigo").isNotNull()
+    tipo = lambda t: F.count_if(known & (F.col("tipo") == t))
+    kind = lambda k: F.count_if(known & (F.col("classificacao_saldo") == k))
+    rows = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return [
+        rows("_base_rows").alias("total_base"),
+        rows("_new_rows").alias("total_nova_importacao"),
+        F.count_if(known).alias("total_comparados"),
         tipo(NEW).alias("clientes_novos"),
         tipo(SAME).alias("clientes_sem_alteracao"),
         tipo(CHANGED).alias("clientes_com_alteracao"),
@@ -99,16 +111,13 @@ def plan_summary(base: DataFrame, new: DataFrame, plan: DataFrame) -> DataFrame:
         kind("divida_quitada").alias("dividas_quitadas"),
         kind("aumento_divida").alias("dividas_aumentaram"),
         kind("reducao_divida").alias("dividas_reduziram"),
-    )
-    without = F.count_if(F.col("nex_codigo").isNull())
-    b = base.agg(F.count(F.lit(1)).alias("total_base"), without.alias("_b"))
-    n = new.agg(F.count(F.lit(1)).alias("total_nova_importacao"), without.alias("_n"))
-    # Three one-row results side by side.
-    one = F.lit(1)
-    return (
-        counts.withColumn("_k", one).join(b.withColumn("_k", one), "_k").join(n.withColumn("_k", one), "_k")
-        .withColumn("registros_sem_identificador_ignorados", F.col("_b") + F.col("_n")).drop("_k", "_b", "_n")
-    )
+        rows(F.when(~known, F.col("_base_rows") + F.col("_new_rows"))).alias("registros_sem_identificador_ignorados"),
+    ]
+
+
+def plan_summary(base: DataFrame, new: DataFrame) -> DataFrame:
+    """Eleven counters, as one row: each side is read once, and rows are counted where they are grouped."""
+    return with_plan(compared(base, new)).agg(*plan_counters())
 
 
 def plan_text(plan: DataFrame) -> DataFrame:
@@ -117,8 +126,11 @@ def plan_text(plan: DataFrame) -> DataFrame:
     return plan.select("_ord", "nex_codigo", F.array_join(lines, "\n").alias("texto"))
 
 
-def format_plan(plan: DataFrame) -> str:
-    """The whole plan as text; for plans that a person reads."""
-    return "\n".join(r["texto"] for r in plan_text(plan).orderBy("_ord").toLocalIterator())
+def write_plan_text(plan: DataFrame, path: str) -> None:
+    """The plan's text as files whose names are in its order: each holds the lines of a range of places. One after another they are format_plan()'s text."""
+    plan_text(plan).repartitionByRange("_ord").sortWithinPartitions("_ord").select("texto").write.text(path)
 
 
+def format_plan(plan: DataFrame) -> str:
+    """The whole plan as text on the driver, for small plans that a person reads; write_plan_text() is for the others."""
+    return "\n".join(r["texto"] for r in plan_text(plan).orderBy("_ord").toLocalIterator())

@@ -50,7 +50,8 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.display(_validated(spark, sf_dir))
+    raw = _raw(spark, sf_dir)
+    return flows.display(validate(normalize(raw, CONTEXT)), flows.repeated_records(raw, CONTEXT))
 
 
 def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -236,7 +237,8 @@ def analyzed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def warning_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.warning_rows(flows.with_warnings(_validated(spark, sf_dir))).withColumnRenamed("_ord", "ord")
+    raw = _raw(spark, sf_dir)
+    return explore.warning_rows(flows.with_warnings(validate(normalize(raw, CONTEXT)), flows.repeated_records(raw, CONTEXT))).withColumnRenamed("_ord", "ord")
 
 
 @_query
@@ -288,7 +290,7 @@ def hostile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _filter(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return flows.filtered(_records(spark, sf_dir), name).select(F.col("_ord").alias("ord"), "nex_codigo")
+        return flows.filtered(_raw(spark, sf_dir), CONTEXT, name).select(F.col("_ord").alias("ord"), "nex_codigo")
 
     run.__name__ = f"filter_{name}"
     return run
@@ -300,7 +302,7 @@ for _name in ("com_debito", "sem_debito", "com_aviso", "invalidos", "revisao_man
 
 @_query
 def search_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.filtered(_records(spark, sf_dir), "com_debito", " 00012 ").select(F.col("_ord").alias("ord"), "nex_codigo", "nome")
+    return flows.filtered(_raw(spark, sf_dir), CONTEXT, "com_debito", " 00012 ").select(F.col("_ord").alias("ord"), "nex_codigo", "nome")
 
 
 @_query
@@ -356,8 +358,7 @@ def plan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, new = _pair(spark, sf_dir)
-    return planning.plan_summary(base, new, planning.build_plan(base, new))
+    return planning.plan_summary(*_pair(spark, sf_dir))
 
 
 def _codes_of(*tipos: str) -> Query:

@@ -7,20 +7,20 @@ import logging
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saldus.context import Context
 from saldus.operators import explore
-from saldus.operators.apply import Applied, apply_plan
-from saldus.operators.lookup import first_of_code, with_details_of_code
-from saldus.operators.normalize import HEADERS, normalize
-from saldus.operators.plan import build_plan, plan_summary
+from saldus.operators.apply import Applied, applied, apply_plan, cases, run_counters
+from saldus.operators.lookup import repeated_codes, with_details_of_code, with_first_of_code
+from saldus.operators.normalize import CODE, HEADERS, code_of, normalize
+from saldus.operators.plan import build_plan, compared, plan_counters, with_plan
 from saldus.operators.simulate import simulate
 from saldus.operators.validate import needs_review, validate
 from saldus.schema import SCHEMA
 from saldus.sources.failures import ImportFailure
-from saldus.sources.repository import Repository, check_contract
+from saldus.sources.repository import Repository, StaleBase, check_contract
 
 
 @dataclass
@@ -31,18 +31,30 @@ class Analysis:
 
 
 def analyze(raw: DataFrame, context: Context = Context()) -> Analysis:
-    """The report, the records with warnings and all records with their display fields, as lazy DataFrames over one plan; only whether there is a row is looked up."""
+    """The report, the records with warnings and all records with their display fields, as lazy DataFrames over one plan; only whether there is a row, and whether a code stands in several, is looked up."""
     if raw.isEmpty():
         raise ImportFailure("planilha_vazia", "A planilha nao contem nenhum registro.")
-    if not {"Código", "Nome", *HEADERS} & set(raw.columns):
+    if not {CODE, "Nome", *HEADERS} & set(raw.columns):
         raise ImportFailure("estrutura_incompativel", "A planilha nao tem as colunas esperadas.")
-    validated = validate(normalize(raw, context))
-    return Analysis(simulate(validated, context), with_warnings(validated), display(validated))
+    validated, repeated = validate(normalize(raw, context)), repeated_records(raw, context)
+    return Analysis(simulate(validated, context), with_warnings(validated, repeated), display(validated, repeated))
 
 
-def display(validated: DataFrame) -> DataFrame:
-    """All records with tem_celular, tem_cpf, qtd_avisos and revisao_manual; rows that share a code share the last one's validation."""
-    rows = with_details_of_code(validated)
+def repeated_records(raw: DataFrame, context: Context) -> DataFrame | None:
+    """Validated records of the rows whose code stands in several rows, or that have none; None if there are no such rows.
+
+    The codes are counted on the raw rows, of which that reads one column; only rows of codes that count are then parsed a second time.
+    """
+    keyed = raw.withColumn("_key", F.coalesce(code_of(raw), F.lit("null")))
+    codes = repeated_codes(keyed.select(F.col("_key").alias("nex_codigo")))
+    if codes.isEmpty():
+        return None
+    return validate(normalize(keyed.join(codes, "_key", "left_semi").drop("_key"), context))
+
+
+def display(validated: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """All records with tem_celular, tem_cpf, qtd_avisos and revisao_manual; rows that share a code share the last one's validation. repeated: validated records of codes that stand in several rows (validated itself will do), or None."""
+    rows = with_details_of_code(validated, repeated)
     return contacts(rows).withColumns({"qtd_avisos": F.size("avisos"), "revisao_manual": needs_review(F.col("avisos"))})
 
 
@@ -52,19 +64,18 @@ def contacts(records: DataFrame) -> DataFrame:
     return records.withColumns({"tem_celular": has("celular"), "tem_cpf": has("cpf_cnpj")})
 
 
-def filtered(records: DataFrame, name: str = "todos", term: str | None = None) -> DataFrame:
-    """Records of a canned filter and term; rows are validated, and joined with the last of their code, only where the filter reads that."""
-    rows = display(validate(records)) if name in explore.NEED_VALIDATION else contacts(records)
+def filtered(raw: DataFrame, context: Context, name: str = "todos", term: str | None = None) -> DataFrame:
+    """Records of an export by a canned filter and term; they are validated, with the last row of their code, only where the filter reads that."""
+    records = normalize(raw, context)
+    rows = display(validate(records), repeated_records(raw, context)) if name in explore.NEED_VALIDATION else contacts(records)
     return explore.filter_records(rows, name, term)
 
 
-def with_warnings(validated: DataFrame) -> DataFrame:
-    """Records that are valid with warnings; their names and balances are those of the first row of their code."""
-    key = F.coalesce("nex_codigo", F.lit("null"))
-    rows = validated.where("validacao_status = 'valido_com_aviso'").withColumn("_key", key)
-    first = first_of_code(validated, ["nome", "saldo_debito_nex", "celular", "cpf_cnpj"])
+def with_warnings(validated: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """Records that are valid with warnings; their names and balances are those of the first row of their code. repeated: as in display()."""
+    rows = validated.where("validacao_status = 'valido_com_aviso'")
     has = lambda c: F.coalesce(F.col(f"_first.{c}") != "", F.lit(False))
-    joined = rows.select("_ord", "_key", "nex_codigo", "avisos").join(first, "_key")
+    joined = with_first_of_code(rows, repeated, ["nome", "saldo_debito_nex", "celular", "cpf_cnpj"])
     return joined.select("_ord", "nex_codigo", F.col("_first.nome").alias("nome"), F.col("_first.saldo_debito_nex").alias("saldo_debito"), has("celular").alias("tem_celular"), has("cpf_cnpj").alias("tem_cpf"), F.size("avisos").alias("qtd_avisos"), "avisos")
 
 
@@ -81,21 +92,47 @@ class SyncResult:
     aplicado: Applied
 
 
-def sync(repository: Repository, records: DataFrame, context: Context) -> SyncResult:
-    """Diffs eligible records with the repository, applies the plan and saves. Syncs of a repository go one after another; a failed save, or one by another writer since the base was read, raises and changes nothing."""
+def sync(repository: Repository, records: DataFrame, context: Context, attempts: int = 5) -> SyncResult:
+    """Diffs eligible records with the repository, applies the plan and saves. Syncs of a repository go one after another, in the order of their calls; a failed save raises and changes nothing.
+
+    Where a writer that doesn't wait for its turn has saved since the base was read, the sync plans again, so many times at most.
+    """
     check_contract(repository)
     with repository.lock:
-        read = repository.version()
-        new, base = eligible(records), repository.find_all()
-        plan = build_plan(base, new).persist(StorageLevel.DISK_ONLY)  # read by both summaries and the save
+        for left in reversed(range(attempts)):
+            try:
+                return _synced(repository, eligible(records), context)
+            except StaleBase:
+                if not left:
+                    raise
+        raise ValueError("a sync needs an attempt")
+
+
+def _synced(repository: Repository, new: DataFrame, context: Context) -> SyncResult:
+    read = repository.version()
+    if not hasattr(repository, "save_changes"):  # a store that takes whole records alone
+        base = repository.find_all()
+        plan = with_plan(compared(base, new)).persist(StorageLevel.DISK_ONLY)  # read by both summaries and the save
         try:
-            applied = apply_plan(plan, context)
-            planned = plan_summary(base, new, plan).first().asDict()
-            done = applied.resumo.first().asDict()
-            repository.save_batch(applied.nova_base, read)
+            own = apply_plan(plan.where("nex_codigo is not null"), context)
+            planned, done = plan.agg(*plan_counters()).first().asDict(), own.resumo.first().asDict()
+            repository.save_batch(own.nova_base, read)
         finally:
             plan.unpersist()
-    return SyncResult(planned, done, applied)
+        return SyncResult(planned, done, own)
+    # One job reads the base, compares, applies and writes what has changed; the summaries are metrics of the rows as they pass its last stage, whose tasks count once
+    # each, whatever is run again before them.
+    seen = Observation()
+    rows = with_plan(compared(repository.find_all(history=False, version=read), new)).observe(seen, *plan_counters())
+    ran = Observation()
+    rows = cases(rows.where("nex_codigo is not null"), context).observe(ran, *run_counters())
+    repository.save_changes(applied(rows, context).alterados, read)
+    full = apply_plan(build_plan(repository.find_all(version=read), new), context)
+    return SyncResult(_counted(seen), _counted(ran), full)
+
+
+def _counted(seen: Observation) -> dict:
+    return {k: v or 0 for k, v in seen.get.items()}
 
 
 @dataclass
@@ -121,7 +158,8 @@ def import_payload(repository: Repository, body: bytes, context: Context) -> Imp
     except Exception as e:
         logging.getLogger(__name__).error("sync failed: %s", type(e).__name__)
         raise ImportFailure("erro_sincronizacao", "Nao foi possivel concluir a importacao. Nenhum dado foi salvo.") from e
-    return Imported(eligible(records).count(), done.resumo_execucao, done.aplicado.avisos, done.aplicado.nao_aplicados, done.aplicado.eventos.count())
+    run = done.resumo_execucao
+    return Imported(done.resumo_plano["total_nova_importacao"], run, done.aplicado.avisos, done.aplicado.nao_aplicados, run["total_eventos"])
 
 
 def _no_json(name: str) -> None:

@@ -3,33 +3,52 @@
 from __future__ import annotations
 
 import io
+from itertools import accumulate
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldus.sources.failures import ImportFailure
 
 
-def read_table(spark: SparkSession, path: str, order: str | None = None) -> DataFrame:
-    """A parquet or CSV export. order: the column that holds the row's place. Without it, rows of Parquet files are in the order of file names and of
-    their place in a file; a CSV export must be a single file, which is read in one piece.
+def file_rows() -> tuple[Column, ...]:
+    """What places a row of a Parquet file: its file and its number there."""
+    return F.col("_metadata.file_path").alias("_file"), F.lit(0).cast("long").alias("_start"), F.col("_metadata.row_index").alias("_row")
+
+
+def file_splits() -> tuple[Column, ...]:
+    """What places a row of any file: its file, the start of its split, and a number that grows inside it."""
+    return F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_row")
+
+
+def read_table(spark: SparkSession, path: str | list[str], order: str | None = None) -> DataFrame:
+    """A parquet or CSV export of one or more files. order: the column that holds the row's place. Without it, rows are in the order of their files' paths and of their place in a file.
 
     Codes are text in the end, whole numbers without a point.
     """
-    if path.lower().rstrip("/").endswith(".csv"):
-        raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
-        if not order and "_ord" not in raw.columns and len(raw.inputFiles()) > 1:
-            raise ValueError("several CSV files have no order of rows: name the column that holds it")
-        return numbered(as_text(raw), order)
-    raw = spark.read.parquet(path)
+    first = path if isinstance(path, str) else path[0]
+    csv = first.lower().rstrip("/").endswith(".csv")
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"') if csv else spark.read.parquet(*([path] if isinstance(path, str) else path))
     if order or "_ord" in raw.columns:
         return numbered(as_text(raw), order)
-    placed = raw.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    # A row for each file, so its rank is cheap.
-    ranks = spark.createDataFrame(list(enumerate(sorted({unquote(x.rpartition("/")[2]) for x in raw.inputFiles()}))), "_rank bigint, _name string")
-    ranked = placed.join(F.broadcast(ranks), F.col("_file") == F.col("_name"))
-    return as_text(ranked.withColumn("_ord", F.shiftleft("_rank", 40) + F.col("_row")).drop("_file", "_row", "_rank", "_name"))
+    return as_text(in_file_order(raw.select("*", *(file_splits() if csv else file_rows()))))
+
+
+def in_file_order(placed: DataFrame) -> DataFrame:
+    """Rows of files (with _file, _start and _row) numbered from 0 on in _ord: files by path, splits of a file by where they start, rows of a split as they stand.
+
+    Two passes: the first counts the rows of each split, and a running sum of the counts says where each begins. The driver handles a row for each split, as Spark's own list of files does;
+    the join takes them to the rows. If Spark cuts the files into other splits by the second pass, rows would get wrong places: that fails, and is never silent.
+    """
+    counted = placed.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")).collect()
+    counted.sort(key=lambda r: (unquote(r["_file"]), r["_start"]))
+    begins = [0, *accumulate(r["n"] for r in counted)]
+    splits = placed.sparkSession.createDataFrame([(*r, at) for r, at in zip(counted, begins, strict=False)], "_file string, _start long, _n long, _first long, _begin long")
+    place = F.col("_row") - F.col("_first")
+    found = F.when((place >= 0) & (place < F.col("_n")), F.col("_begin") + place)
+    moved = F.raise_error(F.concat(F.lit("split anew while its rows were numbered: "), "_file")).cast("long")
+    return placed.join(splits, ["_file", "_start"], "left").withColumn("_ord", F.coalesce(found, moved)).drop("_file", "_start", "_row", "_n", "_first", "_begin")
 
 
 def as_text(raw: DataFrame) -> DataFrame:

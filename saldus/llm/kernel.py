@@ -47,8 +47,10 @@ LOWER[65:91] += 32
 LONG = 256
 #: The low bytes of a word of eight.
 _LOW = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
-#: Fixed, so that results are repeatable.
-_KEY = b"saldus words"
+#: A key of 128 bits; fixed, so that results are repeatable.
+_KEY = np.frombuffer(b"saldus: words' k", U)
+#: Fixed values of SipHash: where its state starts, with the key and the mark of 128 bits in it.
+_SIP = np.array([0x736F6D6570736575, 0x646F72616E646F6D, 0x6C7967656E657261, 0x7465646279746573], U) ^ np.tile(_KEY, 2) ^ np.array([0, 0xEE, 0, 0], U)
 _SEEDS = mixed(np.arange(LONG + 2, dtype=U) * U(BASE))
 
 
@@ -169,14 +171,39 @@ class Text:
         return classes(found if doc is None else by_text(found, doc), unlike, lambda i: (0 if doc is None else int(doc[i]), data[start[i] : end[i]].tobytes()))
 
     def word_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of a keyed cryptographic hash of each word, as two columns; each distinct word of the block is hashed once."""
-        kind = self.classes(self.start, self.end)
-        one = np.zeros(int(kind.max(initial=-1)) + 1, np.int64)
-        one[kind] = np.arange(len(kind))
+        """128 bits of a keyed hash (SipHash-2-4) of each word, as two columns."""
+        one, two = np.empty(len(self.start), U), np.empty(len(self.start), U)
+        for lo in range(0, len(self.start), 1 << 14):  # as much as a processor's cache holds
+            part = slice(lo, lo + (1 << 14))
+            one[part], two[part] = self._siphash(self.start[part], self.end[part] - self.start[part])
         data = memoryview(np.ascontiguousarray(self.data))
-        digests = b"".join(blake2b(data[a:b], digest_size=16, key=_KEY).digest() for a, b in zip(self.start[one].tolist(), self.end[one].tolist(), strict=True))
-        keys = np.frombuffer(digests, U).reshape(-1, 2)[kind]
-        return np.ascontiguousarray(keys[:, 0]), np.ascontiguousarray(keys[:, 1])
+        for i in np.flatnonzero(self.end - self.start > 16 * LONG):  # not eight bytes at a time
+            one[i], two[i] = np.frombuffer(blake2b(data[self.start[i] : self.end[i]], digest_size=16, key=_KEY.tobytes()).digest(), U)
+        return one, two
+
+    def _siphash(self, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """SipHash-2-4 with 128 bits of the size bytes from start on; ranges of more than 16 * LONG bytes are left out."""
+        eights, size = self.eights(), np.where(size > 16 * LONG, 0, size)
+        blocks = size >> 3
+        out = np.empty((4, len(size)), U)
+        out[:] = _SIP[:, None]
+        live, v = np.arange(len(size)), out
+        for k in range(int(blocks.max(initial=0)) + 1):
+            final = blocks[live] == k
+            m = eights[start[live] + 8 * k] & _LOW[np.minimum(size[live] - 8 * k, 8)]
+            m |= np.where(final, size[live].astype(U) << U(56), U(0))
+            v[3] ^= m
+            _sip_rounds(v, 2)
+            v[0] ^= m
+            if k or not final.all():
+                out[:, live[final]] = v[:, final]
+                live, v = live[~final], v[:, ~final]
+        out[2] ^= U(0xEE)
+        _sip_rounds(out, 4)
+        first = out[0] ^ out[1] ^ out[2] ^ out[3]
+        out[1] ^= U(0xDD)
+        _sip_rounds(out, 4)
+        return first, out[0] ^ out[1] ^ out[2] ^ out[3]
 
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text) of each line; a text without line feeds is one line, an empty text too."""
@@ -199,6 +226,27 @@ class Text:
         return np.rint(np.bincount(doc, weights=weight, minlength=self.n)).astype(np.int64)
 
 
+def _sip_rounds(v: np.ndarray, n: int) -> None:
+    """n rounds on the four rows of v, in place."""
+    part = np.empty(v.shape[1], U)
+
+    def turned(x: np.ndarray, bits: int) -> None:
+        np.right_shift(x, U(64 - bits), out=part)
+        x <<= U(bits)
+        x |= part
+
+    a, b, c, d = v
+    for _ in range(n):
+        for one, two, other, left, right in ((a, b, c, 13, 16), (c, b, a, 17, 21)):
+            one += two
+            turned(two, left)
+            two ^= one
+            turned(one, 32)
+            other += d
+            turned(d, right)
+            d ^= other
+
+
 def windows(keys: tuple[np.ndarray, np.ndarray], doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first word) of every run of k words inside one text, from the words' 128-bit keys.
 

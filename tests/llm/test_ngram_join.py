@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from saldus.llm import components, ngram_join
+import numpy as np
+
+from saldus.llm import kernel, components, ngram_join
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -124,3 +126,43 @@ def test_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 200), (None, 3)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200}
+
+
+def plain_siphash(key, data):
+    """SipHash-2-4 with 128 bits, word for word from its definition."""
+    mask = (1 << 64) - 1
+    v = [a ^ b for a, b in zip((0x736F6D6570736575, 0x646F72616E646F6D, 0x6C7967656E657261, 0x7465646279746573), key * 2, strict=True)]
+    v[1] ^= 0xEE
+
+    def rounds(n):
+        rot = lambda x, b: ((x << b) | (x >> (64 - b))) & mask
+        for _ in range(n):
+            v[0], v[2] = (v[0] + v[1]) & mask, (v[2] + v[3]) & mask
+            v[1], v[3] = rot(v[1], 13) ^ v[0], rot(v[3], 16) ^ v[2]
+            v[0] = rot(v[0], 32)
+            v[2], v[0] = (v[2] + v[1]) & mask, (v[0] + v[3]) & mask
+            v[1], v[3] = rot(v[1], 17) ^ v[2], rot(v[3], 21) ^ v[0]
+            v[2] = rot(v[2], 32)
+
+    padded = data + bytes(7 - len(data) % 8) + bytes([len(data) & 255])
+    for i in range(0, len(padded), 8):
+        m = int.from_bytes(padded[i : i + 8], "little")
+        v[3] ^= m
+        rounds(2)
+        v[0] ^= m
+    out = []
+    for k, mark in ((2, 0xEE), (1, 0xDD)):
+        v[k] ^= mark
+        rounds(4)
+        out.append(v[0] ^ v[1] ^ v[2] ^ v[3])
+    return tuple(out)
+
+
+def test_word_keys_are_siphash():
+    known = plain_siphash((0x0706050403020100, 0x0F0E0D0C0B0A0908), b"")  # the published vector of the empty text
+    assert b"".join(x.to_bytes(8, "little") for x in known).hex() == "a3817f04ba25a8e66df67214c7550293"
+    words = [b"a" * n for n in range(1, 40)] + [b"abcdefgh", "\u00fcn\u00ef".encode(), b"x" * 300, b"y" * 4096, b"z" * 5000]
+    t = kernel.Text(np.frombuffer(b" ".join(words), np.uint8), np.array([0, len(b" ".join(words))]))
+    got = list(zip(*(x.tolist() for x in t.word_keys()), strict=True))
+    key = tuple(kernel._KEY.tolist())
+    assert got[:-1] == [plain_siphash(key, w) for w in words[:-1]] and len(set(got)) == len(words)

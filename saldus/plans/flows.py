@@ -19,6 +19,7 @@ from saldus.operators.plan import build_plan, compared, plan_counters, with_plan
 from saldus.operators.simulate import simulate
 from saldus.operators.validate import needs_review, validate
 from saldus.schema import SCHEMA
+from saldus.sources.exports import check_size, file_name, read_upload
 from saldus.sources.failures import ImportFailure
 from saldus.sources.repository import Repository, StaleBase, check_contract
 
@@ -33,13 +34,21 @@ class Analysis:
 def analyze(raw: DataFrame, context: Context = Context()) -> Analysis:
     """The report, the records with warnings and all records with their display fields, as lazy DataFrames over one plan; only whether there is a row, and whether a code stands in several, is looked up."""
     if raw.isEmpty():
-        raise ImportFailure("planilha_vazia", "A planilha nao contem nenhum registro.")
+        raise ImportFailure("planilha_vazia")
     if not {CODE, "Nome", *HEADERS} & set(raw.columns):
-        raise ImportFailure("estrutura_incompativel", "A planilha nao tem as colunas esperadas.")
+        raise ImportFailure("estrutura_incompativel")
     validated, repeated = validate(normalize(raw, context)), repeated_records(raw, context)
     return Analysis(simulate(validated, context), with_warnings(validated, repeated), display(validated, repeated))
 
 
+def analyze_upload(spark: SparkSession, body: bytes, name: str | None, folder: str, snapshot: str | None = None) -> Analysis:
+    """analyze() of an uploaded workbook. name: as the upload gives it, percent-encoded; without one, or where it can't be decoded, the file has its usual name. folder: where the upload is put, a URI that all executors read."""
+    check_size(body)
+    given = {k: v for k, v in (("file", file_name(name)), ("snapshot", snapshot)) if v}
+    context = Context(**given)
+    return analyze(read_upload(spark, body, context.file, folder), context)
+
+
 def repeated_records(raw: DataFrame, context: Context) -> DataFrame | None:
     """Validated records of the rows whose code stands in several rows, or that have none; None if there are no such rows.
 
@@ -146,9 +155,11 @@ class Imported:
 
 def import_payload(repository: Repository, body: bytes, context: Context) -> Imported:
     """Syncs the records of a request's body, {"registros": [...]}. What is wrong with the body, and that a sync has failed, is raised as ImportFailure; why it has is logged only."""
+    check_size(body)
     try:
         payload = json.loads(body.decode("utf-8", "replace"), parse_constant=_no_json)
     except ValueError as e:
+        # The two messages.
         raise ImportFailure("payload_invalido", "Corpo da requisicao nao e um JSON valido.") from e
     if not isinstance(payload, dict) or not isinstance(payload.get("registros"), list):
         raise ImportFailure("payload_invalido", "Envie { registros: [...] } com o resultado de uma analise previa.")
@@ -157,7 +168,7 @@ def import_payload(repository: Repository, body: bytes, context: Context) -> Imp
         done = sync(repository, records, context)
     except Exception as e:
         logging.getLogger(__name__).error("sync failed: %s", type(e).__name__)
-        raise ImportFailure("erro_sincronizacao", "Nao foi possivel concluir a importacao. Nenhum dado foi salvo.") from e
+        raise ImportFailure("erro_sincronizacao") from e
     run = done.resumo_execucao
     return Imported(done.resumo_plano["total_nova_importacao"], run, done.aplicado.avisos, done.aplicado.nao_aplicados, run["total_eventos"])
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import io
+import re
+import uuid
 from itertools import accumulate
 from urllib.parse import unquote
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldus.sources.failures import ImportFailure
+from saldus.sources.storage import Storage
+from saldus.sources.workbook import WorkbookSource
 
 
 def file_rows() -> tuple[Column, ...]:
@@ -66,30 +69,77 @@ def numbered(raw: DataFrame, order: str | None = None) -> DataFrame:
     return raw.withColumn("_ord", F.monotonically_increasing_id())
 
 
-def read_workbook(spark: SparkSession, data: bytes, name: str = "arquivo.xls") -> DataFrame:
-    """The first sheet of a workbook. Its cells are read by pandas where an engine for the format is installed."""
-    check_file(name, data)
-    try:
-        import pandas as pd
+def read_sheets(spark: SparkSession, path: str, first: bool = False) -> DataFrame:
+    """(file, sheet, sheet_idx, row_idx, cells, shown, is_text) of all sheets of the workbooks under path, or of the first sheets; see sources.workbook."""
+    spark.dataSource.register(WorkbookSource)
+    return spark.read.format("workbook").option("first", str(first).lower()).load(path)
+
+
+def matrix_of(sheets: DataFrame) -> DataFrame:
+    """read_sheets() for profiling: cells as the workbooks show them, which are text all of them."""
+    return sheets.select("sheet", "row_idx", F.col("shown").alias("cells"), F.transform("shown", lambda c: c != "").alias("is_text"))
 
-        sheet = pd.read_excel(io.BytesIO(data), sheet_name=0, dtype=object, keep_default_na=False)
+
+def read_workbook(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet of a workbook under the headers of its first row, with _ord; blank rows are left out. Only the headers come to the driver.
+
+    A column without a header is __EMPTY; of columns of one header, all but the first have a number behind it.
+    """
+    rows = read_sheets(spark, path, first=True).where("sheet_idx = 0")
+    try:
+        head = rows.where("row_idx = 0").select("shown").first()
     except Exception as e:
-        raise ImportFailure("erro_leitura", f"Nao foi possivel ler o arquivo: {e}") from e
-    if not len(sheet):
-        raise ImportFailure("planilha_vazia", "A planilha nao tem registros.")
-    text = sheet.map(lambda x: "" if x is None else str(int(x)) if isinstance(x, float) and x.is_integer() else str(x))
-    text.insert(0, "_ord", range(len(text)))
-    return spark.createDataFrame(text)
+        if "erro_leitura" in str(e):
+            raise ImportFailure("erro_leitura") from e
+        raise
+    names: list[str] = []
+    for given in head["shown"] if head else ():
+        name, k = given or "__EMPTY", 0
+        while name in names:
+            k += 1
+            name = f"{given or '__EMPTY'}_{k}"
+        names.append(name)
+    below = rows.where((F.col("row_idx") > 0) & F.exists("cells", lambda c: c != ""))
+    if not names or below.isEmpty():
+        raise ImportFailure("planilha_vazia")
+    return below.select(F.col("row_idx").alias("_ord"), *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)))
+
+
+#: Fixed value: bytes of an upload, at most.
+UPLOAD_BYTES = 50 * 1024 * 1024
+
+
+def file_name(header: str | None) -> str | None:
+    """The name that an upload gives in percent-encoded UTF-8; None without one, and for what can't be decoded."""
+    if not header or re.search("%(?![0-9A-Fa-f]{2})", header):
+        return None
+    try:
+        return unquote(header, errors="strict")
+    except UnicodeDecodeError:
+        return None
+
+
+def check_size(data: bytes) -> None:
+    if len(data) > UPLOAD_BYTES:
+        raise ImportFailure("upload_invalido")
+
+
+def read_upload(spark: SparkSession, data: bytes, name: str, folder: str) -> DataFrame:
+    """An uploaded workbook's first sheet; the upload is put into folder, a URI that all executors read, under a name of its own, and stays there as long as the result is read."""
+    check_file(name, data)
+    storage, own = Storage(spark, folder), f"{uuid.uuid4().hex}.xls"
+    storage.write(own, data)
+    return read_workbook(spark, storage.at(own))
 
 
 def check_file(name: str, data: bytes) -> None:
     if not name.lower().endswith(".xls"):
-        raise ImportFailure("formato_invalido", "Formato invalido: envie um arquivo .xls.")
+        raise ImportFailure("formato_invalido")
     if not data:
-        raise ImportFailure("arquivo_vazio", "O arquivo esta vazio.")
+        raise ImportFailure("arquivo_vazio")
 
 
 def read_matrix(spark: SparkSession, sheets: dict[str, list[list[object]]]) -> DataFrame:
-    """(sheet, row_idx, cells, is_text) of whole sheets, for profiling; is_text: whether each cell was text in the sheet."""
+    """(sheet, row_idx, cells, is_text) of sheets at hand on the driver, for profiling; is_text: whether each cell was text in the sheet."""
     rows = [(name, i, [None if c is None else str(c) for c in cells], [isinstance(c, str) for c in cells]) for name, own in sheets.items() for i, cells in enumerate(own)]
     return spark.createDataFrame(rows, "sheet string, row_idx bigint, cells array<string>, is_text array<boolean>")

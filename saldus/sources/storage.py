@@ -77,23 +77,24 @@ class Storage:
             finally:
                 os.unlink(one)
         if urlsplit(self.path).scheme in ("hdfs", "viewfs"):
-            self._write(aside, text)
+            self.write(aside, text.encode())
             done = bool(self._fs.rename(self._at(self.at(aside)), self._at(self.at(name))))
             if not done:
                 self.delete(aside)
             return done
         try:
-            self._write(name, text)
+            self.write(name, text.encode())
             return True
         except Py4JJavaError as e:
             if "FileAlreadyExists" in str(e.java_exception):
                 return False
             raise
 
-    def _write(self, name: str, text: str) -> None:
+    def write(self, name: str, data: bytes) -> None:
+        """Makes a new file."""
         stream = self._fs.create(self._at(self.at(name)), False)
         try:
-            stream.write(bytearray(text.encode()))
+            stream.write(bytearray(data))
         finally:
             stream.close()
 

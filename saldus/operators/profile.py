@@ -57,10 +57,10 @@ def row_accounting(matrix: DataFrame) -> DataFrame:
 
 
 def column_tags(headers: DataFrame) -> DataFrame:
-    """(tag, cabecalhos): the headers of (pos, header) that carry a tag, in order of their columns."""
-    tagged = headers.select("pos", "header", F.explode(tags(F.col("header"))).alias("tag"))
+    """(sheet, tag, cabecalhos): the headers of (sheet, pos, header) that carry a tag, in order of their columns. A sheet's headers are as many as its columns."""
+    tagged = headers.select("sheet", "pos", "header", F.explode(tags(F.col("header"))).alias("tag"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "header")))
-    return tagged.groupBy("tag").agg(F.array_join(F.transform(ordered, lambda x: x["header"]), ", ").alias("cabecalhos"))
+    return tagged.groupBy("sheet", "tag").agg(F.array_join(F.transform(ordered, lambda x: x["header"]), ", ").alias("cabecalhos"))
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from saldus.context import Context
@@ -14,17 +14,17 @@ TOTALS = ("total_registros", "validos", "validos_com_aviso", "invalidos", "clien
 FORECAST = ("novos", "atualizacoes", "ignorados", "revisao_manual")
 
 
-def simulate(validated: DataFrame, context: Context = Context()) -> DataFrame:
-    """The report as one row: totals, forecast, file and notice, from one aggregation."""
+def counters(status: Column, avisos: Column) -> list[Column]:
+    """TOTALS and revisao_manual, as aggregates over validated records, whose state and warnings are given."""
     owes = F.coalesce(F.col("saldo_debito_nex") > 0, F.lit(False))
     has = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
-    n, is_ = F.count_if, lambda c, v: F.col(c) == v
+    n = F.count_if
     money = lambda c: F.coalesce(F.sum(cents(F.nanvl(F.col(c), F.lit(0.0)))), F.lit(0).cast("decimal(38,2)")).cast("decimal(38,2)")
-    counts = validated.agg(
+    return [
         F.count(F.lit(1)).alias("total_registros"),
-        n(is_("validacao_status", "valido")).alias("validos"),
-        n(is_("validacao_status", "valido_com_aviso")).alias("validos_com_aviso"),
-        n(is_("validacao_status", "invalido")).alias("invalidos"),
+        n(status == "valido").alias("validos"),
+        n(status == "valido_com_aviso").alias("validos_com_aviso"),
+        n(status == "invalido").alias("invalidos"),
         n(owes).alias("clientes_com_debito"),
         n(~owes).alias("clientes_sem_debito"),
         money("saldo_debito_nex").alias("total_debito"),
@@ -33,15 +33,24 @@ def simulate(validated: DataFrame, context: Context = Context()) -> DataFrame:
         n(~has("celular")).alias("sem_celular"),
         n(has("cpf_cnpj")).alias("com_cpf"),
         n(~has("cpf_cnpj")).alias("sem_cpf"),
-        n(is_("observacao_categoria", "estruturada")).alias("observacoes_estruturadas"),
-        n(is_("observacao_categoria", "vazia")).alias("observacoes_vazias"),
-        n(needs_review(F.col("avisos"))).alias("revisao_manual"),
-    )
+        n(F.col("observacao_categoria") == "estruturada").alias("observacoes_estruturadas"),
+        n(F.col("observacao_categoria") == "vazia").alias("observacoes_vazias"),
+        n(needs_review(avisos)).alias("revisao_manual"),
+    ]
+
+
+def report(counts: DataFrame, context: Context = Context()) -> DataFrame:
+    """The report from its counters: totals, forecast, file and notice."""
     # No base is known at this point: all that can be imported counts as new.
     forecast = {"novos": F.col("validos") + F.col("validos_com_aviso"), "atualizacoes": F.lit(0).cast("bigint"), "ignorados": F.col("invalidos")}
     return counts.select(*TOTALS, *(forecast.get(x, F.col(x)).alias(x) for x in FORECAST), F.lit(context.file).alias("arquivo"), F.lit(NOTICE).alias("aviso_geral"), F.lit(True).alias("simulacao"))
 
 
+def simulate(validated: DataFrame, context: Context = Context()) -> DataFrame:
+    """The report as one row, from one aggregation."""
+    return report(validated.agg(*counters(F.col("validacao_status"), F.col("avisos"))), context)
+
+
 _RULE = "====================================="
 _LINES = (
     (("Total de registros", "total_registros"), ("Registros validos", "validos"), ("Registros com aviso", "validos_com_aviso"), ("Registros invalidos", "invalidos")),

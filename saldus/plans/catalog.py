@@ -12,7 +12,7 @@ from saldus.functions import parsers, text
 from saldus.operators import explore, lookup, profile
 from saldus.operators import plan as planning
 from saldus.operators import validate as rules
-from saldus.operators.apply import apply_plan
+from saldus.operators.apply import apply_plan, with_records
 from saldus.operators.normalize import normalize
 from saldus.operators.simulate import FORECAST, TOTALS, report_lines, simulate
 from saldus.operators.validate import validate
@@ -138,21 +138,14 @@ def mask_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer(spark, sf_dir).select(k.alias("ord"), text.digits(phone).alias("digitos"), text.mask_document(doc).alias("documento"), text.mask_email(mail).alias("email"), text.mask_phone(phone).alias("telefone"), text.mask_address(street).alias("endereco"), text.shape(phone).alias("formato"))
 
 
-_HEADERS = ("Código", "Cod.Cliente", "Razão Social", "Telefone", "Celular", "WhatsApp", "CPF / CNPJ", "E-mail", "Endereço", "Município", "UF", "Débito / Crédito", "Saldo em Aberto", "Vencimento", "Parcelas", "Limite de Crédito", "Última Venda", "Fiado", "Observações", "  NOME Fantasia ", "Telefone_2")
-
-
-def _headers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(_HEADERS)), "pos bigint, header string")
-
-
 @_query
 def header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _headers(spark).select("pos", text.header_key(F.col("header")).alias("chave"))
+    return rendered.headers(_customer(spark, sf_dir)).select("sheet", "pos", text.header_key(F.col("header")).alias("chave"))
 
 
 @_query
 def column_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.column_tags(_headers(spark))
+    return profile.column_tags(rendered.headers(_customer(spark, sf_dir)))
 
 
 # Records
@@ -380,6 +373,15 @@ def apply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def apply_bare_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applying a plan that came as codes and types alone: its records are looked up in both sides."""
+    base, new = _pair(spark, sf_dir)
+    bare = planning.build_plan(base, new).drop("b", "n")
+    rows = apply_plan(with_records(bare, base, new), LATER).nova_base
+    return rows.select("nex_codigo", "prime_id", "telefone", "email", "status_cobranca", "atualizado_em", F.size("historico").cast("bigint").alias("n_historico"), *_money("saldo_debito_nex", "saldo_debito_anterior", "variacao_saldo"))
+
+
 @_query
 def apply_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _applied(spark, sf_dir).resumo

@@ -16,7 +16,7 @@ from saldus.operators.apply import Applied, applied, apply_plan, cases, run_coun
 from saldus.operators.lookup import repeated_codes, with_details_of_code, with_first_of_code
 from saldus.operators.normalize import CODE, HEADERS, code_of, normalize
 from saldus.operators.plan import build_plan, compared, plan_counters, with_plan
-from saldus.operators.simulate import simulate
+from saldus.operators.simulate import counters, report, simulate
 from saldus.operators.validate import needs_review, validate
 from saldus.schema import SCHEMA
 from saldus.sources.exports import check_size, file_name, read_upload
@@ -41,6 +41,24 @@ def analyze(raw: DataFrame, context: Context = Context()) -> Analysis:
     return Analysis(simulate(validated, context), with_warnings(validated, repeated), display(validated, repeated))
 
 
+def analyze_into(raw: DataFrame, context: Context, path: str) -> Analysis:
+    """analyze() whose records are written to path as Parquet: the report is counted by the job that writes them, and warnings are read from there."""
+    if raw.isEmpty():
+        raise ImportFailure("planilha_vazia")
+    validated, repeated = validate(normalize(raw, context)), repeated_records(raw, context)
+    seen = Observation()
+    # What a row says of itself is counted, not what it shares with the last row of its code; in the last stage, whose tasks count once each.
+    own = validated.withColumn("_own", F.struct("validacao_status", "avisos"))
+    display(own, repeated).observe(seen, *counters(F.col("_own.validacao_status"), F.col("_own.avisos"))).write.parquet(path)
+    spark = raw.sparkSession
+    kinds = {c: "decimal(38,2)" if c in ("total_debito", "total_credito") else "bigint" for c in seen.get}
+    counted = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    stored = spark.read.parquet(path)
+    rows = stored.withColumns({"validacao_status": F.col("_own.validacao_status"), "avisos": F.col("_own.avisos")})
+    warned = with_warnings(rows, None if repeated is None else rows.join(repeated_codes(rows.select("nex_codigo")), F.coalesce("nex_codigo", F.lit("null")) == F.col("_key"), "left_semi"))
+    return Analysis(report(counted, context), warned, stored.drop("_own"))
+
+
 def analyze_upload(spark: SparkSession, body: bytes, name: str | None, folder: str, snapshot: str | None = None) -> Analysis:
     """analyze() of an uploaded workbook. name: as the upload gives it, percent-encoded; without one, or where it can't be decoded, the file has its usual name. folder: where the upload is put, a URI that all executors read."""
     check_size(body)

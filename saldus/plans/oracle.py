@@ -272,7 +272,11 @@ LABEL = "case status when 'sem_debito' then 'Sem débito' when 'em_aberto' then
 YES = "case when {} is not null then 'Sim' else '{}' end"
 
 _HEADERS = ("Código", "Cod.Cliente", "Razão Social", "Telefone", "Celular", "WhatsApp", "CPF / CNPJ", "E-mail", "Endereço", "Município", "UF", "Débito / Crédito", "Saldo em Aberto", "Vencimento", "Parcelas", "Limite de Crédito", "Última Venda", "Fiado", "Observações", "  NOME Fantasia ", "Telefone_2")
-HEADERS = "with h as (select pos, trim(lower(strip_accents(header))) as k, header from (values " + ", ".join(f"({i}, '{h}')" for i, h in enumerate(_HEADERS)) + ") v(pos, header))"
+HEADERS = (
+    "with g as (select c_custkey as k, c_nationkey, c_mktsegment, [" + ", ".join(f"'{h}'" for h in _HEADERS) + f"][c_custkey % {len(_HEADERS)} + 1] as plain from customer),"
+    " c as (select *, case when k % 4 = 1 then upper(plain) else plain end || case when k % 5 = 2 then ' ' || c_nationkey::varchar when k % 5 = 3 then ' / ' || c_mktsegment else '' end as header from g),"
+    f" h as (select k // {len(_HEADERS)} as sheet, k % {len(_HEADERS)} as pos, trim(lower(strip_accents(header))) as k, header from c)"
+)
 _TAGS = {
     "id_codigo": r"^(id|cod|codigo|cod\.?cliente|codcli)$|\bcod(igo)?\b", "nome": r"\b(nome|razao|fantasia)\b", "telefone": r"\b(telefone|fone|celular|whatsapp)\b", "cpf_cnpj": r"\b(cpf|cnpj|documento)\b", "email": "e-?mail",
     "endereco": r"\b(endereco|rua|logradouro|bairro|cidade|municipio|uf|cep)\b", "cobranca_fiado": r"\bfiado\b", "cobranca_debito": r"\bdebito\b", "cobranca_saldo": r"\bsaldo\b", "cobranca_valor_aberto": "aberto",
@@ -335,7 +339,7 @@ def _examples() -> str:
 
 def oracle_sql() -> dict[str, str]:
     plan_cols = ", ".join(f"m{i} as {f}_mudou" for i, f in enumerate(("saldo", "telefone", "celular", "email", "endereco", "observacao"), 1))
-    tags = " union all ".join([f"select '{t}' as tag, pos, header from h where regexp_matches(k, '{p}')" for t, p in _TAGS.items()] + ["select 'saldo_dc', pos, header from h where contains(k, 'debito') and contains(k, 'credito')"])
+    tags = " union all ".join([f"select sheet, '{t}' as tag, pos, header from h where regexp_matches(k, '{p}')" for t, p in _TAGS.items()] + ["select sheet, 'saldo_dc', pos, header from h where contains(k, 'debito') and contains(k, 'credito')"])
     messages = "ord, vstatus as validacao_status, array_to_string(erros, ' | ') as erros, array_to_string(avisos, ' | ') as avisos"
     of = lambda *t: PLAN + " select nex_codigo from acts where tipo in (" + ", ".join(f"'{x}'" for x in t) + ")"
     upsert = PAIR + " up as (select * from novo1 union all select * from base1 where nex_codigo not in (select nex_codigo from novo1))"
@@ -351,8 +355,8 @@ def oracle_sql() -> dict[str, str]:
         "installment_suggestion": NORM + " select ord, venc as vencimento_sugerido, qtd, " + _d2("vparc", "valor") + " from rec",
         "round2": "select c_custkey as ord, " + _d2(_r2("(c_acctbal / 8)"), "oitavo") + " from customer",
         "mask_pii": _mask(),
-        "header_normalize": HEADERS + " select pos, k as chave from h",
-        "column_tags": HEADERS + f", t as ({tags}) select tag, string_agg(header, ', ' order by pos) as cabecalhos from t group by tag",
+        "header_normalize": HEADERS + " select sheet, pos, k as chave from h",
+        "column_tags": HEADERS + f", t as ({tags}) select sheet, tag, string_agg(header, ', ' order by pos) as cabecalhos from t group by sheet, tag",
         "normalize_records": NORM + " select ord, nex_codigo, 'NEX' as origem_sistema, nome, cpf_cnpj, telefone, celular, email, endereco_cidade, " + ", ".join((_d2("deb", "saldo_debito_nex"), _d2("cre", "saldo_credito_nex"), _d2("net", "valor_liquido_nex"), _d2("vparc", "valor_parcela")))
         + ", snap as data_snapshot_nex, obs as observacao_original_nex, categoria as observacao_categoria, venc as vencimento_sugerido, qtd as parcelas, conf as confianca_extracao, status as status_cobranca, 0::bigint as n_historico, tent as tentativas_cobranca,"
         " consent as consentimento_contato, false as whatsapp_validado, arquivo as fonte_arquivo_origem, null::varchar as prime_id, null::varchar as hash_registro_nex from rec",
@@ -391,6 +395,7 @@ def oracle_sql() -> dict[str, str]:
         "clients_removed": of("cliente_removido_da_exportacao"),
         "clients_common": of("cliente_existente_com_alteracao", "cliente_existente_sem_alteracao"),
         "apply_base": _apply_base(),
+        "apply_bare_plan": "select nex_codigo, prime_id, telefone, email, status_cobranca, atualizado_em, n_historico, saldo_debito_nex, saldo_debito_anterior, variacao_saldo from (" + _apply_base() + ")",
         "apply_summary": PLAN + " select count(*) filter (caso = 'criado') as criados, count(*) filter (caso = 'atualizado') as atualizados, count(*) filter (caso = 'quitado') as quitados, count(*) filter (caso = 'sem_alteracao') as sem_alteracao, count(*) filter (caso = 'nao_aplicado') as nao_aplicados,"
         " count(*) filter (caso in ('criado', 'atualizado', 'quitado')) as total_eventos, count(*) as total_processado from acts",
         "apply_events": PLAN + f" select nex_codigo, case caso when 'criado' then 'cliente_importado' when 'quitado' then 'divida_quitada' else 'cliente_atualizado' end as tipo, case when caso = 'criado' then 'NEX' end as origem, '{T2}' as data,"

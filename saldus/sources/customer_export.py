@@ -95,3 +95,16 @@ def sheet(customer: DataFrame) -> DataFrame:
     body = customer.select(F.lit("Clientes").alias("sheet"), (k + 2).alias("row_idx"), row.alias("cells"))
     head = customer.sparkSession.createDataFrame([("Clientes", 0, ["Relatorio", *[""] * 6]), ("Clientes", 1, list(SHEET_HEADERS))], body.schema)
     return head.union(body)
+
+
+#: Headers as exports of several programs have them.
+FOUND_HEADERS = ("Código", "Cod.Cliente", "Razão Social", "Telefone", "Celular", "WhatsApp", "CPF / CNPJ", "E-mail", "Endereço", "Município", "UF", "Débito / Crédito", "Saldo em Aberto", "Vencimento", "Parcelas", "Limite de Crédito", "Última Venda", "Fiado", "Observações", "  NOME Fantasia ", "Telefone_2")
+
+
+def headers(customer: DataFrame) -> DataFrame:
+    """(sheet, pos, header): a header for each customer, a sheet for as many customers as there are headers; some in capitals, some with the nation's number or the market segment behind them."""
+    k, n = K("c_custkey"), len(FOUND_HEADERS)
+    plain = F.element_at(F.array(*map(F.lit, FOUND_HEADERS)), (k % n + 1).cast("int"))
+    cased = F.when(k % 4 == 1, F.upper(plain)).otherwise(plain)
+    more = F.when(k % 5 == 2, F.concat(F.lit(" "), K("c_nationkey").cast("string"))).when(k % 5 == 3, F.concat(F.lit(" / "), K("c_mktsegment"))).otherwise(F.lit(""))
+    return customer.select(F.floor(k / n).cast("bigint").alias("sheet"), (k % n).cast("bigint").alias("pos"), F.concat(cased, more).alias("header"))

@@ -228,8 +228,92 @@ def test_rows_of_several_files_keep_their_order(spark, tmp_path):
     folder.mkdir()
     for name in "ab":
         next((tmp_path / name).glob("part-*.parquet")).rename(folder / f"{name}.parquet")
-    rows = [r["Nome"] for r in read_table(spark, str(folder)).orderBy("_ord").collect()]
-    assert rows == ["first", *map(str, range(2000))]
+    rows = [(r["_ord"], r["Nome"]) for r in read_table(spark, str(folder)).orderBy("_ord").collect()]
+    assert rows == list(enumerate(["first", *map(str, range(2000))]))
+
+
+def test_the_last_row_of_the_last_file_wins(spark, tmp_path):
+    """Three CSV files, of which two share a name in two folders: rows are in the order of paths, whatever order Spark reads the files in."""
+    from saldus.operators.lookup import dedup_last
+    from saldus.sources.exports import read_table
+
+    folder = tmp_path / "exports.csv"
+    lines = {"2024 a/clientes": [(str(i), f'a{i} "x"\ny') for i in range(300)], "2024 b/clientes": [("1", "b1"), ("2", "b2"), ("1", "b1 again")], "c": [("2", "c2"), ("neu", "cn")]}
+    for name, rows in lines.items():
+        at = folder / f"kind={name.partition('/')[0]}" / f"{name.rpartition('/')[2]}.csv"
+        at.parent.mkdir(parents=True)
+        at.write_text("Código,Nome\n" + "".join(f'{c},"{n.replace(chr(34), chr(34) * 2)}"\n' for c, n in rows))
+    rows = read_table(spark, str(folder)).orderBy("_ord").collect()
+    assert [(r["_ord"], r["Código"], r["Nome"]) for r in rows] == [(i, *x) for i, x in enumerate(x for own in lines.values() for x in own)]
+    last = {r["nex_codigo"]: (r["nome"], r["_pos"]) for r in dedup_last(normalize(read_table(spark, str(folder)), FIRST)).collect()}
+    assert (last["1"], last["2"], last["neu"]) == (("b1 again", 1), ("c2", 2), ("cn", 304))
+
+
+def test_a_batch_of_three_files_is_in_their_order(spark, tmp_path):
+    from saldus.streaming.feed import sync_stream
+
+    folder = tmp_path / "arrivals"
+    folder.mkdir()
+    for name, rows in (("b", [("1", "B", 20), ("2", "B", 20)]), ("a", [("1", "A", 10), ("3", "A", 10)] * 200), ("c", [("2", "C", 30)])):
+        (folder / f"{name}.csv").write_text("Código,Nome,Débito / Crédito\n" + "".join(f'{c},{n},"Débito- R$ {v},00"\n' for c, n, v in rows))
+    raw = spark.readStream.schema("`Código` string, `Nome` string, `Débito / Crédito` string").option("header", "true").csv(str(folder))
+    repo = MemoryRepository(spark)
+    sync_stream(raw, repo, lambda n: FIRST, f"{tmp_path}/checkpoint").awaitTermination()
+    assert [(r["nex_codigo"], r["nome"], r["saldo_debito_nex"]) for r in repo.find_all().orderBy("_ord").collect()] == [("1", "B", 20), ("3", "A", 10), ("2", "C", 30)]
+
+
+def test_details_of_codes(spark, tmp_path):
+    """The last row of a code decides, a third of all rows have none, and one code has another third; where no code repeats, the table is scanned once."""
+    def shown(rows):
+        path = f"{tmp_path}/{len(rows)}"
+        export(spark, rows).write.parquet(path)
+        return flows.analyze(spark.read.parquet(path), FIRST)
+
+    def plain(rows):
+        status = [("invalido" if not (r[0] or "").strip() or not r[1].strip() else "valido_com_aviso" if r[2] else "valido") for r in rows]
+        last, first = {}, {}
+        for i, r in enumerate(rows):
+            key = (r[0] or "").strip() and r[0] or "null"
+            last[key] = status[i]
+            first.setdefault(key, r[1].strip())
+        keys = [(r[0] or "").strip() and r[0] or "null" for r in rows]
+        return [last[k] for k in keys], [(i, first[k]) for i, k in enumerate(keys) if status[i] == "valido_com_aviso"]
+
+    some = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else str(i), f"N{i}" if i % 7 else " ", "Débito- R$ 9,00" if i % 2 else "") for i in range(90)] + [("null", "text", ""), (" ", "blank", "")]
+    done = shown(some)
+    status, warned = plain(some)
+    assert [r["validacao_status"] for r in done.registros.orderBy("_ord").collect()] == status
+    assert [(r["_ord"], r["nome"]) for r in done.registros_com_aviso.orderBy("_ord").collect()] == warned
+    alone = [(str(i), f"N{i}", "") for i in range(50)]
+    once = shown(alone)
+    for df in (once.registros, once.registros_com_aviso):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["validacao_status"] for r in once.registros.collect()} == {"valido"}
+
+
+def test_an_analysis_that_is_stored(spark, tmp_path):
+    """The report counted by the job that writes the records is that of its own aggregation."""
+    rows = [("1", "Um", "Débito- R$ 100,00", "11", "2x 50,00 dia 10"), ("2", "Dois", "Crédito- R$ 5,00"), ("2", "", "Débito- R$ 1,50"), (None, "Sem", ""), ("3", "T", "Débito- R$ 7,00", "")]
+    raw = export(spark, rows)
+    stored, lazy = flows.analyze_into(raw, FIRST, f"{tmp_path}/records"), flows.analyze(raw, FIRST)
+    assert stored.relatorio.first() == lazy.relatorio.first()
+    for name in ("registros", "registros_com_aviso"):
+        one, two = (getattr(x, name).orderBy("_ord").collect() for x in (stored, lazy))
+        assert [r.asDict(True) for r in one] == [r.asDict(True) for r in two]
+
+
+def test_plan_text_as_files(spark, tmp_path):
+    from saldus.operators.plan import write_plan_text
+
+    plan = build_plan(debts(spark, FIRST, **{f"c{i}": i for i in range(40)}), debts(spark, NEXT, **{f"c{i}": 2 * i for i in range(20, 60)}))
+    write_plan_text(plan, f"{tmp_path}/text")
+    parts = sorted((tmp_path / "text").glob("part-*"))
+    assert "".join(p.read_text() for p in parts) == format_plan(plan) + "\n"
+
+
+def test_what_can_be_confirmed():
+    assert flows.can_confirm({"validos": 1, "validos_com_aviso": 0}) and flows.can_confirm({"validos_com_aviso": 2})
+    assert not any(map(flows.can_confirm, (None, {}, {"validos": 0, "validos_com_aviso": None}, {"invalidos": 5})))
 
 
 def test_files_are_synced_as_they_arrive(spark, tmp_path):

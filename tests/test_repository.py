@@ -77,11 +77,11 @@ def test_a_look_up_opens_one_bucket(spark, tmp_path):
 
 def test_history_is_a_log(spark, tmp_path, monkeypatch):
     """Syncs leave a record's row as it is in size; the log has their events in order, also after its files were merged, and a whole save sets a history anew."""
-    monkeypatch.setattr(store, "MERGE_LOGS", 3)
+    monkeypatch.setattr(store, "MERGE_LOGS", 2)
     repo, plain = ParquetRepository(spark, f"{tmp_path}/base", buckets=2), MemoryRepository(spark)
-    for i in range(1, 7):
+    for i in range(1, 5):
         context = Context(file="a.xls", snapshot="2024-01-31", executed=f"T{i}", new_id=plain_id)
-        new = records(spark, [("1", 10 * i), ("2", 5), ("3", 7 if i < 4 else 0)], context)
+        new = records(spark, [("1", 10 * i), ("2", 5), ("3", 7 if i < 3 else 0)], context)
         events = apply_plan(build_plan(repo.find_all(), new), context).eventos.drop("_ord")
         want = {json.dumps(r.asDict(), sort_keys=True) for r in events.collect()}
         done = [flows.sync(r, new, context) for r in (repo, plain)]
@@ -90,9 +90,9 @@ def test_history_is_a_log(spark, tmp_path, monkeypatch):
         assert {json.dumps(r.asDict(), sort_keys=True) for r in own.collect()} == want
     shown = lambda r: {x["nex_codigo"]: (x["saldo_debito_nex"], x["status_cobranca"], [(e["tipo"], e["data"]) for e in x["historico"]]) for x in r.find_all().collect()}
     assert shown(repo) == shown(plain)
-    assert len(shown(repo)["1"][2]) == 6 and len(shown(repo)["2"][2]) == 1 and shown(repo)["3"][2] == [("cliente_importado", "T1"), ("divida_quitada", "T4")]
+    assert len(shown(repo)["1"][2]) == 4 and len(shown(repo)["2"][2]) == 1 and shown(repo)["3"][2] == [("cliente_importado", "T1"), ("divida_quitada", "T3")]
     assert all("historico" not in spark.read.parquet(f).columns for f in files(repo, "data"))
-    assert max(len(runs) for runs in repo.manifest()["log"].values()) <= 3
+    assert max(len(runs) for runs in repo.manifest()["log"].values()) <= 2
     bare = repo.find_all().where("nex_codigo = '1'").withColumn("historico", F.slice("historico", 1, 1))
     gone = repo.find_all().where("nex_codigo = '2'").withColumn("historico", F.lit(None).cast(SCHEMA["historico"].dataType))
     repo.save_batch(bare.unionByName(gone))

@@ -13,4 +13,5 @@ def settled(df: DataFrame) -> DataFrame:
     parsed cell, that multiplies the parsers' expressions beyond what code generation takes. A generator of one row stops it: what stands above
     refers to values. It needs no shuffle and stays within whole-stage code.
     """
-    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+    names = ", ".join(f"`{c.replace('`', '``')}`" for c in df.columns)
+    return df.select(F.expr(f"inline(array(struct({names})))"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from saldus.functions.barrier import settled
+from saldus.functions.memo import made_once
 from saldus.functions.text import SPACE, trimmed
 
 _LABELLED = rf"[{SPACE}]*[:\-]?[{SPACE}]*r?\$?[{SPACE}]*([0-9.,]+)"
@@ -121,16 +122,24 @@ def note_signals(df, note_cell: Column):
     return settled(out.withColumns({"_days": F.array_distinct(_numbers(_all(note, DAY))), "_counts": _numbers(_all(note, INSTALMENTS)), "_values": _all(note, VALUE)}))
 
 
-def signals(df, balance_cell: Column, note_cell: Column):
-    """df with the parts that the rules share, each worked out once: _bal, _deb, _cre, _bare, _note, _days, _counts, _values."""
-    out = df.withColumns({"_bal": balance_text(balance_cell), "_note": _note(note_cell), "_days": note_days(note_cell), "_counts": note_instalments(note_cell), "_values": note_values(note_cell)})
-    debit, credit, bare = balance_amounts(F.col("_bal"))
-    return out.withColumns({"_deb": debit, "_cre": credit, "_bare": bare})
+@made_once
+def _signals(balance: str, note: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    cell = F.col(note)
+    first = {"_bal": balance_text(F.col(balance)), "_note": _note(cell), "_days": note_days(cell), "_counts": note_instalments(cell), "_values": note_values(cell)}
+    return first, dict(zip(("_deb", "_cre", "_bare"), balance_amounts(F.col("_bal")), strict=True))
 
 
+def signals(df, balance: str, note: str):
+    """df with the parts that the rules share of the cells named, each worked out once: _bal, _deb, _cre, _bare, _note, _days, _counts, _values."""
+    first, then = _signals(balance, note)
+    return df.withColumns(first).withColumns(then)
+
+
+@made_once
 def parsed_balance() -> Column:
     return balance_of(*(F.col(c) for c in ("_bal", "_deb", "_cre", "_bare")))
 
 
+@made_once
 def parsed_category() -> Column:
     return category_of(*(F.col(c) for c in ("_note", "_days", "_counts", "_values")))

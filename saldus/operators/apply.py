@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldus.context import Context
+from saldus.functions.memo import made_once
 from saldus.functions.text import round2
 from saldus.operators.normalize import status_of
 from saldus.operators.plan import CHANGED, FLAGS, NEW, REMOVED, SAME, net_balance
@@ -35,6 +37,7 @@ def _event(**given: Column) -> Column:
     return F.struct(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT))
 
 
+@made_once
 def _case() -> Column:
     """What becomes of a plan row: criado, atualizado, quitado, sem_alteracao, nao_aplicado, or a notice alone."""
     b, n, tipo = F.col("b").isNotNull(), F.col("n").isNotNull(), F.col("tipo")
@@ -47,6 +50,7 @@ def _case() -> Column:
     )
 
 
+@made_once
 def _notice() -> Column:
     code, tipo = F.coalesce("nex_codigo", F.lit("null")), F.col("tipo")
     say = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
@@ -60,6 +64,7 @@ def _notice() -> Column:
     )
 
 
+@made_once
 def run_counters() -> list[Column]:
     """The summary of a run, as aggregates over cases()."""
     case = lambda x: F.count_if(F.col("_case") == x)
@@ -75,11 +80,15 @@ def cases(plan: DataFrame, context: Context) -> DataFrame:
     """plan with what becomes of each row (_case) and the event of it (_evento)."""
     if context.executed is None or not callable(context.new_id):
         raise ValueError("the context must say when the run is executed and how identifiers are made")
-    when = F.lit(context.executed)
-    rows = plan.withColumn("_case", _case())
+    return plan.withColumn("_case", _case()).withColumn("_evento", _events(context.executed))
+
+
+@made_once
+def _events(executed: str) -> Column:
+    when = F.lit(executed)
     created, updated, settled = (F.col("_case") == x for x in ("criado", "atualizado", "quitado"))
     flag = {f: F.coalesce(F.col(f"alteracoes.{f}"), F.lit(False)) for f in FLAGS}
-    event = (
+    return (
         F.when(created, _event(tipo=F.lit("cliente_importado"), origem=F.lit("NEX"), data=when, saldo_inicial=net_balance("n")))
         .when(
             updated,
@@ -95,12 +104,12 @@ def cases(plan: DataFrame, context: Context) -> DataFrame:
         )
         .when(settled, _event(tipo=F.lit("divida_quitada"), saldo_anterior=F.col("saldo_anterior"), saldo_atual=F.lit(0.0), data=when))
     )
-    return rows.withColumn("_evento", event)
 
 
-def applied(rows: DataFrame, context: Context) -> Applied:
-    """The results of cases()."""
-    when = F.lit(context.executed)
+@made_once
+def _fields(executed: str, new_id: Callable[[Column], Column]) -> dict[str, Column]:
+    """The record's fields after the run."""
+    when = F.lit(executed)
     created, updated, settled = (F.col("_case") == x for x in ("criado", "atualizado", "quitado"))
     touched = updated | settled
     flag = {f: F.coalesce(F.col(f"alteracoes.{f}"), F.lit(False)) for f in FLAGS}
@@ -109,7 +118,7 @@ def applied(rows: DataFrame, context: Context) -> Applied:
     new_status = F.when(b("status_cobranca").isin(*AUTOMATIC_STATUS), status_of(n("saldo_debito_nex"))).otherwise(b("status_cobranca"))
     history = lambda side: F.concat(F.coalesce(F.col(f"{side}.historico"), F.array().cast(SCHEMA["historico"].dataType)), F.array("_evento"))
     none = F.lit(None)
-    on_create = {"prime_id": context.new_id(F.col("nex_codigo")), "criado_em": when, "atualizado_em": when, "tipo_ultima_operacao": F.lit("importacao_inicial"), "saldo_debito_anterior": none, "saldo_credito_anterior": none, "variacao_saldo": none, "historico": history("n")}
+    on_create = {"prime_id": new_id(F.col("nex_codigo")), "criado_em": when, "atualizado_em": when, "tipo_ultima_operacao": F.lit("importacao_inicial"), "saldo_debito_anterior": none, "saldo_credito_anterior": none, "variacao_saldo": none, "historico": history("n")}
     on_touch = {
         "saldo_debito_anterior": b("saldo_debito_nex"),
         "saldo_credito_anterior": b("saldo_credito_nex"),
@@ -129,10 +138,16 @@ def applied(rows: DataFrame, context: Context) -> Applied:
             return F.col("nex_codigo")
         return F.when(created, on_create.get(f, n(f)).cast(kind)).when(touched, on_touch.get(f, b(f)).cast(kind)).otherwise(b(f).cast(kind)).alias(f)
 
+    return {f: field(f) for f in SCHEMA.names}
+
+
+def applied(rows: DataFrame, context: Context) -> Applied:
+    """The results of cases()."""
+    fields = _fields(context.executed, context.new_id)
     stays = rows.where(F.col("_case").isNotNull() & ((F.col("_case") != "nao_aplicado") | F.col("b").isNotNull()))
-    nova_base = stays.select("_ord", *(field(f) for f in SCHEMA.names))
+    nova_base = stays.select("_ord", *fields.values())
     now = F.array("_evento").cast(SCHEMA["historico"].dataType).alias("historico")
-    alterados = rows.where(created | touched).select("_ord", *(now if f == "historico" else field(f) for f in SCHEMA.names))
+    alterados = rows.where(F.col("_case").isin("criado", "atualizado", "quitado")).select("_ord", *(fields | {"historico": now}).values())
     eventos = rows.where(F.col("_evento").isNotNull()).select("_ord", "nex_codigo", "_evento.*")
     nao_aplicados = rows.where("_case = 'nao_aplicado'").select("_ord", "nex_codigo", F.lit(REMOVED).alias("motivo"))
     avisos = rows.withColumn("aviso", _notice()).where("aviso is not null").select("_ord", "nex_codigo", "aviso")

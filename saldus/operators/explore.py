@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldus.functions.memo import made_once
 from saldus.functions.text import fixed2, money, yes_no
 
 
+@made_once
 def filters() -> dict[str, Column]:
     owes = F.coalesce(F.col("saldo_debito_nex") > 0, F.lit(False))
     return {
@@ -66,6 +68,7 @@ def status_label(status: Column) -> Column:
     return F.coalesce(F.try_element_at(labels, status), status, F.lit(""))
 
 
+@made_once
 def explanation() -> Column:
     """A record in a sentence or more."""
     c, lit = F.col, F.lit

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldus.functions.barrier import settled
+from saldus.functions.memo import made_once
 from saldus.functions.text import compare_key, round2
 from saldus.operators.lookup import dedup_last
 from saldus.schema import ADDRESS
@@ -55,9 +56,17 @@ def matched(base: DataFrame, new: DataFrame) -> DataFrame:
 
 def with_plan(pairs: DataFrame) -> DataFrame:
     """matched() rows with the plan's columns: tipo, acoes, saldo_anterior, saldo_atual, diferenca_saldo, classificacao_saldo, alteracoes."""
+    for columns in _steps():
+        pairs = pairs.withColumns(columns)
+    return settled(pairs)
+
+
+@made_once
+def _steps() -> list[dict[str, Column]]:
+    """The plan's columns, each step from those before it."""
     only_new, only_base = F.col("b").isNull(), F.col("n").isNull()
-    out = pairs.withColumns({"saldo_anterior": F.when(~only_new, net_balance("b")), "saldo_atual": F.when(~only_base, net_balance("n"))})
-    out = out.withColumn("diferenca_saldo", round2(F.col("saldo_atual") - F.col("saldo_anterior")))
+    balances = {"saldo_anterior": F.when(~only_new, net_balance("b")), "saldo_atual": F.when(~only_base, net_balance("n"))}
+    difference = {"diferenca_saldo": round2(F.col("saldo_atual") - F.col("saldo_anterior"))}
     diff = F.col("diferenca_saldo")
     kind = (
         F.when(diff.isNull(), F.lit(None).cast("string"))
@@ -66,13 +75,12 @@ def with_plan(pairs: DataFrame) -> DataFrame:
         .when(diff < 0, F.lit("reducao_divida"))
         .otherwise(F.lit("sem_alteracao"))
     )
-    out = out.withColumn("classificacao_saldo", kind)
     differs = lambda f: compare_key(F.col(f"b.{f}")) != compare_key(F.col(f"n.{f}"))
     moved = F.lit(False)
     for f in ADDRESS:
         moved = moved | differs(f)
     changes = (F.col("classificacao_saldo") != "sem_alteracao", differs("telefone"), differs("celular"), differs("email"), moved, differs("observacao_original_nex"))
-    out = out.withColumn("alteracoes", F.when(diff.isNotNull(), F.struct(*(x.alias(f) for x, f in zip(changes, FLAGS, strict=True)))))
+    moves = {"alteracoes": F.when(diff.isNotNull(), F.struct(*(x.alias(f) for x, f in zip(changes, FLAGS, strict=True))))}
     any_change = F.lit(False)
     for f in FLAGS:
         any_change = any_change | F.col(f"alteracoes.{f}")
@@ -86,7 +94,7 @@ def with_plan(pairs: DataFrame) -> DataFrame:
         .when(F.col("tipo") == CHANGED, F.array(*steps))
         .otherwise(F.array(F.lit("nenhuma alteracao")))
     )
-    return settled(out.withColumn("tipo", tipo).withColumn("acoes", actions))
+    return [balances, difference, {"classificacao_saldo": kind}, moves, {"tipo": tipo}, {"acoes": actions}]
 
 
 def build_plan(base: DataFrame, new: DataFrame) -> DataFrame:
@@ -94,6 +102,7 @@ def build_plan(base: DataFrame, new: DataFrame) -> DataFrame:
     return with_plan(matched(base, new))
 
 
+@made_once
 def plan_counters() -> list[Column]:
     """Eleven counters, as aggregates over with_plan(compared())."""
     known = F.col("nex_codigo").isNotNull()

@@ -110,7 +110,7 @@ def duplicates(rows: DataFrame, columns: Columns) -> DataFrame:
 
 def parsed(rows: DataFrame) -> DataFrame:
     """rows with what the parsers make of the balance and the note."""
-    out = parsers.signals(rows, F.col("saldo_dc"), F.col("observacoes")).withColumn("fin", parsers.parsed_balance())
+    out = parsers.signals(rows, "saldo_dc", "observacoes").withColumn("fin", parsers.parsed_balance())
     known = F.col("fin.tipo") == "reconhecido"
     return settled(out.withColumns(
         {

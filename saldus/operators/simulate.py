@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from saldus.context import Context
+from saldus.functions.memo import made_once
 from saldus.functions.text import cents
 from saldus.operators.validate import needs_review
 
@@ -39,6 +40,11 @@ def counters(status: Column, avisos: Column) -> list[Column]:
     ]
 
 
+@made_once
+def _own_counters() -> list[Column]:
+    return counters(F.col("validacao_status"), F.col("avisos"))
+
+
 def report(counts: DataFrame, context: Context = Context()) -> DataFrame:
     """The report from its counters: totals, forecast, file and notice."""
     # No base is known at this point: all that can be imported counts as new.
@@ -48,7 +54,7 @@ def report(counts: DataFrame, context: Context = Context()) -> DataFrame:
 
 def simulate(validated: DataFrame, context: Context = Context()) -> DataFrame:
     """The report as one row, from one aggregation."""
-    return report(validated.agg(*counters(F.col("validacao_status"), F.col("avisos"))), context)
+    return report(validated.agg(*_own_counters()), context)
 
 
 _RULE = "====================================="

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldus.functions import text
+from saldus.functions.memo import made_once
 from saldus.schema import CONSENT_VALUES, STATUS_VALUES
 
 
@@ -52,14 +53,23 @@ def _messages(rules: list[tuple[Column, Column]]) -> Column:
     return F.array_compact(F.array(*(F.when(F.coalesce(rule, F.lit(False)), message) for rule, message in rules)))
 
 
+@made_once
+def _found() -> dict[str, Column]:
+    return {"erros": _messages(errors()), "avisos": _messages(warnings())}
+
+
+@made_once
+def _status() -> Column:
+    return status_of(F.col("erros"), F.col("avisos"))
+
+
 def status_of(erros: Column, avisos: Column) -> Column:
     return F.when(F.size(erros) > 0, F.lit("invalido")).when(F.size(avisos) > 0, F.lit("valido_com_aviso")).otherwise(F.lit("valido"))
 
 
 def validate(records: DataFrame) -> DataFrame:
     """records with erros, avisos (arrays of messages) and validacao_status."""
-    found = records.withColumns({"erros": _messages(errors()), "avisos": _messages(warnings())})
-    return found.withColumn("validacao_status", status_of(F.col("erros"), F.col("avisos")))
+    return records.withColumns(_found()).withColumn("validacao_status", _status())
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:

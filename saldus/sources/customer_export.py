@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldus.functions.memo import made_once
+
 K = F.col
 
 
@@ -37,7 +39,7 @@ def _balance(k: Column, cents: Column) -> Column:
 NOTES = ("", "2x 75,00 todo dia 20", "dia 15", "avisar antes de entregar", "dia 5 ou DIA 20", "3x dia 05", "1.234,56 em 4 x")
 
 
-def _cells(customer: DataFrame, cents: Column) -> dict[str, Column]:
+def _cells(cents: Column) -> dict[str, Column]:
     k = K("c_custkey")
     text = k.cast("string")
     note = F.lit(NOTES[0])
@@ -59,18 +61,23 @@ def _cents() -> Column:
     return F.round(F.abs(K("c_acctbal")) * 100).cast("bigint")
 
 
+@made_once
+def _raw_cells() -> list[Column]:
+    return [v.alias(n) for n, v in _cells(_cents()).items()]
+
+
 def raw_export(customer: DataFrame) -> DataFrame:
     """One export: a row of text cells for each customer."""
-    return customer.select(*(v.alias(n) for n, v in _cells(customer, _cents()).items()))
+    return customer.select(*_raw_cells())
 
 
-def snapshots(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(earlier, later): exports that differ by new, missing, repeated and changed customers."""
+@made_once
+def _snapshot_cells() -> tuple[list[Column], list[Column]]:
     k, r = K("c_custkey"), K("c_custkey") % 11
     extra = {"Email": F.concat(F.lit("c"), k.cast("string"), F.lit("@ex.com")), "Cidade": F.concat(F.lit("Cidade "), K("c_nationkey").cast("string"))}
-    earlier = customer.where(k % 10 != 9).select(*(v.alias(n) for n, v in (_cells(customer, _cents()) | extra).items()))
+    earlier = _cells(_cents()) | extra
     cents = F.when(r == 1, F.lit(0)).when(r == 2, _cents() * 2).when(r == 3, F.floor(_cents() / 2).cast("bigint")).otherwise(_cents())
-    cells = _cells(customer, cents) | extra
+    cells = _cells(cents) | extra
     changed = {
         "Telefone": F.when(r == 4, F.lit("4799990000")).otherwise(cells["Telefone"]),
         "Email": F.when(r == 5, F.concat(F.lit(" C"), k.cast("string"), F.lit("@EX.COM"))).when(r == 6, F.concat(F.lit("novo"), k.cast("string"), F.lit("@ex.com"))).otherwise(cells["Email"]),
@@ -78,7 +85,13 @@ def snapshots(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
         "Observações": F.when(r == 8, F.lit("dia 28")).otherwise(cells["Observações"]),
         "Nome": F.when((r == 9) & (k % 53 != 0), F.lit("Renomeado")).otherwise(cells["Nome"]),
     }
-    later = customer.where(k % 10 != 8).select(*(v.alias(n) for n, v in (cells | changed).items()))
+    return tuple([v.alias(n) for n, v in own.items()] for own in (earlier, cells | changed))
+
+
+def snapshots(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(earlier, later): exports that differ by new, missing, repeated and changed customers."""
+    (one, two), k = _snapshot_cells(), K("c_custkey")
+    earlier, later = customer.where(k % 10 != 9).select(*one), customer.where(k % 10 != 8).select(*two)
     again = later.where("_ord % 50 = 3").withColumns({"_ord": F.col("_ord") + 1_000_000, "Celular": F.lit("11900000000")})
     return earlier, later.unionByName(again)
 
@@ -90,7 +103,7 @@ SHEET_HEADERS = ("Código", "Nome", "CPF / CNPJ", "Telefone", "Celular", "Débit
 def sheet(customer: DataFrame) -> DataFrame:
     """An export as a sheet (sheet, row_idx, cells): a title, the headers, then rows, of which some are blank and some repeat the headers."""
     k = K("c_custkey")
-    cells = _cells(customer, _cents())
+    cells = _cells(_cents())
     row = F.when(k % 97 == 0, F.array_repeat(F.lit(""), len(SHEET_HEADERS))).when(k % 89 == 0, F.array(*(F.lit(h.upper()) for h in SHEET_HEADERS))).otherwise(F.array(*(cells[h] for h in SHEET_HEADERS)))
     body = customer.select(F.lit("Clientes").alias("sheet"), (k + 2).alias("row_idx"), row.alias("cells"))
     head = customer.sparkSession.createDataFrame([("Clientes", 0, ["Relatorio", *[""] * 6]), ("Clientes", 1, list(SHEET_HEADERS))], body.schema)

@@ -268,6 +268,9 @@ class ParquetRepository(_Faults):
                 else:
                     for x in dead:
                         self.storage.delete(f"{kind}/{run}/{x}")
+        for run, written in self.storage.stats("aside").items():  # of writers that died
+            if written <= old:
+                self.storage.delete(f"aside/{run}")
         return gone
 
     # Reading
@@ -351,7 +354,8 @@ class ParquetRepository(_Faults):
                 batch = self.spark.read.schema(rows.schema).parquet(f"{aside}/rows")
                 if batch.agg(F.max("_ord")).first()[0] >= PLACES:
                     batch = renumbered(batch, f"{aside}/places")
-                self._rewrite(manifest, touched, batch, run, version, replaces)
+                merged = self._merged(manifest, touched, batch, version, replaces)
+                merged.sortWithinPartitions("bucket", "nex_codigo").write.partitionBy("bucket").parquet(self.storage.at(f"data/run={run}"))
                 logged = self._append(manifest, batch, run, version)
             log = {k: list(v) for k, v in manifest["log"].items()}
             for k in map(str, logged):
@@ -365,11 +369,8 @@ class ParquetRepository(_Faults):
     def _buckets_in(self, folder: str) -> list[int]:
         return [int(x.removeprefix("bucket=")) for x in self.storage.names(folder) if x.startswith("bucket=")]
 
-    def _rewrite(self, manifest: dict, touched: list[int], batch: DataFrame, run: str, version: int, replaces: bool) -> None:
-        """Writes the touched buckets with the batch's records in place.
-
-        Equal codes are in one bucket, so one exchange by bucket serves the grouping and the files. A bucket's codes are in order, for pruning inside it.
-        """
+    def _merged(self, manifest: dict, touched: list[int], batch: DataFrame, version: int, replaces: bool) -> DataFrame:
+        """The touched buckets' rows with the batch's records in place. Equal codes are in one bucket, so one exchange by bucket serves the grouping and the files."""
         since = F.when(F.col("historico").isNotNull(), F.lit(version).cast("long")).alias("_since")
         fields = [f for f in STORED.names if f not in ("_ord", "_since", "nex_codigo")]
         side = lambda df, of, since: df.select("bucket", "nex_codigo", F.struct(F.lit(of).alias("side"), F.col("_ord").alias("pos")).alias("at"), since, F.struct(*fields).alias("row"))
@@ -377,8 +378,7 @@ class ParquetRepository(_Faults):
         merged = both.groupBy("bucket", "nex_codigo").agg(F.max_by("row", "at").alias("row"), F.min("at").alias("_at"), F.max_by("_since", "at").alias("_since"), F.max(F.when(F.col("at.side") == 0, F.col("_since"))).alias("_before"))
         if not replaces:  # a record that was there keeps the version from which its events count
             merged = merged.withColumn("_since", F.coalesce("_before", "_since"))
-        out = _ordered(merged.select("bucket", "nex_codigo", "_at", "_since", "row.*"), version).select(*STORED.names, "bucket")
-        out.sortWithinPartitions("bucket", "nex_codigo").write.partitionBy("bucket").parquet(self.storage.at(f"data/run={run}"))
+        return _ordered(merged.select("bucket", "nex_codigo", "_at", "_since", "row.*"), version).select(*STORED.names, "bucket")
 
     def _append(self, manifest: dict, batch: DataFrame, run: str, version: int) -> list[int]:
         """Writes the batch's events, with those before of buckets whose log has come to many files; the buckets that have events."""

@@ -42,7 +42,7 @@ def files(repository, kind):
 
 
 def exchanges(df):
-    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
 
 
 def test_a_save_rewrites_the_buckets_that_it_touches(spark, tmp_path):
@@ -55,6 +55,8 @@ def test_a_save_rewrites_the_buckets_that_it_touches(spark, tmp_path):
     written = files(repo, "data") - before
     assert 1 <= len(written) <= 10
     assert not list(Path(tmp_path).glob("base/aside/*"))
+    batch = records(spark, codes).withColumn("bucket", repo.bucket_of(F.col("nex_codigo")))
+    assert exchanges(repo._merged(repo.manifest(), [1, 2, 3], batch, 3, True)) == 1
     assert repo.find_all(history=False).where("saldo_debito_nex = 99").count() == 9 and repo.find_all(history=False).count() == 20_001
     assert repo.find_by_code("novo")["saldo_debito_nex"] == 7
     places = [r["nex_codigo"] for r in repo.find_all(history=False).orderBy("_ord").select("nex_codigo").collect()]

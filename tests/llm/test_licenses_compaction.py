@@ -14,12 +14,109 @@ def test_sentences_and_rules(spark):
     assert got == [(1, "Apache-2.0", 1, 0), (1, "MIT", 1, 0), (2, "MIT", 2, 0), (3, "", 0, 0), (4, "", 0, 0), (5, "MIT AND CC-BY-NC-4.0", 2, 0), (6, "", 0, 0), (7, "", 1, 1)]
 
 
+def found(text):
+    return licenses.joined(licenses.matched(licenses.identifiers(text))[0])
+
+
 def test_triggers_cover_the_catalogue():
-    import re
+    assert all(licenses._TRIGGER.search(s) for s in licenses.SENTENCES)
+    assert all(x in set(licenses.SENTENCES.values()) or x.partition(":")[0] in ("notice", "title") for run, _ in licenses.RULES for x in run.split())
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("This software is not licensed under the MIT License.", ""), ("It is no longer distributed under the GPL v2.", ""), ("Distributed under the MIT Press label.", ""), ("A warranty of the boost group.", ""),
+        ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("// SPDX-License-Identifier: Apache-2.0 OR MIT", "Apache-2.0 OR MIT"), ("/* spdx-license-identifier: gpl-2.0-or-later */", "GPL-2.0-or-later"), ("<!-- SPDX-License-Identifier: (mit) -->", "MIT"),
+        ("# SPDX-License-Identifier: (MIT AND BSD-2-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0", "(MIT AND BSD-2-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0"), ("SPDX-License-Identifier: MIT OR", ""), ("SPDX-License-Identifier: NoSuch-1.0", ""), ("SPDX-License-Identifier: LicenseRef-own-1", "LicenseRef-own-1"),
+        ("This crate is dual-licensed under MIT and Apache 2.0.", "MIT OR Apache-2.0"), ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0 OR MIT"), ("Licensed under the MIT and BSD 3-Clause licenses.", "MIT AND BSD-3-Clause"),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-3.0"), ("                                 Apache License\n                           Version 2.0, January 2004\n", "Apache-2.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"), ("Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", "CC-BY-NC-SA-3.0"), ("Licensed under MIT.", "MIT"), ("This package is MIT licensed.", "MIT"),
+        ("CC0 1.0 Universal", "CC0-1.0"), ("Eclipse Public License - v 2.0", "EPL-2.0"), ("Boost Software License - Version 1.0 - August 17th, 2003", "BSL-1.0"), ("EUROPEAN UNION PUBLIC LICENCE v. 1.2", "EUPL-1.2"), ("Licensed under GPLv3.", "GPL-3.0"),
+        ("Distributed under the GNU Lesser General Public License v2.1 or later.", "LGPL-2.1-or-later"), ("Released under the MIT License.\nSPDX-License-Identifier: Apache-2.0 OR ISC", "MIT AND (Apache-2.0 OR ISC)"), ("The license plate. All warranties. Licensed drivers under stress.", ""),
+    ],
+)
+def test_what_texts_say(text, want):
+    assert found(text) == want
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD = """Copyright (c) 2020, Somebody Inc.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+* Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+
+* Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation
+  and/or other materials provided with the distribution.
+"""
+ENDORSE = "\nNeither the name of Somebody Inc. nor the names of its contributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.\n"
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+
+
+def test_published_texts():
+    """As files carry them: behind comment marks or none, wrapped, with a holder's name."""
+    for text, want in ((APACHE, "Apache-2.0"), (BSD, "BSD-2-Clause"), (BSD + ENDORSE, "BSD-3-Clause"), (GPL, "GPL-3.0-or-later"), ("MIT License\n\nCopyright (c) 2024 X\n\n" + MIT, "MIT")):
+        assert found(text) == want
+        assert found("\n".join("# " + line for line in text.split("\n"))) == want
+    assert licenses.matched(licenses.identifiers(APACHE)) == (["Apache-2.0"], 0)
+
+
+def test_expressions_mean_what_they_say():
+    """Random expressions, spelt in odd cases and with needless parentheses, against a plain evaluation under every choice of licenses."""
+    import itertools
+    import random
+
+    rng, names = random.Random(6), ("MIT", "ISC", "GPL-2.0-only", "Apache-2.0")
+
+    def tree(depth):
+        return rng.choice(names) if depth == 0 or rng.random() < 0.3 else (rng.choice(("AND", "OR")), tree(depth - 1), tree(depth - 1))
+
+    def spelt(t):
+        if isinstance(t, str):
+            return rng.choice((t, t.lower(), t.upper(), f"( {t} )"))
+        return f"({spelt(t[1])} {rng.choice((t[0], t[0].lower()))} {spelt(t[2])})"
+
+    def value(t, have):
+        return t in have if isinstance(t, str) else (all, any)[t[0] == "OR"]((value(t[1], have), value(t[2], have)))
+
+    for _ in range(200):
+        t = tree(3)
+        said = licenses.expression(spelt(t))
+        for n in range(5):
+            for have in itertools.combinations(names, n):
+                as_python = " ".join({"AND": "and", "OR": "or"}.get(x, x if x in "()" else str(x in have)) for x in said.replace("(", "( ").replace(")", " )").split())
+                assert eval(as_python) == value(t, have)  # noqa: S307
+        assert licenses.expression(said) == said
+    assert [licenses.expression(x) for x in ("", "MIT MIT", "(MIT", "MIT)", "AND", "MIT WITH nothing", "GPL-2.0+", "gpl-3.0-ONLY with gcc-exception-3.1")] == [None] * 6 + ["GPL-2.0+", "GPL-3.0-only WITH GCC-exception-3.1"]
+
 
-    assert all(re.search(licenses.TRIGGER, s) for s in licenses.SENTENCES)
-    known = set(licenses.SENTENCES.values()) | {i for _, i in licenses.NOTICES}
-    assert all(set(run.split()) <= known for run, _ in licenses.RULES)
+def test_hard_texts(spark):
+    long = "word " * 400_000 + "licensed under the MIT License " + "x" * 100_000 + " licen" * 1000
+    rows = [(1, long), (1, long), (None, "Licensed under MIT."), (2, None), (3, "licensed under " * 20_000), (4, "license\n" * 50_000), (5, "neither the name of " * 5_000)]
+    got = sorted((r["doc_id"] or 0, r["licenses"]) for r in licenses.scan(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, rest int")).collect())
+    assert got == [(0, "MIT"), (1, "MIT"), (1, "MIT"), (2, ""), (3, ""), (4, ""), (5, "")]
+    assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 def test_store(spark, tmp_path):

@@ -333,7 +333,9 @@ class ParquetRepository(_Faults):
         self._save(records, read, replaces=True)
 
     def save_changes(self, records: DataFrame, read: int | None = None) -> None:
-        """As save_batch, of records whose `historico` holds only what has happened now: it goes behind what the log has of them."""
+        """As save_batch, of records made from this base, with _ord, whose `historico` holds only what has happened now: it goes behind what the log has of them."""
+        if records.schema["_ord"].dataType.typeName() == "struct":  # of a plan: what is in the base has its place there
+            records = records.withColumn("_ord", F.when(F.col("_ord.side") == 1, F.col("_ord.pos")).otherwise(0))
         self._save(records, read, replaces=False)
 
     def _save(self, records: DataFrame, read: int | None, replaces: bool) -> None:

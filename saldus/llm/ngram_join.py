@@ -283,8 +283,9 @@ class _Block:
     def few(self, start: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All pairs of lists of one short length that pass."""
         x, y = np.triu_indices(length, 1)
-        for lo in range(0, len(start), 1 << 12):
-            i, j = ((start[lo : lo + (1 << 12), None] + k).reshape(-1) for k in (x, y))
+        step = max(1, (1 << 17) // max(1, len(x)))  # as many pairs at once, whatever the length
+        for lo in range(0, len(start), step):
+            i, j = ((start[lo : lo + step, None] + k).reshape(-1) for k in (x, y))
             at = self.fits(i, j)
             yield i[at], j[at]
 
@@ -315,6 +316,33 @@ def _share(g1: np.ndarray, g2: np.ndarray) -> np.ndarray:
     return (kernel.mixed(g1.astype(np.uint64) * kernel.U(kernel.BASE) + g2.astype(np.uint64)) >> kernel.U(32)).astype(np.int64)
 
 
+def _least(pairs: Iterator[tuple[np.ndarray, np.ndarray]], gid: np.ndarray, begin: int, some: int) -> tuple[np.ndarray, np.ndarray, int | None]:
+    """Of pairs of rows those whose hash is at least begin: all, if there are no more than twice `some`, else about `some`, namely those whose hash is below a bound, and that bound. No more than some multiple of `some` is held at once."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n, upto = 0, None
+
+    def cut() -> None:
+        nonlocal held, n, upto
+        i, j, share = (np.concatenate(x) for x in zip(*held, strict=True))
+        upto = int(np.partition(share, some)[some])
+        low = share < upto
+        held = [(i[low], j[low], share[low])]
+        n = int(low.sum())
+
+    for i, j in pairs:
+        share = _share(np.minimum(gid[i], gid[j]), np.maximum(gid[i], gid[j]))
+        own = share >= begin if upto is None else (share >= begin) & (share < upto)
+        held.append((i[own], j[own], share[own]))
+        n += len(held[-1][0])
+        if n > 4 * some:
+            cut()
+    if n > 2 * some:
+        cut()
+    none = np.zeros(0, np.int64)
+    i, j = (np.concatenate([none, *(x[k] for x in held)]) for k in (0, 1))
+    return i, j, upto
+
+
 def _paired(lists: DataFrame, join: Join, turn: int) -> DataFrame:
     """Pairs (g1, g2) of the lists (token, block, gid, n, pos, rank, c, value, mask).
 
@@ -357,15 +385,8 @@ def _paired(lists: DataFrame, join: Join, turn: int) -> DataFrame:
             if turn == 0:
                 found += rows.forest(lo, lo + k)
                 continue
-            pairs = list(rows.across(lo, lo + k))
-            if not pairs:
-                continue
-            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
-            share = _share(np.minimum(gid[i], gid[j]), np.maximum(gid[i], gid[j]))
-            i, j, share = i[share >= begin], j[share >= begin], share[share >= begin]
-            if len(i) > 2 * PAIRS * k:
-                upto = int(np.sort(share)[PAIRS * k])
-                i, j = i[share < upto], j[share < upto]
+            i, j, upto = _least(rows.across(lo, lo + k), gid, begin, PAIRS * k)
+            if upto is not None:
                 left.append((int(token[lo]), int(block[lo]), upto))
             found.append((i, j))
         found = [x for x in found if len(x[0])]

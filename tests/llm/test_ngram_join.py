@@ -3,11 +3,10 @@ from __future__ import annotations
 import random
 import re
 
-import pytest
-
 import numpy as np
+import pytest
 
-from saldus.llm import kernel, components, ngram_join
+from saldus.llm import components, kernel, ngram_join
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -166,3 +165,20 @@ def test_word_keys_are_siphash():
     got = list(zip(*(x.tolist() for x in t.word_keys()), strict=True))
     key = tuple(kernel._KEY.tolist())
     assert got[:-1] == [plain_siphash(key, w) for w in words[:-1]] and len(set(got)) == len(words)
+
+
+def test_ranges_of_pairs_cover_all_of_them():
+    """Round by round, each pair comes once, a bounded number at a time."""
+    rng = np.random.default_rng(4)
+    gid = rng.integers(0, 1 << 60, 300)
+    x, y = np.triu_indices(300, 1)
+    parts = lambda: ((x[k : k + 97], y[k : k + 97]) for k in range(0, len(x), 97))
+    seen, begin, rounds = [], 0, 0
+    while begin is not None:
+        i, j, begin = ngram_join._least(parts(), gid, begin, 500)
+        assert len(i) <= 1000
+        seen += zip(i.tolist(), j.tolist(), strict=True)
+        rounds += 1
+    assert len(seen) == len(set(seen)) == len(x) and rounds > 40
+    few = ngram_join._least(iter([(x[:10], y[:10])]), gid, 0, 500)
+    assert few[0].tolist() == x[:10].tolist() and few[2] is None and len(ngram_join._least(iter([]), gid, 0, 500)[0]) == 0

@@ -5,7 +5,7 @@ whose bytes overlap are linked. The pairs of ids that a document links, with how
 
 The corpus-wide counts come by a cogroup of postings: they are shuffled by the second tokenizer's id, in blocks, next to the counts of that id's pairs, and each partition is read as a
 stream that Spark has sorted (and spilled where it had to): the counts of an id first, which give its highest, then its postings, each of which becomes a contribution to its document.
-What a task holds is the counts of one id (as many as the first tokenizer has ids) and a batch. Contributions are summed by document.
+What a task holds is the counts of one id (as many as the first tokenizer has ids) and a batch. Contributions are shuffled once more, by the block of their documents, and summed there.
 An id that many postings have is dealt to several partitions, by blocks; its counts, summed up before, go to each of them. How many there are follows from its number of postings, and changes no result.
 
 Defined cases: a null or empty text, or one whose tokens' bytes don't join to space + text, has no tokens: zeros and ''; special tokens' strings in texts are plain text; repeated rows are
@@ -19,9 +19,11 @@ import hashlib
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +36,6 @@ BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 1 << 15
 CALL_BYTES = 1 << 18
 #: Postings of an id that go to one partition together; an id with more is dealt.
 SHARD = 1 << 18
-#: Contributions that a task holds before it sums them up by document.
-HELD = 1 << 21
 
 #: kind 0: a document; kind 1: postings of an id in a block, in order of `a`; kind 2: counts of an id's pairs in a block.
 SCHEMA = "kind int, row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, b int, a array<int>, at array<smallint>, times array<long>"
@@ -130,14 +130,18 @@ def aligned(texts: list[str], one: Side, two: Side, words: list[bytes]) -> Align
     keep = whole_a & whole_b
     (a, n_a), (b, n_b) = _only(a, stops_a, keep), _only(b, stops_b, keep)
     doc_a, doc_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
-    # Texts stand one after another, each with the same bytes on either side, so ends of texts are ends of both.
+    # Texts stand one after another, each with the same bytes on either side, so ends of texts are ends of both. Counts of ends up to each byte say which tokens are where.
     end_a, end_b = np.cumsum(one.lengths[a]), np.cumsum(two.lengths[b])
-    start_a, start_b = end_a - one.lengths[a], end_b - two.lengths[b]
-    cuts = np.intersect1d(end_a, end_b)
-    group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-    n_groups = np.bincount(doc_a[np.searchsorted(end_a, cuts)], minlength=len(texts))
-
-    first, last = np.searchsorted(end_b, start_a, "right"), np.searchsorted(start_b, end_a, "left")
+    start_a = end_a - one.lengths[a]
+    size = int(end_a[-1]) + 1 if len(a) else 1
+    is_end = np.zeros((2, size), bool)
+    is_end[0, end_a] = is_end[1, end_b] = True
+    both = is_end[0] & is_end[1]
+    ends_b, cuts = np.cumsum(is_end[1]), np.cumsum(both)
+    group_a, group_b = cuts[end_a] - both[end_a], cuts[end_b] - both[end_b]
+    n_groups = np.bincount(doc_a[both[end_a]], minlength=len(texts))
+
+    first, last = ends_b[start_a], ends_b[end_a - 1] + 1
     n = last - first
     link_a = np.repeat(np.arange(len(a)), n)
     link_b = np.arange(len(link_a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
@@ -211,24 +215,33 @@ def postings(docs: DataFrame, one: Callable[[], Side], two: Callable[[], Side])
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def _pack(at: np.ndarray, best: np.ndarray, total: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Contributions to documents of a block. Bytes of like weight stand together, since most are zero."""
+    columns = (at.astype("<i2"), best.astype("<i8"), total.astype("<i8"))
+    return squeeze.compress(b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(at), -1).T).tobytes() for c in columns))
+
+
+def _unpack(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.frombuffer(loose.decompress(data), np.uint8).reshape(18, -1)
+    at, best, total = (np.ascontiguousarray(flat[lo:hi].T).view(kind).reshape(-1) for lo, hi, kind in ((0, 2, "<i2"), (2, 10, "<i8"), (10, 18, "<i8")))
+    return at, best, total
+
+
 def contributions(stream: DataFrame) -> DataFrame:
-    """row, n_best and count_sum, of partitions that hold ids (b, part) in order, the counts of each (kind 0) before its postings (kind 1)."""
+    """row and packed: for each row of postings what they contribute to the documents of their block, of partitions that hold ids (b, part) in order, the counts of each (kind 0) before its postings (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = 1 << 32  # ids are below it
+        squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True)
         known = counts = most = np.zeros(0, np.int64)  # of the ids of this batch and the last one before it: pair, count; and whether it is the highest of its b
-        out: list[list[np.ndarray]] = [[], [], []]
-        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             b, kind, row = (batch.column(k).to_numpy() for k in range(3))
-            stops, a, at, times = np.asarray(batch.column(3).offsets), batch.column(3).values.to_numpy(), batch.column(4), batch.column(5).values.to_numpy()
+            stops, a, times = np.asarray(batch.column(3).offsets), _flat(batch.column(3)), _flat(batch.column(5))
             n = np.diff(stops)
-            flat_b, flat_kind = np.repeat(b, n).astype(np.int64), np.repeat(kind, n)
-            pair = flat_b * span + a[stops[0] : stops[-1]]
-            times = times[np.asarray(batch.column(5).offsets)[0] : np.asarray(batch.column(5).offsets)[-1]]
-            mine = flat_kind == 0
+            pair = np.repeat(b, n).astype(np.int64) * span + a
+            mine = np.repeat(kind, n) == 0
             if mine.any():
                 # An id that is dealt comes once in each of its parts: equal rows of the table.
                 again = known // span == b[0] if len(known) else np.zeros(0, bool)
@@ -237,29 +250,55 @@ def contributions(stream: DataFrame) -> DataFrame:
                 begin = np.flatnonzero(np.append(True, table[1:] // span != table[:-1] // span))
                 highest = np.repeat(np.maximum.reduceat(count, begin), np.diff(np.append(begin, len(table))))
                 known, counts, most = table, count, count == highest
-            post = ~mine
-            if post.any():
-                where = np.searchsorted(known, pair[post])
-                own = np.repeat(row, n)[post] + at.values.to_numpy(zero_copy_only=False)[np.asarray(at.offsets)[0] : np.asarray(at.offsets)[-1]].astype(np.int64)
-                m = times[post]
-                for column, x in zip(out, (own, np.where(most[where], m, 0), m * counts[where]), strict=True):
-                    column.append(x)
-                held += len(own)
-                if held >= HELD:
-                    yield summed(out)
-                    out, held = [[], [], []], 0
+            if not mine.all():
+                post = np.flatnonzero(kind == 1)
+                where = np.searchsorted(known, pair[~mine])
+                m, c, best = times[~mine], counts[where], most[where]
+                key = np.repeat(np.arange(len(post)), n[post]) * BLOCK_ROWS + _flat(batch.column(4))
+                order = np.argsort(key, kind="stable")
+                begin = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+                of, at = np.divmod(key[order][begin], BLOCK_ROWS)
+                best, total = np.add.reduceat(np.where(best, m, 0)[order], begin), np.add.reduceat((m * c)[order], begin)
+                cut = np.searchsorted(of, np.arange(len(post) + 1)).tolist()
+                packed = [_pack(at[lo:hi], best[lo:hi], total[lo:hi], squeeze) for lo, hi in pairwise(cut)]
+                yield pa.RecordBatch.from_arrays([pa.array(row[post]), pa.array(packed, pa.binary())], names=["row", "packed"])
             last = known // span == b[-1]
             known, counts, most = known[last], counts[last], most[last]
-        if held:
-            yield summed(out)
 
-    def summed(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        own, best, total = (np.concatenate(x) for x in parts)
-        order = np.argsort(own, kind="stable")
-        begin = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
-        return pa.RecordBatch.from_arrays([pa.array(own[order][begin]), *(pa.array(np.add.reduceat(x[order], begin)) for x in (best, total))], names=["row", "n_best", "count_sum"])
+    return stream.mapInArrow(run, "row long, packed binary")
+
 
-    return stream.mapInArrow(run, "row long, n_best long, count_sum long")
+def _flat(lists: pa.ListArray) -> np.ndarray:
+    """The values of all lists, one after another."""
+    stops = np.asarray(lists.offsets)
+    return lists.values.to_numpy(zero_copy_only=False)[stops[0] : stops[-1]].astype(np.int64)
+
+
+def by_document(contributed: DataFrame) -> DataFrame:
+    """row, n_best and count_sum of each document that has links: blocks are streams of contributions, summed at their documents' places. A task holds the sums of one block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loose = zstandard.ZstdDecompressor()
+        base, sums = None, np.zeros((3, BLOCK_ROWS), np.int64)
+        for batch in batches:
+            for row, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if row != base:
+                    if base is not None:
+                        yield summed(base, sums)
+                    base = row
+                    sums[:] = 0
+                at, best, total = _unpack(data.as_buffer(), loose)
+                sums[0, at] += best
+                sums[1, at] += total
+                sums[2, at] = 1
+        if base is not None:
+            yield summed(base, sums)
+
+    def summed(base: int, sums: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(sums[2])
+        return pa.RecordBatch.from_arrays([pa.array(base + at), pa.array(sums[0, at]), pa.array(sums[1, at])], names=["row", "n_best", "count_sum"])
+
+    return contributed.repartition("row").sortWithinPartitions("row").mapInArrow(run, "row long, n_best long, count_sum long")
 
 
 def align(docs: DataFrame, one: Callable[[], Side], two: Callable[[], Side]) -> DataFrame:
@@ -276,7 +315,7 @@ def align(docs: DataFrame, one: Callable[[], Side], two: Callable[[], Side]) ->
     counted = totals.join(dealt, "b", "left").select("b", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("row"), "a", F.lit(None).cast("array<smallint>").alias("at"), "times")
     streamed = posted.join(dealt, "b", "left").select("b", F.pmod(F.xxhash64("row"), parts).cast("int").alias("part"), F.lit(1).alias("kind"), "row", "a", "at", "times")
     both = counted.unionByName(streamed).repartition("b", "part").sortWithinPartitions("b", "part", "kind").select("b", "kind", "row", "a", "at", "times")
-    sums = contributions(both).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    sums = by_document(contributions(both))
     none = F.lit(0).cast("long")
     out = table.where("kind = 0").select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256").join(sums, "row", "left")
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", none).alias("n_best"), F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256")

@@ -15,6 +15,7 @@ other columns pass through `filtered` untouched and are not read by `scored`.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -247,8 +248,18 @@ def fitted(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> Model
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(setup.positives).union(known.where("toxic = 0").orderBy(*order).limit(setup.negatives))
     fits = docs.where(F.octet_length("text") <= setup.train_bytes).select("doc_id", "text", "lang")
-    rows = fits.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]), [r["lang"] for r in rows], setup)
+    # Of rows that share a doc_id the smallest text counts, so reruns train the same model.
+    rows = fits.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("x"), F.min("toxic").alias("toxic")).select("doc_id", "x.text", "x.lang", "toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if sum(x.num_rows for x in held):
+            table = pa.Table.from_batches(held).to_pydict()
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(table["text"], np.array(table["toxic"]), table["lang"], setup))], pa.binary())], names=["model"])
+
+    # A task trains on the sample, which is bounded by setup; the driver gets the model alone.
+    made = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else None
 
 
 def _scores(column: pa.Array, model: Model | None) -> np.ndarray:

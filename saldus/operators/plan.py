@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from saldus.functions.barrier import settled
 from saldus.functions.memo import made_once
 from saldus.functions.text import compare_key, round2
-from saldus.operators.lookup import dedup_last
 from saldus.schema import ADDRESS
 
 NEW, REMOVED = "cliente_novo", "cliente_removido_da_exportacao"

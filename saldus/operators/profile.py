@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldus.functions import parsers
@@ -49,9 +49,10 @@ def row_accounting(matrix: DataFrame) -> DataFrame:
     rows = row_kinds(matrix)
     kind = lambda k: F.count_if(F.col("kind") == k)
     counts = rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("linhas_brutas"), kind("vazia").alias("linhas_vazias"), kind("cabecalho_repetido").alias("cabecalhos_repetidos"), kind("util").alias("registros_uteis"))
-    from pyspark.sql import Window
-
-    first = rows.where("kind = 'vazia'").withColumn("n", F.row_number().over(Window.partitionBy("sheet").orderBy("row_idx"))).where("n <= 20")
+    # The first 20 of a sheet are among the first 20 of its parts: a sheet with many blank rows isn't ranked in one task.
+    part = F.pmod("row_idx", F.lit(64))
+    blank_rows = rows.where("kind = 'vazia'").select("sheet", "row_idx", F.row_number().over(Window.partitionBy("sheet", part).orderBy("row_idx")).alias("n")).where("n <= 20")
+    first = blank_rows.withColumn("n", F.row_number().over(Window.partitionBy("sheet").orderBy("row_idx"))).where("n <= 20")
     shown = first.groupBy("sheet").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.col("row_idx") + 1)), lambda x: x.cast("string")), ", ").alias("primeiras_vazias"))
     return counts.join(shown, "sheet", "left").withColumn("primeiras_vazias", F.coalesce("primeiras_vazias", F.lit("")))
 

@@ -43,10 +43,11 @@ SCHEMA = "kind int, row long, doc_id long, n_a long, n_b long, n_groups long, n_
 
 @dataclass
 class Side:
-    """One tokenizer: texts to ids, and the bytes of each id."""
+    """One tokenizer: texts to ids, and the bytes of each id. splits: whether a text, with the space before it, can be cut before every space that follows a sign that isn't white space, its parts encoded as texts of their own, and nothing changes."""
 
     encode: Callable[[list[str]], list[list[int]]]
     bytes_of: list[bytes]
+    splits: bool = False
 
     def __post_init__(self):
         self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
@@ -73,7 +74,8 @@ def byte_level(path: str) -> Side:
     for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
         # An added token is written as it is.
         table[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-    return Side(lambda texts: [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], table)
+    # Its pattern ends a piece before white space, and a space goes with what follows it.
+    return Side(lambda texts: [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], table, splits=True)
 
 
 def pieces(path: str) -> Side:
@@ -85,12 +87,29 @@ def pieces(path: str) -> Side:
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         table.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
-    return Side(lambda texts: model.encode(texts, num_threads=1), table)
-
-
-def encoded(side: Side, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids of all texts, where each text's begin and the last ends, whether a text's bytes join to space + text)."""
-    ids, stops, whole, lo, size = [], [0], [], 0, 0
+    # Pieces with the sign for a space behind another sign would reach over a cut.
+    splits = not any("▁" in piece.lstrip("▁") for piece in map(model.id_to_piece, range(model.get_piece_size())))
+    return Side(lambda texts: model.encode(texts, num_threads=1), table, splits)
+
+
+def encoded(side: Side, texts: list[str], parts: Parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all texts, how many each has, whether a text's bytes join to space + text)."""
+    if not side.splits:
+        return _whole(side, texts)
+    ids, n, bad = _by_parts(side, parts)
+    whole = np.array([bool(t) for t in texts], bool)
+    if bad.any():  # texts whose parts don't give back their bytes are encoded as they stand
+        rows = np.flatnonzero(bad)
+        own, n[rows], whole[rows] = _whole(side, [texts[i] for i in rows])
+        of_bad = np.repeat(bad, n)
+        out = np.empty(len(of_bad), np.int64)
+        out[~of_bad], out[of_bad] = ids, own
+        ids = out
+    return ids, n, whole
+
+
+def _whole(side: Side, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, whole, lo, size = [], [], 0, 0
     join, get = b"".join, side.bytes_of.__getitem__
     for hi, text in enumerate(texts, 1):
         size += len(text)
@@ -99,14 +118,81 @@ def encoded(side: Side, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nd
         for own, t in zip(side.encode(texts[lo:hi]), texts[lo:hi], strict=True):
             whole.append(bool(t) and join(map(get, own)) == b" " + t.encode())
             ids.append(np.array(own, np.int64))
-            stops.append(stops[-1] + len(own))
         lo, size = hi, 0
-    return np.concatenate(ids) if ids else np.zeros(0, np.int64), np.array(stops), np.array(whole, bool)
-
-
-def _only(ids: np.ndarray, stops: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, np.int64), *ids]), np.array([len(x) for x in ids], np.int64), np.array(whole, bool)
+
+
+def _solid(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the sign that ends at each byte is surely no white space: an ASCII sign, or one of two bytes but for those that begin with 0xC2."""
+    last, lead = data[at], data[np.maximum(at - 1, 0)]
+    return ((last > 0x20) & (last < 0x7F)) | ((last >= 0x80) & (lead >= 0xC3) & (lead <= 0xDF))
+
+
+class Parts:
+    """The parts of a block of texts, with the spaces before them, at the places where a side that `splits` can be cut; equal ones are of one kind."""
+
+    def __init__(self, texts: list[str]):
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        self.texts, self.bytes = len(texts), b"".join(raw)
+        data = np.frombuffer(self.bytes, np.uint8)
+        offsets = np.concatenate([[0], np.cumsum(np.array([len(x) for x in raw], np.int64))])
+        begins = np.zeros(len(data) + 1, bool)
+        spaces = np.flatnonzero(data == 0x20)
+        begins[spaces[_solid(data, np.maximum(spaces - 1, 0)) & (spaces > 0)]] = True
+        begins[offsets] = True
+        start = np.flatnonzero(begins)
+        self.start, self.end = start[:-1], start[1:]
+        self.text = np.searchsorted(offsets, self.start, "right") - 1
+        # The last part of a text that may end in white space is encoded by itself: what follows would change it.
+        apart = ~_solid(data, self.end - 1)
+        self.kind = kernel.Text(data, offsets).classes(self.start, self.end, apart.astype(np.int64))
+        self.one = np.zeros(int(self.kind.max(initial=-1)) + 1, np.int64)
+        self.one[self.kind] = np.arange(len(self.kind))
+        self.apart = apart[self.one]
+
+
+def _by_parts(side: Side, parts: Parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of the texts, how many each has, whether it is left out since the tokens of one of its parts don't join to the part's bytes): each kind of part is encoded once, as words repeat."""
+    if not len(parts.kind):
+        return np.zeros(0, np.int64), np.zeros(parts.texts, np.int64), np.zeros(parts.texts, bool)
+    view, start, end, kind, one, lone, text = parts.bytes, parts.start, parts.end, parts.kind, parts.one, parts.apart, parts.text
+    # Kinds are joined to texts of a call's size, and cut again where their bytes end.
+    ids, count = [], np.zeros(len(one), np.int64)
+    order = np.concatenate([np.flatnonzero(~lone), np.flatnonzero(lone)])
+    sizes = (end - start)[one[order]]
+    n_joined = int((~lone).sum())
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes[:n_joined]) // CALL_BYTES, prepend=-1)).tolist() if n_joined else []
+    bad = np.zeros(len(one), bool)
+
+    def encode(group: np.ndarray, apart: bool) -> np.ndarray:
+        spelt = [view[x:y] for x, y in zip(start[one[group]].tolist(), end[one[group]].tolist(), strict=True)]
+        if not apart:
+            said = b"".join(spelt)
+            own = side.encode([said[1:].decode()])[0]
+            if b"".join(map(get, own)) == said:
+                own = np.array(own, np.int64)
+                count[group] = np.diff(np.searchsorted(np.cumsum(side.lengths[own]), np.cumsum((end - start)[one[group]]), "right"), prepend=0)
+                return own
+        each = side.encode([x[1:].decode() for x in spelt])
+        bad[group] = [b"".join(map(get, own)) != said for own, said in zip(each, spelt, strict=True)]
+        count[group] = [len(own) for own in each]
+        return np.array([i for own in each for i in own], np.int64)
+
+    get = side.bytes_of.__getitem__
+    ids += [encode(order[lo:hi], False) for lo, hi in pairwise([*cuts, n_joined])]
+    ids.append(encode(order[n_joined:], True))
+    ids = np.concatenate(ids)
+    first = np.zeros(len(one), np.int64)
+    first[order] = np.cumsum(count[order]) - count[order]
+    out = np.zeros(parts.texts, bool)
+    out[text[bad[kind]]] = True
+    each = np.where(out[text], 0, count[kind])
+    at = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each) + np.repeat(first[kind], each)
+    return ids[at], np.rint(np.bincount(text, weights=each, minlength=parts.texts)).astype(np.int64), out
+
+
+def _only(ids: np.ndarray, n: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts to keep, and how many each of all texts has then."""
-    n = np.diff(stops)
     return ids[np.repeat(keep, n)], np.where(keep, n, 0)
 
 
@@ -126,9 +212,10 @@ class Aligned:
 
 def aligned(texts: list[str], one: Side, two: Side, words: list[bytes]) -> Aligned:
     """words: what `spelling` gives for the two."""
-    (a, stops_a, whole_a), (b, stops_b, whole_b) = encoded(one, texts), encoded(two, texts)
+    parts = Parts(texts)
+    (a, n_a, whole_a), (b, n_b, whole_b) = encoded(one, texts, parts), encoded(two, texts, parts)
     keep = whole_a & whole_b
-    (a, n_a), (b, n_b) = _only(a, stops_a, keep), _only(b, stops_b, keep)
+    (a, n_a), (b, n_b) = _only(a, n_a, keep), _only(b, n_b, keep)
     doc_a, doc_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
     # Texts stand one after another, each with the same bytes on either side, so ends of texts are ends of both. Counts of ends up to each byte say which tokens are where.
     end_a, end_b = np.cumsum(one.lengths[a]), np.cumsum(two.lengths[b])
@@ -162,9 +249,9 @@ def spelling(one: Side, two: Side) -> list[bytes]:
 
 def _hashes(said: np.ndarray, n: np.ndarray, words: list[bytes]) -> list[str]:
     """SHA-256 of each text's groups as text, without the last sign; '' for a text without tokens. n: tokens of each text."""
-    out, lo, get, join, said = [], 0, words.__getitem__, b"".join, said.tolist()
+    out, lo, get, join = [], 0, words.__getitem__, b"".join
     for hi in np.cumsum(n).tolist():
-        out.append(hashlib.sha256(join(map(get, said[lo:hi]))[:-1]).hexdigest() if hi > lo else "")
+        out.append(hashlib.sha256(join(map(get, said[lo:hi].tolist()))[:-1]).hexdigest() if hi > lo else "")
         lo = hi
     return out
 

@@ -106,6 +106,20 @@ def test_long_texts_and_empty_tables(spark, libraries):
     assert alignment.align(spark.createDataFrame([], SCHEMA), *sides()).count() == 0
 
 
+@pytest.mark.parametrize("which", [0, 1])
+def test_parts_give_what_whole_texts_give(which):
+    """Whatever white space there is, and wherever; also where the tokens' bytes aren't the text's."""
+    side = sides()[which]()
+    rng = random.Random(13)
+    signs = ["a", "bc", "Zé", "ß", "и", "日本", "🙂", "'s", "don't", "12", ",", "...", " ", "  ", "\t", "\n", " \n ", "\u00a0", "\u2003", "\u3000", "\u0085", "\u1680", "\u200b", "<|endoftext|>", "\x1c", "\x7f", "Ā", "\u0301", "<s>", "▁", "▁x"]
+    some = ["", " ", "a ", "a\u00a0", "\u00a0 a", *("".join(rng.choice(signs) for _ in range(rng.randint(1, 30))) for _ in range(2000))]
+    assert side.splits
+    for texts in (some, some[:3], [""], ["▁"], ["one word", "one word again"]):
+        (ids, n, whole), (want, m, right) = alignment.encoded(side, texts, alignment.Parts(texts)), alignment._whole(side, texts)
+        assert (n[whole].tolist(), whole.tolist()) == (m[right].tolist(), right.tolist())
+        assert ids[whole.repeat(n)].tolist() == want[right.repeat(m)].tolist()
+
+
 def test_bytes_of_ids():
     one, two = (make() for make in sides())
     assert len(alignment.byte_letters()) == 256 and sorted(alignment.byte_letters().values()) == list(range(256))

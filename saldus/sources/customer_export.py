@@ -88,8 +88,17 @@ def _snapshot_cells() -> tuple[list[Column], list[Column]]:
     return tuple([v.alias(n) for n, v in own.items()] for own in (earlier, cells | changed))
 
 
+#: Customers of whom one task makes the records of a snapshot.
+DEALT = 1 << 16
+
+
 def snapshots(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(earlier, later): exports that differ by new, missing, repeated and changed customers."""
+    """(earlier, later): exports that differ by new, missing, repeated and changed customers.
+
+    A record made from an export takes some twenty times the bytes of its customer, and a plan sorts the records of each task before it sends them. So customers
+    are dealt out while they are small, about DEALT to a task: else one task makes and sorts the records of a whole row group or file split, however long that is.
+    """
+    customer = customer.repartition(max(1, -(-customer.count() // DEALT)), "c_custkey")
     (one, two), k = _snapshot_cells(), K("c_custkey")
     earlier, later = customer.where(k % 10 != 9).select(*one), customer.where(k % 10 != 8).select(*two)
     again = later.where("_ord % 50 = 3").withColumns({"_ord": F.col("_ord") + 1_000_000, "Celular": F.lit("11900000000")})

@@ -12,6 +12,7 @@ from saldus.operators.simulate import format_report, report_lines
 from saldus.operators.validate import validate
 from saldus.plans import flows
 from saldus.schema import SCHEMA, schema_catalog
+from saldus.sources import customer_export
 from saldus.sources.exports import as_text, check_file, numbered, read_matrix
 from saldus.sources.failures import ImportFailure
 from saldus.sources.repository import MemoryRepository, ParquetRepository, Queue, check_contract
@@ -332,3 +333,19 @@ def test_files_are_synced_as_they_arrive(spark, tmp_path):
     assert arrive([("1", "A", "Débito- R$ 30,00"), ("2", "B", ""), ("3", "C", "Débito- R$ 5,00")]) == {"1": (30, ["cliente_importado", "cliente_atualizado"]), "2": (0, ["cliente_importado", "divida_quitada"]), "3": (5, ["cliente_importado"])}
     seen = repo.version()
     assert arrive([]) and repo.version() == seen  # a file without rows is no snapshot
+
+
+def test_no_task_makes_the_records_of_a_whole_row_group(spark, monkeypatch):
+    """Wide records are sorted by task before they are sent, so what one task makes may not grow with the input's row groups."""
+    monkeypatch.setattr(customer_export, "DEALT", 100, raising=False)
+    k = F.col("id").alias("c_custkey")
+    customer = spark.range(0, 2000, 1, 1).select(k, F.concat(F.lit("Customer#"), "id").alias("c_name"), F.lit("10-100-100-1000").alias("c_phone"), F.lit(12.5).alias("c_acctbal"), F.lit(3).alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment"))
+    earlier, later = customer_export.snapshots(customer)
+    assert (earlier.count(), later.count()) == (1800, 1800 + 40)
+    for side, context in ((earlier, FIRST), (later, NEXT)):
+        made = normalize(side, context).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert made <= 200
+    plan = build_plan(*(flows.eligible(normalize(side, context)) for side, context in ((earlier, FIRST), (later, NEXT))))
+    assert plan.count() == plan.select("nex_codigo").distinct().count() > 1000
+    # An empty table has no rows on either side.
+    assert [side.count() for side in customer_export.snapshots(customer.where("false"))] == [0, 0]

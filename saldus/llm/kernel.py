@@ -171,16 +171,40 @@ class Text:
         return classes(found if doc is None else by_text(found, doc), unlike, lambda i: (0 if doc is None else int(doc[i]), data[start[i] : end[i]].tobytes()))
 
     def word_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of a keyed hash (SipHash-2-4) of each word, as two columns."""
-        one, two = np.empty(len(self.start), U), np.empty(len(self.start), U)
-        for lo in range(0, len(self.start), 1 << 14):  # as much as a processor's cache holds
-            part = slice(lo, lo + (1 << 14))
-            one[part], two[part] = self._siphash(self.start[part], self.end[part] - self.start[part])
+        """128 bits of a keyed hash (SipHash-2-4) of each word, as two columns; equal words of up to 15 bytes are hashed once."""
+        which, of = self._distinct_words()
+        some_one, some_two = np.empty(len(which), U), np.empty(len(which), U)
+        for lo in range(0, len(which), 1 << 14):  # as much as a processor's cache holds
+            part = which[lo : lo + (1 << 14)]
+            some_one[lo : lo + (1 << 14)], some_two[lo : lo + (1 << 14)] = self._siphash(self.start[part], self.end[part] - self.start[part])
+        one, two = some_one[of], some_two[of]
         data = memoryview(np.ascontiguousarray(self.data))
         for i in np.flatnonzero(self.end - self.start > 16 * LONG):  # not eight bytes at a time
             one[i], two[i] = np.frombuffer(blake2b(data[self.start[i] : self.end[i]], digest_size=16, key=_KEY.tobytes()).digest(), U)
         return one, two
 
+    def _distinct_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """(words, for each word the place among them of one with the same bytes). Words of 16 bytes and more all stand for themselves."""
+        eights, size = self.eights(), self.end - self.start
+        code = lambda x: pa.array(x).dictionary_encode().indices.to_numpy().astype(U)
+        # The last block of a word holds its length too, so that blocks tell words apart.
+        last = lambda at, k: eights[self.start[at] + 8 * k] & _LOW[size[at] - 8 * k] | size[at].astype(U) << U(56)
+        which, of, n = [], np.empty(len(size), np.int64), 0
+        blocks = np.minimum(size >> 3, 2)
+        for k in range(3):
+            at = np.flatnonzero(blocks == k)
+            own = np.arange(len(at))
+            if k == 0:
+                own = code(last(at, 0)).astype(np.int64)
+            elif k == 1:
+                own = code(code(eights[self.start[at]]) << U(32) | code(last(at, 1))).astype(np.int64)
+            one = np.empty(int(own.max(initial=-1)) + 1, np.int64)
+            one[own] = at
+            which.append(one)
+            of[at] = own + n
+            n += len(one)
+        return np.concatenate(which), of
+
     def _siphash(self, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """SipHash-2-4 with 128 bits of the size bytes from start on; ranges of more than 16 * LONG bytes are left out."""
         eights, size = self.eights(), np.where(size > 16 * LONG, 0, size)

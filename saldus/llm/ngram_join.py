@@ -139,7 +139,8 @@ def _prefixes(docs: DataFrame, join: Join, shared, noise: int, keep: tuple[str,
             out: list[list] = [[] for _ in range(7)]
             for n_words, s in shingle_sets(batch.column(1), join.words):
                 often = counts[s >> kernel.U(64 - SKETCH_BITS)]
-                order = np.argsort(often, kind="stable")[: join.prefix(len(s)) if len(s) else 0]  # s is in order of hash
+                ranked = np.sort(often.astype(np.uint64) << kernel.U(32) | np.arange(len(s), dtype=np.uint64))  # s is in order of hash
+                order = (ranked[: join.prefix(len(s)) if len(s) else 0] & kernel.U(0xFFFFFFFF)).astype(np.intp)
                 # No more sets can have this prefix than have its rarest shingle.
                 row = (len(s), *_signature(s), 1 + max(0, int(often[order[0]]) - noise) // (1 << 16) if len(s) else 1, _parity(s), s[order].tobytes(), n_words)
                 for column, x in zip(out, row, strict=True):

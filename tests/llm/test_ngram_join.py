@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saldus.llm import components, kernel, ngram_join
@@ -182,3 +183,22 @@ def test_ranges_of_pairs_cover_all_of_them():
     assert len(seen) == len(set(seen)) == len(x) and rounds > 40
     few = ngram_join._least(iter([(x[:10], y[:10])]), gid, 0, 500)
     assert few[0].tolist() == x[:10].tolist() and few[2] is None and len(ngram_join._least(iter([]), gid, 0, 500)[0]) == 0
+
+
+def test_equal_words_are_hashed_once(monkeypatch):
+    hashed = []
+    plain = kernel.Text._siphash
+    monkeypatch.setattr(kernel.Text, "_siphash", lambda self, start, size: hashed.append(len(start)) or plain(self, start, size))
+    words = ["a", "a\0", "a\0\0", "\0" * 7, "\0" * 8, "abcdefg", "abcdefgh", "abcdefgh\0", "abcdefghi", "h" * 15, "h" * 15 + "\0"]
+    column = pa.array([" ".join(words * 50), None, " ".join(reversed(words))])
+    keys = {}
+    for _, _, raw, offsets in kernel.blocks(column):
+        t = kernel.Text(raw, offsets)
+        data = np.ascontiguousarray(t.data).tobytes()
+        for s, e, *key in zip(t.start, t.end, *t.word_keys(), strict=True):
+            assert keys.setdefault(data[s:e], tuple(key)) == tuple(key)
+            one, two = plain(t, np.array([s]), np.array([e - s]))
+            assert (one[0], two[0]) == tuple(key)
+    assert len(keys) == len(set(keys.values())) == len(words)
+    # Ten words of up to 15 bytes, and each of the 51 of 16 bytes.
+    assert sum(hashed) <= 10 * 2 + 51

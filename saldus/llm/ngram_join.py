@@ -67,25 +67,35 @@ class Join:
         return -(-self.num * n // (self.num + self.den))
 
 
-def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of words, sorted distinct shingle hashes) of each text."""
+def shingle_blocks(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, words of each text, sorted distinct shingle hashes of text after text, where those of each text begin and the last ones end), a block of texts at a time."""
     for lo, hi, raw, offsets in kernel.blocks(column):
         t = kernel.Text(raw, offsets, lower=True)
         keys = t.word_keys()
         grams, at = kernel.windows(keys, t.doc, words)
         place = np.searchsorted(t.doc[at], np.arange(hi - lo + 1))
-        first = np.searchsorted(t.doc, np.arange(hi - lo + 1))
+        short = np.flatnonzero((place[1:] == place[:-1]) & (t.n_words > 0))
+        if len(short):
+            first = np.searchsorted(t.doc, short)
+            few = [kernel.windows(tuple(key[f : f + n] for key in keys), np.zeros(n, np.int64), n)[0][0] for f, n in zip(first.tolist(), t.n_words[short].tolist(), strict=True)]
+            grams = np.insert(grams, place[short], few)
+            place[1:] += np.cumsum(np.bincount(short, minlength=hi - lo))
+        for i, j in zip(place[:-1].tolist(), place[1:].tolist(), strict=True):
+            grams[i:j].sort()
+        other = np.ones(len(grams), bool)
+        other[1:] = grams[1:] != grams[:-1]
+        other[place[:-1][place[:-1] < len(grams)]] = True
+        if not other.all():
+            place = np.concatenate([[0], np.cumsum(other)])[place]
+            grams = grams[other]
+        yield lo, hi, t.n_words, grams, place
+
+
+def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of words, sorted distinct shingle hashes) of each text."""
+    for lo, hi, n_words, grams, place in shingle_blocks(column, words):
         for i in range(hi - lo):
-            own = grams[place[i] : place[i + 1]]
-            if len(own) == 0 and first[i + 1] > first[i]:
-                few = tuple(key[first[i] : first[i + 1]] for key in keys)
-                own = kernel.windows(few, np.zeros(len(few[0]), np.int64), len(few[0]))[0]
-            if len(own) > 1:
-                own = np.sort(own)
-                other = own[1:] != own[:-1]
-                if not other.all():
-                    own = own[np.concatenate([[True], other])]
-            yield int(t.n_words[i]), own
+            yield int(n_words[i]), grams[place[i] : place[i + 1]]
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -94,19 +104,47 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(one), int(two)
 
 
-def _parity(s: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((s & kernel.U(PARITIES - 1)).astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1).tobytes()
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What the binary values of a column without nulls hold, one after another as numbers of eight bytes, and where each begins and the last one ends."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, count=column.offset + len(column) + 1)[column.offset :].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2] if len(column) else None
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.uint64) if data is not None else np.zeros(0, np.uint64), (offsets - offsets[0]) >> 3
+
+
+def _binary(values: np.ndarray, place: np.ndarray) -> pa.Array:
+    """Numbers of eight bytes as binary values, which begin and end at the places given."""
+    return pa.Array.from_buffers(pa.binary(), len(place) - 1, [None, pa.py_buffer(np.ascontiguousarray(place * 8, np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _shingled(docs: DataFrame, words: int, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, hash of the text and columns to keep of each row, with its words' number and its set (shingles: sorted hashes), of up to 2**28 shingles.
+
+    Made once for the sketch and the prefixes: words are hashed for most of the time that either takes.
+    """
+    kept = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), *(F.col(k).alias(f"keep_{k}") for k in keep))
+    schema = T.StructType([*kept.schema.fields[1:], T.StructField("n_words", T.LongType()), T.StructField("shingles", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, n_words, grams, place in shingle_blocks(batch.column(0), words):
+                part = batch.slice(lo, hi - lo)
+                if place[-1] >= 1 << 28:
+                    raise ValueError("a text has more than 2**28 shingles")
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(n_words, pa.int64()), _binary(grams, place)], names=schema.names)
+
+    return kept.mapInArrow(run, schema)
 
 
-def sketch(docs: DataFrame, words: int) -> np.ndarray:
+def sketch(shingled: DataFrame) -> np.ndarray:
     """Counts of documents by the top SKETCH_BITS bits of their shingles: 8 MB, whatever the input."""
     size, chunk = 1 << SKETCH_BITS, 1 << CHUNK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.uint32)
         for batch in batches:
-            for _, s in shingle_sets(batch.column(0), words):
-                np.add.at(total, (s >> kernel.U(64 - SKETCH_BITS)).astype(np.intp), np.uint32(1))
+            grams, _ = _flat(batch.column(0))
+            for lo in range(0, len(grams), 1 << 16):
+                np.add.at(total, (grams[lo : lo + (1 << 16)] >> kernel.U(64 - SKETCH_BITS)).astype(np.intp), np.uint32(1))
         yield from out(total.reshape(-1, chunk))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,32 +159,52 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         if some:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], names=["k", "c"])
 
-    parts = docs.select("text").mapInArrow(count, "k int, c binary").repartition(16, "k").mapInArrow(add, "k int, c binary")
+    parts = shingled.select("shingles").mapInArrow(count, "k int, c binary").repartition(16, "k").mapInArrow(add, "k int, c binary")
+    parts = scratch.stored(parts, "join-sketch")  # its shuffle's files go before the prefixes are written
     total = np.zeros((size // chunk, chunk), np.uint32)
     for row in parts.collect():
         total[row["k"]] = np.frombuffer(row["c"], np.uint32)
+    scratch.drop(parts)
     return total.reshape(-1)  # counts beyond 2**32 wrap around; any order is right
 
 
-def _prefixes(docs: DataFrame, join: Join, shared, noise: int, keep: tuple[str, ...]) -> DataFrame:
-    """doc_id, hash of the text, size, signature, parities, prefix (hashes, rare first) and words of each row, and columns to keep; parts: into how many its group is dealt."""
-    kept = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), *(F.col(k).alias(f"keep_{k}") for k in keep))
-    schema = T.StructType([T.StructField(k, T.LongType()) for k in ("doc_id", "text_hash", "n", "s1", "s2")] + [T.StructField("parts", T.IntegerType()), T.StructField("parity", T.BinaryType()), T.StructField("prefix", T.BinaryType()), T.StructField("n_words", T.LongType()), *kept.schema.fields[3:]])
+def _ranked(grams: np.ndarray, place: np.ndarray, counts: np.ndarray, join: Join, noise: int) -> list[np.ndarray | pa.Array]:
+    """Columns n, s1, s2, parts, parity and prefix of sets, given one after another as by _flat."""
+    n = np.diff(place)
+    often = counts[grams >> kernel.U(64 - SKETCH_BITS)].astype(np.uint64)
+    often <<= kernel.U(32)
+    ranked = often | (np.arange(len(grams)) - np.repeat(place[:-1], n)).astype(np.uint64)  # a set is in order of hash
+    ends = list(zip(place[:-1].tolist(), place[1:].tolist(), strict=True))
+    for i, j in ends:
+        ranked[i:j].sort()
+    prefix = np.where(n > 0, join.prefix(n), 0)
+    upto = np.concatenate([[0], np.cumsum(prefix)])
+    begin = np.repeat(place[:-1], prefix)
+    first = ranked[begin + np.arange(upto[-1]) - np.repeat(upto[:-1], prefix)]
+    tokens = grams[(first & kernel.U(0xFFFFFFFF)).astype(np.int64) + begin]
+    # No more sets can have this prefix than have its rarest shingle.
+    parts, some = np.ones(len(n), np.int64), np.flatnonzero(n)
+    parts[some] += np.maximum(0, (ranked[place[some]] >> kernel.U(32)).astype(np.int64) - noise) // (1 << 16)
+    data = memoryview(np.ascontiguousarray(grams)).cast("B")
+    signed = np.frombuffer(b"".join(blake2b(data[8 * i : 8 * j], digest_size=16).digest() for i, j in ends), np.int64).reshape(-1, 2)
+    slots = np.repeat(np.arange(len(n)) * PARITIES, n) + (grams & kernel.U(PARITIES - 1)).astype(np.int64)
+    odd = np.packbits(np.bincount(slots, minlength=len(n) * PARITIES).astype(np.uint8) & 1).view(np.int64)
+    return [n, signed[:, 0], signed[:, 1], parts.astype(np.int32), _binary(odd, np.arange(len(n) + 1) * (PARITIES // 64)), _binary(tokens, upto)]
+
+
+def _prefixes(shingled: DataFrame, join: Join, shared, noise: int) -> DataFrame:
+    """The rows of _shingled with size, signature, parities and prefix (hashes, rare first) in place of the set; parts: into how many its group is dealt."""
+    kept = shingled.select("shingles", *(c for c in shingled.columns if c != "shingles"))
+    more = [("n", T.LongType()), ("s1", T.LongType()), ("s2", T.LongType()), ("parts", T.IntegerType()), ("parity", T.BinaryType()), ("prefix", T.BinaryType())]
+    schema = T.StructType([*kept.schema.fields[1:], *(T.StructField(k, kind) for k, kind in more)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for n_words, s in shingle_sets(batch.column(1), join.words):
-                often = counts[s >> kernel.U(64 - SKETCH_BITS)]
-                ranked = np.sort(often.astype(np.uint64) << kernel.U(32) | np.arange(len(s), dtype=np.uint64))  # s is in order of hash
-                order = (ranked[: join.prefix(len(s)) if len(s) else 0] & kernel.U(0xFFFFFFFF)).astype(np.intp)
-                # No more sets can have this prefix than have its rarest shingle.
-                row = (len(s), *_signature(s), 1 + max(0, int(often[order[0]]) - noise) // (1 << 16) if len(s) else 1, _parity(s), s[order].tobytes(), n_words)
-                for column, x in zip(out, row, strict=True):
-                    column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *(batch.column(k) for k in range(3, batch.num_columns))], names=schema.names)
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                own = _ranked(*_flat(part.column(0)), counts, join, noise)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *(x if isinstance(x, pa.Array) else pa.array(x) for x in own)], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
@@ -473,12 +531,14 @@ def _verified(pairs: DataFrame, one: DataFrame, two: DataFrame, join: Join) -> D
 
 def classes(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: doc_id, text_hash, n, s1, s2, n_words of each row, and its columns to keep as keep_<name>; sets: id, doc_id, text_hash, n, s1, s2; node, component of set ids not their component's least)."""
-    counts = sketch(docs, join.words)
+    shingled = scratch.stored(_shingled(docs, join.words, keep), "join-shingles")
+    counts = sketch(shingled)
     # What shingles that fall together by chance add to a count: only more than that says that a shingle is frequent.
     usual = int(np.median(counts))
     noise = usual + 8 * int(usual**0.5)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    wide_rows = scratch.stored(_prefixes(docs, join, shared, noise, keep), "join-rows")
+    wide_rows = scratch.stored(_prefixes(shingled, join, shared, noise), "join-rows")
+    scratch.drop(shingled)
     rows = scratch.stored(wide_rows.drop("parts", "parity", "prefix"), "join-rows")
     # Parities and prefix follow from the set; as keys they let rows be summed up before they are sent.
     wide = wide_rows.where("n > 0").groupBy("n", "s1", "s2", "parts", "parity", "prefix").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))

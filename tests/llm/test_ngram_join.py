@@ -202,3 +202,39 @@ def test_equal_words_are_hashed_once(monkeypatch):
     assert len(keys) == len(set(keys.values())) == len(words)
     # Ten words of up to 15 bytes, and each of the 51 of 16 bytes.
     assert sum(hashed) <= 10 * 2 + 51
+
+
+def test_texts_are_hashed_once_for_sketch_and_prefixes(spark):
+    docs = [(i, t) for i, t in corpus(5) if t]
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).mapInArrow(read, "doc_id long, text string")
+    join = ngram_join.Join(words=3, num=90, den=100)
+    rows = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.linked(table, join).collect()}
+    assert rows == brute(docs, join)
+    # Once for the sets, once for those of them that are verified whole.
+    assert seen.value <= 2 * len(docs)
+
+
+def test_columns_of_a_block_of_sets_are_those_of_each():
+    texts = [t for _, t in corpus(6)] + ["a b", None, "c " * 40, "d"]
+    join = ngram_join.Join(words=5, num=80, den=100)
+    counts = np.random.default_rng(0).integers(0, 300000, 1 << ngram_join.SKETCH_BITS).astype(np.uint32)
+    expected = []
+    for _, s in ngram_join.shingle_sets(pa.array(texts), join.words):
+        often = counts[s >> np.uint64(64 - ngram_join.SKETCH_BITS)]
+        order = np.lexsort((s, often))[: join.prefix(len(s)) if len(s) else 0]
+        parity = np.bincount((s % np.uint64(512)).astype(int), minlength=512) % 2
+        expected.append((len(s), *ngram_join._signature(s), 1 + max(0, int(often[order[0]]) - 7) // 65536 if len(s) else 1, np.packbits(parity.astype(np.uint8)).tobytes(), s[order].tobytes()))
+    found = []
+    for *_, grams, place in ngram_join.shingle_blocks(pa.array(texts), join.words):
+        whole = ngram_join._binary(grams, place)
+        for lo in range(0, len(whole), 50):
+            columns = ngram_join._ranked(*ngram_join._flat(whole.slice(lo, 50)), counts, join, 7)
+            found += zip(*(c.to_pylist() if isinstance(c, pa.Array) else c.tolist() for c in columns), strict=True)
+    assert found == expected

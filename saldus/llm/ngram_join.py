@@ -270,7 +270,7 @@ def _postings(groups: DataFrame, shared, noise: int) -> DataFrame:
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """The postings of shingles that more than one group has, with their block of the list; top: first of a block of a list that has or may have several.
+    """The postings of shingles that more than one group has, with their block of the list; top: first of a block of a list that has or may have several; over: the one of a list's rows that makes it longer than FEW.
 
     One shuffle; a list is read as a stream, of which only the latest row is remembered.
     """
@@ -302,10 +302,10 @@ def _lists(postings: DataFrame) -> DataFrame:
     def out(x: list[np.ndarray], at: np.ndarray) -> pa.RecordBatch:
         several = (x[1] >= 0) | (at >= BLOCK)
         block = (x[1].astype(np.int64) + 1) << 32 | at // BLOCK
-        return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(block), *(pa.array(c) for c in x[2:]), pa.array(several & (at % BLOCK == 0))], names=["token", "block", "gid", "n", "pos", "rank", "top"])
+        return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(block), *(pa.array(c) for c in x[2:]), pa.array(several & (at % BLOCK == 0)), pa.array(at == FEW)], names=["token", "block", "gid", "n", "pos", "rank", "top", "over"])
 
     dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "rank", "gid")
-    return dealt.mapInArrow(run, "token long, block long, gid long, n long, pos long, rank long, top boolean")
+    return dealt.mapInArrow(run, "token long, block long, gid long, n long, pos long, rank long, top boolean, over boolean")
 
 
 PAIRS_SCHEMA = "g1 long, g2 long, token long, block long, upto long"
@@ -551,12 +551,18 @@ def classes(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) ->
     more = scratch.stored(groups.where(F.size("ids") > 1).select("gid", F.explode("ids").alias("id")), "join-members")
 
     bare = scratch.stored(_lists(_postings(groups, shared, noise)), "join-lists")
-    lists = scratch.stored(bare.drop("top").join(groups.select("gid", "value", "mask"), "gid"), "join-lists")
+    lists = scratch.stored(bare.drop("top", "over").join(groups.select("gid", "value", "mask"), "gid"), "join-lists")
     tops = bare.where("top").select("token", "rank", "gid").withColumn("least", F.min(F.struct("rank", "gid")).over(Window.partitionBy("token")))
     ties = tops.where("gid <> least.gid").select(F.least("gid", "least.gid").alias("g1"), F.greatest("gid", "least.gid").alias("g2"))
     first = _paired(lists.withColumn("c", F.col("gid")), join, 0).select("g1", "g2").union(ties).distinct()
     first = scratch.stored(first, "join-pairs")
-    scratch.drop(bare)
+    # A list of up to FEW groups of one member each has given all its pairs by now.
+    unsettled = bare.where("over").select("token").union(lists.where("mask is not null").select("token"))
+    unsettled = scratch.stored(unsettled.union(bare.where("top").select("token")).distinct(), "join-open")
+    again = scratch.stored(lists.join(unsettled, "token", "left_semi"), "join-lists")
+    for table in (bare, unsettled, lists):
+        scratch.drop(table)
+    lists = again
     scratch.drop(groups)
     shared.destroy()
     # Of two groups the first of one meets all of the other; inside a group the first meets the rest.
@@ -630,10 +636,12 @@ def _rounds(links: DataFrame, lists: DataFrame, long: DataFrame | None, more: Da
             expanded = expanded.join(label.select(F.col("x").alias(end), F.col("y").alias(f"c{end}")), end, "left")
         expanded = expanded.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         expanded = scratch.stored(expanded, "join-expanded")  # its size is known then: where it is small, it goes to the sets
-        found = _verified(expanded, whole, whole, join)
+        # Only the sets of these pairs are dealt out.
+        one, two = (whole.join(expanded.select(F.col(end).alias("id")), "id", "left_semi") for end in ("a", "b"))
+        found = None if expanded.isEmpty() else _verified(expanded, one, two, join)
         scratch.drop(expanded)
         scratch.drop(some)
-        if not found.isEmpty():
+        if found is not None and not found.isEmpty():
             before = known
             known = stars(known.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found))
             scratch.drop(before)

@@ -238,3 +238,16 @@ def test_columns_of_a_block_of_sets_are_those_of_each():
             columns = ngram_join._ranked(*ngram_join._flat(whole.slice(lo, 50)), counts, join, 7)
             found += zip(*(c.to_pylist() if isinstance(c, pa.Array) else c.tolist() for c in columns), strict=True)
     assert found == expected
+
+
+def test_pairs_are_verified_once(spark, monkeypatch):
+    """Two texts of one size that share their rarest shingles, and too little besides: parities can't tell, so they are verified, but not in every round."""
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    rare, p, q = words("r", 100), words("p", 2900), words("q", 2900)
+    texts = [rare + p, rare + q, *([*common, *words(f"x{k}", 2900)] for k, common in enumerate((p, p, q, q)))]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    seen, plain = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *rest: seen.extend(pairs.select("a", "b").collect()) or plain(pairs, *rest))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked(spark.createDataFrame(docs, "doc_id long, text string"), ngram_join.Join(3, 90, 100)).collect()}
+    assert got == {i: i for i in range(len(docs))}
+    assert len(seen) == len(set(seen)) == 1

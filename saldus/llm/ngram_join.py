@@ -45,6 +45,10 @@ PARITIES = 512
 GROUP_MEMBERS = 64
 #: Groups of a list that are held at once.
 BLOCK = 4096
+#: Postings of a bucket, about, and of a batch of groups that are dealt into buckets at once.
+BUCKET = 1 << 19
+#: Columns of postings; a set has up to 2**28 shingles.
+POSTINGS = {"token": np.uint64, "part": np.int32, "gid": np.int64, "n": np.int32, "pos": np.int32, "rank": np.int32}
 #: A list of up to FEW groups gives all its pairs that pass the filters. In the later rounds a longer one gives about so many pairs a round for each of its groups.
 FEW, PAIRS = 16, 16
 #: Of a list longer than a block, this share are pivots in a round, and no fewer than LEAST_PIVOTS.
@@ -66,6 +70,10 @@ class Join:
         """Least intersection of two sets of n elements together."""
         return -(-self.num * n // (self.num + self.den))
 
+    def near(self, n1: np.ndarray, pos1: np.ndarray, n2: np.ndarray, pos2: np.ndarray) -> np.ndarray:
+        """Whether sets of n1 and n2 elements can link whose first shared one stands at pos1 and pos2."""
+        return (np.minimum(n1, n2) * self.den >= np.maximum(n1, n2) * self.num) & (1 + np.minimum(n1 - 1 - pos1, n2 - 1 - pos2) >= self.overlap(n1 + n2))
+
 
 def shingle_blocks(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, words of each text, sorted distinct shingle hashes of text after text, where those of each text begin and the last ones end), a block of texts at a time."""
@@ -104,16 +112,16 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(one), int(two)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """What the binary values of a column without nulls hold, one after another as numbers of eight bytes, and where each begins and the last one ends."""
+def _flat(column: pa.Array, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """What the binary values of a column without nulls hold, one after another as numbers, and where each begins and the last one ends."""
     offsets = np.frombuffer(column.buffers()[1], np.int32, count=column.offset + len(column) + 1)[column.offset :].astype(np.int64) if len(column) else np.zeros(1, np.int64)
     data = column.buffers()[2] if len(column) else None
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.uint64) if data is not None else np.zeros(0, np.uint64), (offsets - offsets[0]) >> 3
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind) if data is not None else np.zeros(0, kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
 
 
-def _binary(values: np.ndarray, place: np.ndarray) -> pa.Array:
-    """Numbers of eight bytes as binary values, which begin and end at the places given."""
-    return pa.Array.from_buffers(pa.binary(), len(place) - 1, [None, pa.py_buffer(np.ascontiguousarray(place * 8, np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+def _binary(values: np.ndarray, place: np.ndarray, width: int = 8) -> pa.Array:
+    """Numbers of `width` bytes as binary values, which begin and end at the places given."""
+    return pa.Array.from_buffers(pa.binary(), len(place) - 1, [None, pa.py_buffer(np.ascontiguousarray(place * width, np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
 def _shingled(docs: DataFrame, words: int, keep: tuple[str, ...]) -> DataFrame:
@@ -244,67 +252,91 @@ def _groups(wide: DataFrame) -> DataFrame:
     return dealt.repartition("n", "part", "prefix").sortWithinPartitions("n", "part", "prefix", "id").mapInArrow(run, GROUPS)
 
 
-def _postings(groups: DataFrame, shared, noise: int) -> DataFrame:
-    """(token, part, gid, n, pos, rank) for every prefix shingle of every group.
+def _postings(groups: DataFrame, shared, noise: int, buckets: int) -> DataFrame:
+    """Rows of POSTINGS for all prefix shingles of all groups, those of a bucket in a row for each batch of groups, one array a column.
 
     part: where a frequent shingle's list is dealt, else -1. rank: less for groups whose rarest shingles are more frequent, which are the ones that
     the rest of a family of near copies is closest to; it is the same in all lists, so that few groups become central.
+    A bucket is a range of a hash of shingle and part, so it has whole lists or parts of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                tokens = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
-                lengths = np.array([len(x) for x in tokens])
-                token, gid = np.concatenate(tokens), np.repeat(part.column(0).to_numpy(), lengths)
-                often = counts[token >> kernel.U(64 - SKETCH_BITS)].astype(np.int64)
-                parts = 1 + np.maximum(0, often - noise) // (4 * BLOCK)
-                dealt = np.where(parts > 1, (kernel.mixed(gid) % parts.astype(np.uint64)).astype(np.int32), np.int32(-1))
-                rank = np.repeat((-1000 * np.add.reduceat(np.log2(1.0 + often), np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths).astype(np.int64), lengths)
-                pos = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(dealt), pa.array(gid), pa.array(np.repeat(part.column(1).to_numpy(), lengths)), pa.array(pos), pa.array(rank)], names=["token", "part", "gid", "n", "pos", "rank"])
-
-    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, part int, gid long, n long, pos long, rank long")
-
-
-def _lists(postings: DataFrame) -> DataFrame:
+            grams, place = _flat(batch.column(2))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(place, place[lo] + BUCKET, "right")) - 1)
+                yield dealt(batch.column(0).to_numpy()[lo:hi], batch.column(1).to_numpy()[lo:hi], grams[place[lo] : place[hi]], np.diff(place[lo : hi + 1]), counts)
+                lo = hi
+
+    def dealt(gid: np.ndarray, n: np.ndarray, token: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        often = counts[token >> kernel.U(64 - SKETCH_BITS)].astype(np.int64)
+        first = np.cumsum(lengths) - lengths
+        rank = -1000 * np.add.reduceat(np.log2(1.0 + often), first) / lengths
+        pos = np.arange(len(token)) - np.repeat(first, lengths)
+        gid, n, rank = (np.repeat(x, lengths) for x in (gid, n.astype(np.int32), rank.astype(np.int32)))
+        part, several = np.full(len(token), -1), np.flatnonzero(often - noise >= 4 * BLOCK)
+        part[several] = kernel.mixed(gid[several]) % (1 + (often[several] - noise) // (4 * BLOCK)).astype(np.uint64)
+        bucket = (kernel.mixed(token + part.view(np.uint64)) >> kernel.U(32)) * kernel.U(buckets) >> kernel.U(32)
+        bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int32)  # numbers of two bytes are sorted faster
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        place = np.append(start, len(order))
+        columns = (x[order].astype(kind) for x, kind in zip((token, part, gid, n, pos, rank), POSTINGS.values(), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), *(_binary(x, place, x.itemsize) for x in columns)], names=["bucket", *POSTINGS])
+
+    return groups.select("gid", "n", "prefix").mapInArrow(run, ", ".join(["bucket int", *(f"{k} binary" for k in POSTINGS)]))
+
+
+def _lists(postings: DataFrame, join: Join) -> DataFrame:
     """The postings of shingles that more than one group has, with their block of the list; top: first of a block of a list that has or may have several; over: the one of a list's rows that makes it longer than FEW.
 
-    One shuffle; a list is read as a stream, of which only the latest row is remembered.
+    One shuffle; a bucket is held at once. Of lists of up to FEW groups only those rows are left that another row fits by size and place.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = None, 0  # the latest row, and how many rows its list has had
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = [batch.column(k).to_numpy() for k in range(6)]
-            if held is not None:
-                x = [np.concatenate([h, c]) for h, c in zip(held, x, strict=True)]
-                seen -= 1
-            first = np.ones(len(x[0]), bool)
-            first[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])
-            start = np.flatnonzero(first)
-            length = np.diff(np.append(start, len(first)))
-            at = np.arange(len(first)) - np.repeat(start, length)
-            at[: length[0]] += seen  # rows of this list before this batch
-            last = int(at[-1])
-            # A list's first row waits for its second; the last row waits for the next batch.
-            ready = (at > 0) | ~np.append(first[1:], True) | (x[1] >= 0)
-            ready[-1] = False
-            yield out([c[ready] for c in x], at[ready])
-            held, seen = [c[-1:] for c in x], last + 1
-        if held is not None and (seen > 1 or held[1][0] >= 0):
-            yield out(held, np.array([seen - 1]))
-
-    def out(x: list[np.ndarray], at: np.ndarray) -> pa.RecordBatch:
-        several = (x[1] >= 0) | (at >= BLOCK)
-        block = (x[1].astype(np.int64) + 1) << 32 | at // BLOCK
-        return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(block), *(pa.array(c) for c in x[2:]), pa.array(several & (at % BLOCK == 0)), pa.array(at == FEW)], names=["token", "block", "gid", "n", "pos", "rank", "top", "over"])
-
-    dealt = postings.repartition("token", "part").sortWithinPartitions("token", "part", "rank", "gid")
+            bucket = batch.column(0).to_numpy()
+            start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+            for lo, hi in zip(start, np.append(start, len(bucket))[1:], strict=True):
+                if held and held[0].column(0)[0].as_py() != bucket[lo]:
+                    yield done(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield done(held)
+
+    def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        token, *rest = (np.concatenate([_flat(b.column(k), kind)[0] for b in held]) for k, kind in enumerate(POSTINGS.values(), 1))
+        order = np.argsort(token)
+        ordered = token[order]
+        same = ordered[1:] == ordered[:-1]
+        order = order[np.append(same, False) | np.append(False, same) | (rest[0][order] >= 0)]
+        token, part, gid, n, pos, rank = (x[order] for x in (token.view(np.int64), *(c.astype(np.int64) for c in rest)))
+        order = np.lexsort((gid, rank, part, token))
+        token, part, gid, n, pos, rank = (x[order] for x in (token, part, gid, n, pos, rank))
+        first = np.ones(len(token), bool)
+        first[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
+        start = np.flatnonzero(first)
+        length = np.diff(np.append(start, len(first)))
+        at = np.arange(len(first)) - np.repeat(start, length)
+        stays = np.repeat((length > FEW) | (part[start] >= 0), length)
+        for k in np.unique(length[(length > 1) & (length <= FEW)]):
+            x, y = np.triu_indices(int(k), 1)
+            own = start[(length == k) & (part[start] < 0)]
+            step = max(1, (1 << 17) // len(x))
+            for lo in range(0, len(own), step):
+                i, j = ((own[lo : lo + step, None] + p).reshape(-1) for p in (x, y))
+                fits = join.near(n[i], pos[i], n[j], pos[j])
+                stays[i[fits]] = stays[j[fits]] = True
+        several = (part >= 0) | (at >= BLOCK)
+        columns = [token, (part + 1) << 32 | at // BLOCK, gid, n, pos, rank, several & (at % BLOCK == 0), at == FEW]
+        return pa.RecordBatch.from_arrays([pa.array(x[stays]) for x in columns], names=["token", "block", "gid", "n", "pos", "rank", "top", "over"])
+
+    dealt = postings.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "token long, block long, gid long, n long, pos long, rank long, top boolean, over boolean")
 
 
@@ -329,15 +361,13 @@ class _Block:
 
     def fits(self, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
         """Whether a shared shingle of rows i and j can be the first of two sets that link."""
-        n1, n2, both = self.n[i], self.n[j], self.n[i] + self.n[j]
-        need = self.join.overlap(both)
-        ok = (self.c[i] != self.c[j]) & (np.minimum(n1, n2) * self.join.den >= np.maximum(n1, n2) * self.join.num)
-        at = np.flatnonzero(ok & (1 + np.minimum(n1 - 1 - self.pos[i], n2 - 1 - self.pos[j]) >= need))
+        at = np.flatnonzero((self.c[i] != self.c[j]) & self.join.near(self.n[i], self.pos[i], self.n[j], self.pos[j]))
         if not len(at):
             return at
         a, b = (i, j[at]) if np.ndim(i) == 0 else (i[at], j[at])
+        both = self.n[a] + self.n[b]
         differ = (self.value[a] ^ self.value[b]) & self.mask[a] & self.mask[b]
-        return at[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= both[at] - 2 * need[at]]
+        return at[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= both - 2 * self.join.overlap(both)]
 
     def few(self, start: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All pairs of lists of one short length that pass."""
@@ -550,7 +580,9 @@ def classes(docs: DataFrame, join: Join = Join(), keep: tuple[str, ...] = ()) ->
     # The first of a group stands for it: gid is its id.
     more = scratch.stored(groups.where(F.size("ids") > 1).select("gid", F.explode("ids").alias("id")), "join-members")
 
-    bare = scratch.stored(_lists(_postings(groups, shared, noise)), "join-lists")
+    # Of all shingles, this share are in prefixes, and one more of each set. Several buckets go to a task, so that tasks are even.
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(counts.sum(dtype=np.int64)) * (join.den - join.num) // join.den // BUCKET + 1)
+    bare = scratch.stored(_lists(_postings(groups, shared, noise, buckets), join), "join-lists")
     lists = scratch.stored(bare.drop("top", "over").join(groups.select("gid", "value", "mask"), "gid"), "join-lists")
     tops = bare.where("top").select("token", "rank", "gid").withColumn("least", F.min(F.struct("rank", "gid")).over(Window.partitionBy("token")))
     ties = tops.where("gid <> least.gid").select(F.least("gid", "least.gid").alias("g1"), F.greatest("gid", "least.gid").alias("g2"))

@@ -251,3 +251,29 @@ def test_pairs_are_verified_once(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked(spark.createDataFrame(docs, "doc_id long, text string"), ngram_join.Join(3, 90, 100)).collect()}
     assert got == {i: i for i in range(len(docs))}
     assert len(seen) == len(set(seen)) == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 70_000])
+def test_lists_of_buckets_are_those_of_shingles(spark, buckets):
+    """Rows of shingles that one group has, and rows that fit no other of a short list, aren't dealt out again; frequent shingles stay in parts."""
+    rng, join, noise = np.random.default_rng(9), ngram_join.Join(3, 90, 100), 3
+    counts = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint32)
+    tokens = rng.integers(1 << 62, (1 << 64) - 1, 900, np.uint64)
+    counts[tokens[:3] >> np.uint64(64 - ngram_join.SKETCH_BITS)] = 40_000
+    groups = []
+    for gid in range(400):
+        n = int(rng.choice([20, 21, 90, 100, 400]))
+        own = rng.choice(tokens[: 900 if gid % 2 else 60], join.prefix(n), replace=False)
+        groups.append((gid, n, own.tobytes()))
+    rows = [(int(t), gid, n, pos) for gid, n, own in groups for pos, t in enumerate(np.frombuffer(own, np.uint64))]
+    lists = {}
+    for t, *row in rows:
+        lists.setdefault(t, []).append(row)
+    fits = lambda a, b: a is not b and min(a[1], b[1]) * 100 >= max(a[1], b[1]) * 90 and 1 + min(a[1] - 1 - a[2], b[1] - 1 - b[2]) >= -(-90 * (a[1] + b[1]) // 190)
+    expected = {(t, *a) for t, x in lists.items() for a in x if t in tokens[:3] or len(x) > ngram_join.FEW or any(fits(a, b) for b in x)}
+    shared = spark.sparkContext.broadcast(counts)
+    found = ngram_join._lists(ngram_join._postings(spark.createDataFrame(groups, "gid long, n long, prefix binary").repartition(3), shared, noise, buckets), join).collect()
+    assert {(r["token"] % (1 << 64), r["gid"], r["n"], r["pos"]) for r in found} == expected and len(found) == len(expected) < len(rows)
+    assert {r["token"] % (1 << 64) for r in found if r["block"]} == {int(t) for t in tokens[:3]} == {r["token"] % (1 << 64) for r in found if r["top"]}
+    longer = {t for t, x in lists.items() if t not in tokens[:3] and len(x) > ngram_join.FEW}
+    assert longer <= {r["token"] % (1 << 64) for r in found if r["over"]} <= longer | {int(t) for t in tokens[:3]} and longer

@@ -11,7 +11,8 @@ in no more slots than the sets differ in shingles, so the list of a shingle is f
 
 No list of all pairs of a shingle's groups is made. The first round makes of each list only the edges of a forest: a group that an edge has joined to others is
 not paired with them again (lists longer than BLOCK are dealt into blocks, whose most central groups are paired in turn). The edges are verified on the whole sets, which
-gives components. The rounds after it pair groups of different components only, all those that pass the filters: a list gives a bounded number of
+gives components. A list of up to FEW groups gives all its pairs in the first round; if none of its groups has several members, it is not read again.
+The rounds after it pair groups of different components only, all those that pass the filters: a list gives a bounded number of
 pairs in a round, those of the next range of a hash of the pair, until the hash's whole range is done. In a list longer than a block, groups outside its largest component
 are taken as pivots, paired with all groups of other components and taken off the list, a share of the list in each round, until one component is left. Links inside a
 component that is already known are not needed for membership: no link between components is lost.
